@@ -53,8 +53,8 @@ def _distinct_rows(df: DataFrame, chunk: int) -> DataFrame:
     cols = [_q(c) for c in df.columns]
     grouped = df.groupBy(*cols).agg(F.count(F.lit(1)).alias(_DUP))
     dup = F.col(_DUP)
-    single = grouped.where(dup == 1).select(*cols, F.lit(0).cast("long").alias(_K))
-    few = grouped.where((dup > 1) & (dup <= chunk)).select(
+    # the common case (including multiplicity 1) expands in place
+    few = grouped.where(dup <= chunk).select(
         *cols, F.explode(F.sequence(F.lit(0).cast("long"), dup - 1)).alias(_K))
     many = (grouped.where(dup > chunk)
             .select(*cols, dup, F.explode(F.sequence(F.lit(0).cast("long"),
@@ -63,7 +63,8 @@ def _distinct_rows(df: DataFrame, chunk: int) -> DataFrame:
             .repartition(F.xxhash64(*cols), F.col(_CH))
             .select(*cols, F.explode(F.sequence(F.col(_CH) * chunk,
                                                 F.least((F.col(_CH) + 1) * chunk, dup) - 1)).alias(_K)))
-    return single.unionByName(few).unionByName(many)
+    # both branches read the same aggregate; AQE reuses its shuffle stage
+    return few.unionByName(many)
 
 
 def with_row_number(df: DataFrame, order: Sequence[OrderItem], name: str = "nr", *,

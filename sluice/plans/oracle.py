@@ -51,3 +51,97 @@ ORACLE_SQL: dict[str, str] = {
         LEFT JOIN (SELECT * FROM nation WHERE n_regionkey = 1) n ON c_nationkey = n.n_nationkey
         WHERE o_orderstatus = 'F'""",
 }
+
+
+# ---- schema, run report, catalog and sinks -------------------------------------------------
+
+ORACLE_SQL.update({
+    "align_schema": """
+        SELECT c_custkey AS C_CUSTKEY, c_name, CAST(NULL AS VARCHAR) AS c_phone,
+               CAST(c_acctbal AS VARCHAR) AS c_acctbal
+        FROM customer""",
+    "schema_drift": """
+        SELECT 'c_phone' AS "column", 'missing' AS status, count(*) AS "rows" FROM customer
+        UNION ALL SELECT 'c_nationkey', 'extra', count(c_nationkey) FROM customer
+        UNION ALL SELECT 'c_mktsegment', 'extra', count(c_mktsegment) FROM customer
+        UNION ALL SELECT 'c_mktsegment', 'partition_removed', count(c_mktsegment) FROM customer""",
+    "run_summary": """
+        SELECT 'TEXT_CHAT_4100' AS survey, count(*) AS amount, '20221125' AS run_date,
+               'append' AS mode, 'Completed' AS status
+        FROM orders JOIN customer ON o_custkey = c_custkey
+        WHERE o_orderstatus = 'F'""",
+    "view_like_filter": """
+        SELECT p_partkey, p_name, p_brand, p_size FROM part WHERE p_type LIKE 'S%'""",
+    "scan_catalog": "SELECT * FROM orders",
+    "write_partitioned": "SELECT * FROM orders",
+    "write_append": "SELECT * FROM orders",
+    "write_truncate_load": "SELECT * FROM orders",
+    "write_dynamic_overwrite": """
+        SELECT o_orderkey, o_custkey, o_orderstatus,
+               CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN o_totalprice * 2
+                    ELSE o_totalprice END AS o_totalprice,
+               o_orderdate, o_orderpriority
+        FROM orders""",
+    "load_csv": "SELECT * FROM events",
+    "load_json": "SELECT * FROM events",
+    "load_sql_dump": "SELECT * FROM documents",
+})
+
+
+# ---- generator: the same md5-derived values in SQL ------------------------------------------
+
+def _synth_sql() -> dict[str, str]:
+    from ..operators.synth import (PERM_MULTIPLIER_MAX, SECONDS_PER_STEP, STEP_MIN, STEP_SPAN,
+                                   STRING_LEN, perm_offset)
+    from .queries import (MEDIA_TYPES, ORDER_STATUSES, SURVEY_NRS, SYNTH_BASE_TS, SYNTH_SEED,
+                          SYNTH_STAMP)
+
+    def h(name):
+        return f"md5(concat_ws('|', '{SYNTH_SEED}', '{name}', CAST(id AS VARCHAR)))"
+
+    def x(name):
+        return f"('0x' || substr({h(name)}, 13, 8))::BIGINT"
+
+    def choice(name, values):
+        lst = "[" + ", ".join(f"'{v}'" for v in values) + "]"
+        return f"{lst}[{x(name)} % {len(values)} + 1]"
+
+    def string(name):
+        return f"lpad(to_base(('0x' || substr({h(name)}, 1, 12))::BIGINT, 36), {STRING_LEN}, '0')"
+
+    def ts(name):
+        return (f"TIMESTAMP '{SYNTH_BASE_TS}' - to_seconds({SECONDS_PER_STEP} * "
+                f"({STEP_MIN} + {x(name)} % {STEP_SPAN}))")
+
+    def key(prefix, n_sql):
+        # valid while the row count is below the multiplier (then it is coprime with it)
+        return (f"concat_ws('_', '{prefix}', '{SYNTH_STAMP}', CAST((CAST({PERM_MULTIPLIER_MAX} AS HUGEINT) * id"
+                f" + {perm_offset(prefix, SYNTH_SEED)}) % ({n_sql}) AS VARCHAR))")
+
+    def ids(table):
+        return f"(SELECT row_number() OVER () - 1 AS id FROM {table})"
+
+    return {
+        "synth_table": f"""
+            SELECT {x('o_orderkey')} % 1000000 AS o_orderkey,
+                   {x('o_custkey')} % 1000000 AS o_custkey,
+                   {choice('o_orderstatus', ORDER_STATUSES)} AS o_orderstatus,
+                   ({x('o_totalprice')} % 1000000) / CAST(100.0 AS DOUBLE) AS o_totalprice,
+                   {ts('o_orderdate')} AS o_orderdate,
+                   {string('o_orderpriority')} AS o_orderpriority
+            FROM {ids('orders')}""",
+        "synth_keys": f"""
+            SELECT {key('interac', 'SELECT count(*) FROM customer')} AS c_name,
+                   {x('c_custkey')} % 1000000 AS c_custkey,
+                   {key('sdom', 'SELECT count(*) FROM customer')} AS eun_uni_id_ps,
+                   {choice('media_type', MEDIA_TYPES)} AS media_type
+            FROM {ids('customer')}""",
+        "synth_choice": f"""
+            SELECT {choice('studiennummer', SURVEY_NRS)} AS studiennummer,
+                   CAST(NULL AS VARCHAR) AS odl_id_ps,
+                   {choice('media_type', MEDIA_TYPES)} AS media_type
+            FROM {ids('lineitem')}""",
+    }
+
+
+ORACLE_SQL.update(_synth_sql())

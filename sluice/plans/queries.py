@@ -11,9 +11,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pyspark.sql.types import LongType, StringType, StructField, StructType
+
 from ..operators.numbering import with_row_number, zip_by_position
+from ..operators.schema import align_to, drift_report
+from ..operators.survey import run_summary as _run_summary
 from ..operators.survey import survey_id, survey_selection as _survey_selection
-from ..sources.testdata import load
+from ..operators.synth import synth_table as _synth_table
+from ..session import scratch_path, unique_name
+from ..sinks.files import write_csv, write_json_array, write_sql_dump
+from ..sinks.tables import write_table
+from ..sinks.views import create_view, register_parquet_table
+from ..sources.catalog import read_table
+from ..sources.files import read_csv, read_json_array
+from ..sources.sqldump import read_sql_dump
+from ..sources.testdata import load, table_path
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -77,6 +89,158 @@ def survey_selection(spark: SparkSession, sf: str) -> DataFrame:
         columns=["o_orderkey", "o_custkey", "c_mktsegment", "n_name"])
 
 
+def _customer_target() -> StructType:
+    """A target table shaped like customer: two columns renamed in case, one new column,
+    balance stored as string, segment and nation dropped."""
+    return StructType([StructField("C_CUSTKEY", LongType()), StructField("c_name", StringType()),
+                       StructField("c_phone", StringType()), StructField("c_acctbal", StringType())])
+
+
+def align_schema(spark: SparkSession, sf: str) -> DataFrame:
+    """customer aligned to a drifted target schema (names, order, types, filler)."""
+    aligned, _ = align_to(load(spark, sf, "customer"), _customer_target())
+    return aligned
+
+
+def schema_drift(spark: SparkSession, sf: str) -> DataFrame:
+    """Drift of customer against the same target, with the rows each change touches."""
+    return drift_report(load(spark, sf, "customer"), _customer_target(),
+                        partitions=["c_mktsegment", "c_acctbal"])
+
+
+def run_summary(spark: SparkSession, sf: str) -> DataFrame:
+    """Run the selection, append it partitioned by year_month, report the run."""
+    selected = survey_selection(spark, sf)
+    target = unique_name("sl_survey_run")
+    write_table(selected, target, ["year_month"], "append", path=scratch_path(spark, "table"))
+    return _run_summary(read_table(spark, target), f"TEXT_CHAT_{SURVEY_NR}", RUN_DATE, "append")
+
+
+def view_like_filter(spark: SparkSession, sf: str) -> DataFrame:
+    """Stored view with description/labels/expiry over a prefix LIKE filter."""
+    src = unique_name("sl_part")
+    register_parquet_table(spark, src, table_path(sf, "part"))
+    view = unique_name("sl_part_s")
+    return create_view(spark, view,
+                       f"SELECT p_partkey, p_name, p_brand, p_size FROM {src} WHERE p_type LIKE 'S%'",
+                       description="parts whose type starts with S", friendly_name="parts_s",
+                       labels=[("org_unit", "development")], expire_hours=48)
+
+
+def scan_catalog(spark: SparkSession, sf: str) -> DataFrame:
+    """Catalog table scan by name."""
+    name = unique_name("sl_orders")
+    register_parquet_table(spark, name, table_path(sf, "orders"))
+    return read_table(spark, name)
+
+
+def _orders_table(spark: SparkSession, sf: str, df: DataFrame | None = None) -> str:
+    name = unique_name("sl_orders_w")
+    write_table(df if df is not None else load(spark, sf, "orders"), name, ["o_orderpriority"],
+                "append", path=scratch_path(spark, "table"))
+    return name
+
+
+def write_partitioned(spark: SparkSession, sf: str) -> DataFrame:
+    """Partitioned table write, read back through the catalog."""
+    return read_table(spark, _orders_table(spark, sf))
+
+
+def write_append(spark: SparkSession, sf: str) -> DataFrame:
+    """Create with one part of the rows, append the rest with columns in another order."""
+    orders = load(spark, sf, "orders")
+    first = F.col("o_orderstatus") == "F"
+    name = _orders_table(spark, sf, orders.where(first))
+    rest = orders.where(~first | F.col("o_orderstatus").isNull())
+    write_table(rest.select(*reversed(orders.columns)), name, ["o_orderpriority"], "append")
+    return read_table(spark, name)
+
+
+def write_truncate_load(spark: SparkSession, sf: str) -> DataFrame:
+    """Table holding old rows is truncated and loaded with the whole orders table."""
+    orders = load(spark, sf, "orders")
+    name = _orders_table(spark, sf, orders.where(F.col("o_orderstatus") == "P"))
+    write_table(orders, name, ["o_orderpriority"], "truncate_load")
+    return read_table(spark, name)
+
+
+def write_dynamic_overwrite(spark: SparkSession, sf: str) -> DataFrame:
+    """Only the partitions present in the new frame are replaced."""
+    orders = load(spark, sf, "orders")
+    name = _orders_table(spark, sf, orders)
+    urgent = orders.where(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"))
+    write_table(urgent.withColumn("o_totalprice", F.col("o_totalprice") * 2), name,
+                ["o_orderpriority"], "overwrite_partitions")
+    return read_table(spark, name)
+
+
+def load_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """events written as CSV by Spark, read back with its schema and NULL rules."""
+    events = load(spark, sf, "events")
+    path = scratch_path(spark, "csv")
+    write_csv(events, path)
+    return read_csv(spark, path, events.schema)
+
+
+def load_json(spark: SparkSession, sf: str) -> DataFrame:
+    """events written as JSON-array files, read back with its schema."""
+    events = load(spark, sf, "events")
+    path = scratch_path(spark, "json")
+    write_json_array(events, path, rows_per_file=2000)
+    return read_json_array(spark, path, events.schema)
+
+
+def load_sql_dump(spark: SparkSession, sf: str) -> DataFrame:
+    """documents written as a MySQL dump (column list in another order), loaded back."""
+    docs = load(spark, sf, "documents")
+    path = scratch_path(spark, "dump")
+    write_sql_dump(docs.select(*reversed(docs.columns)), path, "documents",
+                   rows_per_statement=50, column_list=True)
+    return read_sql_dump(spark, path, docs.schema, table="documents")
+
+
+# Fixed generator parameters shared with the SQL oracle.
+SYNTH_SEED = 42
+SYNTH_STAMP = "202211251200"
+SYNTH_BASE_TS = "2022-11-25 12:00:00"
+ORDER_STATUSES = ["F", "O", "P"]
+SURVEY_NRS = ["4100", "4201", "4202"]
+MEDIA_TYPES = ["Android", "iOS"]
+
+
+def synth_table(spark: SparkSession, sf: str) -> DataFrame:
+    """As many generated rows as orders has, in orders' schema."""
+    orders = load(spark, sf, "orders")
+    return _synth_table(spark, orders.schema, orders.count(),
+                        choices={"o_orderstatus": ORDER_STATUSES}, seed=SYNTH_SEED,
+                        stamp=SYNTH_STAMP, base_ts=SYNTH_BASE_TS)
+
+
+def synth_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """Two generated tables sharing a key prefix join 1:1 on the key."""
+    customer = load(spark, sf, "customer")
+    n = customer.count()
+    feedback = _synth_table(spark, customer.schema, n, keys={"c_name": "interac"},
+                            seed=SYNTH_SEED, stamp=SYNTH_STAMP, base_ts=SYNTH_BASE_TS)
+    meta_schema = StructType([StructField("interaction_id_ps", StringType()),
+                              StructField("eun_uni_id_ps", StringType()),
+                              StructField("media_type", StringType())])
+    meta = _synth_table(spark, meta_schema, n, keys={"interaction_id_ps": "interac", "eun_uni_id_ps": "sdom"},
+                        choices={"media_type": MEDIA_TYPES}, seed=SYNTH_SEED, stamp=SYNTH_STAMP,
+                        base_ts=SYNTH_BASE_TS)
+    return (feedback.join(meta, feedback.c_name == meta.interaction_id_ps, "inner")
+            .select("c_name", "c_custkey", "eun_uni_id_ps", "media_type"))
+
+
+def synth_choice(spark: SparkSession, sf: str) -> DataFrame:
+    """Fixed-choice and constant-NULL columns for as many rows as lineitem has."""
+    n = load(spark, sf, "lineitem").count()
+    schema = StructType([StructField("studiennummer", StringType()), StructField("odl_id_ps", StringType()),
+                         StructField("media_type", StringType())])
+    return _synth_table(spark, schema, n, choices={"studiennummer": SURVEY_NRS, "odl_id_ps": None,
+                                                   "media_type": MEDIA_TYPES}, seed=SYNTH_SEED)
+
+
 QUERIES: dict[str, QueryFn] = {
     "filter_eq_limit": filter_eq_limit,
     "append_constant": append_constant,
@@ -86,4 +250,19 @@ QUERIES: dict[str, QueryFn] = {
     "positional_zip": positional_zip,
     "join_chain": join_chain,
     "survey_selection": survey_selection,
+    "run_summary": run_summary,
+    "align_schema": align_schema,
+    "schema_drift": schema_drift,
+    "view_like_filter": view_like_filter,
+    "scan_catalog": scan_catalog,
+    "write_partitioned": write_partitioned,
+    "write_append": write_append,
+    "write_truncate_load": write_truncate_load,
+    "write_dynamic_overwrite": write_dynamic_overwrite,
+    "load_csv": load_csv,
+    "load_json": load_json,
+    "load_sql_dump": load_sql_dump,
+    "synth_table": synth_table,
+    "synth_keys": synth_keys,
+    "synth_choice": synth_choice,
 }
