@@ -31,8 +31,6 @@ from .files import normalize_zone
 TUPLE_PATTERN = r"\(((?:[^()'\\]++|'(?:[^'\\]++|\\.)*+')*+)\)(?=\s*+,\s*+\(|\s*+;)"
 # One field inside a row: a quoted string or a bare token, each after start or a comma.
 FIELD_PATTERN = r"(?:^|,)\s*+('(?:[^'\\]++|\\.)*+'|[^,']*+)"
-# Inside quoted text: a run without backslashes, or one escape pair.
-ESCAPE_TOKEN_PATTERN = r"[^\\]++|\\[\s\S]"
 # Statement head: table name and optional column list.
 HEAD_PATTERN = r"^\s*INSERT\s+(?:IGNORE\s+)?INTO\s+`?([^`\s(]+)`?\s*(?:\(([^)]*)\))?\s*VALUES\s"
 # Escapes that stand for control characters; every other "\x" stands for "x".
@@ -40,17 +38,21 @@ ESCAPES = {"\\0": "\u0000", "\\b": "\b", "\\n": "\n", "\\r": "\r", "\\t": "\t",
 ZERO_DATE_PREFIX = "0000-00-00"
 
 
-def _unescape(s: Column) -> Column:
-    tokens = F.regexp_extract_all(s, F.lit(ESCAPE_TOKEN_PATTERN), 0)
-    mapped = F.transform(tokens, lambda t: _map_escape(t))
-    return F.when(F.instr(s, "\\") == 0, s).otherwise(F.array_join(mapped, ""))
+def _unescape_piece(p: Column) -> Column:
+    """Unescape text that holds no escaped backslash: every backslash escapes the next
+    character, so plain replacements cannot interfere with each other."""
+    for k, v in ESCAPES.items():
+        p = F.replace(p, F.lit(k), F.lit(v))
+    return F.regexp_replace(p, r"\\([\s\S])", "$1")
 
 
-def _map_escape(t: Column) -> Column:
-    expr = F.when(~t.startswith("\\"), t)
-    for k, v in ESCAPES.items():
-        expr = expr.when(t == F.lit(k), F.lit(v))
-    return expr.otherwise(F.substring(t, 2, 1))
+def _unescape(s: Column) -> Column:
+    """MySQL string escapes -> characters. Escaped backslashes are split off first (left to
+    right, as the escapes are read), the pieces unescaped and joined with a backslash."""
+    pieces = F.transform(F.split(s, r"\\\\", -1), _unescape_piece)
+    return (F.when(F.instr(s, "\\") == 0, s)
+            .when(F.instr(s, "\\\\") == 0, _unescape_piece(s))
+            .otherwise(F.array_join(pieces, "\\")))
 
 
 def decode_field(raw: Column, empty_as_null: bool = False) -> Column:
