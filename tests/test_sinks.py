@@ -1,0 +1,103 @@
+"""Write modes, views, catalog scans and JDBC options."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from sluice.session import scratch_path, unique_name
+from sluice.sinks.jdbc import write_jdbc
+from sluice.sinks.tables import write_table
+from sluice.sinks.views import create_view, register_parquet_table, view_properties
+from sluice.sources.catalog import TableNotFound, read_table, table_schema
+from sluice.sources.jdbc import jdbc_options
+
+
+def _frame(spark, rows):
+    return spark.createDataFrame(rows, "id int, val string, part string")
+
+
+def _rows(spark, table):
+    return sorted(tuple(r) for r in read_table(spark, table).select("id", "val", "part").collect())
+
+
+@pytest.fixture
+def table(spark):
+    name = unique_name("t_sink")
+    write_table(_frame(spark, [(1, "a", "x"), (2, "b", "y")]), name, ["part"], "append",
+                path=scratch_path(spark, "test-table"))
+    return name
+
+
+def test_append_resolves_by_name_and_fills_missing(spark, table):
+    extra = spark.createDataFrame([("z", 3, "new")], "part string, id int, unknown string")
+    d = write_table(extra, table, ["part"], "append")
+    assert d.missing == ["val"] and d.extra == ["unknown"]
+    assert _rows(spark, table) == [(1, "a", "x"), (2, "b", "y"), (3, None, "z")]
+
+
+def test_overwrite_replaces_everything(spark, table):
+    write_table(_frame(spark, [(9, "n", "x")]), table, ["part"], "overwrite")
+    assert _rows(spark, table) == [(9, "n", "x")]
+
+
+def test_overwrite_partitions_keeps_untouched(spark, table):
+    write_table(_frame(spark, [(9, "n", "x")]), table, ["part"], "overwrite_partitions")
+    assert _rows(spark, table) == [(2, "b", "y"), (9, "n", "x")]
+    # the session setting is restored afterwards
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
+
+
+def test_truncate_load(spark, table):
+    write_table(_frame(spark, [(5, "t", "q")]), table, ["part"], "truncate_load")
+    assert _rows(spark, table) == [(5, "t", "q")]
+
+
+def test_dry_run_writes_nothing(spark, table):
+    write_table(_frame(spark, [(7, "d", "x")]), table, ["part"], "append", dry_run=True)
+    assert len(_rows(spark, table)) == 2
+    name = unique_name("t_dry")
+    write_table(_frame(spark, [(7, "d", "x")]), name, ["part"], "append", dry_run=True)
+    assert not spark.catalog.tableExists(name)
+
+
+def test_invalid_mode_and_unpartitioned_dynamic(spark, table):
+    with pytest.raises(ValueError):
+        write_table(_frame(spark, []), table, ["part"], "overwrite_or_append")
+    flat = unique_name("t_flat")
+    write_table(_frame(spark, [(1, "a", "x")]), flat, (), "append", path=scratch_path(spark, "test-table"))
+    with pytest.raises(ValueError):
+        write_table(_frame(spark, [(1, "a", "x")]), flat, (), "overwrite_partitions")
+
+
+def test_partition_layout_on_disk(spark, table):
+    parts = [r["partition"] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()] \
+        if spark.catalog.listColumns(table) else []
+    assert sorted(parts) == ["part=x", "part=y"]
+
+
+def test_view_with_properties(spark):
+    src = unique_name("v_src")
+    path = scratch_path(spark, "test-view-src")
+    spark.range(10).select(F.col("id"), F.when(F.col("id") % 2 == 0, "W-even").otherwise("odd").alias("s")) \
+        .write.parquet(path)
+    register_parquet_table(spark, src, path)
+    name = unique_name("v")
+    v = create_view(spark, name, f"SELECT id, s FROM {src} WHERE s LIKE 'W%'", description="even ids",
+                    friendly_name="new_view", labels=[("org_unit", "development")], expire_hours=48)
+    assert v.count() == 5
+    props = view_properties(spark, name)
+    assert props["friendly_name"] == "new_view" and props["label.org_unit"] == "development"
+    assert props["expiration_timestamp"].endswith("Z")
+
+
+def test_catalog_scan_and_missing_table(spark, table):
+    assert table_schema(spark, table).fieldNames() == ["id", "val", "part"]
+    with pytest.raises(TableNotFound):
+        read_table(spark, "no_such_db_table_xyz")
+
+
+def test_jdbc_options_and_mode_check():
+    o = jdbc_options("jdbc:mysql://h/db", "t", user="u", password="p", driver="d", fetchsize=5)
+    assert o == {"url": "jdbc:mysql://h/db", "dbtable": "t", "fetchsize": "5", "user": "u",
+                 "password": "p", "driver": "d"}
+    with pytest.raises(ValueError):
+        write_jdbc(None, "jdbc:x", "t", mode="overwrite_or_append")
