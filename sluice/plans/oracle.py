@@ -85,6 +85,7 @@ ORACLE_SQL.update({
     "load_csv": "SELECT * FROM events",
     "load_json": "SELECT * FROM events",
     "load_sql_dump": "SELECT * FROM documents",
+    "stream_dump_ingest": "SELECT * FROM documents",
 })
 
 

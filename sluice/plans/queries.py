@@ -26,6 +26,7 @@ from ..sources.catalog import read_table
 from ..sources.files import read_csv, read_json_array
 from ..sources.sqldump import read_sql_dump
 from ..sources.testdata import load, table_path
+from ..streaming.dump_ingest import start_dump_ingest
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -199,6 +200,19 @@ def load_sql_dump(spark: SparkSession, sf: str) -> DataFrame:
     return read_sql_dump(spark, path, docs.schema, table="documents")
 
 
+def stream_dump_ingest(spark: SparkSession, sf: str) -> DataFrame:
+    """documents dump files ingested by a streaming query (available-now trigger)."""
+    docs = load(spark, sf, "documents")
+    src = scratch_path(spark, "dump-in")
+    write_sql_dump(docs, src, "documents", rows_per_statement=50)
+    out = scratch_path(spark, "dump-out")
+    q = start_dump_ingest(spark, src, out, docs.schema, table="documents")
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(f"dump ingest failed: {q.exception()}")
+    return spark.read.schema(docs.schema).parquet(out)
+
+
 # Fixed generator parameters shared with the SQL oracle.
 SYNTH_SEED = 42
 SYNTH_STAMP = "202211251200"
@@ -262,6 +276,7 @@ QUERIES: dict[str, QueryFn] = {
     "load_csv": load_csv,
     "load_json": load_json,
     "load_sql_dump": load_sql_dump,
+    "stream_dump_ingest": stream_dump_ingest,
     "synth_table": synth_table,
     "synth_keys": synth_keys,
     "synth_choice": synth_choice,

@@ -1 +1 @@
-"""streaming."""
+"""Structured Streaming: incremental SQL-dump ingest."""
