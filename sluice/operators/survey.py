@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expressions import survey_id_expr, year_month_of
+from ..functions.joins import bounded_broadcast
 from ..functions.ordering import OrderItem, all_desc
 from .numbering import with_row_number
 
@@ -47,12 +48,13 @@ def survey_selection(feedback: DataFrame, metadata: DataFrame, units: DataFrame,
                      method: str = "range") -> DataFrame:
     """Feedback of one survey -> inner join metadata -> left join units -> ids -> year_month.
 
-    Joins are plain equi-joins; AQE picks broadcast only after measuring a side, and its
-    skew-join handling splits a hot key on the large side.
+    Metadata and units are broadcast only if a bounded count proves them small; otherwise
+    the joins shuffle and AQE's skew handling splits a hot key of the feedback side.
     """
     fb = feedback.where(survey_filter)
-    joined = fb.join(metadata, fb[feedback_key] == metadata[metadata_key], "inner")
-    u = units.where(unit_filter) if unit_filter is not None else units
+    meta = bounded_broadcast(metadata)
+    joined = fb.join(meta, fb[feedback_key] == meta[metadata_key], "inner")
+    u = bounded_broadcast(units.where(unit_filter) if unit_filter is not None else units)
     joined = joined.join(u, joined[unit_fk] == u[unit_key], "left")
     picked = joined.select(*columns)
     with_ids = survey_id(picked, survey_nr, run_date, order=id_order, id_col=id_col, method=method)

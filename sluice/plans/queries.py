@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from ..functions.joins import bounded_broadcast
 from ..operators.numbering import with_row_number, zip_by_position
 from ..operators.schema import align_to, drift_report
 from ..operators.survey import run_summary as _run_summary
@@ -72,8 +73,8 @@ def positional_zip(spark: SparkSession, sf: str) -> DataFrame:
 def join_chain(spark: SparkSession, sf: str) -> DataFrame:
     """Chained inner joins on differently named keys."""
     o = load(spark, sf, "orders")
-    c = load(spark, sf, "customer")
-    n = load(spark, sf, "nation")
+    c = bounded_broadcast(load(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey"))
+    n = bounded_broadcast(load(spark, sf, "nation"))
     return (o.join(c, o.o_custkey == c.c_custkey, "inner")
             .join(n, c.c_nationkey == n.n_nationkey, "inner")
             .select("o_orderkey", "c_name", "n_name"))

@@ -142,3 +142,12 @@ def test_perm_multiplier_is_coprime():
     import math
     for n in (1, 2, 15000, 2147483647, 2 * 2147483647):
         assert math.gcd(perm_multiplier(n), n) == 1 or n == 1
+
+
+def test_bounded_broadcast_checks_rows_and_bytes(spark):
+    from sluice.functions.joins import bounded_broadcast
+    small = spark.range(10).select(F.col("id"), F.lit("x").alias("s"))
+    big = spark.range(50).select(F.col("id"), F.lit("y" * 1000).alias("s"))
+    assert "broadcast" in str(bounded_broadcast(small, max_rows=100)._jdf.queryExecution().logical()).lower()
+    assert "broadcast" not in str(bounded_broadcast(small, max_rows=5)._jdf.queryExecution().logical()).lower()
+    assert "broadcast" not in str(bounded_broadcast(big, max_rows=100, max_bytes=10_000)._jdf.queryExecution().logical()).lower()
