@@ -21,7 +21,8 @@ from .numbering import with_row_number
 
 def survey_id(df: DataFrame, survey_nr: int | str, run_date: str, *,
               order: Sequence[OrderItem] | None = None, survey_col: str = "studiennummer",
-              nr_col: str = "nr", id_col: str = "odl_id", method: str = "range") -> DataFrame:
+              nr_col: str = "nr", id_col: str = "odl_id", method: str = "range",
+              unique_order: bool = False) -> DataFrame:
     """Add `survey_col` (constant), `nr_col` (1..N) and `id_col`.
 
     `run_date` is `yyyyMMdd` and is required: a default taken at import time would go stale
@@ -31,7 +32,7 @@ def survey_id(df: DataFrame, survey_nr: int | str, run_date: str, *,
         raise ValueError("run_date must be yyyyMMdd")
     out = df.withColumn(survey_col, F.lit(survey_nr))
     numbered = with_row_number(out, order if order is not None else all_desc(out), nr_col,
-                               method=method)
+                               method=method, unique_order=unique_order and order is not None)
     return numbered.withColumn(id_col, survey_id_expr(F.col(survey_col), run_date, F.col(nr_col)))
 
 
@@ -45,7 +46,7 @@ def survey_selection(feedback: DataFrame, metadata: DataFrame, units: DataFrame,
                      unit_fk: str, unit_key: str, unit_filter: Column | None,
                      id_order: Sequence[OrderItem], survey_nr: int | str, run_date: str,
                      columns: Sequence[str], id_col: str = "odl_id",
-                     method: str = "range") -> DataFrame:
+                     method: str = "range", unique_order: bool = False) -> DataFrame:
     """Feedback of one survey -> inner join metadata -> left join units -> ids -> year_month.
 
     Metadata and units are broadcast only if a bounded count proves them small; otherwise
@@ -57,7 +58,8 @@ def survey_selection(feedback: DataFrame, metadata: DataFrame, units: DataFrame,
     u = bounded_broadcast(units.where(unit_filter) if unit_filter is not None else units)
     joined = joined.join(u, joined[unit_fk] == u[unit_key], "left")
     picked = joined.select(*columns)
-    with_ids = survey_id(picked, survey_nr, run_date, order=id_order, id_col=id_col, method=method)
+    with_ids = survey_id(picked, survey_nr, run_date, order=id_order, id_col=id_col, method=method,
+                         unique_order=unique_order)
     return with_ids.select(*columns, id_col, year_month_of(run_date).alias("year_month"))
 
 

@@ -67,7 +67,7 @@ def survey_id_query(spark: SparkSession, sf: str) -> DataFrame:
 def positional_zip(spark: SparkSession, sf: str) -> DataFrame:
     """customer by key zipped with orders by key; as many rows as the shorter side."""
     return zip_by_position(load(spark, sf, "customer"), load(spark, sf, "orders"),
-                           ["c_custkey"], ["o_orderkey"])
+                           ["c_custkey"], ["o_orderkey"], unique_orders=True)
 
 
 def join_chain(spark: SparkSession, sf: str) -> DataFrame:
@@ -88,7 +88,8 @@ def survey_selection(spark: SparkSession, sf: str) -> DataFrame:
         feedback_key="o_custkey", metadata_key="c_custkey",
         unit_fk="c_nationkey", unit_key="n_nationkey", unit_filter=F.col("n_regionkey") == 1,
         id_order=[F.col("o_orderkey").desc_nulls_last()], survey_nr=SURVEY_NR, run_date=RUN_DATE,
-        columns=["o_orderkey", "o_custkey", "c_mktsegment", "n_name"])
+        columns=["o_orderkey", "o_custkey", "c_mktsegment", "n_name"],
+        unique_order=True)  # o_orderkey is the primary key of orders
 
 
 def _customer_target() -> StructType:

@@ -151,3 +151,13 @@ def test_bounded_broadcast_checks_rows_and_bytes(spark):
     assert "broadcast" in str(bounded_broadcast(small, max_rows=100)._jdf.queryExecution().logical()).lower()
     assert "broadcast" not in str(bounded_broadcast(small, max_rows=5)._jdf.queryExecution().logical()).lower()
     assert "broadcast" not in str(bounded_broadcast(big, max_rows=100, max_bytes=10_000)._jdf.queryExecution().logical()).lower()
+
+
+def test_unique_order_shortcut_matches_window(spark):
+    df = spark.range(3000).select(((F.col("id") * 7919) % 3000).alias("k"), (F.col("id") % 3).alias("v"))
+    a = with_row_number(df, [F.col("k").desc()], unique_order=True, num_partitions=5)
+    b = with_row_number(df, [F.col("k").desc()], method="window")
+    assert _numbers(a) == _numbers(b)
+    # a wrong uniqueness claim still numbers correctly (duplicates only lose skew protection)
+    dup = df.unionByName(df)
+    assert _numbers(with_row_number(dup, ["k"], unique_order=True)) == _numbers(with_row_number(dup, ["k"], method="window"))
