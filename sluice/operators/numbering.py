@@ -4,11 +4,14 @@
 every row goes to one task. `with_row_number` computes the same numbers with the work spread
 over the cluster:
 
-1. Collapse exact duplicate rows into (row, multiplicity) with a map-side-combined aggregate,
-   so a value repeated in a third of all rows is one row per map task, not one hot reducer.
-2. Expand multiplicities back into distinct rows (row, k). Multiplicities above `chunk` are
-   first cut into chunks that a hash shuffle spreads over tasks, so no task expands a hot
-   group alone.
+1. Count identical rows per input partition: group by (all columns, input partition index).
+   The map-side partial aggregate already collapses each partition's duplicates, so a row
+   repeated in a third of all rows becomes one small group per input partition; the groups
+   hash to different reducers. Counts do not depend on row order, so a recomputed task
+   yields the same groups.
+2. Expand each group back into rows made distinct by (input partition, copy index k). A
+   group holds at most one input partition's rows, so no task expands a hot row alone, and
+   identical rows now have distinct sort keys that range partitioning can split.
 3. Range-partition the distinct rows by the (now total) order, sort inside each partition and
    stamp partition id and position inside the partition.
 4. Write that to a table under `spark.checkpoint.dir`. Range bounds are sampled per shuffle,
@@ -22,7 +25,7 @@ Ties: the order is extended with every remaining column, so only identical rows
 identical rows are interchangeable. The result matches the single-partition window.
 
 `unique_order=True` says the order starts with a unique key (a primary key): then no two
-rows are identical, step 1-2 cannot find anything to collapse, and their shuffle is skipped.
+rows are identical, steps 1-2 cannot find anything to collapse, and their shuffle is skipped.
 The numbers stay right even if the claim is wrong; only the skew protection is lost.
 """
 
@@ -37,43 +40,28 @@ from ..functions.ordering import OrderItem, as_sort_columns, total_order
 from ..session import scratch_path
 
 _DUP = "__sl_dup"
+_SRC = "__sl_src"
 _K = "__sl_k"
-_CH = "__sl_chunk"
 _P = "__sl_part"
 _LI = "__sl_local"
 _CNT = "__sl_cnt"
 _OFF = "__sl_off"
 
-# Rows that repeat more often than this are expanded in chunks spread over tasks.
-DEFAULT_CHUNK = 1 << 16
-
 
 def _q(c: str):
     return F.col(f"`{c}`")
 
 
-def _distinct_rows(df: DataFrame, chunk: int) -> DataFrame:
-    """Rows made unique by a copy index `_K`; hot duplicate groups are split across tasks."""
+def _distinct_rows(df: DataFrame) -> DataFrame:
+    """Rows made unique by (input partition, copy index); hot duplicates stay spread out."""
     cols = [_q(c) for c in df.columns]
-    grouped = df.groupBy(*cols).agg(F.count(F.lit(1)).alias(_DUP))
-    dup = F.col(_DUP)
-    # the common case (including multiplicity 1) expands in place
-    few = grouped.where(dup <= chunk).select(
-        *cols, F.explode(F.sequence(F.lit(0).cast("long"), dup - 1)).alias(_K))
-    many = (grouped.where(dup > chunk)
-            .select(*cols, dup, F.explode(F.sequence(F.lit(0).cast("long"),
-                                                     F.ceil(dup / F.lit(chunk)) - 1)).alias(_CH))
-            # chunks of one group go to different tasks before they are expanded
-            .repartition(F.xxhash64(*cols), F.col(_CH))
-            .select(*cols, F.explode(F.sequence(F.col(_CH) * chunk,
-                                                F.least((F.col(_CH) + 1) * chunk, dup) - 1)).alias(_K)))
-    # both branches read the same aggregate; AQE reuses its shuffle stage
-    return few.unionByName(many)
+    grouped = df.groupBy(*cols, F.spark_partition_id().alias(_SRC)).agg(F.count(F.lit(1)).alias(_DUP))
+    return grouped.select(*cols, _SRC, F.explode(F.sequence(F.lit(0).cast("long"), F.col(_DUP) - 1)).alias(_K))
 
 
 def with_row_number(df: DataFrame, order: Sequence[OrderItem], name: str = "nr", *,
-                    method: str = "range", chunk: int = DEFAULT_CHUNK,
-                    num_partitions: int | None = None, unique_order: bool = False) -> DataFrame:
+                    method: str = "range", num_partitions: int | None = None,
+                    unique_order: bool = False) -> DataFrame:
     """Add `name` = 1..N in the order given (ties broken by the remaining columns).
 
     method="range"  : distributed algorithm described in the module docstring (default).
@@ -92,7 +80,7 @@ def with_row_number(df: DataFrame, order: Sequence[OrderItem], name: str = "nr",
     if unique_order:
         unique, range_keys = df, sort_cols
     else:
-        unique, range_keys = _distinct_rows(df, chunk), sort_cols + [F.col(_K).asc()]
+        unique, range_keys = _distinct_rows(df), sort_cols + [F.col(_SRC).asc(), F.col(_K).asc()]
     ranged = (unique.repartitionByRange(num_partitions, *range_keys) if num_partitions
               else unique.repartitionByRange(*range_keys))
     stamped = (ranged.sortWithinPartitions(*range_keys)

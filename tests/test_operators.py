@@ -29,18 +29,18 @@ def test_range_numbers_equal_window_with_ties_nulls_and_duplicates(spark):
     assert nrs == list(range(1, 401))
 
 
-def test_hot_duplicate_group_is_split_in_chunks(spark):
+def test_hot_duplicate_group_is_spread(spark):
     # one row repeated 3000 times (a third of the input) plus distinct rows
     hot = spark.range(3000).select(F.lit(1).alias("k"), F.lit("hot").alias("v"))
     rest = spark.range(6000).select((F.col("id") + 2).alias("k"), F.col("id").cast("string").alias("v"))
     df = hot.unionByName(rest)
-    ranged = with_row_number(df, ["k"], chunk=128, num_partitions=8)
+    ranged = with_row_number(df, ["k"], num_partitions=8)
     window = with_row_number(df, ["k"], method="window")
     assert _numbers(ranged) == _numbers(window)
     assert ranged.where("k = 1").count() == 3000
     # the hot rows are made distinct by a copy index, so range partitioning spreads them
-    from sluice.operators.numbering import _K, _distinct_rows
-    spread = (_distinct_rows(df, 128).repartitionByRange(8, "k", _K).where("k = 1")
+    from sluice.operators.numbering import _K, _SRC, _distinct_rows
+    spread = (_distinct_rows(df).repartitionByRange(8, "k", _SRC, _K).where("k = 1")
               .select(F.spark_partition_id().alias("p")).distinct().count())
     assert spread >= 3
 
