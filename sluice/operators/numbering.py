@@ -4,20 +4,17 @@
 every row goes to one task. `with_row_number` computes the same numbers with the work spread
 over the cluster:
 
-1. Count identical rows per input partition: group by (all columns, input partition index).
-   The map-side partial aggregate already collapses each partition's duplicates, so a row
-   repeated in a third of all rows becomes one small group per input partition; the groups
-   hash to different reducers. Counts do not depend on row order, so a recomputed task
-   yields the same groups.
-2. Expand each group back into rows made distinct by (input partition, copy index k). A
-   group holds at most one input partition's rows, so no task expands a hot row alone, and
-   identical rows now have distinct sort keys that range partitioning can split.
-3. Range-partition the distinct rows by the (now total) order, sort inside each partition and
-   stamp partition id and position inside the partition.
-4. Write that to a table under `spark.checkpoint.dir`. Range bounds are sampled per shuffle,
+1. Give every row a tiebreaker that is unique and does not depend on the order rows arrive
+   in: sort each input partition by every column (a narrow, per-task sort) and take the
+   row's position. Identical rows are interchangeable, so the sorted sequence of values is
+   the same on every recomputation; a row repeated in a third of all rows gets distinct
+   tiebreakers, so range partitioning can split it over many tasks. No shuffle yet.
+2. Range-partition by the order extended with the tiebreaker (now unique per row) -- the
+   only shuffle -- sort inside each partition and stamp partition id and position.
+3. Write that to a table under `spark.checkpoint.dir`. Range bounds are sampled per shuffle,
    so counting and numbering must read one materialisation; the written table also cuts
    lineage, so a lost executor re-reads files instead of re-running the sort.
-5. Count rows per partition (reads one column), turn counts into offsets (one row per
+4. Count rows per partition (reads one column), turn counts into offsets (one row per
    partition: bounded by the partition count, safe to broadcast) and add
    offset + position + 1.
 
@@ -25,8 +22,8 @@ Ties: the order is extended with every remaining column, so only identical rows
 identical rows are interchangeable. The result matches the single-partition window.
 
 `unique_order=True` says the order starts with a unique key (a primary key): then no two
-rows are identical, steps 1-2 cannot find anything to collapse, and their shuffle is skipped.
-The numbers stay right even if the claim is wrong; only the skew protection is lost.
+rows are identical and the per-partition sort of step 1 is skipped. The numbers stay right
+even if the claim is wrong; only the skew protection is lost.
 """
 
 from __future__ import annotations
@@ -39,8 +36,6 @@ from pyspark.sql import functions as F
 from ..functions.ordering import OrderItem, as_sort_columns, total_order
 from ..session import scratch_path
 
-_DUP = "__sl_dup"
-_SRC = "__sl_src"
 _K = "__sl_k"
 _P = "__sl_part"
 _LI = "__sl_local"
@@ -52,11 +47,11 @@ def _q(c: str):
     return F.col(f"`{c}`")
 
 
-def _distinct_rows(df: DataFrame) -> DataFrame:
-    """Rows made unique by (input partition, copy index); hot duplicates stay spread out."""
+def _with_tiebreak(df: DataFrame) -> DataFrame:
+    """Add `_K`: position after sorting the input partition by every column (unique)."""
     cols = [_q(c) for c in df.columns]
-    grouped = df.groupBy(*cols, F.spark_partition_id().alias(_SRC)).agg(F.count(F.lit(1)).alias(_DUP))
-    return grouped.select(*cols, _SRC, F.explode(F.sequence(F.lit(0).cast("long"), F.col(_DUP) - 1)).alias(_K))
+    # the projection is nondeterministic, so the optimizer keeps the sort beneath it
+    return df.sortWithinPartitions(*cols).select(*cols, F.monotonically_increasing_id().alias(_K))
 
 
 def with_row_number(df: DataFrame, order: Sequence[OrderItem], name: str = "nr", *,
@@ -80,7 +75,7 @@ def with_row_number(df: DataFrame, order: Sequence[OrderItem], name: str = "nr",
     if unique_order:
         unique, range_keys = df, sort_cols
     else:
-        unique, range_keys = _distinct_rows(df), sort_cols + [F.col(_SRC).asc(), F.col(_K).asc()]
+        unique, range_keys = _with_tiebreak(df), sort_cols + [F.col(_K).asc()]
     ranged = (unique.repartitionByRange(num_partitions, *range_keys) if num_partitions
               else unique.repartitionByRange(*range_keys))
     stamped = (ranged.sortWithinPartitions(*range_keys)
