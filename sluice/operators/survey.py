@@ -63,6 +63,17 @@ def survey_selection(feedback: DataFrame, metadata: DataFrame, units: DataFrame,
     return with_ids.select(*columns, id_col, year_month_of(run_date).alias("year_month"))
 
 
+def run_selection_job(selected: DataFrame, target_table: str, *, survey: str, run_date: str,
+                      partitions: Sequence[str] = ("year_month",), mode: str = "append",
+                      dry_run: bool = False, path: str | None = None) -> DataFrame:
+    """Write a selection into its target table (aligned to the table's schema, one write in
+    the given mode) and return the run report. With `dry_run` nothing is written and the
+    report counts the selection itself."""
+    from ..sinks.tables import write_table
+    write_table(selected, target_table, partitions, mode, dry_run=dry_run, path=path)
+    return run_summary(selected, survey, run_date, mode, "Dry run" if dry_run else "Completed")
+
+
 def run_summary(df: DataFrame, survey: str, run_date: str, mode: str,
                 status: str = "Completed") -> DataFrame:
     """One-row report of a run: rows counted by an aggregate, the rest literal."""

@@ -161,3 +161,21 @@ def test_unique_order_shortcut_matches_window(spark):
     # a wrong uniqueness claim still numbers correctly (duplicates only lose skew protection)
     dup = df.unionByName(df)
     assert _numbers(with_row_number(dup, ["k"], unique_order=True)) == _numbers(with_row_number(dup, ["k"], method="window"))
+
+
+def test_run_selection_job_aligns_and_reports(spark):
+    from sluice.operators.survey import run_selection_job
+    from sluice.session import scratch_path, unique_name
+    from sluice.sinks.tables import write_table
+    target = unique_name("t_run")
+    schema = StructType([StructField("ID", LongType()), StructField("extra", StringType()),
+                         StructField("year_month", StringType())])
+    write_table(spark.createDataFrame([], schema), target, ["year_month"], "append",
+                path=scratch_path(spark, "test-table"))
+    sel = spark.range(5).select(F.col("id"), F.lit("202211").alias("year_month"), F.lit(1).alias("dropped"))
+    rep = run_selection_job(sel, target, survey="S", run_date="20221125").first()
+    assert rep["amount"] == 5 and rep["status"] == "Completed"
+    rows = spark.table(target).collect()
+    assert len(rows) == 5 and all(r["extra"] is None for r in rows)
+    dry = run_selection_job(sel, target, survey="S", run_date="20221125", dry_run=True).first()
+    assert dry["status"] == "Dry run" and spark.table(target).count() == 5
