@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.ordering import OrderItem, as_sort_columns, total_order
+from ..functions.positions import with_stable_position
 from ..session import scratch_path
 
 _K = "__sl_k"
@@ -48,16 +49,8 @@ def _q(c: str):
 
 
 def _with_tiebreak(df: DataFrame) -> DataFrame:
-    """Add `_K`: position after sorting the input partition by every column (unique).
-
-    Any fixed total order on values works; leading with a 64-bit hash of the row lets the
-    sort settle almost every comparison on that prefix (2-3x faster than comparing the
-    columns themselves). The projection is nondeterministic, so the optimizer keeps the
-    sort beneath it.
-    """
-    cols = [_q(c) for c in df.columns]
-    return (df.sortWithinPartitions(F.xxhash64(*cols), *cols)
-            .select(*cols, F.monotonically_increasing_id().alias(_K)))
+    """Add `_K`: a unique row id that does not depend on arrival order (see positions.py)."""
+    return with_stable_position(df, _K)
 
 
 def with_row_number(df: DataFrame, order: Sequence[OrderItem], name: str = "nr", *,

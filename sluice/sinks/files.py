@@ -1,8 +1,9 @@
 """File sinks in the formats the sources read: CSV, JSON arrays, MySQL dumps.
 
 All three are plain Spark writes. The JSON-array and dump writers group rows into bounded
-chunks (`rows_per_file` / `rows_per_statement`) taken from each input partition in order,
-so no group grows with the data.
+chunks (`rows_per_file` / `rows_per_statement`) of consecutive rows of one input partition
+(positions from `with_stable_position`, so a re-run task forms the same chunks), so no
+group grows with the data.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (BooleanType, DateType, NumericType, StringType, TimestampNTZType,
                                TimestampType)
 
+from ..functions.positions import offset_in_partition, partition_of, with_stable_position
 from ..sources.files import TS_FORMAT, TS_LTZ_FORMAT
 
 
@@ -22,20 +24,21 @@ def write_csv(df: DataFrame, path: str, *, mode: str = "error", header: bool = T
      .csv(path))
 
 
-def _chunk_id(rows_per_chunk: int) -> Column:
-    """Consecutive rows of one input partition share a chunk of at most `rows_per_chunk`."""
-    mid = F.monotonically_increasing_id()
-    part = F.shiftright(mid, 33)
-    pos = mid - F.shiftleft(part, 33)
-    return F.concat_ws("-", part.cast("string"), F.floor(pos / rows_per_chunk).cast("string"))
+def _chunked(df: DataFrame, rows_per_chunk: int) -> DataFrame:
+    """Add `__sl_chunk`: consecutive rows (by stable position) of one partition, at most
+    `rows_per_chunk` per chunk; the same on every recomputation."""
+    pos = F.col("__sl_pos")
+    chunk = F.concat_ws("-", partition_of(pos).cast("string"),
+                        F.floor(offset_in_partition(pos) / rows_per_chunk).cast("string"))
+    return with_stable_position(df, "__sl_pos").withColumn("__sl_chunk", chunk).drop("__sl_pos")
 
 
 def write_json_array(df: DataFrame, path: str, *, rows_per_file: int = 10000, mode: str = "error") -> None:
     """One JSON array of flat objects per file, at most `rows_per_file` objects each."""
     obj = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]),
                     {"timestampNTZFormat": TS_FORMAT, "timestampFormat": TS_LTZ_FORMAT})
-    arrays = (df.select(_chunk_id(rows_per_file).alias("_c"), obj.alias("_o"))
-              .groupBy("_c").agg(F.concat(F.lit("[\n"), F.concat_ws(",\n", F.collect_list("_o")),
+    arrays = (_chunked(df, rows_per_file).select("__sl_chunk", obj.alias("__sl_obj"))
+              .groupBy("__sl_chunk").agg(F.concat(F.lit("[\n"), F.concat_ws(",\n", F.collect_list("__sl_obj")),
                                           F.lit("\n]")).alias("value")))
     # one record per file keeps each file a single JSON document
     arrays.select("value").write.mode(mode).option("maxRecordsPerFile", 1).text(path)
@@ -68,7 +71,7 @@ def write_sql_dump(df: DataFrame, path: str, table: str, *, rows_per_statement:
     fields = [_sql_literal(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields]
     tup = F.concat(F.lit("("), F.concat_ws(",", *fields), F.lit(")"))
     cols = " (" + ",".join(f"`{c}`" for c in df.columns) + ")" if column_list else ""
-    stmts = (df.select(_chunk_id(rows_per_statement).alias("_c"), tup.alias("_t"))
-             .groupBy("_c").agg(F.concat(F.lit(f"INSERT INTO `{table}`{cols} VALUES "),
-                                         F.concat_ws(",", F.collect_list("_t")), F.lit(";")).alias("value")))
+    stmts = (_chunked(df, rows_per_statement).select("__sl_chunk", tup.alias("__sl_tuple"))
+             .groupBy("__sl_chunk").agg(F.concat(F.lit(f"INSERT INTO `{table}`{cols} VALUES "),
+                                         F.concat_ws(",", F.collect_list("__sl_tuple")), F.lit(";")).alias("value")))
     stmts.select("value").write.mode(mode).text(path)
