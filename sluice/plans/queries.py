@@ -189,11 +189,15 @@ def write_dynamic_overwrite(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def load_csv(spark: SparkSession, sf: str) -> DataFrame:
-    """events written as CSV by Spark, read back with its schema and NULL rules."""
+    """events written as CSV, loaded into a catalog table with its schema and NULL rules,
+    and scanned back by name."""
     events = load(spark, sf, "events")
     path = scratch_path(spark, "csv")
     write_csv(events, path)
-    return read_csv(spark, path, events.schema)
+    table = unique_name("sl_events_csv")
+    write_table(read_csv(spark, path, events.schema), table, mode="append",
+                path=scratch_path(spark, "table"))
+    return read_table(spark, table)
 
 
 def load_json(spark: SparkSession, sf: str) -> DataFrame:

@@ -139,3 +139,15 @@ def test_json_array_writer_bounded_files(spark):
     files = [f for f in os.listdir(out) if f.startswith("part-")]
     assert len(files) == 3
     assert sorted(read_json_array(spark, out, src.schema).collect()) == sorted(src.collect())
+
+
+def test_csv_and_json_twins_agree(spark):
+    rows = [(1, "", None, "a,b"), (2, "x", "NULL", 'q"uote'), (3, None, "", "ü{}~#$/?`")]
+    src = spark.createDataFrame(rows, "id long, a string, b string, c string")
+    base = tempfile.mkdtemp(prefix="sl-twin-")
+    write_csv(src, base + "/csv")
+    write_json_array(src, base + "/json", rows_per_file=2)
+    from_csv = read_csv(spark, base + "/csv", src.schema)
+    from_json = read_json_array(spark, base + "/json", src.schema)
+    key = lambda r: r["id"]
+    assert sorted(from_csv.collect(), key=key) == sorted(from_json.collect(), key=key) == sorted(src.collect(), key=key)
