@@ -53,6 +53,22 @@ def _with_tiebreak(df: DataFrame) -> DataFrame:
     return with_stable_position(df, _K)
 
 
+def _range_stamped(df: DataFrame, sort_cols, unique_order: bool, num_partitions: int | None) -> DataFrame:
+    """Rows range-partitioned and sorted by the total order, with partition id and position."""
+    if unique_order:
+        unique, range_keys = df, sort_cols
+    else:
+        unique, range_keys = _with_tiebreak(df), sort_cols + [F.col(_K).asc()]
+    ranged = (unique.repartitionByRange(num_partitions, *range_keys) if num_partitions
+              else unique.repartitionByRange(*range_keys))
+    return (ranged.sortWithinPartitions(*range_keys)
+            .select(*[_q(c) for c in df.columns],
+                    F.spark_partition_id().alias(_P),
+                    # position inside the partition: the id counts rows in task order
+                    (F.monotonically_increasing_id()
+                     - F.shiftleft(F.spark_partition_id().cast("long"), 33)).alias(_LI)))
+
+
 def with_row_number(df: DataFrame, order: Sequence[OrderItem], name: str = "nr", *,
                     method: str = "range", num_partitions: int | None = None,
                     unique_order: bool = False) -> DataFrame:
@@ -71,18 +87,7 @@ def with_row_number(df: DataFrame, order: Sequence[OrderItem], name: str = "nr",
 
     spark = df.sparkSession
     cols = df.columns
-    if unique_order:
-        unique, range_keys = df, sort_cols
-    else:
-        unique, range_keys = _with_tiebreak(df), sort_cols + [F.col(_K).asc()]
-    ranged = (unique.repartitionByRange(num_partitions, *range_keys) if num_partitions
-              else unique.repartitionByRange(*range_keys))
-    stamped = (ranged.sortWithinPartitions(*range_keys)
-               .select(*[_q(c) for c in cols],
-                       F.spark_partition_id().alias(_P),
-                       # position inside the partition: the id counts rows in task order
-                       (F.monotonically_increasing_id()
-                        - F.shiftleft(F.spark_partition_id().cast("long"), 33)).alias(_LI)))
+    stamped = _range_stamped(df, sort_cols, unique_order, num_partitions)
     path = scratch_path(spark, "rownum")
     stamped.write.parquet(path)
 
