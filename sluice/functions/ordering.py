@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, MapType, StructType
 
 OrderItem = str | Column
 
@@ -34,13 +35,29 @@ def plain_names(order: Sequence[OrderItem]) -> set[str]:
     return names
 
 
+def orderable_columns(df: DataFrame) -> list[str]:
+    """Columns Spark can sort and hash (map columns cannot be ordered)."""
+    return [f.name for f in df.schema.fields if not _has_map(f.dataType)]
+
+
+def _has_map(t) -> bool:
+    if isinstance(t, MapType):
+        return True
+    if isinstance(t, ArrayType):
+        return _has_map(t.elementType)
+    if isinstance(t, StructType):
+        return any(_has_map(f.dataType) for f in t.fields)
+    return False
+
+
 def total_order(df: DataFrame, order: Sequence[OrderItem]) -> list[Column]:
-    """`order` followed by every other column ascending, so only identical rows tie."""
+    """`order` followed by every other column ascending, so only identical rows tie.
+    Map columns cannot be ordered; rows that differ only in a map column tie."""
     seen = plain_names(order)
-    rest = [F.col(f"`{c}`").asc_nulls_first() for c in df.columns if c.lower() not in seen]
+    rest = [F.col(f"`{c}`").asc_nulls_first() for c in orderable_columns(df) if c.lower() not in seen]
     return as_sort_columns(order) + rest
 
 
 def all_desc(df: DataFrame) -> list[Column]:
-    """Every column descending (NULLs last), in column order."""
-    return [F.col(f"`{c}`").desc_nulls_last() for c in df.columns]
+    """Every orderable column descending (NULLs last), in column order."""
+    return [F.col(f"`{c}`").desc_nulls_last() for c in orderable_columns(df)]

@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .ordering import orderable_columns
+
 PARTITION_BITS = 33  # monotonically_increasing_id = partition << 33 | position in partition
 
 
@@ -21,7 +23,10 @@ def with_stable_position(df: DataFrame, name: str) -> DataFrame:
     """Add `name`: unique id = (input partition << 33) + position after the per-task sort.
     The projection is nondeterministic, so the optimizer keeps the sort beneath it."""
     cols = [F.col(f"`{c}`") for c in df.columns]
-    return (df.sortWithinPartitions(F.xxhash64(*cols), *cols)
+    keys = [F.col(f"`{c}`") for c in orderable_columns(df)]  # map columns cannot be sorted
+    if not keys:
+        return df.select(*cols, F.monotonically_increasing_id().alias(name))
+    return (df.sortWithinPartitions(F.xxhash64(*keys), *keys)
             .select(*cols, F.monotonically_increasing_id().alias(name)))
 
 

@@ -179,3 +179,10 @@ def test_run_selection_job_aligns_and_reports(spark):
     assert len(rows) == 5 and all(r["extra"] is None for r in rows)
     dry = run_selection_job(sel, target, survey="S", run_date="20221125", dry_run=True).first()
     assert dry["status"] == "Dry run" and spark.table(target).count() == 5
+
+
+def test_row_number_with_map_and_array_columns(spark):
+    df = spark.createDataFrame([(3, {"a": 1}, [1, 2]), (1, {"b": 2}, [3]), (2, None, None)],
+                               "k int, m map<string,int>, arr array<int>")
+    out = sorted((r["k"], r["nr"]) for r in with_row_number(df, ["k"]).collect())
+    assert out == [(1, 1), (2, 2), (3, 3)]
