@@ -10,7 +10,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from ..functions.joins import bounded_broadcast

@@ -151,3 +151,12 @@ def test_csv_and_json_twins_agree(spark):
     from_json = read_json_array(spark, base + "/json", src.schema)
     key = lambda r: r["id"]
     assert sorted(from_csv.collect(), key=key) == sorted(from_json.collect(), key=key) == sorted(src.collect(), key=key)
+
+
+def test_csv_type_autodetect(spark):
+    d = _write("id,price,name,ts\n1,2.5,a,2022-11-25 10:00:00\n2,,\"b,c\",\n", "auto.csv")
+    df = read_csv(spark, d)
+    types = dict(df.dtypes)
+    assert types["id"] == "int" and types["price"] == "double" and types["name"] == "string"
+    assert types["ts"].startswith("timestamp")
+    assert sorted(r["name"] for r in df.collect()) == ["a", "b,c"]
