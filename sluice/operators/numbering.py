@@ -33,7 +33,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.ordering import OrderItem, as_sort_columns, total_order
+from ..functions.ordering import OrderItem, total_order
 from ..functions.positions import with_stable_position
 from ..session import scratch_path
 
@@ -116,8 +116,3 @@ def zip_by_position(left: DataFrame, right: DataFrame, left_order: Sequence[Orde
     lhs = with_row_number(left, left_order, rn, method=method, unique_order=unique_orders)
     rhs = with_row_number(right, right_order, rn, method=method, unique_order=unique_orders)
     return lhs.join(rhs, rn, "inner").drop(rn)
-
-
-def window_order(order: Sequence[OrderItem]):
-    """The plain window spec for an order (used by callers that want the definition)."""
-    return Window.orderBy(*as_sort_columns(order))
