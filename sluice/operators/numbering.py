@@ -6,9 +6,11 @@ over the cluster:
 
 1. Give every row a tiebreaker that is unique and does not depend on the order rows arrive
    in: sort each input partition by (row hash, every column) -- a narrow, per-task sort --
-   and take the row's position. Identical rows are interchangeable, so the sorted sequence of values is
-   the same on every recomputation; a row repeated in a third of all rows gets distinct
-   tiebreakers, so range partitioning can split it over many tasks. No shuffle yet.
+   and take the row's position. Identical rows are interchangeable, so the sorted sequence
+   of values is the same on every recomputation; a row repeated in a third of all rows gets
+   distinct tiebreakers, so range partitioning can split it over many tasks. No shuffle yet.
+   (Spark's range-bound sampling job re-runs this sort once; that is the price of letting
+   the built-in range partitioner choose the bounds.)
 2. Range-partition by the order extended with the tiebreaker (now unique per row) -- the
    only shuffle -- sort inside each partition and stamp partition id and position.
 3. Write that to a table under `spark.checkpoint.dir`. Range bounds are sampled per shuffle,
