@@ -11,7 +11,9 @@ their control characters, any other backslash pair becomes its second character,
 `\\'` -> `'` and `\\\\` -> `\\`); quoted `'NULL'` stays the string "NULL"; `''` stays the
 empty string unless `empty_as_null=True`. Dump timestamps are wall-clock in `tz` (mysqldump
 writes UTC) and land in UTC. MySQL zero dates become NULL. Function calls or parentheses
-outside quotes in VALUES are not supported.
+outside quotes in VALUES, and `ON DUPLICATE KEY UPDATE` tails, are not supported: every
+statement is checked to be fully consumed by its parsed rows, and one that is not fails the
+load with the unread text rather than losing rows.
 
 The patterns use possessive quantifiers: a backtracking version of the tuple pattern
 overflows the JVM stack on long quoted values.
@@ -31,8 +33,11 @@ from .files import normalize_zone
 TUPLE_PATTERN = r"\(((?:[^()'\\]++|'(?:[^'\\]++|\\.)*+')*+)\)(?=\s*+,\s*+\(|\s*+;)"
 # One field inside a row: a quoted string or a bare token, each after start or a comma.
 FIELD_PATTERN = r"(?:^|,)\s*+('(?:[^'\\]++|\\.)*+'|[^,']*+)"
-# Statement head: table name and optional column list.
-HEAD_PATTERN = r"^\s*INSERT\s+(?:IGNORE\s+)?INTO\s+`?([^`\s(]+)`?\s*(?:\(([^)]*)\))?\s*VALUES\s"
+# Statement head: table name (optionally qualified by a database) and optional column list.
+HEAD_PATTERN = (r"^\s*INSERT\s+(?:IGNORE\s+)?INTO\s+(?:`?[^`\s.(]+`?\.)?`?([^`\s.(]+)`?\s*"
+                r"(?:\(([^)]*)\))?\s*VALUES\s")
+# What may remain of a statement once its head and all rows are taken out.
+LEFTOVER_PATTERN = r"^[\s,]*;\s*$"
 # Escapes that stand for control characters; every other "\x" stands for "x".
 ESCAPES = {"\\0": "\u0000", "\\b": "\b", "\\n": "\n", "\\r": "\r", "\\t": "\t", "\\Z": "\u001a"}
 ZERO_DATE_PREFIX = "0000-00-00"
@@ -92,7 +97,15 @@ def parse_statements(lines: DataFrame, schema: StructType, table: str | None = N
         F.regexp_extract(v, HEAD_PATTERN, 2).alias("_cols"),
         v.alias("_stmt"))
     if table is not None:
-        stmts = stmts.where(F.col("_table") == table)
+        # a head that does not parse is kept, so the check below reports it
+        stmts = stmts.where((F.col("_table") == table) | (F.col("_table") == ""))
+    # Every character of VALUES must belong to a parsed row: text the patterns cannot read
+    # (function calls, ON DUPLICATE KEY ..., a head that does not parse) fails the load
+    # instead of silently losing rows.
+    rest = F.regexp_replace(F.regexp_replace(F.col("_stmt"), HEAD_PATTERN, ""), TUPLE_PATTERN, "")
+    stmts = stmts.withColumn("_stmt", F.when(
+        (F.col("_table") != "") & F.regexp_like(rest, F.lit(LEFTOVER_PATTERN)), F.col("_stmt"))
+        .otherwise(F.raise_error(F.concat(F.lit("unparsed INSERT text: "), F.substring(rest, 1, 200)))))
     names = F.when(F.col("_cols") == "", F.lit(None).cast("array<string>")).otherwise(
         F.transform(F.split(F.col("_cols"), ","), lambda c: F.lower(F.trim(F.regexp_replace(c, "`", "")))))
     rows = stmts.select(names.alias("_names"),

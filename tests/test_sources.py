@@ -160,3 +160,22 @@ def test_csv_type_autodetect(spark):
     assert types["id"] == "int" and types["price"] == "double" and types["name"] == "string"
     assert types["ts"].startswith("timestamp")
     assert sorted(r["name"] for r in df.collect()) == ["a", "b,c"]
+
+
+def test_dump_qualified_table_name(spark):
+    d = _write("INSERT INTO `db`.`t` VALUES (1,'q',NULL,NULL,1);\nINSERT INTO db2.t VALUES (2,'r',NULL,NULL,2);\n")
+    assert sorted(r["id"] for r in read_sql_dump(spark, d, SCHEMA, table="t").collect()) == [1, 2]
+
+
+def test_dump_unreadable_text_fails_instead_of_dropping_rows(spark):
+    for stmt in ["INSERT INTO `t` VALUES (1,'a',NULL,NOW(),1);\n",
+                 "INSERT INTO `t` VALUES (1,'a',NULL,NULL,1) ON DUPLICATE KEY UPDATE n=1;\n",
+                 "INSERT INTO `t` VALUES (1,'a',NULL,NULL,1),(2,'b',NULL,NULL,2)\n"]:
+        with pytest.raises(Exception, match="unparsed INSERT text"):
+            read_sql_dump(spark, _write(stmt), SCHEMA).collect()
+
+
+def test_dump_unparsable_head_fails_even_with_table_filter(spark):
+    d = _write("INSERT INTO `t` SELECT * FROM u;\n")
+    with pytest.raises(Exception, match="unparsed INSERT text"):
+        read_sql_dump(spark, d, SCHEMA, table="t").collect()
