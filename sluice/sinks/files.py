@@ -46,7 +46,7 @@ def write_json_array(df: DataFrame, path: str, *, rows_per_file: int = 10000, mo
 
 def _sql_literal(c: Column, dtype) -> Column:
     if isinstance(dtype, BooleanType):
-        v = F.when(c, F.lit("1")).otherwise(F.lit("0"))
+        v = F.when(c, F.lit("1")).when(~c, F.lit("0"))  # NULL stays NULL
     elif isinstance(dtype, NumericType):
         v = c.cast("string")
     elif isinstance(dtype, TimestampNTZType):

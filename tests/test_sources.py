@@ -179,3 +179,21 @@ def test_dump_unparsable_head_fails_even_with_table_filter(spark):
     d = _write("INSERT INTO `t` SELECT * FROM u;\n")
     with pytest.raises(Exception, match="unparsed INSERT text"):
         read_sql_dump(spark, d, SCHEMA, table="t").collect()
+
+
+def test_dump_round_trip_all_types(spark):
+    import decimal
+    rows = [(1, dt.datetime(2022, 11, 25, 10, 0, 0, 123456), dt.datetime(2021, 1, 2, 3, 4, 5),
+             dt.date(2020, 2, 29), True, -1.5e-7, decimal.Decimal("12.34")),
+            (2, None, None, None, None, None, None)]
+    schema = "id long, ts timestamp, wall timestamp_ntz, d date, b boolean, x double, m decimal(10,2)"
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+    try:
+        src = spark.createDataFrame(rows, schema)
+        out = tempfile.mkdtemp(prefix="sl-types-") + "/d"
+        write_sql_dump(src, out, "ty")
+        back = read_sql_dump(spark, out, src.schema, table="ty")
+        assert sorted(back.collect()) == sorted(src.collect())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
