@@ -4,15 +4,14 @@
 every row goes to one task. `with_row_number` computes the same numbers with the work spread
 over the cluster:
 
-1. Give every row a tiebreaker that is unique and does not depend on the order rows arrive
-   in: sort each input partition by (row hash, every column) -- a narrow, per-task sort --
-   and take the row's position. Identical rows are interchangeable, so the sorted sequence
-   of values is the same on every recomputation; a row repeated in a third of all rows gets
-   distinct tiebreakers, so range partitioning can split it over many tasks. No shuffle yet.
-   (Spark's range-bound sampling job re-runs this sort once; that is the price of letting
-   the built-in range partitioner choose the bounds.)
-2. Range-partition by the order extended with the tiebreaker (now unique per row) -- the
-   only shuffle -- sort inside each partition and stamp partition id and position.
+1. Tag every row with the index of the input partition it comes from. Identical rows in
+   different input partitions then have different range keys, so a row repeated in a third
+   of all rows is split into pieces of at most one input partition each -- no more than one
+   task of the stage that produced the input already handled. The index is stable under
+   recomputation, and identical rows with the same index are interchangeable. No sort and
+   no shuffle here.
+2. Range-partition by the order extended with every column and the input partition index
+   -- the only shuffle -- sort inside each partition and stamp partition id and position.
 3. Write that to a table under `spark.checkpoint.dir`. Range bounds are sampled per shuffle,
    so counting and numbering must read one materialisation; the written table also cuts
    lineage, so a lost executor re-reads files instead of re-running the sort.
@@ -24,8 +23,8 @@ Ties: the order is extended with every remaining column, so only identical rows
 identical rows are interchangeable. The result matches the single-partition window.
 
 `unique_order=True` says the order starts with a unique key (a primary key): then no two
-rows are identical and the per-partition sort of step 1 is skipped. The numbers stay right
-even if the claim is wrong; only the skew protection is lost.
+rows are identical and the tag of step 1 is left out of the range key. The numbers stay
+right even if the claim is wrong; only the skew protection is lost.
 """
 
 from __future__ import annotations
@@ -36,7 +35,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.ordering import OrderItem, total_order
-from ..functions.positions import with_stable_position
 from ..session import scratch_path
 
 _K = "__sl_k"
@@ -51,8 +49,8 @@ def _q(c: str):
 
 
 def _with_tiebreak(df: DataFrame) -> DataFrame:
-    """Add `_K`: a unique row id that does not depend on arrival order (see positions.py)."""
-    return with_stable_position(df, _K)
+    """Add `_K`: the input partition index (splits hot duplicate rows; see step 1)."""
+    return df.select(*[_q(c) for c in df.columns], F.spark_partition_id().alias(_K))
 
 
 def _range_stamped(df: DataFrame, sort_cols, unique_order: bool, num_partitions: int | None) -> DataFrame:

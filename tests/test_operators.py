@@ -38,7 +38,7 @@ def test_hot_duplicate_group_is_spread(spark):
     window = with_row_number(df, ["k"], method="window")
     assert _numbers(ranged) == _numbers(window)
     assert ranged.where("k = 1").count() == 3000
-    # the hot rows get distinct tiebreakers, so range partitioning spreads them
+    # hot rows from different input partitions get different range keys, so they spread
     from sluice.operators.numbering import _K, _with_tiebreak
     spread = (_with_tiebreak(df).repartitionByRange(8, "k", _K).where("k = 1")
               .select(F.spark_partition_id().alias("p")).distinct().count())
