@@ -2,7 +2,7 @@
 
 import tempfile
 
-from hypothesis import HealthCheck, given, settings
+from hypothesis import HealthCheck, Phase, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
@@ -14,7 +14,8 @@ from sluice.sources.sqldump import read_sql_dump
 _ALPHABET = st.sampled_from(list("ab ,()'\"\\\n\r\t;\u0000\u001aÜ€0NUL"))
 _TEXT = st.one_of(st.none(), st.text(_ALPHABET, max_size=30), st.text(max_size=10))
 
-_SETTINGS = settings(max_examples=6, deadline=None,
+# few examples and no shrinking: every example runs Spark jobs
+_SETTINGS = settings(max_examples=6, deadline=None, phases=[Phase.explicit, Phase.generate],
                      suppress_health_check=[HealthCheck.function_scoped_fixture,
                                             HealthCheck.too_slow])
 
@@ -41,3 +42,20 @@ def test_range_numbering_equals_window(spark, rows, desc, parts):
     b = with_row_number(df, order, method="window")
     key = lambda r: (repr(r["x"]), repr(r["y"]), r["nr"])
     assert sorted(a.collect(), key=key) == sorted(b.collect(), key=key)
+
+
+def _py_sorted(rows):
+    # ascending, NULLs first, column by column (the total order used for ties)
+    return sorted(rows, key=lambda r: tuple((v is not None, v if v is not None else 0) for v in r))
+
+
+@_SETTINGS
+@given(left=st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 4)), st.integers(0, 2)), max_size=40),
+       right=st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 4)), st.integers(0, 2)), max_size=40))
+def test_zip_pairs_rows_by_sorted_position(spark, left, right):
+    from sluice.operators.numbering import zip_by_position
+    l_df = spark.createDataFrame(left, "a int, b int")
+    r_df = spark.createDataFrame(right, "c int, d int")
+    got = sorted((tuple(r) for r in zip_by_position(l_df, r_df, ["a"], ["c"]).collect()), key=repr)
+    expected = sorted((tuple(x) + tuple(y) for x, y in zip(_py_sorted(left), _py_sorted(right))), key=repr)
+    assert got == expected
