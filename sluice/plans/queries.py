@@ -18,7 +18,7 @@ from ..operators.schema import align_to, drift_report
 from ..operators.survey import run_selection_job, run_summary as _run_summary
 from ..operators.survey import survey_id, survey_selection as _survey_selection
 from ..operators.synth import synth_table as _synth_table
-from ..session import scratch_path, unique_name
+from ..session import scratch_path, scratch_table
 from ..sinks.files import write_csv, write_json_array, write_sql_dump
 from ..sinks.tables import write_table
 from ..sinks.views import create_view, register_parquet_table
@@ -121,7 +121,7 @@ RUN_TARGET = StructType([StructField("O_ORDERKEY", LongType()), StructField("o_c
 def run_summary(spark: SparkSession, sf: str) -> DataFrame:
     """The whole run: selection -> aligned append into an existing partitioned target ->
     report. The report counts what the target table holds afterwards."""
-    target = unique_name("sl_survey_run")
+    target = scratch_table(spark, "sl_survey_run")
     write_table(spark.createDataFrame([], RUN_TARGET), target, ["year_month"], "append",
                 path=scratch_path(spark, "table"))
     run_selection_job(survey_selection(spark, sf), target, survey=f"TEXT_CHAT_{SURVEY_NR}",
@@ -131,9 +131,9 @@ def run_summary(spark: SparkSession, sf: str) -> DataFrame:
 
 def view_like_filter(spark: SparkSession, sf: str) -> DataFrame:
     """Stored view with description/labels/expiry over a prefix LIKE filter."""
-    src = unique_name("sl_part")
+    src = scratch_table(spark, "sl_part")
     register_parquet_table(spark, src, table_path(sf, "part"))
-    view = unique_name("sl_part_s")
+    view = scratch_table(spark, "sl_part_s")
     return create_view(spark, view,
                        f"SELECT p_partkey, p_name, p_brand, p_size FROM {src} WHERE p_type LIKE 'S%'",
                        description="parts whose type starts with S", friendly_name="parts_s",
@@ -142,13 +142,13 @@ def view_like_filter(spark: SparkSession, sf: str) -> DataFrame:
 
 def scan_catalog(spark: SparkSession, sf: str) -> DataFrame:
     """Catalog table scan by name."""
-    name = unique_name("sl_orders")
+    name = scratch_table(spark, "sl_orders")
     register_parquet_table(spark, name, table_path(sf, "orders"))
     return read_table(spark, name)
 
 
 def _orders_table(spark: SparkSession, sf: str, df: DataFrame | None = None) -> str:
-    name = unique_name("sl_orders_w")
+    name = scratch_table(spark, "sl_orders_w")
     write_table(df if df is not None else load(spark, sf, "orders"), name, ["o_orderpriority"],
                 "append", path=scratch_path(spark, "table"))
     return name
@@ -193,7 +193,7 @@ def load_csv(spark: SparkSession, sf: str) -> DataFrame:
     events = load(spark, sf, "events")
     path = scratch_path(spark, "csv")
     write_csv(events, path)
-    table = unique_name("sl_events_csv")
+    table = scratch_table(spark, "sl_events_csv")
     write_table(read_csv(spark, path, events.schema), table, mode="append",
                 path=scratch_path(spark, "table"))
     return read_table(spark, table)

@@ -84,3 +84,15 @@ def scratch_path(spark: SparkSession, kind: str) -> str:
 
 def unique_name(prefix: str) -> str:
     return f"{prefix}_{uuid.uuid4().hex[:10]}"
+
+
+SCRATCH_DB = "sluice_scratch"
+
+
+def scratch_table(spark: SparkSession, prefix: str) -> str:
+    """A fresh table name in a dedicated scratch database (located under the checkpoint
+    folder), so intermediate tables never clutter the user's databases."""
+    if not spark.catalog.databaseExists(SCRATCH_DB):
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {SCRATCH_DB} "
+                  f"LOCATION '{checkpoint_root(spark)}/{SCRATCH_DB}.db'")
+    return f"{SCRATCH_DB}.{unique_name(prefix)}"
