@@ -186,3 +186,9 @@ def test_row_number_with_map_and_array_columns(spark):
                                "k int, m map<string,int>, arr array<int>")
     out = sorted((r["k"], r["nr"]) for r in with_row_number(df, ["k"]).collect())
     assert out == [(1, 1), (2, 2), (3, 3)]
+
+
+def test_select_survey_keeps_exactly_one_survey(spark):
+    from sluice.operators.survey import select_survey
+    df = spark.createDataFrame([("4100", 1), ("4201", 2), ("4100", 3), (None, 4)], "studiennummer string, x int")
+    assert sorted(r["x"] for r in select_survey(df, "4100").collect()) == [1, 3]

@@ -197,3 +197,13 @@ def test_dump_round_trip_all_types(spark):
         assert sorted(back.collect()) == sorted(src.collect())
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_json_zone_shift_to_utc(spark):
+    d = tempfile.mkdtemp(prefix="sl-jz-")
+    with open(os.path.join(d, "z.json"), "w") as fh:
+        fh.write('[{"id": 1, "t": "2022-11-25T11:00:00"}]')
+    ntz = read_json_array(spark, d, "id long, t timestamp_ntz", tz="Europe/Berlin").first()
+    assert ntz["t"] == dt.datetime(2022, 11, 25, 10, 0, 0)
+    ltz = read_json_array(spark, d, "id long, t timestamp", tz="Europe/Berlin").first()
+    assert ltz["t"] == dt.datetime(2022, 11, 25, 10, 0, 0)
