@@ -101,3 +101,57 @@ def test_jdbc_options_and_mode_check():
                  "password": "p", "driver": "d"}
     with pytest.raises(ValueError):
         write_jdbc(None, "jdbc:x", "t", mode="overwrite_or_append")
+
+
+class _StubReader:
+    """Records the options a JDBC read would use; no database is contacted."""
+
+    def __init__(self, log, bounds):
+        self.log, self.bounds, self.opts = log, bounds, {}
+
+    def format(self, f):
+        assert f == "jdbc"
+        return self
+
+    def options(self, **kw):
+        self.opts.update(kw)
+        return self
+
+    def load(self):
+        self.log.append(dict(self.opts))
+        bounds = self.bounds
+
+        class _Frame:
+            def first(self):
+                class _Row(dict):
+                    def asDict(self):
+                        return dict(self)
+                return _Row(lo=bounds[0], hi=bounds[1])
+        return _Frame()
+
+
+class _StubSession:
+    def __init__(self, bounds=(1, 1000)):
+        self.log, self.bounds = [], bounds
+
+    @property
+    def read(self):
+        return _StubReader(self.log, self.bounds)
+
+
+def test_read_jdbc_partitioned_options_and_bounds_lookup():
+    from sluice.sources.jdbc import read_jdbc
+    s = _StubSession()
+    read_jdbc(s, "jdbc:x://h/db", "orders", partition_column="o_orderkey", num_partitions=8)
+    bounds_q, main = s.log
+    assert bounds_q["dbtable"].startswith("(SELECT MIN(o_orderkey) AS lo, MAX(o_orderkey) AS hi FROM orders)")
+    assert main["partitionColumn"] == "o_orderkey" and main["numPartitions"] == "8"
+    assert (main["lowerBound"], main["upperBound"]) == ("1", "1000")
+    s2 = _StubSession()
+    read_jdbc(s2, "jdbc:x://h/db", "t", partition_column="id", lower_bound=5, upper_bound=9, num_partitions=2)
+    assert len(s2.log) == 1 and s2.log[0]["lowerBound"] == "5"
+    s3 = _StubSession(bounds=(None, None))  # empty table: one plain read
+    read_jdbc(s3, "jdbc:x://h/db", "t", partition_column="id", num_partitions=2)
+    assert "partitionColumn" not in s3.log[-1]
+    with pytest.raises(ValueError):
+        read_jdbc(_StubSession(), "jdbc:x", "t", partition_column="id")
