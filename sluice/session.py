@@ -1,8 +1,9 @@
 """Session helpers: building a session for tests/bench and locating shared scratch space.
 
-Library code never builds its own session; it takes the caller's. The two helpers that
-touch storage (`checkpoint_root`, `scratch_path`) read `spark.checkpoint.dir` from the
-session, because on a cluster that is the shared folder every executor can reach.
+Library code never builds its own session; it takes the caller's. The helpers that touch
+storage (`checkpoint_root`, `scratch_path`, `scratch_table`) read `spark.checkpoint.dir` from
+the session, because on a cluster that is the shared folder every executor can reach; a
+folder of its own is set only where none is configured and the master is local (tests).
 """
 
 from __future__ import annotations
