@@ -155,3 +155,14 @@ def test_read_jdbc_partitioned_options_and_bounds_lookup():
     assert "partitionColumn" not in s3.log[-1]
     with pytest.raises(ValueError):
         read_jdbc(_StubSession(), "jdbc:x", "t", partition_column="id")
+
+
+def test_truncate_load_managed_table_uses_truncate(spark, caplog):
+    import logging
+    from sluice.session import scratch_table
+    name = scratch_table(spark, "t_managed")  # managed: data under the scratch database
+    write_table(_frame(spark, [(1, "a", "x"), (2, "b", "y")]), name, ["part"], "append")
+    with caplog.at_level(logging.WARNING, logger="sluice.sinks.tables"):
+        write_table(_frame(spark, [(5, "t", "q")]), name, ["part"], "truncate_load")
+    assert _rows(spark, name) == [(5, "t", "q")]
+    assert not any("overwriting instead" in r.message for r in caplog.records)
