@@ -6,6 +6,7 @@ is bounded by the block size plus one document.
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import zipfile
@@ -34,8 +35,20 @@ def stage(df: DataFrame, kind: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, kind)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._sluice_path = path
+    return out
+
+
+def done(spark: SparkSession, *tables: DataFrame) -> None:
+    """Delete stage tables that nothing will read again, and let Spark drop the shuffle files
+    of finished jobs (it does so when the driver's garbage collector has seen their plans)."""
+    for t in tables:
+        path = spark._jvm.org.apache.hadoop.fs.Path(t._sluice_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    gc.collect()
+    spark._jvm.System.gc()
 
 
 def q(name: str):

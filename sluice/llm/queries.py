@@ -3,9 +3,19 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..sources.testdata import load
 from .neardup import near_duplicates
+from .suffix import repeated_substrings
+
+
+def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of each document without the 200-byte strings that also start elsewhere."""
+    out = repeated_substrings(load(spark, sf_dir, "documents"), length=200)
+    return out.select("doc_id", "n_bytes",
+                      F.expr("aggregate(spans, 0L, (a, s) -> a + s.stop - s.start)").alias("n_removed"),
+                      F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,6 +24,7 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op7_suffix_array_dedup": op7_suffix_array_dedup,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
 
