@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.testdata import load
+from .bpe import byte_bpe
 from .neardup import near_duplicates
 from .suffix import repeated_substrings
 
@@ -18,6 +19,24 @@ def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def _tokenizer_file(name: str) -> bytes:
+    """A public vocabulary, read on the driver (fixed size)."""
+    import public_tokenizers
+    with open(public_tokenizers.path(name), "rb") as f:
+        return f.read()
+
+
+def digest_bpe(encoded: DataFrame) -> DataFrame:
+    """Token counts and digests of `byte_bpe`'s ids and decoded texts."""
+    return encoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                          F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+def op9_byte_bpe(spark: SparkSession, sf_dir: str, vocabulary: str = "byte_bpe_multi_50k.tiktoken") -> DataFrame:
+    """Token ids of every text and their decoding, as digests."""
+    return digest_bpe(byte_bpe(load(spark, sf_dir, "documents"), _tokenizer_file(vocabulary)))
+
+
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents whose 3-word shingle sets have a Jaccard similarity of 0.85 or more."""
     return near_duplicates(load(spark, sf_dir, "documents"), k=3, percent=85)
@@ -25,6 +44,7 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op7_suffix_array_dedup": op7_suffix_array_dedup,
+    "op9_byte_bpe": op9_byte_bpe,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
 
