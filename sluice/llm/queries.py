@@ -9,6 +9,12 @@ from ..sources.testdata import load
 from .bpe import byte_bpe
 from .neardup import near_duplicates
 from .suffix import repeated_substrings
+from .tokencount import token_counts
+
+
+def op1_token_counts(spark: SparkSession, sf_dir: str, vocabulary: str = "byte_bpe_50k.json") -> DataFrame:
+    """Bytes and tokens of every text, and whether it has more than 1024 tokens."""
+    return token_counts(load(spark, sf_dir, "documents"), _tokenizer_file(vocabulary), limit=1024)
 
 
 def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,6 +49,7 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_token_counts": op1_token_counts,
     "op7_suffix_array_dedup": op7_suffix_array_dedup,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
