@@ -6,10 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.testdata import load
+from . import langid
 from .bpe import byte_bpe
+from .common import held_out
 from .neardup import near_duplicates
 from .suffix import repeated_substrings
 from .tokencount import token_counts
+from .toxicity import toxicity
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str, vocabulary: str = "byte_bpe_50k.json") -> DataFrame:
@@ -17,6 +20,18 @@ def op1_token_counts(spark: SparkSession, sf_dir: str, vocabulary: str = "byte_b
     return token_counts(load(spark, sf_dir, "documents"), _tokenizer_file(vocabulary), limit=1024)
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every text, learned from positive and unlabelled rows outside the held-out fold."""
+    return toxicity(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every text by naive Bayes, learned outside the held-out fold."""
+    docs = load(spark, sf_dir, "documents")
+    out = langid.identify(docs, langid.train(docs))
+    return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of each document without the 200-byte strings that also start elsewhere."""
     out = repeated_substrings(load(spark, sf_dir, "documents"), length=200)
@@ -50,6 +65,8 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_token_counts": op1_token_counts,
+    "op2_toxicity": op2_toxicity,
+    "op6_language_id": op6_language_id,
     "op7_suffix_array_dedup": op7_suffix_array_dedup,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
