@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage
+from .common import done, stage
 
 
 def _least(both: DataFrame) -> DataFrame:
@@ -42,6 +42,7 @@ def components(edges: DataFrame) -> DataFrame:
     mark = None
     while True:
         new = stage(_small_star(_large_star(now)), "cc")
+        done(now.sparkSession, now)
         seen = new.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         now = new
         if seen == mark or not seen[0]:

@@ -11,16 +11,19 @@ similarity of the sets reaches a threshold, and linked documents form a componen
 2. Documents with the same word sequence are one class (smallest id); only classes go on, so a
    group of copies costs one row after a pre-aggregation, however large it is.
 3. Classes that share a band key form a bucket. A bucket proposes the star of its smallest
-   member, so the number of candidate pairs is linear in the rows of the buckets.
+   member, and of the centres that a class meets it is compared with the one it meets most
+   often, so there is at most one candidate pair for each class.
 4. Candidates are confirmed on their full shingle sets; the links give components.
-5. A star leaves out pairs of two non-centres. Those matter only in buckets whose members lie
-   in different components, so for them further members become centres (1, 2, 4, ... per
-   round) until no such bucket has an unproposed pair. In the end every pair that shares a
-   bucket is confirmed, refused or already inside one component: no cap, and no link lost
-   after the banding.
+5. A star leaves out pairs, and those matter only in buckets whose members now lie in different
+   components. Such buckets are compared inside tasks: members are dealt to blocks of bounded
+   size, each pair of blocks is one group, full sets are intersected through an inverted index,
+   and only links that join two components are handed on (never the pairs). So every pair that
+   shares a bucket ends up confirmed, refused or inside one component, and the rows that move
+   stay linear in the bucket rows (times the blocks of a bucket). No cap, no link lost after
+   the banding.
 
 Banding: a pair of similarity s shares one of b bands of r rows with chance 1-(1-s^r)^b. For
-the defaults (32 bands of 6 rows) a pair at 0.85 is missed with chance 3e-7, at 0.8 with 5e-5.
+the defaults (24 bands of 5 rows) a pair at 0.85 is missed with chance 8e-7, at 0.8 with 7e-5.
 
 Defined cases: a null or wordless text has no set: size 0, its own component, kept. Fewer
 words than `k`: the whole sequence is the one shingle. A row with a null id cannot name a
@@ -35,8 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.numbering import with_row_number
-from .common import Words, blocks, mix, pick, salts, stage, utf8, word_table
+from .common import Words, blocks, done, mix, pick, salts, stage, utf8, word_table
 from .graph import components
 
 _U = np.uint64
@@ -147,12 +149,51 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.select("u", "v", "su", "sv").mapInArrow(_confirmed(percent), "u long, v long")
 
 
-def near_duplicates(docs: DataFrame, *, k: int = 5, percent: int = 80, bands: int = 32, rows: int = 6,
+#: A block of a bucket holds at most about so many members and shingles.
+BLOCK_MEMBERS, BLOCK_SHINGLES = 1500, 2_000_000
+
+
+def _links_inside(percent: int):
+    """Links between different components of one group (a bucket, or two blocks of it)."""
+    def run(table: pa.Table) -> pa.Table:
+        ids, block = table.column("id").to_numpy(), table.column("block").to_numpy()
+        items = [np.frombuffer(x.as_buffer(), _U) for x in table.column("items").combine_chunks()]
+        n, size = len(ids), np.array([len(x) for x in items])
+        _, parent = np.unique(table.column("component").to_numpy(), return_inverse=True)
+        across = table.column("i")[0].as_py() != table.column("j")[0].as_py()
+        _, word = np.unique(np.concatenate(items), return_inverse=True)
+        owner = np.repeat(np.arange(n), size)
+        order = np.argsort(word, kind="stable")
+        post, first = owner[order], np.searchsorted(word[order], np.arange(word.max() + 2))
+        edge = np.concatenate([[0], np.cumsum(size)])
+        us, vs = [], []
+        # a pair of two components has a member outside the largest
+        for v in np.flatnonzero(parent != np.argmax(np.bincount(parent))):
+            if (parent == parent[0]).all():
+                break
+            w = word[edge[v]:edge[v + 1]]
+            lens = first[w + 1] - first[w]
+            at = np.repeat(first[w] - np.concatenate([[0], np.cumsum(lens)[:-1]]), lens) + np.arange(lens.sum())
+            both = np.bincount(post[at], minlength=n)
+            hit = (parent != parent[v]) & (100 * both >= percent * (size[v] + size - both))
+            if across:
+                hit &= block != block[v]
+            for u in np.flatnonzero(hit):
+                if parent[u] != parent[v]:
+                    us.append(min(ids[u], ids[v]))
+                    vs.append(max(ids[u], ids[v]))
+                    parent[parent == parent[u]] = parent[v]
+        return pa.table({"u": pa.array(us, pa.int64()), "v": pa.array(vs, pa.int64())})
+    return run
+
+
+def near_duplicates(docs: DataFrame, *, k: int = 5, percent: int = 80, bands: int = 24, rows: int = 5,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row; see the module's description.
 
     percent: documents are linked when 100 * |intersection| >= percent * |union|.
     """
+    spark = docs.sparkSession
     texts = pick(docs, id=id_col, text=text_col).select(F.col("id").cast("long").alias("id"), "text")
     sig = stage(texts.mapInArrow(_signatures(k, bands, rows), _SIG), "sig")
 
@@ -160,49 +201,43 @@ def near_duplicates(docs: DataFrame, *, k: int = 5, percent: int = 80, bands: in
     classes = stage(usable.groupBy("c1", "c2").agg(
         F.min("id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")), "classes")
     rows_of = classes.select(F.col("rep").alias("id"), "n", F.explode("bands").alias("bucket"))
-    size = rows_of.groupBy("bucket").agg(F.count(F.lit(1)).alias("members"), F.min("id").alias("centre"))
-    member = stage(rows_of.join(size.where("members > 1"), "bucket"), "buckets")
-
-    def fits(x: str, y: str):  # the sizes alone allow the similarity
-        return 100 * F.least(x, y) >= percent * F.greatest(x, y)
+    size = stage(rows_of.groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("members"), F.sum("n").alias("shingles"),
+        F.min(F.struct("id", "n")).alias("centre")).where("members > 1"), "size")
+    member = stage(rows_of.join(size, "bucket").select("bucket", "id", "n", "members", "shingles", "centre"), "buckets")
+    done(spark, size)
 
     ids = member.select("id").distinct()
     sets = stage(texts.join(ids, "id", "left_semi").mapInArrow(_sets(k), "id long, items binary")
                  .groupBy("id", "items").agg(F.lit(1).alias("one")).drop("one"), "sets")
-    centre_n = member.where("id = centre").select("bucket", F.col("n").alias("cn")).distinct()
-    pairs = (member.where("id > centre").join(centre_n, "bucket").where(fits("n", "cn"))
-             .select(F.col("centre").alias("u"), F.col("id").alias("v")).distinct())
-    links = [stage(_links(pairs, sets, percent), "links")]
-    comp = stage(components(links[0]), "comp")
-
-    ranked, first, width = None, 0, 1
-    while True:
-        # buckets whose members, past centres aside, still lie in several components
-        rest = ranked.where(F.col("rank") > first) if ranked is not None else member.where("id > centre")
-        seen = rest.join(comp.withColumnRenamed("node", "id"), "id", "left").withColumn(
-            "component", F.coalesce("component", "id"))
-        mixed = seen.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi")
-        open_ = stage(seen.join(mixed.select("bucket"), "bucket", "left_semi"), "open")
-        if open_.isEmpty():
-            break
-        if ranked is None:
-            numbered = with_row_number(open_.select("bucket", "id", "n").distinct(), ["bucket", "id"], "nr",
-                                       unique_order=True)
-            base = numbered.groupBy("bucket").agg(F.min("nr").alias("base"))
-            ranked = stage(numbered.join(base, "bucket").select("bucket", "id", "n",
-                                                                (F.col("nr") - F.col("base") + 1).alias("rank")), "ranked")
-            open_ = open_.join(ranked.select("bucket", "id", "rank"), ["bucket", "id"])
-        left = open_.where(F.col("rank") <= first + width).select(
-            "bucket", F.col("id").alias("u"), F.col("n").alias("nu"), F.col("component").alias("cu"), F.col("rank").alias("ru"))
-        more = (left.join(open_, "bucket").where((F.col("ru") < F.col("rank")) & (F.col("cu") != F.col("component"))
-                                                 & fits("nu", "n"))
-                .select("u", F.col("id").alias("v")).distinct())
-        links.append(stage(_links(more, sets, percent), "links"))
-        first, width = first + width, width * 2
-        every = links[0]
-        for x in links[1:]:
-            every = every.union(x)
-        comp = stage(components(every), "comp")
+    done(spark)
+    met = (member.where("id != centre.id")
+           .where(100 * F.least("n", "centre.n") >= percent * F.greatest("n", "centre.n"))
+           .groupBy(F.col("id").alias("v"), F.col("centre.id").alias("u")).agg(F.count(F.lit(1)).alias("times")))
+    pairs = met.groupBy("v").agg(F.min(F.struct(-F.col("times"), "u")).alias("best")).select(F.col("best.u").alias("u"), "v")
+    links = stage(_links(pairs, sets, percent), "links")
+    comp = components(links)
+
+    seen = stage(member.join(comp.withColumnRenamed("node", "id"), "id", "left").withColumn(
+        "component", F.coalesce("component", "id")), "seen")
+    # buckets of several components; of buckets with the same members one will do
+    mixed = stage(seen.groupBy("bucket").agg(
+        F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("m"),
+        F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("x"), F.sum(F.xxhash64("id", F.lit(1)).cast("decimal(38,0)")).alias("y"))
+        .where("lo != hi").groupBy("m", "x", "y").agg(F.min("bucket").alias("bucket")).select("bucket"), "mixed")
+    # blocks of a bucket, and for each member the pairs of blocks it takes part in
+    parts = F.greatest(F.ceil(F.col("members") / BLOCK_MEMBERS), F.ceil(F.col("shingles") / BLOCK_SHINGLES))
+    open_ = (seen.join(mixed, "bucket").withColumn("parts", parts.cast("int"))
+             .withColumn("block", F.pmod(F.hash("id"), "parts"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+             .select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+                     "block", "id", "component"))
+    inside = (open_.join(sets, "id").groupBy("bucket", "i", "j")
+              .applyInArrow(_links_inside(percent), "u long, v long"))
+    more = stage(inside.distinct(), "links")
+    done(spark, seen, mixed)
+    if not more.isEmpty():
+        comp = components(links.union(more))
 
     # class of each document, then the component of the class
     owner = usable.join(classes.select("c1", "c2", "rep"), ["c1", "c2"]).select("id", "rep")
