@@ -16,8 +16,8 @@ bucket-pointer refinement, distributed and on a sparse set of suffixes:
 4. What is left are the ends of matches. Their context (under 2 * length bytes) is grouped by
    bucket and refined down to single offsets inside tasks. A bucket too large for a task is
    first refined by Spark: its offsets are halved, each half's bucket is the parent's bucket
-   refined by the identifier of the string that all offsets of the half share, and buckets
-   are counted again, recursively down to one offset if need be.
+   refined by the identifier of the string that all offsets of the half share, and steps 2 and
+   3 are done again on the new buckets, recursively down to one offset if need be.
 5. The found intervals are merged per document and cut out.
 
 Identifiers are 64-bit fingerprints instead of ranks, so that the identifier of any offset is
@@ -45,7 +45,9 @@ _CODES = (salts(256, 31), salts(256, 32))
 #: Bytes of one document that are worked on at a time.
 SEGMENT = 1 << 22
 #: Rows of one bucket that a task may hold; larger buckets are refined by Spark first.
-BUCKET_ROWS = 8192
+BUCKET_ROWS = 32768
+#: Rows that a task refines at a time, whole buckets together.
+CHUNK_ROWS = 4096
 
 
 def _prefix(data: np.ndarray, code: np.ndarray) -> np.ndarray:
@@ -131,6 +133,7 @@ def _find_anchors(length: int, q: int):
 
 
 _CONTEXT = "core long, hot boolean, lo int, hi int, left int, right int, ctx binary, k long, ep long"
+_HALF = _CONTEXT + ", u long"
 
 
 def _contexts(length: int, q: int):
@@ -171,7 +174,10 @@ def _context_sums(batch, reach: int, length: int, code: np.ndarray) -> np.ndarra
     size = reach + length
     raw = np.frombuffer(b"".join(batch.column("ctx").to_pylist()), np.uint8).reshape(-1, size)
     total = np.zeros((len(raw), size + 1), _U)
-    np.cumsum(code[raw] * _power(size + 1)[0][:size], axis=1, out=total[:, 1:])
+    sums = total[:, 1:]
+    sums[...] = code[raw]
+    sums *= _power(size + 1)[0][:size]
+    np.cumsum(sums, axis=1, out=sums)
     return total
 
 
@@ -215,7 +221,7 @@ def _finish(length: int, q: int):
             t = t if rest is None else pa.concat_tables([rest, t])
             b = t.column("core").to_numpy()
             cut = int(np.searchsorted(b, b[-1]))  # the last bucket may go on
-            if cut >= BUCKET_ROWS:
+            if cut >= CHUNK_ROWS:
                 yield chunk(t.slice(0, cut).combine_chunks())
                 t = t.slice(cut)
             rest = t
@@ -225,7 +231,8 @@ def _finish(length: int, q: int):
 
 
 def _halves(length: int, q: int):
-    """The two halves of each row's offsets, under the bucket refined by what the half shares."""
+    """The two halves of each row's offsets, under the bucket refined by what the half shares; u is
+    the union bucket of the half."""
     reach = length - q
 
     def run(batches):
@@ -243,13 +250,21 @@ def _halves(length: int, q: int):
                     # offsets a..b share [anchor - a, anchor - b + length)
                     i, j = reach - a, reach - b + length
                     ok = (a <= b) & (left >= a) & (right >= length - b)
-                    key = mix((total[rows, j] - total[rows, i]) * _power(len(total[0]))[1][i] + j.astype(_U))
+                    down = _power(len(total[0]))[1]
+                    key = mix((total[rows, j] - total[rows, i]) * down[i] + j.astype(_U))
                     key = mix(core * _U(3) + key + _U(side))
+                    i, j = reach - b, reach - a + length
+                    union = mix((total[rows, j] - total[rows, i]) * down[i] + i.astype(_U))
+                    # a union that the document's ends cut belongs to this row alone
+                    own = batch.column("k").to_numpy() * 31 + batch.column("ep").to_numpy()
+                    union = np.where((left >= b) & (right >= length - a), union, mix(own.view(_U)))
                     part = batch.filter(pa.array(ok))
                     names = part.schema.names
                     new = {"core": pa.array(key[ok].view(np.int64)), "lo": pa.array(a[ok].astype(np.int32)),
                            "hi": pa.array(b[ok].astype(np.int32))}
-                    yield pa.RecordBatch.from_arrays([new.get(n, part.column(n)) for n in names], names=names)
+                    yield pa.RecordBatch.from_arrays(
+                        [new.get(n, part.column(n)) for n in names] + [pa.array(union[ok].view(np.int64))],
+                        names=[*names, "u"])
     return run
 
 
@@ -295,16 +310,21 @@ def repeated_substrings(docs: DataFrame, *, length: int = 200, q: int = 64,
         done(spark)
         if hot.isEmpty():
             break
-        half = stage(hot.mapInArrow(_halves(length, q), _CONTEXT), "half")
-        size = stage(half.groupBy("core").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "size")
-        sized = half.join(size, "core")
-        # a bucket of one offset is decided by its count
+        half = stage(hot.mapInArrow(_halves(length, q), _HALF), "half")
+        same = stage(half.groupBy("core", "u").agg(
+            F.count(F.lit(1)).alias("n"), F.min(F.struct("k", "ep")).alias("rep")), "same")
         x = F.col("ep").bitwiseAND(0xFFFFFFFF)
-        parts.append(sized.where("lo = hi").select("k", F.shiftright("ep", 32).alias("e"), (x - F.col("lo")).alias("start"),
-                                                   (x - F.col("lo") + length).alias("stop")))
-        more = sized.where("lo < hi")
-        small = more.where(F.col("n") <= BUCKET_ROWS).drop("n")
-        hot = stage(more.where(F.col("n") > BUCKET_ROWS).drop("n"), "hot")
+        parts.append(half.join(same.where("n > 1").select("core", "u"), ["core", "u"])
+                     .select("k", F.shiftright("ep", 32).alias("e"), (x - F.col("hi")).alias("start"),
+                             (x - F.col("lo") + length).alias("stop")))
+        size = stage(same.groupBy("core").agg(F.count(F.lit(1)).alias("classes")).where("classes > 1"), "size")
+        more = (half.where("lo < hi").join(same.join(size, "core").select(
+            "core", "u", "classes", F.col("rep.k").alias("k"), F.col("rep.ep").alias("ep")), ["core", "u", "k", "ep"])
+            .drop("u").withColumn("hot", F.col("classes") > BUCKET_ROWS)
+            .select(*[c.split()[0] for c in _CONTEXT.split(", ")]))
+        more = stage(more, "more")
+        done(spark, size)
+        small, hot = more.where("not hot"), more.where("hot")
     spans = parts[0]
     for p in parts[1:]:
         spans = spans.union(p)
