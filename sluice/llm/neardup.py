@@ -143,7 +143,8 @@ def _confirmed(percent: int):
 
 
 def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The (u, v) whose full sets reach the threshold."""
+    """The (u, v) whose full sets reach the threshold (sets grow with the data: never broadcast)."""
+    sets = sets.hint("merge")
     left = pairs.join(sets.select(F.col("id").alias("v"), F.col("items").alias("sv")), "v")
     both = left.join(sets.select(F.col("id").alias("u"), F.col("items").alias("su")), "u")
     return both.select("u", "v", "su", "sv").mapInArrow(_confirmed(percent), "u long, v long")
@@ -208,7 +209,7 @@ def near_duplicates(docs: DataFrame, *, k: int = 5, percent: int = 80, bands: in
     done(spark, size)
 
     ids = member.select("id").distinct()
-    sets = stage(texts.join(ids, "id", "left_semi").mapInArrow(_sets(k), "id long, items binary")
+    sets = stage(texts.join(ids.hint("merge"), "id", "left_semi").mapInArrow(_sets(k), "id long, items binary")
                  .groupBy("id", "items").agg(F.lit(1).alias("one")).drop("one"), "sets")
     done(spark)
     met = (member.where("id != centre.id")
@@ -232,7 +233,7 @@ def near_duplicates(docs: DataFrame, *, k: int = 5, percent: int = 80, bands: in
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
              .select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
                      "block", "id", "component"))
-    inside = (open_.join(sets, "id").groupBy("bucket", "i", "j")
+    inside = (open_.join(sets.hint("merge"), "id").groupBy("bucket", "i", "j")
               .applyInArrow(_links_inside(percent), "u long, v long"))
     more = stage(inside.distinct(), "links")
     done(spark, seen, mixed)
