@@ -9,6 +9,7 @@ from ..sources.testdata import load
 from . import langid
 from .bpe import byte_bpe
 from .common import held_out
+from .decontam import contamination
 from .neardup import near_duplicates
 from .suffix import repeated_substrings
 from .tokencount import token_counts
@@ -25,6 +26,11 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
 
 
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with a window that is 0.8 or more similar to a benchmark item, and the items."""
+    return contamination(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every text by naive Bayes, learned outside the held-out fold."""
     docs = load(spark, sf_dir, "documents")
@@ -66,6 +72,7 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_toxicity": op2_toxicity,
+    "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op6_language_id": op6_language_id,
     "op7_suffix_array_dedup": op7_suffix_array_dedup,
     "op9_byte_bpe": op9_byte_bpe,
