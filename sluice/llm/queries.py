@@ -11,6 +11,7 @@ from .bpe import byte_bpe
 from .common import held_out
 from .decontam import contamination
 from .neardup import near_duplicates
+from .quality import quality_rules
 from .suffix import repeated_substrings
 from .tokencount import token_counts
 from .toxicity import toxicity
@@ -31,6 +32,11 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return contamination(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts of every text, and whether it is close to a language's character and word histograms."""
+    return quality_rules(load(spark, sf_dir, "documents"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every text by naive Bayes, learned outside the held-out fold."""
     docs = load(spark, sf_dir, "documents")
@@ -73,6 +79,7 @@ QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_toxicity": op2_toxicity,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
+    "op5_quality_rules": op5_quality_rules,
     "op6_language_id": op6_language_id,
     "op7_suffix_array_dedup": op7_suffix_array_dedup,
     "op9_byte_bpe": op9_byte_bpe,
