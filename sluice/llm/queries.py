@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.testdata import load
-from . import langid
+from . import htmlcrf, langid
 from .bpe import byte_bpe
 from .common import held_out
 from .decontam import contamination
@@ -52,6 +52,13 @@ def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page by a CRF over its leaf blocks."""
+    pages = load(spark, sf_dir, "pages")
+    out = htmlcrf.extract(pages, htmlcrf.train(pages))
+    return out.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def _tokenizer_file(name: str) -> bytes:
     """A public vocabulary, read on the driver (fixed size)."""
     import public_tokenizers
@@ -82,6 +89,7 @@ QUERIES = {
     "op5_quality_rules": op5_quality_rules,
     "op6_language_id": op6_language_id,
     "op7_suffix_array_dedup": op7_suffix_array_dedup,
+    "op8_html_extraction": op8_html_extraction,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
