@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, blocks, mix, pick, salts, table_bytes, utf8, word_table
+from .common import Words, blocks, mix, pick, salts, ship, table_bytes, utf8, word_table
 
 K = 5
 _U = np.uint64
@@ -180,38 +180,55 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, percent: int = 80, r
                   item_text_col: str = "text") -> DataFrame:
     """One row for each document and item with a window of similarity >= percent / 100: doc_id, item_id,
     similarity (of the best window, the first of equals), first_word (0-based), n_words."""
-    spark = docs.sparkSession
     texts = pick(docs, id=id_col, text=text_col).select(F.col("id").cast("long").alias("id"), "text")
-    items = (pick(benchmark, item=item_col, text=item_text_col).where("text is not null")
-             .select(F.col("item").cast("long").alias("item"), "text").distinct())
-    n_blocks = max(1, math.ceil(items.count() / block))
     found = None
-    for i in range(n_blocks):
-        part = items if n_blocks == 1 else items.where(F.pmod(F.xxhash64("item", "text"), F.lit(n_blocks)) == i)
-        one = _pass(spark, texts, part.orderBy("item", "text").toArrow(), percent, radius)
+    for shared in _blocks(benchmark, block, item_col, item_text_col):
+        def run(batches, shared=shared):
+            index, ids = _index(shared.value, percent, radius)
+            for batch in batches:
+                data, off = utf8(batch.column("text"))
+                doc_id = batch.column("id")
+                for a, b in blocks(off):
+                    rows = [(doc_id[a + d].as_py(), ids[i], sim, first, n)
+                            for d, i, sim, first, n in index.hits(data[off[a]:off[b]], off[a:b + 1] - off[a])]
+                    if rows:
+                        c = list(zip(*rows))
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(c[0], pa.int64()), pa.array(c[1], pa.int64()), pa.array(c[2], pa.float64()),
+                             pa.array(c[3], pa.int32()), pa.array(c[4], pa.int32())],
+                            names=[x.split()[0] for x in _HITS.split(", ")])
+        one = texts.mapInArrow(run, _HITS)
         found = one if found is None else found.union(one)
     return found
 
 
-def _pass(spark, texts: DataFrame, items: pa.Table, percent: int, radius: int) -> DataFrame:
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, items.schema) as w:
-        w.write_table(items)
-    shared = table_bytes(spark, sink.getvalue().to_pybytes())
-
-    def run(batches):
-        index, ids = _index(shared.value, percent, radius)
-        for batch in batches:
-            data, off = utf8(batch.column("text"))
-            doc_id = batch.column("id")
-            for a, b in blocks(off):
-                rows = [(doc_id[a + d].as_py(), ids[i], sim, first, n)
-                        for d, i, sim, first, n in index.hits(data[off[a]:off[b]], off[a:b + 1] - off[a])]
-                if rows:
-                    c = list(zip(*rows))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(c[0], pa.int64()), pa.array(c[1], pa.int64()), pa.array(c[2], pa.float64()),
-                         pa.array(c[3], pa.int32()), pa.array(c[4], pa.int32())],
-                        names=[x.split()[0] for x in _HITS.split(", ")])
-
-    return texts.mapInArrow(run, _HITS)
+def decontaminated(docs: DataFrame, benchmark: DataFrame, *, percent: int = 80, radius: int = 24, block: int = 20_000,
+                   text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """The rows of docs, all columns, without those that `contamination` finds (no shuffle)."""
+    ship(docs.sparkSession)
+    for shared in _blocks(benchmark, block, item_col, item_text_col):
+        def run(batches, shared=shared):
+            index, _ = _index(shared.value, percent, radius)
+            for batch in batches:
+                data, off = utf8(batch.column(text_col))
+                clean = np.ones(batch.num_rows, bool)
+                for a, b in blocks(off):
+                    for d, *_ in index.hits(data[off[a]:off[b]], off[a:b + 1] - off[a]):
+                        clean[a + d] = False
+                yield batch.filter(pa.array(clean))
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs
+
+
+def _blocks(benchmark: DataFrame, block: int, item_col: str, text_col: str):
+    """The benchmark's (item, text) in broadcasts of about `block` items at most."""
+    items = (pick(benchmark, item=item_col, text=text_col).where("text is not null")
+             .select(F.col("item").cast("long").alias("item"), "text").distinct())
+    n = max(1, math.ceil(items.count() / block))
+    for i in range(n):
+        part = items if n == 1 else items.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == i)
+        table = part.orderBy("item", "text").toArrow()
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, table.schema) as w:
+            w.write_table(table)
+        yield table_bytes(benchmark.sparkSession, sink.getvalue().to_pybytes())

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..sources.testdata import load
 from . import htmlcrf, langid
 from .bpe import byte_bpe
+from .chat import link_quotations
 from .common import held_out
 from .decontam import contamination
 from .neardup import near_duplicates
@@ -17,9 +18,16 @@ from .tokencount import token_counts
 from .toxicity import toxicity
 
 
+def tokenizer_file(name: str) -> bytes:
+    """A public vocabulary, read on the driver (fixed size)."""
+    import public_tokenizers
+    with open(public_tokenizers.path(name), "rb") as f:
+        return f.read()
+
+
 def op1_token_counts(spark: SparkSession, sf_dir: str, vocabulary: str = "byte_bpe_50k.json") -> DataFrame:
     """Bytes and tokens of every text, and whether it has more than 1024 tokens."""
-    return token_counts(load(spark, sf_dir, "documents"), _tokenizer_file(vocabulary), limit=1024)
+    return token_counts(load(spark, sf_dir, "documents"), tokenizer_file(vocabulary), limit=1024)
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,6 +40,11 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return contamination(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
 
 
+def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages without quotations, linked to what they quote and in reply order."""
+    return link_quotations(load(spark, sf_dir, "conversations"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts of every text, and whether it is close to a language's character and word histograms."""
     return quality_rules(load(spark, sf_dir, "documents"))
@@ -59,13 +72,6 @@ def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
 
 
-def _tokenizer_file(name: str) -> bytes:
-    """A public vocabulary, read on the driver (fixed size)."""
-    import public_tokenizers
-    with open(public_tokenizers.path(name), "rb") as f:
-        return f.read()
-
-
 def digest_bpe(encoded: DataFrame) -> DataFrame:
     """Token counts and digests of `byte_bpe`'s ids and decoded texts."""
     return encoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
@@ -74,7 +80,7 @@ def digest_bpe(encoded: DataFrame) -> DataFrame:
 
 def op9_byte_bpe(spark: SparkSession, sf_dir: str, vocabulary: str = "byte_bpe_multi_50k.tiktoken") -> DataFrame:
     """Token ids of every text and their decoding, as digests."""
-    return digest_bpe(byte_bpe(load(spark, sf_dir, "documents"), _tokenizer_file(vocabulary)))
+    return digest_bpe(byte_bpe(load(spark, sf_dir, "documents"), tokenizer_file(vocabulary)))
 
 
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,6 +92,7 @@ QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_toxicity": op2_toxicity,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
+    "op4_chat_formatting": op4_chat_formatting,
     "op5_quality_rules": op5_quality_rules,
     "op6_language_id": op6_language_id,
     "op7_suffix_array_dedup": op7_suffix_array_dedup,

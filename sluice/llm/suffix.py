@@ -33,12 +33,16 @@ Extra columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import _power, done, mix, pick, salts, stage, utf8
+from .common import q as q_
 
 _U = np.uint64
 _CODES = (salts(256, 31), salts(256, 32))
@@ -268,17 +272,22 @@ def _halves(length: int, q: int):
     return run
 
 
-def repeated_substrings(docs: DataFrame, *, length: int = 200, q: int = 64,
-                        id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def repeated_substrings(docs: DataFrame, *, length: int = 200, q: int = 64, id_col: str = "doc_id",
+                        text_col: str = "text", extra: Sequence[str] = ()) -> DataFrame:
     """One row per input row: doc_id, n_bytes, spans (array of [start, stop) byte ranges, maximal and
-    ascending), kept (the bytes outside them)."""
+    ascending), kept (the bytes outside them). With `extra` also a struct of the columns it names, and
+    kept_text, the kept bytes as text without what is left of characters that a cut divides."""
     if not 0 < q < length:
         raise ValueError("q must lie between 0 and length")
     spark = docs.sparkSession
     reach = length - q
     raw = pick(docs, id=id_col, text=text_col)
+    more = []
+    if extra:
+        raw = docs.select(q_(id_col).alias("id"), q_(text_col).alias("text"), F.struct(*[q_(c) for c in extra]).alias("extra"))
+        more = ["extra"]
     # a row's key: 64 bits in k and 32 in e, of its id and text
-    texts = raw.select("id", "text", F.xxhash64("id", "text").alias("k"),
+    texts = raw.select("id", "text", *more, F.xxhash64("id", "text").alias("k"),
                        (F.hash("id", "text").cast("long")).alias("e"))
 
     found = texts.select("k", "e", "text").mapInArrow(_find_anchors(length, q), "core long, u long, k long, ep long")
@@ -330,8 +339,11 @@ def repeated_substrings(docs: DataFrame, *, length: int = 200, q: int = 64,
         spans = spans.union(p)
     merged = stage(spans.groupBy("k", "e").agg(F.collect_list(F.struct("start", "stop")).alias("spans")), "merged")
     done(spark, cand, union, ctx)
-    return (texts.join(merged, ["k", "e"], "left").select("id", "text", "spans")
-            .mapInArrow(_cut, "doc_id long, n_bytes long, spans array<struct<start: long, stop: long>>, kept binary"))
+    schema = T._parse_datatype_string("doc_id long, n_bytes long, spans array<struct<start: long, stop: long>>, kept binary")
+    if extra:
+        schema = schema.add(raw.schema["extra"]).add("kept_text", "string")
+    return (texts.join(merged, ["k", "e"], "left").select(F.col("id").cast("long").alias("id"), "text", "spans", *more)
+            .mapInArrow(_cut, schema))
 
 
 def _cut(batches):
@@ -358,6 +370,8 @@ def _cut(batches):
             edge = np.diff(np.concatenate([[0], gone.view(np.int8), [0]]))
             spans.append([{"start": s, "stop": t} for s, t in zip(np.flatnonzero(edge > 0).tolist(),
                                                                   np.flatnonzero(edge < 0).tolist())])
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("id").cast(pa.int64()), pa.array(np.diff(off)), pa.array(spans, pa.list_(pair)),
-             pa.array(kept, pa.binary())], names=["doc_id", "n_bytes", "spans", "kept"])
+        out = {"doc_id": batch.column("id"), "n_bytes": pa.array(np.diff(off)), "spans": pa.array(spans, pa.list_(pair)),
+               "kept": pa.array(kept, pa.binary())}
+        if "extra" in batch.schema.names:
+            out |= {"extra": batch.column("extra"), "kept_text": pa.array([k.decode("utf-8", "ignore") for k in kept], pa.string())}
+        yield pa.RecordBatch.from_arrays(list(out.values()), names=list(out))

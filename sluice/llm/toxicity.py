@@ -7,8 +7,8 @@ from falling below zero, which is where a flexible model would start to overfit:
 
     risk = p * R_pos(+1) + max(0, R_unl(-1) - p * R_pos(-1))
 
-The classifier is linear over hashed words (presence, lower-cased, ASCII punctuation as
-separator), trained in numpy by gradient steps; where the second term is negative its
+The classifier is linear over hashed words and word beginnings of 4 and 5 bytes, which join the
+inflections of a word (presence, lower-cased, ASCII punctuation as separator), trained in numpy by gradient steps; where the second term is negative its
 gradient is reversed, as the method prescribes.
 
 Fitting uses at most `max_positive` confirmed toxic rows and `max_unlabelled` other rows, both
@@ -28,16 +28,27 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, blocks, held_out, pick, q, ship, table_bytes, utf8, word_table
+from .common import Words, blocks, held_out, mix, pick, q, ship, table_bytes, utf8, word_table
 
 BITS = 20
 _TABLE = word_table(punctuation=True)
 
 
 def _features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(document, hashed word) pairs of a block."""
+    """(document, hashed word or word beginning) pairs of a block, in the documents' order."""
     w = Words(data, offsets, _TABLE)
-    return w.doc, (w.hash >> np.uint64(64 - BITS)).astype(np.int64)
+    low = np.concatenate([_TABLE[data], np.zeros(8, np.uint8)]).astype(np.uint64)
+    size, out, docs = w.end - w.start, [w.hash], [w.doc]
+    for n in (4, 5):
+        at = w.start[size > n]
+        code = np.zeros(len(at), np.uint64)
+        for i in range(n):
+            code |= low[at + i] << np.uint64(8 * i)
+        out.append(mix(code + np.uint64(n << 56)))
+        docs.append(w.doc[size > n])
+    doc = np.concatenate(docs)
+    order = np.argsort(doc, kind="stable")
+    return doc[order], (np.concatenate(out)[order] >> np.uint64(64 - BITS)).astype(np.int64)
 
 
 class Model:
@@ -61,9 +72,11 @@ def _contrast(n_pos: np.ndarray, n_unl: np.ndarray, pos: int, unl: int) -> np.nd
 
 
 def fit(pos: list[np.ndarray], unl: list[np.ndarray], prior: float, *, steps: int = 400, rate: float = 0.1,
-        l2: float = 1e-4, z_least: float = 6.0, max_features: int = 4096) -> Model:
+        l2: float = 1e-4, z_least: float = 5.0, max_features: int = 4096,
+        precision: float = 0.75) -> Model:
     """Train on lists of distinct hashed words. Words that do not tell positives from unlabelled rows
-    (|z| < z_least) or occur in few positives (copies of one text would do) have weight 0.
+    (|z| < z_least), occur in few positives (copies of one text would do) or whose unlabelled rows are,
+    by the class prior, not `precision` positive have weight 0.
 
     Last, the decision is put into the widest gap of the unlabelled scores whose rank is within
     half of the class prior, if there is a gap to speak of: estimates of a risk that is a difference
@@ -74,6 +87,8 @@ def fit(pos: list[np.ndarray], unl: list[np.ndarray], prior: float, *, steps: in
     count = [np.bincount(np.concatenate(x), minlength=size) if sum(map(len, x)) else np.zeros(size) for x in (pos, unl)]
     z = np.abs(_contrast(count[0], count[1], len(pos), len(unl)))
     z[count[0] < max(3, 0.01 * len(pos))] = 0
+    # rows with the word that are positive by the prior, against all rows with it (less one deviation)
+    z[prior * count[0] / len(pos) < precision * (count[1] - np.sqrt(count[1])) / len(unl)] = 0
     rank = np.argsort(-z, kind="stable")[:max_features]
     used = np.sort(rank[z[rank] >= z_least])
     if not len(used):
@@ -130,11 +145,11 @@ def _distinct_words(batches):
             edge = np.searchsorted(doc, np.arange(b - a + 1))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("positive").slice(a, b - a),
-                 pa.array([np.unique(f[s:e]) for s, e in zip(edge[:-1], edge[1:])], pa.list_(pa.int64()))],
+                 pa.array([np.unique(f[s:e]).astype(np.int32) for s, e in zip(edge[:-1], edge[1:])], pa.list_(pa.int32()))],
                 names=["positive", "words"])
 
 
-def train(docs: DataFrame, labels: DataFrame, *, max_positive: int = 3000, max_unlabelled: int = 12000,
+def train(docs: DataFrame, labels: DataFrame, *, max_positive: int = 2500, max_unlabelled: int = 10000,
           id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
     """Fit from the training rows (those that `held_out` does not set aside)."""
     texts = pick(docs, id=id_col, text=text_col).where(~held_out(F.col("id")))
@@ -154,7 +169,7 @@ def train(docs: DataFrame, labels: DataFrame, *, max_positive: int = 3000, max_u
     sample = (rows.where(F.col("positive") | other)
               .withColumn("positive", F.explode(F.filter(F.array(F.when(F.col("positive"), True), F.when(other, False)),
                                                          lambda x: x.isNotNull())))
-              .select("positive", "text").mapInArrow(_distinct_words, "positive boolean, words array<long>")
+              .select("positive", "text").mapInArrow(_distinct_words, "positive boolean, words array<int>")
               .limit(2 * (max_positive + max_unlabelled)).toArrow())
     flag = sample.column("positive").to_numpy()
     words = sample.column("words").combine_chunks()
