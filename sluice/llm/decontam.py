@@ -206,18 +206,21 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, *, percent: int = 80,
                    text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """The rows of docs, all columns, without those that `contamination` finds (no shuffle)."""
     ship(docs.sparkSession)
+    names = docs.columns
+    at = names.index(text_col)
+    docs = docs.toDF(*[f"c{i}" for i in range(len(names))])  # any names pass through
     for shared in _blocks(benchmark, block, item_col, item_text_col):
         def run(batches, shared=shared):
             index, _ = _index(shared.value, percent, radius)
             for batch in batches:
-                data, off = utf8(batch.column(text_col))
+                data, off = utf8(batch.column(at))
                 clean = np.ones(batch.num_rows, bool)
                 for a, b in blocks(off):
                     for d, *_ in index.hits(data[off[a]:off[b]], off[a:b + 1] - off[a]):
                         clean[a + d] = False
                 yield batch.filter(pa.array(clean))
         docs = docs.mapInArrow(run, docs.schema)
-    return docs
+    return docs.toDF(*names)
 
 
 def _blocks(benchmark: DataFrame, block: int, item_col: str, text_col: str):

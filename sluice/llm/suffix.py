@@ -282,12 +282,12 @@ def repeated_substrings(docs: DataFrame, *, length: int = 200, q: int = 64, id_c
     spark = docs.sparkSession
     reach = length - q
     raw = pick(docs, id=id_col, text=text_col)
-    more = []
+    passed = []
     if extra:
         raw = docs.select(q_(id_col).alias("id"), q_(text_col).alias("text"), F.struct(*[q_(c) for c in extra]).alias("extra"))
-        more = ["extra"]
+        passed = ["extra"]
     # a row's key: 64 bits in k and 32 in e, of its id and text
-    texts = raw.select("id", "text", *more, F.xxhash64("id", "text").alias("k"),
+    texts = raw.select("id", "text", *passed, F.xxhash64("id", "text").alias("k"),
                        (F.hash("id", "text").cast("long")).alias("e"))
 
     found = texts.select("k", "e", "text").mapInArrow(_find_anchors(length, q), "core long, u long, k long, ep long")
@@ -342,7 +342,7 @@ def repeated_substrings(docs: DataFrame, *, length: int = 200, q: int = 64, id_c
     schema = T._parse_datatype_string("doc_id long, n_bytes long, spans array<struct<start: long, stop: long>>, kept binary")
     if extra:
         schema = schema.add(raw.schema["extra"]).add("kept_text", "string")
-    return (texts.join(merged, ["k", "e"], "left").select(F.col("id").cast("long").alias("id"), "text", "spans", *more)
+    return (texts.join(merged, ["k", "e"], "left").select(F.col("id").cast("long").alias("id"), "text", "spans", *passed)
             .mapInArrow(_cut, schema))
 
 
@@ -357,7 +357,9 @@ def _cut(batches):
         spans, kept = [], []
         for i in range(batch.num_rows):
             doc = data[off[i]:off[i + 1]]
-            a, b = start[first[i]:first[i + 1]], stop[first[i]:first[i + 1]]
+            # of rows that repeat, contexts that the document's ends cut agree too
+            a = np.maximum(start[first[i]:first[i + 1]], 0)
+            b = np.minimum(stop[first[i]:first[i + 1]], len(doc))
             if not len(a):
                 spans.append([])
                 kept.append(doc.tobytes())

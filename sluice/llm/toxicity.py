@@ -181,6 +181,9 @@ def train(docs: DataFrame, labels: DataFrame, *, max_positive: int = 2500, max_u
 def add_scores(df: DataFrame, model: Model, text_col: str = "text", score: str = "score") -> DataFrame:
     """All columns of df and the score of each row's whole text."""
     ship(df.sparkSession)
+    names = df.columns
+    at = names.index(text_col)
+    df = df.toDF(*[f"c{i}" for i in range(len(names))])  # any names pass through
     used = np.flatnonzero(model.weights)
     packed = table_bytes(df.sparkSession, used.astype(np.int64).tobytes() + model.weights[used].tobytes())
     n, bias = len(used), model.bias
@@ -190,13 +193,13 @@ def add_scores(df: DataFrame, model: Model, text_col: str = "text", score: str =
         weights[np.frombuffer(packed.value, np.int64, n)] = np.frombuffer(packed.value, np.float32, n, 8 * n)
         own = Model(weights, bias)
         for batch in batches:
-            data, off = utf8(batch.column(text_col))
+            data, off = utf8(batch.column(at))
             out = [own.scores(data[off[a]:off[b]], off[a:b + 1] - off[a]) for a, b in blocks(off)]
             got = pa.array(np.concatenate(out) if out else np.zeros(0))
             yield pa.RecordBatch.from_arrays([*batch.columns, got], names=[*batch.schema.names, score])
 
     from pyspark.sql import types as T
-    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(score, T.DoubleType())]))
+    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(score, T.DoubleType())])).toDF(*names, score)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **bounds) -> DataFrame:
