@@ -119,3 +119,7 @@ m AS (SELECT a, min(b) AS b FROM r GROUP BY a)
 SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, m.b AS component_id, d.doc_id = m.b AS kept
 FROM documents d JOIN m ON m.a = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id""",
 }
+
+#: Without SQL (trained models, tokenizers, byte windows, window fingerprints, linked quotations):
+#: tests/llm holds these against brute force, libraries or held-out rows.
+NO_SQL = tuple(n for n in QUERIES if n not in ORACLE_SQL)
