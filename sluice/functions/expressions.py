@@ -25,6 +25,21 @@ def year_month_of(run_date: str) -> Column:
     return F.lit(run_date[:6])
 
 
+def date_stamp(c: Column) -> Column:
+    """`yyyyMMdd` of a date or timestamp."""
+    return F.date_format(c, "yyyyMMdd")
+
+
+def minute_stamp(c: Column) -> Column:
+    """`yyyyMMddHHmm` of a date or timestamp."""
+    return F.date_format(c, "yyyyMMddHHmm")
+
+
+def expires(c: Column, hours: float) -> Column:
+    """The timestamp some hours later."""
+    return c + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(hours * 3600))
+
+
 def blank_to_null(c: Column) -> Column:
     """Empty string to NULL (the conflating rule of the dump converter, opt-in here)."""
     return F.when(c == F.lit(""), F.lit(None).cast("string")).otherwise(c)

@@ -2,13 +2,11 @@
 
 Adaptive execution converts a join to a broadcast after both sides' shuffles have run, so
 a large side is shuffled even when the other side turns out tiny. When a side is expected to
-be small (a dimension table, a filtered lookup), `bounded_broadcast` proves it first: it
-takes at most `max_rows + 1` row widths (exact byte length of the variable-width columns plus
-fixed widths) through Spark's incremental take, which scans one partition first and widens
-only while rows are missing, so a large side is rejected after reading about one partition.
-The driver receives at most `max_rows + 1` integers. The side is broadcast only within both
-bounds; otherwise it is returned unchanged and the shuffle join (with AQE skew handling)
-does the work.
+be small (a dimension table, a filtered lookup), `bounded_broadcast` measures it first: one
+aggregate over the side gives its number of rows and their bytes (exact length of the
+variable-width columns plus fixed widths), and one row reaches the driver. The side is broadcast
+only within both bounds; otherwise it is returned unchanged and the shuffle join (with AQE skew
+handling) does the work. Select the needed columns before: only they are measured.
 """
 
 from __future__ import annotations
@@ -33,6 +31,5 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS,
         else:
             fixed += 16 if isinstance(f.dataType, DecimalType) else 8
     width = (sum(var[1:], var[0]) if var else F.lit(0)) + F.lit(fixed + 8)
-    widths = df.select(width.alias("w")).limit(max_rows + 1).collect()
-    small = len(widths) <= max_rows and sum(r["w"] for r in widths) <= max_bytes
-    return F.broadcast(df) if small else df
+    got = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("w")).first()
+    return F.broadcast(df) if got["n"] <= max_rows and got["w"] <= max_bytes else df

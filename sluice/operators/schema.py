@@ -26,10 +26,12 @@ class Drift:
     extra: list[str] = field(default_factory=list)
     partitions_removed: list[str] = field(default_factory=list)
     partitions: list[str] = field(default_factory=list)
+    # the table's own partitioning, where a write asked for another one
+    partitioned_by: list[str] | None = None
 
     @property
     def clean(self) -> bool:
-        return not (self.missing or self.extra or self.partitions_removed)
+        return not (self.missing or self.extra or self.partitions_removed or self.partitioned_by is not None)
 
 
 def _by_lower(names: Sequence[str]) -> dict[str, str]:

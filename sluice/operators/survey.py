@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.expressions import survey_id_expr, year_month_of
@@ -20,7 +20,7 @@ from .numbering import with_row_number
 
 
 def survey_id(df: DataFrame, survey_nr: int | str, run_date: str, *,
-              order: Sequence[OrderItem] | None = None, survey_col: str = "studiennummer",
+              order: Sequence[OrderItem] | None = None, survey_col: str = "survey_nr",
               nr_col: str = "nr", id_col: str = "odl_id", method: str = "range",
               unique_order: bool = False) -> DataFrame:
     """Add `survey_col` (constant), `nr_col` (1..N) and `id_col`.
@@ -36,7 +36,7 @@ def survey_id(df: DataFrame, survey_nr: int | str, run_date: str, *,
     return numbered.withColumn(id_col, survey_id_expr(F.col(survey_col), run_date, F.col(nr_col)))
 
 
-def select_survey(df: DataFrame, survey_nr: int | str, survey_col: str = "studiennummer") -> DataFrame:
+def select_survey(df: DataFrame, survey_nr: int | str, survey_col: str = "survey_nr") -> DataFrame:
     """Rows of one survey (pushed down to the scan as an equality filter)."""
     return df.where(F.col(survey_col) == F.lit(survey_nr))
 
@@ -53,9 +53,13 @@ def survey_selection(feedback: DataFrame, metadata: DataFrame, units: DataFrame,
     the joins shuffle and AQE's skew handling splits a hot key of the feedback side.
     """
     fb = feedback.where(survey_filter)
-    meta = bounded_broadcast(metadata)
+
+    def needed(df: DataFrame, *keys: str) -> DataFrame:
+        names = {c.lower() for c in (*keys, *columns)}
+        return df.select(*[f"`{c}`" for c in df.columns if c.lower() in names])
+    meta = bounded_broadcast(needed(metadata, metadata_key, unit_fk))
     joined = fb.join(meta, fb[feedback_key] == meta[metadata_key], "inner")
-    u = bounded_broadcast(units.where(unit_filter) if unit_filter is not None else units)
+    u = bounded_broadcast(needed(units.where(unit_filter) if unit_filter is not None else units, unit_key))
     joined = joined.join(u, joined[unit_fk] == u[unit_key], "left")
     picked = joined.select(*columns)
     with_ids = survey_id(picked, survey_nr, run_date, order=id_order, id_col=id_col, method=method,
@@ -67,16 +71,25 @@ def run_selection_job(selected: DataFrame, target_table: str, *, survey: str, ru
                       partitions: Sequence[str] = ("year_month",), mode: str = "append",
                       dry_run: bool = False, path: str | None = None) -> DataFrame:
     """Write a selection into its target table (aligned to the table's schema, one write in
-    the given mode) and return the run report. With `dry_run` nothing is written and the
-    report counts the selection itself."""
+    the given mode) and return the run report. Rows are counted by the write's own pass. With
+    `dry_run` nothing is written and the report counts the selection itself."""
     from ..sinks.tables import write_table
-    write_table(selected, target_table, partitions, mode, dry_run=dry_run, path=path)
-    return run_summary(selected, survey, run_date, mode, "Dry run" if dry_run else "Completed")
+    if dry_run:
+        write_table(selected, target_table, partitions, mode, dry_run=True, path=path)
+        return run_summary(selected, survey, run_date, mode, "Dry run", table=target_table)
+    seen = Observation()
+    write_table(selected.observe(seen, F.count(F.lit(1)).alias("amount")), target_table, partitions, mode, path=path)
+    spark = selected.sparkSession
+    return _report(spark.createDataFrame([(seen.get["amount"],)], "amount long"), survey, run_date, mode, "Completed", target_table)
 
 
 def run_summary(df: DataFrame, survey: str, run_date: str, mode: str,
-                status: str = "Completed") -> DataFrame:
+                status: str = "Completed", *, table: str | None = None) -> DataFrame:
     """One-row report of a run: rows counted by an aggregate, the rest literal."""
-    return df.agg(F.count(F.lit(1)).alias("amount")).select(
-        F.lit(survey).alias("survey"), F.col("amount"), F.lit(run_date).alias("run_date"),
-        F.lit(mode).alias("mode"), F.lit(status).alias("status"))
+    return _report(df.agg(F.count(F.lit(1)).alias("amount")), survey, run_date, mode, status, table)
+
+
+def _report(counted: DataFrame, survey: str, run_date: str, mode: str, status: str, table: str | None) -> DataFrame:
+    return counted.select(
+        F.lit(survey).alias("survey"), F.lit(table).cast("string").alias("table_name"), F.col("amount"),
+        F.lit(run_date).alias("run_date"), F.lit(mode).alias("mode"), F.lit(status).alias("status"))

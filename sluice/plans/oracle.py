@@ -11,7 +11,7 @@ ORACLE_SQL: dict[str, str] = {
         SELECT c_name FROM customer WHERE c_mktsegment = 'BUILDING'
         ORDER BY c_name NULLS FIRST LIMIT 100""",
     "append_constant": """
-        SELECT o_orderkey, 4100 AS studiennummer FROM orders""",
+        SELECT o_orderkey, 4100 AS survey_nr FROM orders""",
     "distinct_values": """
         SELECT DISTINCT event_type FROM events""",
     "global_row_number": """
@@ -19,10 +19,18 @@ ORACLE_SQL: dict[str, str] = {
             o_orderstatus DESC NULLS LAST, o_totalprice DESC NULLS LAST,
             o_orderdate DESC NULLS LAST, o_orderpriority DESC NULLS LAST) AS nr
         FROM orders""",
+    "row_number_wide": """
+        SELECT doc_id, lang, source, n_chars, row_number() OVER (ORDER BY lang NULLS FIRST, doc_id NULLS FIRST,
+            text NULLS FIRST, source NULLS FIRST, n_chars NULLS FIRST) AS nr
+        FROM documents""",
+    "date_expressions": """
+        SELECT o_orderkey, strftime(o_orderdate, '%Y%m%d') AS day_stamp,
+               strftime(o_orderdate, '%Y%m%d%H%M') AS minute_stamp, o_orderdate + INTERVAL 48 HOURS AS expires
+        FROM orders""",
     "survey_id": """
-        SELECT o_orderkey, o_custkey, o_orderstatus, studiennummer, nr,
-               '1' || CAST(studiennummer AS VARCHAR) || '20221125' || CAST(nr + 100000 AS VARCHAR) AS odl_id
-        FROM (SELECT o_orderkey, o_custkey, o_orderstatus, 4100 AS studiennummer,
+        SELECT o_orderkey, o_custkey, o_orderstatus, survey_nr, nr,
+               '1' || CAST(survey_nr AS VARCHAR) || '20221125' || CAST(nr + 100000 AS VARCHAR) AS odl_id
+        FROM (SELECT o_orderkey, o_custkey, o_orderstatus, 4100 AS survey_nr,
                      row_number() OVER (ORDER BY o_orderkey DESC NULLS LAST, o_custkey DESC NULLS LAST,
                                         o_orderstatus DESC NULLS LAST) AS nr
               FROM orders)""",
@@ -66,16 +74,25 @@ ORACLE_SQL.update({
         UNION ALL SELECT 'c_mktsegment', 'extra', count(c_mktsegment) FROM customer
         UNION ALL SELECT 'c_mktsegment', 'partition_removed', count(c_mktsegment) FROM customer""",
     "run_summary": """
-        SELECT 'TEXT_CHAT_4100' AS survey, count(*) AS amount, '20221125' AS run_date,
-               'append' AS mode, 'Completed' AS status
+        SELECT 'RUN_4100' AS survey, 'sluice_scratch.sl_survey_run' AS table_name, count(*) AS amount,
+               '20221125' AS run_date, 'append' AS mode, 'Completed' AS status, count(*) AS held
         FROM orders JOIN customer ON o_custkey = c_custkey
         WHERE o_orderstatus = 'F'""",
+    "write_dry_run": """
+        SELECT 'RUN_4100' AS survey, 'sluice_scratch.sl_dry_run' AS table_name, count(*) AS amount,
+               '20221125' AS run_date, 'overwrite' AS mode, 'Dry run' AS status,
+               count(*) FILTER (WHERE n.n_name IS NULL) AS held
+        FROM orders JOIN customer ON o_custkey = c_custkey
+        LEFT JOIN (SELECT * FROM nation WHERE n_regionkey = 1) n ON c_nationkey = n.n_nationkey
+        WHERE o_orderstatus = 'F'""",
     "view_like_filter": """
         SELECT p_partkey, p_name, p_brand, p_size FROM part WHERE p_type LIKE 'S%'""",
     "scan_catalog": "SELECT * FROM orders",
     "write_partitioned": "SELECT * FROM orders",
     "write_append": "SELECT * FROM orders",
     "write_truncate_load": "SELECT * FROM orders",
+    "write_truncate_load_external": "SELECT * FROM orders",
+    "write_overwrite": "SELECT * FROM orders WHERE o_orderpriority <> '1-URGENT'",
     "write_dynamic_overwrite": """
         SELECT o_orderkey, o_custkey, o_orderstatus,
                CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN o_totalprice * 2
@@ -83,6 +100,12 @@ ORACLE_SQL.update({
                o_orderdate, o_orderpriority
         FROM orders""",
     "load_csv": "SELECT * FROM events",
+    "load_csv_text": "SELECT * FROM documents",
+    "load_csv_inferred": "SELECT * FROM lineitem",
+    "load_csv_blank_null": """
+        SELECT c_custkey, CASE WHEN c_mktsegment = 'BUILDING' THEN NULL ELSE c_name END AS c_name,
+               c_nationkey, c_acctbal, c_mktsegment
+        FROM customer""",
     "load_json": "SELECT * FROM events",
     "load_sql_dump": "SELECT * FROM documents",
     "stream_dump_ingest": "SELECT * FROM documents",
@@ -94,8 +117,7 @@ ORACLE_SQL.update({
 def _synth_sql() -> dict[str, str]:
     from ..operators.synth import (PERM_MULTIPLIER_MAX, SECONDS_PER_STEP, STEP_MIN, STEP_SPAN,
                                    STRING_LEN, perm_offset)
-    from .queries import (MEDIA_TYPES, ORDER_STATUSES, SURVEY_NRS, SYNTH_BASE_TS, SYNTH_SEED,
-                          SYNTH_STAMP)
+    from .queries import SYNTH_BASE_TS, SYNTH_SEED, SYNTH_STAMP
 
     def h(name):
         return f"md5(concat_ws('|', '{SYNTH_SEED}', '{name}', CAST(id AS VARCHAR)))"
@@ -103,9 +125,9 @@ def _synth_sql() -> dict[str, str]:
     def x(name):
         return f"('0x' || substr({h(name)}, 13, 8))::BIGINT"
 
-    def choice(name, values):
-        lst = "[" + ", ".join(f"'{v}'" for v in values) + "]"
-        return f"{lst}[{x(name)} % {len(values)} + 1]"
+    def choice(name, table, column=None):
+        values = f"(SELECT list(v ORDER BY v) FROM (SELECT DISTINCT {column or name} AS v FROM {table}) WHERE v IS NOT NULL)"
+        return f"{values}[{x(name)} % len({values}) + 1]"
 
     def string(name):
         return f"lpad(to_base(('0x' || substr({h(name)}, 1, 12))::BIGINT, 36), {STRING_LEN}, '0')"
@@ -119,6 +141,12 @@ def _synth_sql() -> dict[str, str]:
         return (f"concat_ws('_', '{prefix}', '{SYNTH_STAMP}', CAST((CAST({PERM_MULTIPLIER_MAX} AS HUGEINT) * id"
                 f" + {perm_offset(prefix, SYNTH_SEED)}) % ({n_sql}) AS VARCHAR))")
 
+    whole = ["l_orderkey", "l_partkey", "l_suppkey"]
+    tenths = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+    columns = ([f"{x(c)} % 1000000 AS {c}" for c in whole] + [f"CAST({x('l_linenumber')} % 1000 AS INTEGER) AS l_linenumber"]
+               + [f"({x(c)} % 1000000) / CAST(100.0 AS DOUBLE) AS {c}" for c in tenths]
+               + [f"{string(c)} AS {c}" for c in ("l_returnflag", "l_linestatus")] + [f"{ts('l_shipdate')} AS l_shipdate"])
+
     def ids(table):
         return f"(SELECT row_number() OVER () - 1 AS id FROM {table})"
 
@@ -126,22 +154,25 @@ def _synth_sql() -> dict[str, str]:
         "synth_table": f"""
             SELECT {x('o_orderkey')} % 1000000 AS o_orderkey,
                    {x('o_custkey')} % 1000000 AS o_custkey,
-                   {choice('o_orderstatus', ORDER_STATUSES)} AS o_orderstatus,
+                   {choice('o_orderstatus', 'orders')} AS o_orderstatus,
                    ({x('o_totalprice')} % 1000000) / CAST(100.0 AS DOUBLE) AS o_totalprice,
                    {ts('o_orderdate')} AS o_orderdate,
                    {string('o_orderpriority')} AS o_orderpriority
             FROM {ids('orders')}""",
+        "synth_lineitem": f"""
+            SELECT {", ".join(columns)}
+            FROM {ids('lineitem')}""",
         "synth_keys": f"""
-            SELECT {key('interac', 'SELECT count(*) FROM customer')} AS c_name,
+            SELECT {key('party', 'SELECT count(*) FROM customer')} AS c_name,
                    {x('c_custkey')} % 1000000 AS c_custkey,
-                   {key('sdom', 'SELECT count(*) FROM customer')} AS eun_uni_id_ps,
-                   {choice('media_type', MEDIA_TYPES)} AS media_type
+                   {x('s_suppkey')} % 1000000 AS s_suppkey
             FROM {ids('customer')}""",
         "synth_choice": f"""
-            SELECT {choice('studiennummer', SURVEY_NRS)} AS studiennummer,
-                   CAST(NULL AS VARCHAR) AS odl_id_ps,
-                   {choice('media_type', MEDIA_TYPES)} AS media_type
-            FROM {ids('lineitem')}""",
+            SELECT {x('c_custkey')} % 1000000 AS c_custkey, CAST(NULL AS VARCHAR) AS c_name,
+                   {choice('c_nationkey', 'nation', 'n_nationkey')} AS c_nationkey,
+                   ({x('c_acctbal')} % 1000000) / CAST(100.0 AS DOUBLE) AS c_acctbal,
+                   {choice('c_mktsegment', 'customer')} AS c_mktsegment
+            FROM {ids('customer')}""",
     }
 
 

@@ -12,7 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from ..functions.expressions import date_stamp, expires, minute_stamp
 from ..functions.joins import bounded_broadcast
+from ..functions.ordering import Desc
 from ..operators.numbering import with_row_number, zip_by_position
 from ..operators.schema import align_to, drift_report
 from ..operators.survey import run_selection_job, run_summary as _run_summary
@@ -43,7 +45,7 @@ def filter_eq_limit(spark: SparkSession, sf: str) -> DataFrame:
 
 def append_constant(spark: SparkSession, sf: str) -> DataFrame:
     """Constant column next to a projection."""
-    return load(spark, sf, "orders").select("o_orderkey", F.lit(SURVEY_NR).alias("studiennummer"))
+    return load(spark, sf, "orders").select("o_orderkey", F.lit(SURVEY_NR).alias("survey_nr"))
 
 
 def distinct_values(spark: SparkSession, sf: str) -> DataFrame:
@@ -54,13 +56,26 @@ def distinct_values(spark: SparkSession, sf: str) -> DataFrame:
 def global_row_number(spark: SparkSession, sf: str) -> DataFrame:
     """Row number over all columns descending, without a single-partition window."""
     orders = load(spark, sf, "orders")
-    return with_row_number(orders, [F.col(c).desc_nulls_last() for c in orders.columns], "nr")
+    return with_row_number(orders, [Desc(c) for c in orders.columns], "nr")
+
+
+def row_number_wide(spark: SparkSession, sf: str) -> DataFrame:
+    """documents numbered by language: wide rows, four values, ties broken by the other columns."""
+    return with_row_number(load(spark, sf, "documents"), ["lang"], "nr").drop("text")
+
+
+def date_expressions(spark: SparkSession, sf: str) -> DataFrame:
+    """Order dates as yyyyMMdd and yyyyMMddHHmm stamps, and an expiry 48 hours later."""
+    orders = load(spark, sf, "orders")
+    return orders.select("o_orderkey", date_stamp(F.col("o_orderdate")).alias("day_stamp"),
+                         minute_stamp(F.col("o_orderdate")).alias("minute_stamp"),
+                         expires(F.col("o_orderdate"), 48).alias("expires"))
 
 
 def survey_id_query(spark: SparkSession, sf: str) -> DataFrame:
     """Survey ids over a projection of orders, numbered by all columns descending."""
     base = load(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
-    return survey_id(base, SURVEY_NR, RUN_DATE)
+    return survey_id(base, SURVEY_NR, RUN_DATE, survey_col="survey_nr")
 
 
 def positional_zip(spark: SparkSession, sf: str) -> DataFrame:
@@ -114,19 +129,35 @@ def schema_drift(spark: SparkSession, sf: str) -> DataFrame:
 # selection does not produce, partitioned by year_month.
 RUN_TARGET = StructType([StructField("O_ORDERKEY", LongType()), StructField("o_custkey", LongType()),
                          StructField("c_mktsegment", StringType()), StructField("n_name", StringType()),
-                         StructField("odl_id", StringType()), StructField("antwortart", StringType()),
+                         StructField("odl_id", StringType()), StructField("remark", StringType()),
                          StructField("year_month", StringType())])
 
 
 def run_summary(spark: SparkSession, sf: str) -> DataFrame:
     """The whole run: selection -> aligned append into an existing partitioned target ->
-    report. The report counts what the target table holds afterwards."""
+    report, counted by the write; with it what the target holds afterwards."""
     target = scratch_table(spark, "sl_survey_run")
     write_table(spark.createDataFrame([], RUN_TARGET), target, ["year_month"], "append",
                 path=scratch_path(spark, "table"))
-    run_selection_job(survey_selection(spark, sf), target, survey=f"TEXT_CHAT_{SURVEY_NR}",
-                      run_date=RUN_DATE)
-    return _run_summary(read_table(spark, target), f"TEXT_CHAT_{SURVEY_NR}", RUN_DATE, "append")
+    report = run_selection_job(survey_selection(spark, sf), target, survey=f"RUN_{SURVEY_NR}", run_date=RUN_DATE)
+    held = read_table(spark, target).agg(F.count(F.lit(1)).alias("held"))
+    return report.crossJoin(held).withColumn("table_name", _base_name(F.col("table_name")))  # two one-row frames
+
+
+def _base_name(name):
+    """A scratch table's name without its random end."""
+    return F.regexp_replace(name, "_[0-9a-f]{10}$", "")
+
+
+def write_dry_run(spark: SparkSession, sf: str) -> DataFrame:
+    """A dry run reports the selection and leaves the target as it was."""
+    target = scratch_table(spark, "sl_dry_run")
+    write_table(survey_selection(spark, sf).where("n_name IS NULL"), target, ["year_month"], "append",
+                path=scratch_path(spark, "table"))
+    report = run_selection_job(survey_selection(spark, sf), target, survey=f"RUN_{SURVEY_NR}", run_date=RUN_DATE,
+                               mode="overwrite", dry_run=True)
+    held = read_table(spark, target).agg(F.count(F.lit(1)).alias("held"))
+    return report.crossJoin(held).withColumn("table_name", _base_name(F.col("table_name")))  # two one-row frames
 
 
 def view_like_filter(spark: SparkSession, sf: str) -> DataFrame:
@@ -137,7 +168,7 @@ def view_like_filter(spark: SparkSession, sf: str) -> DataFrame:
     return create_view(spark, view,
                        f"SELECT p_partkey, p_name, p_brand, p_size FROM {src} WHERE p_type LIKE 'S%'",
                        description="parts whose type starts with S", friendly_name="parts_s",
-                       labels=[("org_unit", "development")], expire_hours=48)
+                       labels=[("table", "part")], expire_hours=48)
 
 
 def scan_catalog(spark: SparkSession, sf: str) -> DataFrame:
@@ -170,13 +201,30 @@ def write_append(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def write_truncate_load(spark: SparkSession, sf: str) -> DataFrame:
-    """Table holding old rows is truncated and loaded with the whole orders table."""
+    """Managed table holding old rows is truncated and loaded with the whole orders table."""
+    orders = load(spark, sf, "orders")
+    name = scratch_table(spark, "sl_orders_m")
+    write_table(orders.where(F.col("o_orderstatus") == "P"), name, ["o_orderpriority"], "append")
+    write_table(orders, name, ["o_orderpriority"], "truncate_load")
+    return read_table(spark, name)
+
+
+def write_truncate_load_external(spark: SparkSession, sf: str) -> DataFrame:
+    """External tables cannot be truncated: the whole overwrite gives the same rows."""
     orders = load(spark, sf, "orders")
     name = _orders_table(spark, sf, orders.where(F.col("o_orderstatus") == "P"))
     write_table(orders, name, ["o_orderpriority"], "truncate_load")
     return read_table(spark, name)
 
 
+def write_overwrite(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole table is replaced, also partitions that the new rows lack."""
+    orders = load(spark, sf, "orders")
+    name = _orders_table(spark, sf)
+    write_table(orders.where(F.col("o_orderpriority") != "1-URGENT"), name, ["o_orderpriority"], "overwrite")
+    return read_table(spark, name)
+
+
 def write_dynamic_overwrite(spark: SparkSession, sf: str) -> DataFrame:
     """Only the partitions present in the new frame are replaced."""
     orders = load(spark, sf, "orders")
@@ -199,11 +247,35 @@ def load_csv(spark: SparkSession, sf: str) -> DataFrame:
     return read_table(spark, table)
 
 
+def load_csv_text(spark: SparkSession, sf: str) -> DataFrame:
+    """documents (line breaks, quotes, blanks at the ends) written as CSV and loaded."""
+    docs = load(spark, sf, "documents")
+    path = scratch_path(spark, "csv")
+    write_csv(docs, path)
+    return read_csv(spark, path, docs.schema)
+
+
+def load_csv_inferred(spark: SparkSession, sf: str) -> DataFrame:
+    """lineitem written as CSV and loaded with inferred types."""
+    path = scratch_path(spark, "csv")
+    write_csv(load(spark, sf, "lineitem"), path)
+    return read_csv(spark, path, multiline=False)
+
+
+def load_csv_blank_null(spark: SparkSession, sf: str) -> DataFrame:
+    """Empty strings loaded as NULL on request (customer names of one segment emptied)."""
+    path = scratch_path(spark, "csv")
+    customer = load(spark, sf, "customer")
+    emptied = F.when(F.col("c_mktsegment") == "BUILDING", F.lit("")).otherwise(F.col("c_name"))
+    write_csv(customer.withColumn("c_name", emptied), path)
+    return read_csv(spark, path, customer.schema, empty_as_null=True)
+
+
 def load_json(spark: SparkSession, sf: str) -> DataFrame:
     """events written as JSON-array files, read back with its schema."""
     events = load(spark, sf, "events")
     path = scratch_path(spark, "json")
-    write_json_array(events, path, rows_per_file=2000)
+    write_json_array(events, path, bytes_per_file=8 << 20)
     return read_json_array(spark, path, events.schema)
 
 
@@ -233,42 +305,48 @@ def stream_dump_ingest(spark: SparkSession, sf: str) -> DataFrame:
 SYNTH_SEED = 42
 SYNTH_STAMP = "202211251200"
 SYNTH_BASE_TS = "2022-11-25 12:00:00"
-ORDER_STATUSES = ["F", "O", "P"]
-SURVEY_NRS = ["4100", "4201", "4202"]
-MEDIA_TYPES = ["Android", "iOS"]
+
+
+def _values(df: DataFrame, column: str, most: int = 100) -> list:
+    """The distinct values of a column with few of them, sorted (an error beyond `most`)."""
+    rows = df.select(column).where(F.col(column).isNotNull()).distinct().limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"{column} has more than {most} values")
+    return sorted(r[0] for r in rows)
 
 
 def synth_table(spark: SparkSession, sf: str) -> DataFrame:
-    """As many generated rows as orders has, in orders' schema."""
+    """As many generated rows as orders has, in orders' schema, the status one of its values."""
     orders = load(spark, sf, "orders")
     return _synth_table(spark, orders.schema, orders.count(),
-                        choices={"o_orderstatus": ORDER_STATUSES}, seed=SYNTH_SEED,
+                        choices={"o_orderstatus": _values(orders, "o_orderstatus")}, seed=SYNTH_SEED,
                         stamp=SYNTH_STAMP, base_ts=SYNTH_BASE_TS)
 
 
+def synth_lineitem(spark: SparkSession, sf: str) -> DataFrame:
+    """As many generated rows as lineitem has, in its schema (integers, decimals, dates)."""
+    lineitem = load(spark, sf, "lineitem")
+    return _synth_table(spark, lineitem.schema, lineitem.count(), seed=SYNTH_SEED, stamp=SYNTH_STAMP,
+                        base_ts=SYNTH_BASE_TS)
+
+
 def synth_keys(spark: SparkSession, sf: str) -> DataFrame:
-    """Two generated tables sharing a key prefix join 1:1 on the key."""
-    customer = load(spark, sf, "customer")
+    """Generated customers and suppliers that share a key prefix join 1:1 on the key."""
+    customer, supplier = load(spark, sf, "customer"), load(spark, sf, "supplier")
     n = customer.count()
-    feedback = _synth_table(spark, customer.schema, n, keys={"c_name": "interac"},
-                            seed=SYNTH_SEED, stamp=SYNTH_STAMP, base_ts=SYNTH_BASE_TS)
-    meta_schema = StructType([StructField("interaction_id_ps", StringType()),
-                              StructField("eun_uni_id_ps", StringType()),
-                              StructField("media_type", StringType())])
-    meta = _synth_table(spark, meta_schema, n, keys={"interaction_id_ps": "interac", "eun_uni_id_ps": "sdom"},
-                        choices={"media_type": MEDIA_TYPES}, seed=SYNTH_SEED, stamp=SYNTH_STAMP,
-                        base_ts=SYNTH_BASE_TS)
-    return (feedback.join(meta, feedback.c_name == meta.interaction_id_ps, "inner")
-            .select("c_name", "c_custkey", "eun_uni_id_ps", "media_type"))
+    left = _synth_table(spark, customer.schema, n, keys={"c_name": "party"}, seed=SYNTH_SEED,
+                        stamp=SYNTH_STAMP, base_ts=SYNTH_BASE_TS)
+    right = _synth_table(spark, supplier.schema, n, keys={"s_name": "party"}, seed=SYNTH_SEED,
+                         stamp=SYNTH_STAMP, base_ts=SYNTH_BASE_TS)
+    return left.join(right, left.c_name == right.s_name, "inner").select("c_name", "c_custkey", "s_suppkey")
 
 
 def synth_choice(spark: SparkSession, sf: str) -> DataFrame:
-    """Fixed-choice and constant-NULL columns for as many rows as lineitem has."""
-    n = load(spark, sf, "lineitem").count()
-    schema = StructType([StructField("studiennummer", StringType()), StructField("odl_id_ps", StringType()),
-                         StructField("media_type", StringType())])
-    return _synth_table(spark, schema, n, choices={"studiennummer": SURVEY_NRS, "odl_id_ps": None,
-                                                   "media_type": MEDIA_TYPES}, seed=SYNTH_SEED)
+    """customer's schema with columns drawn from given tables' distinct values, and a NULL column."""
+    customer = load(spark, sf, "customer")
+    return _synth_table(spark, customer.schema, customer.count(), choices={
+        "c_mktsegment": _values(customer, "c_mktsegment"), "c_nationkey": _values(load(spark, sf, "nation"), "n_nationkey"),
+        "c_name": None}, seed=SYNTH_SEED, stamp=SYNTH_STAMP, base_ts=SYNTH_BASE_TS)
 
 
 QUERIES: dict[str, QueryFn] = {
@@ -276,6 +354,8 @@ QUERIES: dict[str, QueryFn] = {
     "append_constant": append_constant,
     "distinct_values": distinct_values,
     "global_row_number": global_row_number,
+    "row_number_wide": row_number_wide,
+    "date_expressions": date_expressions,
     "survey_id": survey_id_query,
     "positional_zip": positional_zip,
     "join_chain": join_chain,
@@ -288,12 +368,19 @@ QUERIES: dict[str, QueryFn] = {
     "write_partitioned": write_partitioned,
     "write_append": write_append,
     "write_truncate_load": write_truncate_load,
+    "write_truncate_load_external": write_truncate_load_external,
+    "write_overwrite": write_overwrite,
+    "write_dry_run": write_dry_run,
     "write_dynamic_overwrite": write_dynamic_overwrite,
     "load_csv": load_csv,
+    "load_csv_text": load_csv_text,
+    "load_csv_inferred": load_csv_inferred,
+    "load_csv_blank_null": load_csv_blank_null,
     "load_json": load_json,
     "load_sql_dump": load_sql_dump,
     "stream_dump_ingest": stream_dump_ingest,
     "synth_table": synth_table,
+    "synth_lineitem": synth_lineitem,
     "synth_keys": synth_keys,
     "synth_choice": synth_choice,
 }

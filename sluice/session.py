@@ -10,7 +10,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import time
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -46,7 +48,9 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8, app: s
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    """One JVM: `local` or `local[...]`. `local-cluster[...]` has executors of their own."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -78,9 +82,57 @@ def checkpoint_root(spark: SparkSession) -> str:
     return ensure_checkpoint_dir(spark).rstrip("/")
 
 
+_made: list[str] = []  # scratch paths of this process that are not released yet
+
+
 def scratch_path(spark: SparkSession, kind: str) -> str:
-    """A fresh, unique path under the shared checkpoint folder."""
-    return f"{checkpoint_root(spark)}/sluice-{kind}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique path under the shared checkpoint folder; `release` removes it."""
+    path = f"{checkpoint_root(spark)}/sluice-{kind}-{uuid.uuid4().hex[:12]}"
+    _made.append(path)
+    return path
+
+
+def _hadoop(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def release(spark: SparkSession, *paths: str) -> None:
+    """Delete scratch paths (all that this process made, if none is named). Call it when what was
+    derived from them has been written or is no longer needed."""
+    for path in paths or tuple(_made):
+        fs, p = _hadoop(spark, path)
+        fs.delete(p, True)
+        if path in _made:
+            _made.remove(path)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Scratch paths made inside the block are deleted at its end: consume results (write or
+    collect them) inside."""
+    before = set(_made)
+    try:
+        yield
+    finally:
+        mine = [p for p in _made if p not in before]
+        if mine:
+            release(spark, *mine)
+
+
+def expire_scratch(spark: SparkSession, older_than_hours: float) -> list[str]:
+    """Delete leftovers (of failed or forgotten jobs) under the checkpoint folder that have not
+    changed for so long; returns their paths. Stream checkpoints are kept."""
+    fs, root = _hadoop(spark, checkpoint_root(spark))
+    if not fs.exists(root):
+        return []
+    limit, gone = time.time() * 1000 - older_than_hours * 3_600_000, []
+    for st in fs.listStatus(root):
+        name = st.getPath().getName()
+        if name.startswith("sluice-") and not name.startswith("sluice-stream-") and st.getModificationTime() < limit:
+            fs.delete(st.getPath(), True)
+            gone.append(str(st.getPath().toString()))
+    return gone
 
 
 def unique_name(prefix: str) -> str:

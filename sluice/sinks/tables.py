@@ -5,7 +5,8 @@ Modes
 - "overwrite"            replace the whole table.
 - "overwrite_partitions" replace only the partitions present in the frame (dynamic overwrite).
 - "truncate_load"        empty the table (TRUNCATE TABLE), then insert; if the table type
-                         cannot be truncated, a full overwrite gives the same end state.
+                         cannot be truncated, a full overwrite gives the same end state. A frame
+                         that reads the table itself is refused before anything is emptied.
 
 An existing table's schema wins: the frame is aligned to it first (case-insensitive names,
 missing -> typed NULL, extra -> dropped, target order) and inserted by position.
@@ -18,8 +19,10 @@ sending it to one task, and merges small ones.
 from __future__ import annotations
 
 import logging
+import re
 from collections.abc import Sequence
 from contextlib import contextmanager
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -54,6 +57,18 @@ def _session_conf(spark: SparkSession, key: str, value: str):
             spark.conf.set(key, old)
 
 
+def reads_table(df: DataFrame, table: str) -> bool:
+    """Whether the frame reads files of the table (by file names, whatever the read is called)."""
+    spark = df.sparkSession
+    found = [r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect() if r["col_name"] == "Location"]
+    if not found:
+        return False
+
+    def bare(path: str) -> str:
+        return re.sub(r"^file:/*", "/", unquote(path)).rstrip("/") + "/"
+    return any(bare(f).startswith(bare(found[0])) for f in df.inputFiles())
+
+
 def _rebalanced(df: DataFrame, partitions: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *partitions) if partitions else df
 
@@ -93,6 +108,9 @@ def write_table(df: DataFrame, table: str, partitions: Sequence[str] = (), mode:
     if drift.partitions_removed:
         log.warning("%s: partition columns not in the table are ignored: %s", table, drift.partitions_removed)
     table_parts = partition_columns(spark, table)
+    if partitions and [p.lower() for p in drift.partitions] != [p.lower() for p in table_parts]:
+        drift.partitioned_by = table_parts
+        log.warning("%s is partitioned by %s; the requested partitioning %s is not used", table, table_parts, list(partitions))
     if mode == "overwrite_partitions" and not table_parts:
         raise ValueError(f"{table} is not partitioned; use mode='overwrite'")
     if dry_run:
@@ -109,6 +127,8 @@ def write_table(df: DataFrame, table: str, partitions: Sequence[str] = (), mode:
         with _session_conf(spark, _OVERWRITE_CONF, "dynamic"):
             out.write.insertInto(table, overwrite=True)
     else:  # truncate_load
+        if reads_table(df, table):
+            raise ValueError(f"the frame reads {table} itself; write it elsewhere before truncate_load")
         try:
             spark.sql(f"TRUNCATE TABLE {table}")
         except AnalysisException as e:

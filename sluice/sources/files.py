@@ -43,12 +43,14 @@ def _empty_to_null(df: DataFrame) -> DataFrame:
 
 def read_csv(spark: SparkSession, path: str | list[str], schema: StructType | str | None = None, *,
              header: bool = True, empty_as_null: bool = False, tz: str | None = None,
-             multiline: bool = False, sep: str = ",") -> DataFrame:
+             multiline: bool = True, sep: str = ",") -> DataFrame:
     """CSV with a header. Without `schema` the types are inferred (an extra pass over the
-    data; give a schema for large inputs). `multiline=True` allows line breaks inside quoted
-    values but makes each file one task."""
+    data; give a schema for large inputs); with one, a header whose names or order differ from it
+    fails the load. Line breaks inside quoted values are read by default, which makes each file
+    one task; `multiline=False` splits files and is for files known to hold none."""
     r = (spark.read.option("header", header).option("sep", sep).option("escape", '"')
-         .option("nullValue", NULL_SENTINEL).option("multiLine", multiline)
+         .option("nullValue", NULL_SENTINEL).option("multiLine", multiline).option("lineSep", "\n")
+         .option("enforceSchema", not header)
          .option("mode", "FAILFAST"))
     if tz:
         r = r.option("timeZone", tz)

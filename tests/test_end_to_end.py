@@ -1,55 +1,48 @@
-"""Generator + selection job together: synthetic tables with shared key prefixes, selected,
-joined, numbered and written, as the selection job does with real tables."""
+"""Generator + selection job together: generated tables in given tables' schemas with shared key
+prefixes, selected, joined, numbered and written, as the selection job does with real tables."""
 
 import re
 
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType, TimestampNTZType
 
+from conftest import SF_CHECK
 from sluice.operators.survey import run_selection_job, survey_selection
 from sluice.operators.synth import synth_table
 from sluice.session import scratch_path, unique_name
+from sluice.sources.testdata import load
 
 N = 3000
 
 
 def _tables(spark):
-    feedback = synth_table(spark, StructType([
-        StructField("cfm_feedback_id_ps", StringType()), StructField("irrp_interaction_id_ps", StringType()),
-        StructField("studiennummer", StringType()), StructField("ext_linkerzeugung_zeitstempel_ts", TimestampNTZType()),
-    ]), N, keys={"irrp_interaction_id_ps": "interac"}, choices={"studiennummer": ["4100", "4201", "4202"]})
-    metadata = synth_table(spark, StructType([
-        StructField("interaction_id_ps", StringType()), StructField("eun_uni_id_ps", StringType()),
-        StructField("media_type", StringType()),
-    ]), N, keys={"interaction_id_ps": "interac", "eun_uni_id_ps": "sdom"}, choices={"media_type": ["Android", "iOS"]})
-    units = synth_table(spark, StructType([
-        StructField("uni_id_ps", StringType()), StructField("uni_name", StringType()),
-    ]), N, keys={"uni_id_ps": "sdom"}, choices={"uni_name": ["SOME", "SDOM", "ATTRIBUTES"]})
-    return feedback, metadata, units
+    def like(name, keys, choices=None):
+        return synth_table(spark, load(spark, SF_CHECK, name).schema, N, keys=keys, choices=choices)
+    segments = sorted(r[0] for r in load(spark, SF_CHECK, "customer").select("c_mktsegment").distinct().collect())
+    feedback = like("customer", {"c_name": "person"}, {"c_mktsegment": segments})
+    metadata = like("part", {"p_name": "person", "p_brand": "place"})
+    units = like("nation", {"n_name": "place"})
+    return feedback, metadata, units, segments[0]
 
 
 def test_selection_on_generated_tables(spark):
-    feedback, metadata, units = _tables(spark)
+    feedback, metadata, units, segment = _tables(spark)
     out = survey_selection(
-        feedback, metadata, units, survey_filter=F.col("studiennummer") == "4100",
-        feedback_key="irrp_interaction_id_ps", metadata_key="interaction_id_ps",
-        unit_fk="eun_uni_id_ps", unit_key="uni_id_ps", unit_filter=None,
-        id_order=["cfm_feedback_id_ps"], survey_nr=4100, run_date="20221125",
-        columns=["cfm_feedback_id_ps", "irrp_interaction_id_ps", "media_type", "uni_name",
-                 "ext_linkerzeugung_zeitstempel_ts"])
+        feedback, metadata, units, survey_filter=F.col("c_mktsegment") == segment,
+        feedback_key="c_name", metadata_key="p_name", unit_fk="p_brand", unit_key="n_name", unit_filter=None,
+        id_order=["c_custkey"], survey_nr=4100, run_date="20221125",
+        columns=["c_custkey", "c_name", "p_type", "n_regionkey"])
     rows = out.collect()
-    expected = feedback.where("studiennummer = '4100'").count()
+    expected = feedback.where(F.col("c_mktsegment") == segment).count()
     assert len(rows) == expected > 0
     # every generated key finds its metadata row and its unit (shared prefixes, same n)
-    assert all(r["media_type"] in ("Android", "iOS") and r["uni_name"] is not None for r in rows)
+    assert all(r["p_type"] is not None and r["n_regionkey"] is not None for r in rows)
     ids = sorted(rows, key=lambda r: r["odl_id"])
     assert [int(r["odl_id"][13:]) for r in ids] == list(range(100001, 100001 + expected))
-    # ascending by feedback id, as the e-mail runs are numbered
-    assert [r["cfm_feedback_id_ps"] for r in ids] == sorted(r["cfm_feedback_id_ps"] for r in rows)
+    assert [r["c_custkey"] for r in ids] == sorted(r["c_custkey"] for r in rows)
     assert all(re.fullmatch(r"1410020221125\d{6}", r["odl_id"]) and r["year_month"] == "202211" for r in rows)
 
     target = unique_name("t_e2e")
-    rep = run_selection_job(out, target, survey="TEXT_CHAT_4100", run_date="20221125",
+    rep = run_selection_job(out, target, survey="RUN_4100", run_date="20221125",
                             path=scratch_path(spark, "test-table")).first()
-    assert rep["amount"] == expected
+    assert rep["amount"] == expected == spark.table(target).count() and rep["table_name"] == target
     assert [r["partition"] for r in spark.sql(f"SHOW PARTITIONS {target}").collect()] == ["year_month=202211"]

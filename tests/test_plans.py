@@ -6,8 +6,8 @@ import re
 
 from pyspark.sql import functions as F
 
-from sluice.functions.ordering import total_order
-from sluice.operators.numbering import _range_stamped
+from sluice.functions.ordering import Desc, as_sort_columns, total_order
+from sluice.operators.numbering import _narrow_key, _numbered, _materialise
 from sluice.plans import queries as Q
 
 from conftest import SF_CHECK
@@ -39,14 +39,32 @@ def test_like_prefix_reaches_the_scan(spark):
 
 def test_row_number_has_one_range_shuffle_and_no_single_partition(spark):
     orders = spark.read.parquet(f"{SF_CHECK}/orders.parquet")
-    order = total_order(orders, [F.col(c).desc_nulls_last() for c in orders.columns])
-    for unique in (False, True):
-        p = _plan(_range_stamped(orders, order, unique, None))
+    order = [Desc(c) for c in orders.columns]
+    for keys in (_narrow_key(orders, order)[0], as_sort_columns(order)):
+        p = _plan(orders.repartitionByRange(*keys).sortWithinPartitions(*total_order(orders, order)))
         assert _nodes(p, "Exchange") == 1
         assert "rangepartitioning" in p
         assert "SinglePartition" not in p
 
 
+def test_range_key_is_narrow(spark):
+    docs = spark.read.parquet(f"{SF_CHECK}/documents.parquet")
+    keys, wide = _narrow_key(docs, ["lang"])
+    assert "substring" in str(keys[-1]) and len(keys) == 1 and not wide
+    keys, _ = _narrow_key(docs, ["n_chars"])
+    assert len(keys) == 3 and "substring(text" in str(keys[-1])  # n_chars, doc_id, text cut
+    keys, wide = _narrow_key(docs, [F.col("text").desc()])
+    assert wide
+
+
+def test_zip_cuts_the_longer_side_below_the_exchange(spark):
+    orders = spark.read.parquet(f"{SF_CHECK}/orders.parquet")
+    table = _materialise(orders, ["o_orderkey"], None, True)
+    p = _plan(_numbered(table, "rn", 100).repartition(4, "rn"))
+    below = p[:p.index("Exchange hashpartitioning")] if "Exchange hashpartitioning" in p else p
+    assert "<= 100" in below
+
+
 def test_window_definition_is_single_partition(spark):
     from sluice.operators.numbering import with_row_number
     orders = spark.read.parquet(f"{SF_CHECK}/orders.parquet")
