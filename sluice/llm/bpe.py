@@ -23,6 +23,7 @@ import base64
 import re
 import zlib
 from collections.abc import Iterable, Iterator
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +36,9 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 #: The same over texts of the characters below, where the standard library's classes agree.
 _FAST = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\w\s]|_)+|\s+(?!\S)|\s+")
 _ODD = re.compile("[^\x00-\x1b\x20-\xb1\xb4-\xb8\xba\xbb\xbf-ɏЀ-ԯ‐-‧€]")
-#: Pieces and transitions that a worker keeps; beyond it they are forgotten and compiled anew.
-CACHE_PIECES, CACHE_STEPS = 200_000, 400_000
+#: Pieces (of the younger of two generations) and transitions that a worker keeps; beyond it the
+#: pieces that were not met again are forgotten, and transitions are compiled anew.
+CACHE_PIECES, CACHE_STEPS = 80_000, 250_000
 
 
 def load_ranks(data: bytes) -> dict[bytes, int]:
@@ -64,7 +66,7 @@ class Transducer:
     def clear(self) -> None:
         # pending bytes of each state, and for each live position its boundaries (None: start state)
         self.pending: list[bytes] = [b""]
-        self.live: list[dict[int, tuple[int, ...]]] = [{0: (0,)}]
+        self.live: list[tuple[tuple[int, tuple[int, ...]], ...]] = [((0, (0,)),)]
         self.number = {b"": 0}
         self.step: dict[int, tuple[int, tuple[int, ...]]] = {}
 
@@ -86,21 +88,21 @@ class Transducer:
         state, byte = key >> 8, key & 255
         word = self.pending[state] + bytes([byte])
         n = len(word)
-        live = {i: c for i, c in self.live[state].items() if word[i:] in self.prefixes}
-        live[n] = self._boundaries(word)
-        chains = iter(live.values())
-        common = set(next(chains)).intersection(*chains)
+        live = [x for x in self.live[state] if word[x[0]:] in self.prefixes]
+        own = self._boundaries(word)
+        live.append((n, own))
+        common = set(own).intersection(*[c for _, c in live])
         cut = max(common)
         if cut == n:  # a boundary here only if nothing can still reach across it
             cut = n if len(live) == 1 else max(common - {n})
-        path = [c for c in live[n] if c <= cut]
+        path = [c for c in own if c <= cut]
         out = tuple(self.ranks[word[a:b]] for a, b in zip(path, path[1:]))
         rest = word[cut:]
         to = self.number.get(rest)
         if to is None:
             to = self.number[rest] = len(self.pending)
             self.pending.append(rest)
-            self.live.append({i - cut: tuple(c - cut for c in chain if c >= cut) for i, chain in live.items() if i >= cut})
+            self.live.append(tuple((i - cut, tuple(c - cut for c in chain if c >= cut)) for i, chain in live if i >= cut))
         self.step[key] = (to, out)
         return to, out
 
@@ -121,7 +123,7 @@ class Transducer:
                 out.extend(got[1])
         if state:
             rest = self.pending[state]
-            cuts = self.live[state][len(rest)]
+            cuts = self.live[state][-1][1]  # the position after all pending bytes is the last
             out.extend(self.ranks[rest[a:b]] for a, b in zip(cuts, cuts[1:]))
         return out
 
@@ -130,7 +132,8 @@ class Encoder:
     """ids of whole texts, with a bounded cache of pieces."""
 
     def __init__(self, ranks: dict[bytes, int]):
-        self.machine, self.split, self.cache = Transducer(ranks), Splitter(), {}
+        self.machine, self.split = Transducer(ranks), Splitter()
+        self.cache, self.older = {}, {}
 
     def packed(self, text: str) -> bytes:
         """ids as little-endian unsigned 32-bit integers."""
@@ -138,9 +141,14 @@ class Encoder:
         for piece in self.split(text):
             ids = cache.get(piece)
             if ids is None:
+                ids = self.older.get(piece)
+                if ids is None:
+                    found = self.machine.encode(piece.encode("utf-8", "surrogatepass"))
+                    ids = pack(f"<{len(found)}I", *found)
                 if len(cache) >= CACHE_PIECES:
-                    cache.clear()
-                ids = cache[piece] = np.array(self.machine.encode(piece.encode("utf-8", "surrogatepass")), "<u4").tobytes()
+                    self.older, self.cache = cache, {}
+                    cache = self.cache
+                cache[piece] = ids
             out.append(ids)
         return b"".join(out)
 

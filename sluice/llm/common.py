@@ -21,6 +21,9 @@ from ..session import scratch_path
 
 #: Bytes of text that one numpy block holds, unless a single document is longer.
 BLOCK_BYTES = 1 << 20
+#: Rows of an Arrow batch.
+ARROW_ROWS = 1024
+_ARROW_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 _U = np.uint64
 _M1, _M2 = _U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB)
@@ -57,7 +60,11 @@ def q(name: str):
 
 
 def ship(spark: SparkSession) -> None:
-    """Make this package importable in the Python workers (once for each application)."""
+    """Make this package importable in the Python workers (once for each application), and hand
+    them texts in batches of ARROW_ROWS where the session has Spark's default: 10,000 whole
+    texts would be held several times over in every task."""
+    if spark.conf.get(_ARROW_CONF, "10000") == "10000":
+        spark.conf.set(_ARROW_CONF, str(ARROW_ROWS))
     sc = spark.sparkContext
     if getattr(sc, "_sluice_shipped", False):
         return
