@@ -35,7 +35,7 @@ from ..operators.numbering import with_row_number
 from .common import pick, stage
 
 _MARKS = r"^[ \t]*(?:>[ \t]*)+"
-_QUOTE = r"(?m)^[ \t]*>"
+_QUOTE = r"(?md)^[ \t]*>"
 
 
 def normalised(text: Column) -> Column:

@@ -47,7 +47,7 @@ def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts of every text, and whether it is close to a language's character and word histograms."""
-    return quality_rules(load(spark, sf_dir, "documents"))
+    return quality_rules(load(spark, sf_dir, "documents")).drop("char_distance", "word_distance")
 
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,7 +104,103 @@ QUERIES = {
 _WORDS = r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
              '[^\x20\x09-\x0D]+')"""
 
+
+
+def _quality_sql() -> str:
+    """The same counts, references and distances; all pairs of document and language."""
+    from .quality import CLASSES
+
+    def quoted(text):
+        return "'" + text.replace("'", "''") + "'"
+
+    def without(chars):
+        made = " || ".join(f"chr({ord(c)})" if ord(c) < 32 else quoted(c) for c in chars)
+        return f"length(t) - length(translate(t, {made}, ''))"
+    classes = ", ".join(f"{without(c)} AS c{i}" for i, c in enumerate(CLASSES.values()))
+    n = len(CLASSES)
+    known = " + ".join(f"c{i}" for i in range(n))
+    every = ", ".join([*[f"c{i}" for i in range(n)], "n_chars - n_known"])
+    sums = ", ".join([*[f"sum(c{i})" for i in range(n)], "sum(n_chars - n_known)"])
+    term = """CASE WHEN p > 0 THEN p * log2(p / ((p + q) / 2)) ELSE 0 END + CASE WHEN q > 0 THEN q * log2(q / ((p + q) / 2)) ELSE 0 END"""
+    ws = "[^\\x20\\x09-\\x0D]"
+    return f"""
+WITH b AS (SELECT doc_id, lang, coalesce(text, '') AS t FROM documents),
+f AS (SELECT *, regexp_extract_all(t, '{ws}+') AS ws, length(t) AS n_chars, {classes} FROM b),
+g AS (SELECT *, len(ws) AS n_words, {known} AS n_known,
+        list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{ws}')) AS lines FROM f),
+win AS (SELECT doc_id, i, array_to_string(ws[i:i + 7], ' ') AS k
+        FROM (SELECT doc_id, ws, unnest(range(1, n_words - 6)) AS i FROM g WHERE n_words >= 8)),
+twice AS (SELECT doc_id, k FROM win GROUP BY doc_id, k HAVING count(*) > 1),
+rep AS (SELECT doc_id, count(DISTINCT word_no) AS n FROM (SELECT doc_id, unnest(range(i, i + 8)) AS word_no FROM win JOIN twice USING (doc_id, k)) GROUP BY doc_id),
+cs AS (SELECT lang, [{sums}] AS v, sum(n_chars) AS total FROM g WHERE lang IS NOT NULL AND n_words > 0 GROUP BY lang),
+cp AS (SELECT lang, unnest(range(1, {n + 2})) AS i, unnest(v) / total AS p FROM cs),
+cd AS (SELECT doc_id, n_chars, unnest(range(1, {n + 2})) AS i, unnest([{every}]) AS c FROM g WHERE n_chars > 0),
+cj AS (SELECT doc_id, lang, sqrt(greatest(sum({term}) / 2, 0)) AS d
+       FROM (SELECT doc_id, lang, p, c / n_chars AS q FROM cd JOIN cp USING (i)) GROUP BY doc_id, lang),
+cm AS (SELECT doc_id, min(d) AS d FROM cj GROUP BY doc_id),
+sw AS (SELECT doc_id, lang, n_words, lower(w) AS w FROM (SELECT doc_id, lang, n_words, unnest(ws) AS w FROM g) WHERE length(w) <= 4),
+tot AS (SELECT lang, sum(n_words) AS n FROM g WHERE lang IS NOT NULL AND n_words > 0 GROUP BY lang),
+top AS (SELECT lang, w, c FROM (SELECT lang, w, count(*) AS c, row_number() OVER (PARTITION BY lang ORDER BY count(*) DESC, w) AS r
+        FROM sw WHERE lang IS NOT NULL GROUP BY lang, w) WHERE r <= 16),
+wp AS (SELECT lang, w, c / n AS p FROM top JOIN tot USING (lang)),
+dw AS (SELECT doc_id, w, count(*) AS c FROM sw GROUP BY doc_id, w),
+dl AS (SELECT g.doc_id, g.n_words, wp.lang, wp.p, coalesce(dw.c, 0) / g.n_words AS q
+       FROM g CROSS JOIN wp LEFT JOIN dw ON dw.doc_id = g.doc_id AND dw.w = wp.w WHERE g.n_words > 0),
+da AS (SELECT doc_id, lang, p, q FROM dl
+       UNION ALL SELECT doc_id, lang, 1 - sum(p), greatest(1 - sum(q), 0) FROM dl GROUP BY doc_id, lang),
+wj AS (SELECT doc_id, lang, sqrt(greatest(sum({term}) / 2, 0)) AS d FROM da GROUP BY doc_id, lang),
+wm AS (SELECT doc_id, min(d) AS d FROM wj GROUP BY doc_id),
+o AS (SELECT g.doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(n_chars - c{list(CLASSES).index("space")} AS BIGINT) AS word_chars,
+        CAST(c{list(CLASSES).index("symbol")} AS BIGINT) AS n_symbols, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+        CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words,
+        (n_chars >= 200 AND coalesce(cm.d, 0) > 0.32) OR (n_words >= 50 AND coalesce(wm.d, 0) > 0.33) AS far
+      FROM g LEFT JOIN rep USING (doc_id) LEFT JOIN cm USING (doc_id) LEFT JOIN wm USING (doc_id))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+       NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND NOT far AS kept
+FROM o"""
+
+
+_CHAT_SQL = r"""
+WITH RECURSIVE m AS (SELECT row_number() OVER () AS rid, conv_id, turn, role, coalesce(text, '') AS text FROM conversations),
+raw AS (SELECT rid, unnest(string_split(replace(text, chr(13) || chr(10), chr(10)), chr(10))) AS line,
+          generate_subscripts(string_split(replace(text, chr(13) || chr(10), chr(10)), chr(10)), 1) AS i
+        FROM m WHERE regexp_matches(text, '(?m)^[ \t]*>')),
+marked AS (SELECT rid, i, line, regexp_extract(line, '^[ \t]*(?:>[ \t]*)+', 0) AS marks FROM raw),
+l AS (SELECT rid, i, length(marks) - length(replace(marks, '>', '')) AS level, substr(line, length(marks) + 1) AS body FROM marked),
+steps AS (SELECT *, CASE WHEN lag(level) OVER (PARTITION BY rid ORDER BY i) = level THEN 0 ELSE 1 END AS new FROM l),
+r AS (SELECT *, sum(new) OVER (PARTITION BY rid ORDER BY i) AS run FROM steps),
+own AS (SELECT rid, regexp_replace(string_agg(body, chr(10) ORDER BY i), '^\s+|\s+$', '', 'g') AS own FROM l WHERE level = 0 GROUP BY rid),
+pass AS (SELECT rid, run, level, string_agg(body, chr(10) ORDER BY i) AS text, row_number() OVER (PARTITION BY rid ORDER BY run) - 1 AS nth
+         FROM r WHERE level > 0 GROUP BY rid, run, level),
+p AS (SELECT m.*, CASE WHEN q.rid IS NULL THEN m.text ELSE coalesce(own.own, '') END AS mine, coalesce(n.n, 0) AS n_quotes
+      FROM m LEFT JOIN (SELECT DISTINCT rid FROM raw) q USING (rid) LEFT JOIN own USING (rid)
+      LEFT JOIN (SELECT rid, count(*) AS n FROM pass GROUP BY rid) n USING (rid)),
+want AS (SELECT rid, nth, level, 0 AS part, text FROM pass
+         UNION ALL SELECT rid, nth, level, 1, unnest(string_split(text, chr(10))) FROM pass),
+w AS (SELECT DISTINCT m.conv_id, m.turn, nth, level, part, trim(regexp_replace(lower(want.text), '\s+', ' ', 'g')) AS k
+      FROM want JOIN m USING (rid)),
+parts AS (SELECT conv_id, turn, mine AS text FROM p
+          UNION ALL SELECT conv_id, turn, unnest(string_split(mine, chr(10))) FROM p
+          UNION ALL SELECT conv_id, turn, unnest(regexp_split_to_array(mine, '\n[ \t]*\n')) FROM p),
+src AS (SELECT DISTINCT conv_id, turn, trim(regexp_replace(lower(text), '\s+', ' ', 'g')) AS k FROM parts),
+hit AS (SELECT w.conv_id, w.turn, nth, level, part, max(src.turn) AS source FROM w JOIN src ON w.conv_id = src.conv_id AND w.k = src.k
+        WHERE src.turn < w.turn AND w.k <> '' GROUP BY w.conv_id, w.turn, nth, level, part),
+link AS (SELECT conv_id, turn, source AS parent FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, turn
+         ORDER BY level, nth, part, source DESC) AS best FROM hit) WHERE best = 1),
+up AS (SELECT conv_id, turn, parent AS root, 1 AS depth FROM link
+       UNION ALL SELECT up.conv_id, up.turn, link.parent, up.depth + 1 FROM up JOIN link ON link.conv_id = up.conv_id AND link.turn = up.root),
+top AS (SELECT conv_id, turn, arg_max(root, depth) AS root, max(depth) AS depth FROM up GROUP BY conv_id, turn),
+o AS (SELECT p.conv_id, p.turn, p.role, link.parent AS parent_turn, coalesce(top.root, p.turn) AS root_turn,
+        CAST(coalesce(top.depth, 0) AS INTEGER) AS depth, CAST(p.n_quotes AS INTEGER) AS n_quotes, p.mine AS text
+      FROM p LEFT JOIN link ON link.conv_id = p.conv_id AND link.turn = p.turn
+      LEFT JOIN top ON top.conv_id = p.conv_id AND top.turn = p.turn)
+SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY root_turn NULLS FIRST, turn NULLS FIRST, role NULLS FIRST,
+  parent_turn NULLS FIRST, depth, n_quotes, text) AS position FROM o"""
+
 ORACLE_SQL = {
+    "op4_chat_formatting": _CHAT_SQL,
+    "op5_quality_rules": _quality_sql(),
     "op10_minhash_near_dedup": f"""
 WITH RECURSIVE w AS (SELECT doc_id, {_WORDS} AS ws FROM documents),
 g AS (SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]

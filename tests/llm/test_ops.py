@@ -361,6 +361,32 @@ def test_quotations(spark):
         (4, 1, 0, None, 0, 0, 1, "a"), (4, 2, 1, None, 1, 0, 0, "later")]
 
 
+def test_quotations_sql(spark, tmp_path):
+    """The registered SQL gives the same threads on random nested quotations."""
+    import duckdb
+    from compare import assert_same
+
+    from sluice.llm.queries import ORACLE_SQL
+    rng = random.Random(9)
+    rows = []
+    for conv in range(12):
+        texts = []
+        for turn in range(8):
+            out = []
+            for _ in range(rng.randint(1, 4)):
+                if texts and rng.random() < 0.6:
+                    quoted = rng.choice(texts).split("\n")[:rng.randint(1, 3)]
+                    out += [rng.choice(["> ", ">", ">> ", "> > "]) + x.upper() for x in quoted]
+                out.append(rng.choice(["yes", "no\n\nmaybe", f"line {rng.randint(0, 5)}  here", ""]))
+            texts.append("\n".join(out))
+            rows.append((conv, turn, rng.choice(["user", None]), texts[-1] if rng.random() < 0.95 else None))
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    df.coalesce(1).write.parquet(str(tmp_path / "c"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{tmp_path}/c/*.parquet')")
+    assert_same(link_quotations(df), con, ORACLE_SQL["op4_chat_formatting"])
+
+
 # --- empty tables -------------------------------------------------------------------------------
 
 def test_empty_tables(spark):
