@@ -34,7 +34,9 @@ from pyspark.sql import functions as F
 from .common import pick, table_bytes
 
 BITS = 14
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
+# A comment, a tag with closed quotes, a tag whose quotes do not close, a declaration.
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
+                    r"|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|<[!?][^>]*+>", re.S)
 _ATTR = re.compile(r"""(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _WORD = re.compile(r"[a-z]+")
 _RAW = {"script", "style", "noscript", "template", "iframe", "svg", "math", "object", "canvas", "textarea", "title", "head", "select"}
@@ -89,10 +91,12 @@ def leaf_blocks(page: str | None) -> list[Block]:
         if skip is None:
             take(page[at:m.start()])
         at = m.end()
-        name = m.group(2)
+        slash, name, attributes = m.group(1, 2, 3) if m.group(2) else m.group(4, 5, 6)
         if name is None:
             continue
-        name, closing = name.lower(), bool(m.group(1))
+        name, closing = name.lower(), bool(slash)
+        if skip == "head" and name == "body":  # the head's end tag may be missing
+            skip = None
         if skip is not None:
             if name == skip:
                 hidden += -1 if closing else 1
@@ -106,11 +110,9 @@ def leaf_blocks(page: str | None) -> list[Block]:
                 at = end.end() if end else len(page)
                 if name in ("iframe",):
                     flush()
-            elif not m.group(3).rstrip().endswith("/"):
+            elif not attributes.rstrip().endswith("/"):
                 skip, hidden = name, 1
             continue
-        if name == "body" and skip is None and not closing:
-            pass
         if name == "br":
             pieces.append(" ")
             continue
@@ -141,11 +143,9 @@ def leaf_blocks(page: str | None) -> list[Block]:
                     del stack[i:]
                     if name != "tr":
                         break
-        if m.group(3).rstrip().endswith("/") and name not in _INLINE:
-            pass
         marks = ()
-        if "=" in m.group(3):
-            marks = tuple(w for a in _ATTR.finditer(m.group(3)) for w in _WORD.findall((a[2] or a[3] or a[4] or "").lower()))
+        if "=" in attributes:
+            marks = tuple(w for a in _ATTR.finditer(attributes) for w in _WORD.findall((a[2] or a[3] or a[4] or "").lower()))
         stack.append((name, marks))
         links = sum(t == "a" for t, _ in stack)
     if skip is None:

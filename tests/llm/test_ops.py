@@ -323,6 +323,7 @@ def test_leaf_blocks():
     got = leaf_blocks(page)
     assert [b.text for b in got] == ["Home", "Buy", "A&amp; B", "One two", "Three", "x", "y", "tail", "© f"]
     assert got[4].path[-1] == "p" and got[4].path.count("p") == 1 and got[0].linked == 4 and got[1].marks == ("ad",)
+    assert [b.text for b in leaf_blocks("<head><title>x</title><meta y><body><p title=it's>a</p><p>b")] == ["a", "b"]
     assert leaf_blocks(None) == [] and leaf_blocks("") == [] and leaf_blocks("<p>") == [] and leaf_blocks("a < b")[0].text == "a < b"
 
 
