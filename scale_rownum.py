@@ -3,7 +3,8 @@
 Generates `n` rows with the table generator (written to parquet under the checkpoint folder
 first, so generation is not timed), then times each method through the `noop` sink.
 Prints one JSON line per (n, method). Usage: python scale_rownum.py 600000 6000000 ...
-Environment: BENCH_CPUS (default 8), SCALE_METHODS (default "window,range,range_unique").
+Environment: BENCH_CPUS (default 8), SCALE_METHODS (default "window,range,range_unique"),
+SCALE_RATIO (default 1: the zip's second side has as many rows; 10: a tenth).
 """
 
 from __future__ import annotations
@@ -35,7 +36,11 @@ def main(sizes: list[int]) -> None:
         path = scratch_path(spark, f"scale-{n}")
         synth_table(spark, SCHEMA, n, keys={"k": "row"}).write.parquet(path)
         df = spark.read.parquet(path)
-        other = df.select(*[F.col(c).alias(f"o_{c}") for c in df.columns])
+        ratio = int(os.environ.get("SCALE_RATIO", "1"))
+        short = scratch_path(spark, f"scale-{n}-short")
+        synth_table(spark, SCHEMA, max(1, n // ratio), keys={"k": "row"}, seed=7).write.parquet(short)
+        side = spark.read.parquet(short)
+        other = side.select(*[F.col(c).alias(f"o_{c}") for c in side.columns])
         for m in methods:
             method = "window" if m == "window" else "range"
             unique = m == "range_unique"
@@ -47,7 +52,7 @@ def main(sizes: list[int]) -> None:
             zip_by_position(df, other, ["k"], ["o_a", "o_k"], method=method, unique_orders=unique) \
                 .write.format("noop").mode("overwrite").save()
             t_zip = time.perf_counter() - t0
-            print(json.dumps({"rows": n, "method": m, "row_number_sec": round(t_rn, 2),
+            print(json.dumps({"rows": n, "other": max(1, n // ratio), "method": m, "row_number_sec": round(t_rn, 2),
                               "zip_sec": round(t_zip, 2), "cpus": cpus}), flush=True)
     spark.stop()
 

@@ -51,11 +51,11 @@ _CNT = "__sl_cnt"
 _OFF = "__sl_off"
 
 #: Characters of a string that go into a range key.
-KEY_CHARS = 16
+KEY_CHARS = 64
 #: A partition with so many times its even share of the rows (and so many rows) is heavy.
 HEAVY, HEAVY_ROWS = 8, 100_000
-#: Bytes that a range sample with wide keys may have on the driver, and Spark's own sample size.
-SAMPLE_BYTES, SAMPLE_ROWS = 32 << 20, 100
+#: Bytes that a range sample may have on the driver, and Spark's own rows for each partition.
+SAMPLE_BYTES, SAMPLE_ROWS = 256 << 20, 100
 _SAMPLE_CONF = "spark.sql.execution.rangeExchange.sampleSizePerPartition"
 
 
@@ -135,7 +135,8 @@ def _materialise(df: DataFrame, order: Sequence[OrderItem], num_partitions: int
     parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys, wide = (as_sort_columns(order), True) if unique_order else _narrow_key(df, order)
     width = _row_bytes(df) if wide else 0.0
-    with _sample_bound(spark, width, parts):
+    key_bytes = width or KEY_CHARS + 8.0 * len(keys)
+    with _sample_bound(spark, key_bytes, parts):
         table, path = _write_stamped(df, cols, keys, sort_cols, num_partitions)
     if unique_order:
         return table
