@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import pick, table_bytes
+from .common import pick, table_bytes, worker_state
 
 #: The pattern that public byte-level vocabularies split text by (fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -227,17 +227,14 @@ class Decoder:
             yield held.decode("utf-8", "replace")
 
 
-_worker: dict[tuple[int, int], tuple[Encoder, Decoder]] = {}
-
-
 def _coders(vocabulary: bytes) -> tuple[Encoder, Decoder]:
     """A worker process keeps its compiled transitions from task to task."""
-    key = (len(vocabulary), zlib.crc32(vocabulary))
-    if key not in _worker:
-        _worker.clear()
+    kept, key = worker_state("bpe"), (len(vocabulary), zlib.crc32(vocabulary))
+    if key not in kept:
+        kept.clear()
         ranks = load_ranks(vocabulary)
-        _worker[key] = Encoder(ranks), Decoder(ranks)
-    return _worker[key]
+        kept[key] = Encoder(ranks), Decoder(ranks)
+    return kept[key]
 
 
 def byte_bpe(docs: DataFrame, vocabulary: bytes, *, id_col: str = "doc_id", text_col: str = "text",

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 
 #: Bytes of text that one numpy block holds, unless a single document is longer.
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 18
 #: Rows of an Arrow batch.
 ARROW_ROWS = 1024
 _ARROW_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -96,6 +96,17 @@ def table_bytes(spark: SparkSession, data: bytes):
     return spark.sparkContext.broadcast(data)
 
 
+_state: dict = {"owner": None, "value": {}}
+
+
+def worker_state(owner: str) -> dict:
+    """What a Python worker keeps from task to task (compiled tables and caches), of one operator at a
+    time: the state of another one is dropped."""
+    if _state["owner"] != owner:
+        _state.update(owner=owner, value={})
+    return _state["value"]
+
+
 # --- Arrow text columns -------------------------------------------------------------
 
 def utf8(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, blocks, mix, pick, salts, ship, table_bytes, utf8, word_table
+from .common import Words, blocks, mix, pick, salts, ship, table_bytes, utf8, word_table, worker_state
 
 K = 5
 _U = np.uint64
@@ -164,15 +164,13 @@ class Index:
                         out[doc, item] = (sim, s, size + K - 1)
 
 
-_worker: dict = {}
-
-
 def _index(raw: bytes, percent: int, radius: int) -> tuple[Index, list]:
     key = (len(raw), zlib.crc32(raw), percent, radius)
-    if _worker.get("key") != key:
+    kept = worker_state("decontam")
+    if kept.get("key") != key:
         t = pa.ipc.open_stream(raw).read_all()
-        _worker.update(key=key, index=Index(t.column("text").to_pylist(), percent, radius), ids=t.column("item").to_pylist())
-    return _worker["index"], _worker["ids"]
+        kept.update(key=key, index=Index(t.column("text").to_pylist(), percent, radius), ids=t.column("item").to_pylist())
+    return kept["index"], kept["ids"]
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, *, percent: int = 80, radius: int = 24, block: int = 20_000,

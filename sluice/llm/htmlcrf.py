@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pick, table_bytes
+from .common import pick, table_bytes, worker_state
 
 BITS = 14
 # A comment, a tag with closed quotes, a tag whose quotes do not close, a declaration.
@@ -364,18 +364,16 @@ def train(pages: DataFrame, *, max_pages: int = 300, id_col: str = "page_id", ht
     return train_chain([(features(b, hide), y) for b, y in labelled for hide in (False, True)])
 
 
-_worker: dict = {}
-
-
 def extract(pages: DataFrame, chain: Chain, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """page_id, url, text (blocks labelled main, joined by line breaks), n_blocks, of every row."""
     raw = pickle.dumps((chain.emit, chain.move, chain.first))
     shared, key = table_bytes(pages.sparkSession, raw), zlib.crc32(raw)
 
     def run(batches):
-        if _worker.get("key") != key:
-            _worker.update(key=key, chain=Chain(*pickle.loads(shared.value)))
-        own = _worker["chain"]
+        kept = worker_state("htmlcrf")
+        if kept.get("key") != key:
+            kept.update(key=key, chain=Chain(*pickle.loads(shared.value)))
+        own = kept["chain"]
         for batch in batches:
             for a in range(0, batch.num_rows, 256):
                 texts, counts = [], []

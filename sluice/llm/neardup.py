@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, blocks, done, mix, pick, salts, stage, utf8, word_table
+from .common import Words, blocks, done, mix, pick, salts, stage, utf8, word_table, worker_state
 from .graph import components
 
 _U = np.uint64
@@ -85,6 +85,7 @@ def _list(flat: np.ndarray, sizes: np.ndarray) -> pa.Array:
 
 def _signatures(k: int, bands: int, rows: int):
     def run(batches):
+        worker_state("neardup")
         c = salts(2, 21)
         for batch in batches:
             data, offsets = utf8(batch.column("text"))
@@ -114,6 +115,7 @@ def _signatures(k: int, bands: int, rows: int):
 
 def _sets(k: int):
     def run(batches):
+        worker_state("neardup")
         for batch in batches:
             data, offsets = utf8(batch.column("text"))
             for a, b in blocks(offsets):
@@ -129,6 +131,7 @@ def _sets(k: int):
 
 def _confirmed(percent: int):
     def run(batches):
+        worker_state("neardup")
         for batch in batches:
             su, sv = batch.column("su"), batch.column("sv")
             keep = []
@@ -157,6 +160,7 @@ BLOCK_MEMBERS, BLOCK_SHINGLES = 1500, 2_000_000
 def _links_inside(percent: int):
     """Links between different components of one group (a bucket, or two blocks of it)."""
     def run(table: pa.Table) -> pa.Table:
+        worker_state("neardup")
         ids, block = table.column("id").to_numpy(), table.column("block").to_numpy()
         items = [np.frombuffer(x.as_buffer(), _U) for x in table.column("items").combine_chunks()]
         n, size = len(ids), np.array([len(x) for x in items])

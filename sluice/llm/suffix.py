@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import _power, done, mix, pick, salts, stage, utf8
+from .common import _power, done, mix, pick, salts, stage, utf8, worker_state
 from .common import q as q_
 
 _U = np.uint64
@@ -118,6 +118,7 @@ def _find_anchors(length: int, q: int):
             yield core, union, pos + lo
 
     def run(batches):
+        worker_state("suffix")
         for batch in batches:
             data, off = utf8(batch.column("text"))
             ks, es = batch.column("k").to_numpy(), batch.column("e").to_numpy()
@@ -144,6 +145,7 @@ def _contexts(length: int, q: int):
     reach = length - q
 
     def run(batches):
+        worker_state("suffix")
         for batch in batches:
             data, off = utf8(batch.column("text"))
             need = batch.column("need")
@@ -219,6 +221,7 @@ def _finish(length: int, q: int):
             names=["k", "e", "start", "stop"])
 
     def run(batches):
+        worker_state("suffix")
         rest = None
         for batch in batches:
             t = pa.Table.from_batches([batch])
@@ -347,6 +350,7 @@ def repeated_substrings(docs: DataFrame, *, length: int = 200, q: int = 64, id_c
 
 
 def _cut(batches):
+    worker_state("suffix")
     pair = pa.struct([("start", pa.int64()), ("stop", pa.int64())])
     for batch in batches:
         data, off = utf8(batch.column("text"))

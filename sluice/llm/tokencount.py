@@ -32,11 +32,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import _FAST, _ODD
-from .common import done, pick, stage, table_bytes, utf8
+from .common import done, pick, stage, table_bytes, utf8, worker_state
 
 #: Distinct pre-tokens that a task holds before it hands them on.
 TASK_PIECES = 400_000
-_worker: dict = {}
 
 
 class PreTokens:
@@ -72,11 +71,12 @@ class PreTokens:
 
 def _pre_tokens(tokenizer: bytes) -> PreTokens:
     key = (len(tokenizer), zlib.crc32(tokenizer))
-    if _worker.get("key") != key:
+    kept = worker_state("tokencount")
+    if kept.get("key") != key:
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        _worker.update(key=key, split=PreTokens(tokenizer))
-    return _worker["split"]
+        kept.update(key=key, split=PreTokens(tokenizer))
+    return kept["split"]
 
 
 def _vocabulary(shared):

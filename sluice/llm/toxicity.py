@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, blocks, held_out, mix, pick, q, ship, table_bytes, utf8, word_table
+from .common import Words, blocks, held_out, mix, pick, q, ship, table_bytes, utf8, word_table, worker_state
 
 BITS = 20
 _TABLE = word_table(punctuation=True)
@@ -138,6 +138,7 @@ def fit(pos: list[np.ndarray], unl: list[np.ndarray], prior: float, *, steps: in
 
 
 def _distinct_words(batches):
+    worker_state("toxicity")
     for batch in batches:
         data, off = utf8(batch.column("text"))
         for a, b in blocks(off):
@@ -189,6 +190,7 @@ def add_scores(df: DataFrame, model: Model, text_col: str = "text", score: str =
     n, bias = len(used), model.bias
 
     def run(batches):
+        worker_state("toxicity")
         weights = np.zeros(1 << BITS, np.float32)
         weights[np.frombuffer(packed.value, np.int64, n)] = np.frombuffer(packed.value, np.float32, n, 8 * n)
         own = Model(weights, bias)
