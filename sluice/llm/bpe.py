@@ -38,7 +38,7 @@ _FAST = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\w\s]|_)+|
 _ODD = re.compile("[^\x00-\x1b\x20-\xb1\xb4-\xb8\xba\xbb\xbf-ɏЀ-ԯ‐-‧€]")
 #: Pieces (of the younger of two generations) and transitions that a worker keeps; beyond it the
 #: pieces that were not met again are forgotten, and transitions are compiled anew.
-CACHE_PIECES, CACHE_STEPS = 80_000, 250_000
+CACHE_PIECES, CACHE_STEPS = 150_000, 600_000
 
 
 def load_ranks(data: bytes) -> dict[bytes, int]:
