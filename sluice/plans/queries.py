@@ -17,7 +17,7 @@ from ..functions.joins import bounded_broadcast
 from ..functions.ordering import Desc
 from ..operators.numbering import with_row_number, zip_by_position
 from ..operators.schema import align_to, drift_report
-from ..operators.survey import run_selection_job, run_summary as _run_summary
+from ..operators.survey import run_selection_job
 from ..operators.survey import survey_id, survey_selection as _survey_selection
 from ..operators.synth import synth_table as _synth_table
 from ..session import scratch_path, scratch_table
