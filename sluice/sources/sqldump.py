@@ -6,11 +6,13 @@ into fields, a decode turns each field into its value, and a cast gives the sche
 Statements with a column list (`INSERT INTO t (a,b) VALUES ...`) map fields by name; without
 one, by position.
 
-Every record is classified, after comments (`--`, `#`, `/* */`) are taken off its front: INSERT
+A record is cut into its statements, at semicolons outside quotes and comments, and every
+statement is classified, after comments (`--`, `#`, `/* */`) are taken off its front: INSERT
 and REPLACE are parsed (keywords in any case; a REPLACE gives its rows as they are, keys are not
 resolved); blank records, comments, DDL, SET, LOCK and the like are ignored, by a fixed list;
-anything else fails the load. So do a column name that the schema lacks and, in a conditional
-comment (`/*! */`), an INSERT or REPLACE.
+anything else fails the load. So do a column name that the schema lacks, an INSERT or REPLACE in a
+conditional comment (`/*! */`), and one behind a semicolon in a record that begins with a stored
+program (such a record is not cut) or that holds a quote which does not close.
 
 Values: `NULL` (bare) is NULL; quoted text is unescaped (`\\0 \\b \\n \\r \\t \\Z` become
 their control characters, any other backslash pair becomes its second character, so
@@ -47,10 +49,18 @@ HEAD_PATTERN = (r"(?i)^\s*(?:INSERT|REPLACE)\s+(?:(?:LOW_PRIORITY|DELAYED|HIGH_P
 LEFTOVER_PATTERN = r"^[\s,]*;\s*$"
 # Comments and blanks in front of a statement (conditional comments are not comments).
 COMMENT_PATTERN = r"^(?:\s++|--(?:[ \t\r][^\n]*+)?+(?:\n|$)|#[^\n]*+(?:\n|$)|/\*(?!!)(?:[^*]|\*(?!/))*+\*/)*+"
-# Records that hold no rows: statements by their first word, lines inside a CREATE TABLE, and
+# One statement of a record, with its semicolon. A quote that does not close takes the rest.
+_CLOSED = (r"[^;'\"`#/-]++|'(?:[^'\\]++|\\.)*+'|\"(?:[^\"\\]++|\\.)*+\"|`[^`]*+`|--(?:[ \t\r][^\n]*+)?+(?:\n|\z)|#[^\n]*+|"
+           r"/\*(?:[^*]|\*(?!/))*+\*/|[-/]")
+STATEMENT_PATTERN = rf"(?s)(?:{_CLOSED}|['\"`].*+)*+(?:;|\z)"
+# Rows behind a semicolon (and comments); a quote that does not close.
+ROWS_PATTERN = rf";{COMMENT_PATTERN[1:]}(?i:INSERT|REPLACE)\b"
+OPEN_PATTERN = rf"(?s)^(?:{_CLOSED}|;)*+['\"`]"
+PROGRAM_PATTERN = r"(?is)^CREATE\b[^;(]*?\b(?:TRIGGER|PROCEDURE|FUNCTION|EVENT)\b"
+# Statements that hold no rows: by their first word, lines inside a CREATE TABLE, and
 # conditional comments.
 IGNORABLE_PATTERN = (
-    r"(?is)^(?:$|;|/\*!(?!.*\b(?:INSERT|REPLACE)\b)|"
+    r"(?is)^(?:$|;\s*$|/\*!(?!.*\b(?:INSERT|REPLACE)\b)|"
     r"(?:CREATE|DROP|ALTER|SET|LOCK|UNLOCK|USE|START|BEGIN|COMMIT|ROLLBACK|DELIMITER|ANALYZE|OPTIMIZE|FLUSH|GRANT|REVOKE)\b|"
     r"`[^`]+`\s+[a-z]|\)\s*(?:;|ENGINE\b|DEFAULT\b|CHARSET\b|COLLATE\b|AUTO_INCREMENT\b|COMMENT\b|PARTITION\b|ROW_FORMAT\b|,?\s*$)|"
     r"(?:PRIMARY|UNIQUE|FULLTEXT|SPATIAL)\s+KEY\b|(?:KEY|INDEX|CONSTRAINT|FOREIGN|CHECK|PARTITION)\b)")
@@ -109,12 +119,19 @@ def _cast(value: Column, dtype, tz: str | None, raw: Column) -> Column:
 def parse_statements(lines: DataFrame, schema: StructType, table: str | None = None, *,
                      empty_as_null: bool = False, tz: str | None = "UTC",
                      text_col: str = "value") -> DataFrame:
-    """INSERT statements (one per row of `lines`) -> typed rows. Works on batch and
+    """INSERT statements (in rows of `lines`, each of whole statements) -> typed rows. Works on batch and
     streaming frames alike (only row-wise expressions and explode)."""
-    text = F.regexp_replace(F.col(text_col), COMMENT_PATTERN, "")
+    record = F.regexp_replace(F.col(text_col), COMMENT_PATTERN, "")
+    at = F.instr(record, ";")
+    one = (at == 0) | (at == F.length(F.rtrim(record))) | F.regexp_like(record, F.lit(PROGRAM_PATTERN))
+    statements = F.when(one, F.array(record)).otherwise(F.regexp_extract_all(record, F.lit(STATEMENT_PATTERN), F.lit(0)))
+    lines = lines.select(F.explode(statements).alias("_text"))
+    text = F.regexp_replace("_text", COMMENT_PATTERN, "")
     first = F.lower(F.substring(F.trim(text), 1, 7))
     is_rows = first.startswith("insert") | first.startswith("replace")
-    kind = (F.when(is_rows, F.lit(True)).when(F.regexp_like(text, F.lit(IGNORABLE_PATTERN)), F.lit(False))
+    hides = F.regexp_like(text, F.lit(ROWS_PATTERN)) & (
+        F.regexp_like(text, F.lit(PROGRAM_PATTERN)) | F.regexp_like(text, F.lit(OPEN_PATTERN)))
+    kind = (F.when(is_rows, F.lit(True)).when(F.regexp_like(text, F.lit(IGNORABLE_PATTERN)) & ~hides, F.lit(False))
             .otherwise(F.raise_error(F.concat(F.lit("unrecognised statement in dump (statements_span_lines reads "
                                                     "statements over several lines): "), F.substring(text, 1, 200)))))
     # A filter may be moved past an expression that raises, so what a record is, is part of each

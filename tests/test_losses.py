@@ -55,6 +55,32 @@ def test_what_is_not_read_fails(spark, dump):
         read_sql_dump(spark, folder(a=dump + "\n"), SCHEMA, table="t").collect()
 
 
+@pytest.mark.parametrize("dump", [
+    "LOCK TABLES `t` WRITE; INSERT INTO `t` VALUES (1,'a;b'); UNLOCK TABLES;", "BEGIN; INSERT INTO t VALUES (1,'a'); COMMIT;",
+    "SET NAMES utf8; -- note\nINSERT INTO t VALUES (1,'a');", ";INSERT INTO t VALUES (1,'a');",
+    "INSERT INTO other VALUES (5); /* c; */ REPLACE INTO t VALUES (1,'it\\'s; x');", "DROP TABLE t;insert into t values (1,'a');",
+    "/*!40101 SET NAMES utf8 */; INSERT INTO t VALUES (1,'a'); -- INSERT INTO t VALUES (2,'b');"])
+def test_statements_that_share_a_record(spark, dump):
+    d = folder(a=dump + "\n")
+    assert ids(read_sql_dump(spark, d, SCHEMA, table="t", statements_span_lines=True)) == [1]
+    if "\n" not in dump:
+        assert ids(read_sql_dump(spark, d, SCHEMA, table="t")) == [1]
+
+
+@pytest.mark.parametrize("dump", [
+    "LOCK TABLES t WRITE; UPDATE t SET s='x';", "SET a='x; INSERT INTO t VALUES (1,'b');", "USE d; INSERT INTO t SELECT 1;",
+    "CREATE TRIGGER g BEFORE UPDATE ON t FOR EACH ROW SET @a=1; INSERT INTO t VALUES (1,'x');"])
+def test_what_shares_a_record_is_read_or_fails(spark, dump):
+    with pytest.raises(Exception):
+        read_sql_dump(spark, folder(a=dump + "\n"), SCHEMA, table="t").collect()
+
+
+def test_ignored_shared_records(spark):
+    dump = ("DELIMITER ;;\nCREATE TRIGGER g BEFORE INSERT ON t FOR EACH ROW BEGIN SET @a=1; END;\nSET a='x;y'; SET b=`z;`;\n"
+            "INSERT INTO t VALUES (1,'x');\n")
+    assert ids(read_sql_dump(spark, folder(a=dump), SCHEMA, table="t")) == [1]
+
+
 def test_ignored_records(spark):
     dump = ("-- MySQL dump 10.13\n--\n/*!40101 SET NAMES utf8 */;\nDROP TABLE IF EXISTS `t`;\nCREATE TABLE `t` (\n"
             "  `id` bigint(20) NOT NULL AUTO_INCREMENT,\n  `key` text,\n  PRIMARY KEY (`id`),\n  KEY `k` (`key`(10)),\n"
