@@ -39,11 +39,16 @@ _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"
                     r"|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|<[!?][^>]*+>", re.S)
 _ATTR = re.compile(r"""(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _WORD = re.compile(r"[a-z]+")
-_RAW = {"script", "style", "noscript", "template", "iframe", "svg", "math", "object", "canvas", "textarea", "title", "head", "select"}
+_RAW = {"script", "style", "noscript", "template", "iframe", "svg", "object", "canvas", "textarea", "title", "head", "select",
+        "annotation", "annotation-xml"}
+#: Elements whose content is raw text up to their end tag: nothing inside is a tag.
+_TEXT = {"script", "style", "iframe", "textarea", "title"}
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 _INLINE = {"a", "abbr", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd",
            "label", "mark", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var",
-           "br", "img", "wbr"}
+           "br", "img", "wbr", "math", "semantics", "mrow", "mi", "mn", "mo", "ms", "mtext", "mspace", "mfrac", "msqrt", "mroot",
+           "mstyle", "mpadded", "mphantom", "menclose", "msub", "msup", "msubsup", "munder", "mover", "munderover",
+           "mmultiscripts", "mprescripts", "mtable", "mtr", "mtd"}
 #: Start tags that end an open element of the second set (up to the nearest of the third).
 _CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
            "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
@@ -85,9 +90,7 @@ def leaf_blocks(page: str | None) -> list[Block]:
             if links:
                 linked += len(text)
 
-    for m in _TOKEN.finditer(page):
-        if m.start() < at:
-            continue
+    while m := _TOKEN.search(page, at):
         if skip is None:
             take(page[at:m.start()])
         at = m.end()
@@ -97,20 +100,22 @@ def leaf_blocks(page: str | None) -> list[Block]:
         name, closing = name.lower(), bool(slash)
         if skip == "head" and name == "body":  # the head's end tag may be missing
             skip = None
+        closed = attributes.rstrip().endswith("/")
+        if not closing and name in _TEXT and not (skip == "svg" and closed):
+            # the scan goes on behind its end tag, also inside an element that is left out
+            end = re.compile(rf"</{name}(?=[\s/>])[^>]*+>", re.I).search(page, at)
+            at = end.end() if end else len(page)
+            if name == "iframe" and skip is None:
+                flush()
+            continue
         if skip is not None:
-            if name == skip:
+            if name == skip and (closing or not closed):
                 hidden += -1 if closing else 1
                 if not hidden:
                     skip = None
             continue
         if not closing and name in _RAW:
-            if name not in ("head", "svg", "math", "object", "canvas", "select", "noscript", "template"):
-                # raw text: nothing inside is a tag
-                end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
-                at = end.end() if end else len(page)
-                if name in ("iframe",):
-                    flush()
-            elif not attributes.rstrip().endswith("/"):
+            if not closed:
                 skip, hidden = name, 1
             continue
         if name == "br":

@@ -327,6 +327,21 @@ def test_leaf_blocks():
     assert leaf_blocks(None) == [] and leaf_blocks("") == [] and leaf_blocks("<p>") == [] and leaf_blocks("a < b")[0].text == "a < b"
 
 
+@pytest.mark.parametrize("raw", [
+    '<script>var s="<!--";</script>', "<script>if (a<b) x(); // don't</script>", "<style>/* <a title=' */</style>",
+    "<textarea><!-- <p></textarea>", "<svg><title>a<b '</title><style><!--</style></svg>", "<script>i<n && '</script >"])
+def test_raw_text_ends_at_its_end_tag(raw):
+    page = f"<html><head>{raw}<title>t</title></head><body><nav>Home</nav>{raw}<article><p>One</p><p>it's</p></article><footer>f</footer><!-- c -->"
+    got = leaf_blocks(page)
+    assert [b.text for b in got] == ["Home", "One", "it's", "f"]
+    assert [b.path[-2:] for b in got[1:]] == [("article", "p"), ("article", "p"), ("body", "footer")]
+
+
+def test_formulas_are_text():
+    page = "<p>Let <math><mi>x</mi><mo>&gt;</mo><semantics><mn>2</mn><annotation>x>2</annotation></semantics></math> hold.</p><p>So"
+    assert [b.text for b in leaf_blocks(page)] == ["Let x>2 hold.", "So"]
+
+
 def test_extract(spark):
     s = "This is a sentence of the article that goes on for a while, and then it ends."
     side = '<nav><ul><li><a href="/">Home</a></li><li><a href="/b">News</a></li></ul></nav>'
