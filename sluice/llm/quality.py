@@ -11,6 +11,8 @@ Plan: one pass over the texts writes the counts and the short words; references
 aggregates over that table, pre-aggregated to a few rows per language before the shuffle;
 the verdict is a projection. Texts are never shuffled, so no key can be hot. The references
 that reach the driver are bounded by `top` words for each of at most `max_languages` languages.
+Of more languages the references stay a table, which is crossed with the documents and leaves one
+row of smallest distances for each document before the shuffle.
 
 n_repeat_words compares 8-word windows by 64-bit hashes within one document.
 
@@ -86,14 +88,15 @@ def _counts(docs: DataFrame, short: int) -> DataFrame:
                      F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"), "chars", little.alias("short_words"))
 
 
-def _references(counts: DataFrame, top: int, max_languages: int) -> dict[str, tuple[list[float], dict[str, float]]]:
-    """Per language: shares of the character classes, and of its most frequent short words among all words."""
+def _references(counts: DataFrame, top: int, max_languages: int) -> dict[str, tuple[list[float], dict[str, float]]] | None:
+    """Per language: shares of the character classes, and of its most frequent short words among all words;
+    None for more than max_languages."""
     known = counts.where("lang is not null and n_words > 0")
     k = len(CLASSES) + 1
     sums = known.groupBy("lang").agg(F.sum("n_words").alias("n"), *[F.sum(F.col("chars")[i]).alias(f"c{i}") for i in range(k)])
     rows = sums.limit(max_languages + 1).collect()
     if len(rows) > max_languages:
-        raise ValueError(f"more than {max_languages} languages")
+        return None
     total = {r.lang: r.n for r in rows}
     shares = {r.lang: [r[f"c{i}"] / max(1, sum(r[f"c{j}"] for j in range(k))) for i in range(k)] for r in rows}
     freq = (known.select("lang", F.explode("short_words").alias("w")).groupBy("lang", "w").agg(F.count(F.lit(1)).alias("n")))
@@ -101,6 +104,35 @@ def _references(counts: DataFrame, top: int, max_languages: int) -> dict[str, tu
     return {lang: (shares[lang], words.get(lang, {})) for lang in sorted(total)}
 
 
+def _reference_table(counts: DataFrame, top: int) -> DataFrame:
+    """The references of any number of languages: (char_ref, words, word_ref), the last two null without a word."""
+    known = counts.where("lang is not null and n_words > 0")
+    k = len(CLASSES) + 1
+    sums = known.groupBy("lang").agg(F.sum("n_words").alias("n"), F.array(*[F.sum(F.col("chars")[i]) for i in range(k)]).alias("c"))
+    freq = (known.select("lang", F.explode("short_words").alias("w")).groupBy("lang", "w").agg(F.count(F.lit(1)).alias("n")))
+    all_chars = F.greatest(F.aggregate("c", F.lit(0).cast("long"), lambda a, x: a + x), F.lit(1))
+    shares = F.transform("best", lambda b: -b.n / F.col("n"))
+    rest = 1 - F.aggregate(shares, F.lit(0.0), lambda x, y: x + y)
+    return sums.join(_bounded(freq, top), "lang", "left").select(
+        F.transform("c", lambda x: x / all_chars).alias("char_ref"), F.transform("best", lambda b: b.w).alias("words"),
+        F.concat(shares, F.array(rest)).alias("word_ref"))
+
+
+def _nearest_of_many(counts: DataFrame, min_words: int, refs: DataFrame) -> DataFrame:
+    """counts with char_distance and word_distance, the smallest over all rows of refs."""
+    carried = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_chars"]
+    df = (counts.select(*carried, "char_shares", "joined", F.monotonically_increasing_id().alias("row"))
+          .crossJoin(refs))
+    q = F.transform("words", lambda w: (F.char_length("joined") - F.char_length(F.replace(
+        F.col("joined"), F.concat(F.lit(" "), w, F.lit(" ")), F.lit("")))) / (F.char_length(w) + 2) / F.col("n_words"))
+    q = F.when((F.col("n_words") > 0) & (F.col("n_words") >= min_words), q)
+    rest = F.greatest(1 - F.aggregate("q", F.lit(0.0), lambda x, y: x + y), F.lit(0.0))
+    df = df.withColumn("q", q).withColumn("q", F.concat("q", F.array(rest)))
+    return df.groupBy("row").agg(
+        *[F.first(c).alias(c) for c in carried], F.min(_divergence(F.col("char_ref"), F.col("char_shares"))).alias("by_char"),
+        F.min(F.when(F.col("words").isNotNull(), _divergence(F.col("word_ref"), F.col("q")))).alias("by_word"))
+
+
 def _bounded(freq: DataFrame, top: int) -> DataFrame:
     """(lang, best): the `top` most frequent words of each language, by a rank that Spark computes with
     a group limit before its shuffle."""
@@ -110,12 +142,12 @@ def _bounded(freq: DataFrame, top: int) -> DataFrame:
             .groupBy("lang").agg(F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("n"), "w"))).alias("best")))
 
 
-def _divergence(p: list[float], q: Column) -> Column:
+def _divergence(p: list[float] | Column, q: Column) -> Column:
     """Jensen-Shannon distance of fixed shares and a document's shares (an array; both sum to 1)."""
     def term(a: Column, b: Column) -> Column:
         m = (a + b) / 2
         return F.when(a > 0, a * F.log2(a / m)).otherwise(0.0) + F.when(b > 0, b * F.log2(b / m)).otherwise(0.0)
-    total = F.aggregate(F.zip_with(F.lit(p), q, term), F.lit(0.0), lambda x, y: x + y)
+    total = F.aggregate(F.zip_with(p if isinstance(p, Column) else F.lit(p), q, term), F.lit(0.0), lambda x, y: x + y)
     return F.sqrt(F.greatest(total / 2, F.lit(0.0)))
 
 
@@ -124,29 +156,35 @@ def quality_rules(docs: DataFrame, *, top: int = 16, short: int = 4, max_languag
                   max_word_distance: float = 0.33, id_col: str = "doc_id", text_col: str = "text",
                   lang_col: str = "lang") -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, char_distance,
-    word_distance (null where a guard applies or there is no reference) of every row."""
+    word_distance (null where a guard applies or there is no reference) of every row.
+
+    max_languages: up to this many languages are compared in one projection, more by a cross join.
+    """
     rows = pick(docs, doc_id=id_col, text=text_col, lang=lang_col)
     counts = stage(_counts(rows, short), "counts")
     refs = _references(counts, top, max_languages)
-    every = sorted({w for _, words in refs.values() for w in words})
     # count of each common word: the words joined with spaces on both sides of each, and what is
     # left of that string without the word
     joined = F.concat(F.lit(" "), F.array_join("short_words", "  "), F.lit(" "))
-    df = counts.withColumn("joined", joined)
-    if every:
-        df = df.withColumn("common", F.array(*[
-            (F.char_length("joined") - F.char_length(F.replace("joined", F.lit(f" {w} "), F.lit("")))) / (len(w) + 2) for w in every]))
     n_chars = F.aggregate("chars", F.lit(0), lambda a, x: a + x)
-    df = df.withColumn("n_chars", n_chars)
-    at = {w: i for i, w in enumerate(every)}
-    df = df.withColumn("char_shares", F.transform("chars", lambda x: x / F.col("n_chars")))
-    by_char, by_word = [], []
-    for shares, words in refs.values():
-        by_char.append(_divergence(shares, F.col("char_shares")))
-        if words:
-            q = F.transform(F.lit([at[w] for w in words]), lambda i: F.get("common", i) / F.col("n_words"))
-            rest = F.greatest(1 - F.aggregate(q, F.lit(0.0), lambda x, y: x + y), F.lit(0.0))
-            by_word.append(_divergence([*words.values(), 1 - sum(words.values())], F.concat(q, F.array(rest))))
+    df = counts.withColumn("joined", joined).withColumn("n_chars", n_chars)
+    df = df.withColumn("char_shares", F.when(F.col("n_chars") > 0, F.transform("chars", lambda x: x / F.col("n_chars"))))
+    if refs is None:
+        df = _nearest_of_many(df, min_words, stage(_reference_table(counts, top), "references"))
+        by_char, by_word = [F.col("by_char")], [F.col("by_word")]
+    else:
+        every = sorted({w for _, words in refs.values() for w in words})
+        if every:
+            df = df.withColumn("common", F.array(*[
+                (F.char_length("joined") - F.char_length(F.replace("joined", F.lit(f" {w} "), F.lit("")))) / (len(w) + 2) for w in every]))
+        at = {w: i for i, w in enumerate(every)}
+        by_char, by_word = [], []
+        for p, words in refs.values():
+            by_char.append(_divergence(p, F.col("char_shares")))
+            if words:
+                q = F.transform(F.lit([at[w] for w in words]), lambda i: F.get("common", i) / F.col("n_words"))
+                rest = F.greatest(1 - F.aggregate(q, F.lit(0.0), lambda x, y: x + y), F.lit(0.0))
+                by_word.append(_divergence([*words.values(), 1 - sum(words.values())], F.concat(q, F.array(rest))))
 
     def nearest(found: list[Column]) -> Column:
         return F.least(*found) if len(found) > 1 else found[0] if found else F.lit(None).cast("double")

@@ -290,6 +290,44 @@ def test_language(spark):
     assert identify(df, train_lang(none)).where("lang_pred != 'und'").count() == 0 and identify(none, train_lang(df)).count() == 0
 
 
+def many_languages(spark, n=70):
+    rng = random.Random(8)
+    rows = []
+    for i in range(4 * n):
+        own = [f"{chr(97 + i % n % 26)}{chr(97 + i % n // 26)}{x}" for x in "abc"]
+        rows.append((i, " ".join(rng.choice(own + ["the", "longer", "words", "2.5"]) for _ in range(30 + i % 50)), f"x{i % n}"))
+    rows += [(900, "The long" * 40, None), (901, None, "x1"), (901, "", "x2"), (902, "longwords " * 60, "only long"), (902, "longwords " * 60, "only long")]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string")
+
+
+def test_quality_of_many_languages(spark, tmp_path):
+    import duckdb
+    from compare import assert_same
+
+    from sluice.llm.queries import ORACLE_SQL
+    df = many_languages(spark)
+
+    def got(**kw):
+        return sorted((tuple(-1 if x is None else x for x in r) for r in quality_rules(df, **kw).collect()))
+    many, few = got(), got(max_languages=100)
+    assert len(many) == len(few) == df.count()
+    assert all(a == pytest.approx(b) for a, b in zip(many, few))
+    df.coalesce(1).write.parquet(str(tmp_path / "d"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/d/*.parquet')")
+    assert_same(quality_rules(df).drop("char_distance", "word_distance"), con, ORACLE_SQL["op5_quality_rules"])
+
+
+def test_language_of_many(spark, monkeypatch):
+    import sluice.llm.langid as m
+    monkeypatch.setattr(m, "TASK_LANGUAGES", 5)
+    df = many_languages(spark)
+    one = sorted((r.doc_id, r.lang_pred, r.score) for r in identify(df, train_lang(df)).collect())
+    blocks = sorted((r.doc_id, r.lang_pred, r.score) for r in identify(df, train_lang(df, max_languages=9)).collect())
+    assert [x[:2] for x in blocks] == [x[:2] for x in one] and len(one) == df.count()
+    assert [x[2] for x in blocks] == pytest.approx([x[2] for x in one])
+
+
 def test_toxicity(spark):
     rng = random.Random(4)
     plain = [f"w{i}" for i in range(200)]
