@@ -5,10 +5,10 @@ line that begins with quote marks ('>', blanks between them allowed) has the lev
 number. Consecutive lines of the same level of 1 or more form a quoted passage; consecutive
 lines of level 0 form own text. A passage is normalised (marks off, lower case, white space
 runs to one blank, trimmed) and hashed; so are, of every message, its own text as a whole, its
-paragraphs and its lines. A passage's lines are looked up too, so that a shortened quotation
-still finds its source. The join on (conversation, hash) links a passage to earlier messages
-of the same conversation; the latest of them is the source, a whole passage before a single
-line. The parent of a message is the source of its lowest-level passage that has one (of several
+paragraphs and its lines. A passage's paragraphs and lines are looked up too, so that a shortened
+or re-wrapped quotation still finds its source. The join on (conversation, hash) links a passage to earlier messages
+of the same conversation; the latest of them is the source, a whole passage before a
+paragraph before a single line. The parent of a message is the source of its lowest-level passage that has one (of several
 the first in the text), its depth and root follow the parents.
 
 A message is written without its quotes. Replies come after what they answer: a conversation is
@@ -87,7 +87,8 @@ def _links(parsed: DataFrame) -> DataFrame:
                      .select("conv", "turn", F.posexplode("passages").alias("at", "p")), "passages")
     wanted = passages.select("conv", "turn", "at", F.col("p.level").alias("level"), F.explode(F.concat(
         F.array(F.struct(F.lit(0).alias("part"), F.col("p.text").alias("text"))),
-        F.transform(F.split("p.text", "\n"), lambda x: F.struct(F.lit(1).alias("part"), x.alias("text"))))).alias("x"))
+        F.transform(F.split("p.text", r"\n[ \t]*\n"), lambda x: F.struct(F.lit(1).alias("part"), x.alias("text"))),
+        F.transform(F.split("p.text", "\n"), lambda x: F.struct(F.lit(2).alias("part"), x.alias("text"))))).alias("x"))
     wanted = (wanted.select("conv", "turn", "at", "level", "x.part", _key(F.col("x.text")).alias("key"))
               .where("key is not null").distinct())
     # only conversations with a quotation have their messages hashed

@@ -415,6 +415,14 @@ def test_quotations(spark):
         (4, 1, 0, None, 0, 0, 1, "a"), (4, 2, 1, None, 1, 0, 0, "later")]
 
 
+def test_quotation_of_some_paragraphs(spark):
+    rows = [(1, 0, "user", "First one\nin two lines.\n\nSecond one, also\nin two lines.\n\nThird."), (1, 1, "user", "Other."),
+            (1, 2, "user", "> First one in\n> two lines.\n>\n> Second one,\n> also in two lines.\nYes.")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {r.turn: (r.parent_turn, r.root_turn, r.position, r.text) for r in link_quotations(df).collect()}
+    assert got == {0: (None, 0, 1, rows[0][3]), 2: (0, 0, 2, "Yes."), 1: (None, 1, 3, "Other.")}
+
+
 def test_quotations_sql(spark, tmp_path):
     """The registered SQL gives the same threads on random nested quotations."""
     import duckdb
