@@ -12,6 +12,7 @@ from .chat import link_quotations
 from .common import held_out
 from .decontam import contamination
 from .neardup import near_duplicates
+from .packing import pack, token_pieces
 from .quality import quality_rules
 from .suffix import repeated_substrings
 from .tokencount import token_counts
@@ -88,6 +89,12 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(load(spark, sf_dir, "documents"), k=3, percent=85)
 
 
+def op11_best_fit_packing(spark: SparkSession, sf_dir: str, vocabulary: str = "word_bpe_49k.json") -> DataFrame:
+    """Token pieces of every text, packed into sequences of at most 4096 tokens."""
+    pieces = token_pieces(load(spark, sf_dir, "documents"), tokenizer_file(vocabulary), capacity=4096, end_id=1)
+    return pack(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_toxicity": op2_toxicity,
@@ -99,6 +106,7 @@ QUERIES = {
     "op8_html_extraction": op8_html_extraction,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
+    "op11_best_fit_packing": op11_best_fit_packing,
 }
 
 _WORDS = r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
