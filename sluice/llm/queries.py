@@ -11,12 +11,14 @@ from .bpe import byte_bpe
 from .chat import link_quotations
 from .common import held_out
 from .decontam import contamination
+from .divergence import divergence
 from .neardup import near_duplicates
 from .packing import pack, token_pieces
 from .quality import quality_rules
 from .suffix import repeated_substrings
 from .tokencount import token_counts
 from .toxicity import toxicity
+from .variants import spelling_variants
 
 
 def tokenizer_file(name: str) -> bytes:
@@ -95,6 +97,16 @@ def op11_best_fit_packing(spark: SparkSession, sf_dir: str, vocabulary: str = "w
     return pack(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of the texts (one run in 97 misspelt), their near words, forms and roots."""
+    return spelling_variants(load(spark, sf_dir, "documents"), min_length=5, min_count=3, ratio=2, drop_every=97)
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distances between the sources of each language by their terms, and each source's own terms."""
+    return divergence(load(spark, sf_dir, "documents"), min_docs=10, top=10)
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_toxicity": op2_toxicity,
@@ -107,6 +119,8 @@ QUERIES = {
     "op9_byte_bpe": op9_byte_bpe,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
     "op11_best_fit_packing": op11_best_fit_packing,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_source_divergence": op13_source_divergence,
 }
 
 _WORDS = r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -206,7 +220,33 @@ o AS (SELECT p.conv_id, p.turn, p.role, link.parent AS parent_turn, coalesce(top
 SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY root_turn NULLS FIRST, turn NULLS FIRST, role NULLS FIRST,
   parent_turn NULLS FIRST, depth, n_quotes, text) AS position FROM o"""
 
+_DIVERGENCE_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+        regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                           '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents),
+g AS (SELECT DISTINCT lang, source FROM d),
+o AS (SELECT rid, lang, source, unnest(ts) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS total FROM o GROUP BY lang, term HAVING count(DISTINCT rid) >= 10),
+c AS (SELECT lang, source, term, count(*) AS n FROM o JOIN k USING (lang, term) GROUP BY lang, source, term),
+gn AS (SELECT g.lang, g.source, coalesce(sum(n), 0) AS n_all FROM g LEFT JOIN c ON c.lang = g.lang AND c.source = g.source GROUP BY g.lang, g.source),
+ln AS (SELECT lang, count(*) AS v, sum(total) AS n_all FROM k GROUP BY lang),
+p AS (SELECT gn.lang, gn.source, k.term, coalesce(c.n, 0) AS n,
+        1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 2)) // (gn.n_all + 2 * ln.v) AS p,
+        1 + (1000000000::HUGEINT * (k.total + 2)) // (ln.n_all + 2 * ln.v) AS q
+      FROM gn JOIN ln USING (lang) JOIN k USING (lang) LEFT JOIN c ON c.lang = gn.lang AND c.source = gn.source AND c.term = k.term),
+s AS (SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+      FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY a.lang, a.source, b.source),
+pairs AS (SELECT a.lang, a.source, b.source AS item, coalesce(s.value, 0) AS value
+      FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+      LEFT JOIN s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+terms AS (SELECT lang, source, term AS item, ((p - q) * (p - q)) // (p + q) AS value FROM p WHERE n > 0 AND p > q),
+r AS (SELECT lang, source, 'pair' AS part, item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank FROM pairs
+      UNION ALL SELECT * FROM (SELECT lang, source, 'term', item, value,
+          row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank FROM terms) WHERE rank <= 10)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM r"""
+
 ORACLE_SQL = {
+    "op13_source_divergence": _DIVERGENCE_SQL,
     "op4_chat_formatting": _CHAT_SQL,
     "op5_quality_rules": _quality_sql(),
     "op10_minhash_near_dedup": f"""
