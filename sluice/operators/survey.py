@@ -71,16 +71,23 @@ def run_selection_job(selected: DataFrame, target_table: str, *, survey: str, ru
                       partitions: Sequence[str] = ("year_month",), mode: str = "append",
                       dry_run: bool = False, path: str | None = None) -> DataFrame:
     """Write a selection into its target table (aligned to the table's schema, one write in
-    the given mode) and return the run report. Rows are counted by the write's own pass. With
-    `dry_run` nothing is written and the report counts the selection itself."""
+    the given mode) and return the run report. Rows are counted by the write's own pass. An
+    append may be repeated: it replaces the rows of an earlier run of the same survey and run
+    date (`sinks/staged.py`). With `dry_run` nothing is written and the report counts the
+    selection itself."""
     from ..sinks.tables import write_table
     if dry_run:
         write_table(selected, target_table, partitions, mode, dry_run=True, path=path)
         return run_summary(selected, survey, run_date, mode, "Dry run", table=target_table)
-    seen = Observation()
-    write_table(selected.observe(seen, F.count(F.lit(1)).alias("amount")), target_table, partitions, mode, path=path)
-    spark = selected.sparkSession
-    return _report(spark.createDataFrame([(seen.get["amount"],)], "amount long"), survey, run_date, mode, "Completed", target_table)
+    spark, amount = selected.sparkSession, []
+    if mode == "append":
+        write_table(selected, target_table, partitions, mode, path=path, run={"survey": survey, "run_date": run_date},
+                    written=amount.append)
+    else:
+        seen = Observation()
+        write_table(selected.observe(seen, F.count(F.lit(1)).alias("amount")), target_table, partitions, mode, path=path)
+        amount.append(seen.get["amount"])
+    return _report(spark.createDataFrame([(amount[0],)], "amount long"), survey, run_date, mode, "Completed", target_table)
 
 
 def run_summary(df: DataFrame, survey: str, run_date: str, mode: str,

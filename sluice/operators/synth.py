@@ -14,6 +14,8 @@ Per column (fixed value rules):
 - date        date of `base_ts` minus 1 to 7 days
 - key column  `<prefix>_<stamp>_<i>` where i runs over a permutation of 0..n-1 that depends
               only on the prefix, so two tables using one prefix get the same keys row by row
+              (`shuffle="affine"`: i -> a * i + b mod n; "feistel": unrelated neighbours,
+              `functions/permute.py`)
 - fixed       one value of a list (uniformly), or NULL for `None`
 """
 
@@ -30,6 +32,7 @@ from pyspark.sql.types import (BooleanType, ByteType, DataType, DateType, Decima
                                TimestampNTZType, TimestampType)
 
 from ..functions.expressions import hash_hex, hex_to_long
+from ..functions.permute import permuted
 
 _ID = "__sl_id"
 # Fixed value rules (see module docstring).
@@ -57,7 +60,9 @@ def perm_offset(prefix: str, seed: int | str) -> int:
     return int(hashlib.md5(f"{seed}|{prefix}".encode()).hexdigest()[:8], 16)
 
 
-def key_column(prefix: str, stamp: str, idx: Column, n: int, seed: int | str) -> Column:
+def key_column(prefix: str, stamp: str, idx: Column, n: int, seed: int | str, shuffle: str = "affine") -> Column:
+    if shuffle == "feistel":
+        return F.concat_ws("_", F.lit(prefix), F.lit(stamp), permuted(idx, n, f"{seed}|{prefix}").cast("string"))
     a, b = perm_multiplier(n), perm_offset(prefix, seed)
     # decimal arithmetic: a*i overflows 64 bits for tables beyond ~4e9 rows
     permuted = ((idx.cast("decimal(38,0)") * F.lit(a) + F.lit(b)) % F.lit(n)).cast("long")
@@ -104,9 +109,12 @@ def synth_table(spark: SparkSession, schema: StructType, n: int, *,
                 choices: Mapping[str, Sequence | None] | None = None,
                 seed: int | str = 42, stamp: str = "202211251200",
                 base_ts: str = "2022-11-25 12:00:00",
-                num_partitions: int | None = None) -> DataFrame:
+                num_partitions: int | None = None, shuffle: str = "affine") -> DataFrame:
     """`n` rows in `schema`'s column order. `keys` maps string columns to id prefixes,
-    `choices` maps columns to their allowed values (None: always NULL)."""
+    `choices` maps columns to their allowed values (None: always NULL); `shuffle` is the permutation
+    of the keys ("affine" or "feistel")."""
+    if shuffle not in ("affine", "feistel"):
+        raise ValueError("shuffle is 'affine' or 'feistel'")
     keys = {k.lower(): v for k, v in (keys or {}).items()}
     choices = {k.lower(): v for k, v in (choices or {}).items()}
     known = {f.name.lower() for f in schema.fields}
@@ -121,7 +129,7 @@ def synth_table(spark: SparkSession, schema: StructType, n: int, *,
         if lname in keys:
             if not isinstance(f.dataType, StringType):
                 raise TypeError(f"key column {f.name!r} must be a string column")
-            c = key_column(keys[lname], stamp, idx, n, seed)
+            c = key_column(keys[lname], stamp, idx, n, seed, shuffle)
         elif lname in choices:
             c = choice_column(f.name, f.dataType, choices[lname], idx, seed)
         else:

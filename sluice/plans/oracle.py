@@ -61,6 +61,43 @@ ORACLE_SQL: dict[str, str] = {
 }
 
 
+_SELECTED = ORACLE_SQL["survey_selection"]
+_COLUMNS = "o_orderkey, o_custkey, c_mktsegment, n_name, odl_id, year_month"
+
+ORACLE_SQL.update({
+    "row_number_stored": "SELECT *, row_number() OVER () AS nr FROM orders",
+    "positional_zip_stored": """
+        SELECT s.* EXCLUDE rn, c.* EXCLUDE rn FROM (SELECT *, row_number() OVER () AS rn FROM supplier) s
+        JOIN (SELECT *, row_number() OVER () AS rn FROM customer) c USING (rn)""",
+    "join_skewed": """
+        SELECT o_orderkey, o_fk, c_custkey, c_name, c_mktsegment
+        FROM (SELECT o_orderkey, CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 1
+                                      WHEN o_orderstatus <> 'P' THEN o_custkey END AS o_fk FROM orders)
+        LEFT JOIN customer ON o_fk = c_custkey""",
+    "cast_loss": """
+        SELECT 'l_orderkey' AS "column", 'bigint' AS from_type, 'smallint' AS to_type,
+               count(*) FILTER (l_orderkey NOT BETWEEN -32768 AND 32767) AS nulled, 0::BIGINT AS cut, 0::BIGINT AS rounded FROM lineitem
+        UNION ALL SELECT 'l_quantity', 'double', 'int', 0, count(*) FILTER (l_quantity <> trunc(l_quantity)), 0 FROM lineitem
+        UNION ALL SELECT 'l_extendedprice', 'double', 'decimal(12,1)', 0, 0,
+               count(*) FILTER (l_extendedprice <> CAST(CAST(l_extendedprice AS DECIMAL(12, 1)) AS DOUBLE)) FROM lineitem
+        UNION ALL SELECT 'l_discount', 'double', 'int', 0, count(*) FILTER (l_discount <> trunc(l_discount)), 0 FROM lineitem
+        UNION ALL SELECT 'l_tax', 'double', 'float', 0, 0, count(*) FILTER (l_tax <> CAST(CAST(l_tax AS FLOAT) AS DOUBLE)) FROM lineitem
+        UNION ALL SELECT 'l_returnflag', 'string', 'int', count(*) FILTER (l_returnflag IS NOT NULL AND TRY_CAST(l_returnflag AS INT) IS NULL), 0, 0 FROM lineitem
+        UNION ALL SELECT 'l_shipdate', 'timestamp_ntz', 'date', 0, count(*) FILTER (l_shipdate <> date_trunc('day', l_shipdate)), 0 FROM lineitem
+        UNION ALL SELECT 'l_linenumber', 'int', 'bigint', 0, 0, 0 FROM (SELECT 1)""",
+    "align_quarantine": """
+        SELECT o_orderkey, o_custkey, CASE WHEN o_custkey NOT BETWEEN -128 AND 127 THEN 'nulled' END AS key_reason,
+               CASE WHEN o_orderdate <> date_trunc('day', o_orderdate) THEN 'cut' END AS date_reason FROM orders""",
+    "run_repeated": f"""
+        WITH s AS ({_SELECTED}) SELECT {_COLUMNS} FROM s UNION ALL SELECT {_COLUMNS} FROM s WHERE n_name IS NULL""",
+    "write_only_changed": """
+        SELECT o_orderkey, o_custkey, o_orderstatus,
+               CASE WHEN o_orderpriority = '2-HIGH' THEN -o_totalprice ELSE o_totalprice END AS o_totalprice,
+               o_orderdate, o_orderpriority, o_orderpriority = '2-HIGH' AS rewritten
+        FROM orders""",
+})
+
+
 # ---- schema, run report, catalog and sinks -------------------------------------------------
 
 ORACLE_SQL.update({
@@ -117,6 +154,7 @@ ORACLE_SQL.update({
 def _synth_sql() -> dict[str, str]:
     from ..operators.synth import (PERM_MULTIPLIER_MAX, SECONDS_PER_STEP, STEP_MIN, STEP_SPAN,
                                    STRING_LEN, perm_offset)
+    from ..functions.permute import HEX_DIGITS, ROUNDS
     from .queries import SYNTH_BASE_TS, SYNTH_SEED, SYNTH_STAMP
 
     def h(name):
@@ -141,6 +179,21 @@ def _synth_sql() -> dict[str, str]:
         return (f"concat_ws('_', '{prefix}', '{SYNTH_STAMP}', CAST((CAST({PERM_MULTIPLIER_MAX} AS HUGEINT) * id"
                 f" + {perm_offset(prefix, SYNTH_SEED)}) % ({n_sql}) AS VARCHAR))")
 
+    def shuffled(prefix, table, walks=8):
+        """The Feistel walk as nested selects (n, a and b are those of `rectangle`)."""
+        sql = f"""SELECT id, id AS y, n, a, greatest(1, (n + a - 1) // a) AS b
+            FROM (SELECT id, n, CAST(ceil(sqrt(n)) AS BIGINT) AS a FROM {ids(table)}, (SELECT count(*) AS n FROM {table}))"""
+
+        def f(i, v):
+            return f"('0x' || substr(md5(concat_ws('|', '{SYNTH_SEED}|{prefix}', '{i}', CAST({v} AS VARCHAR))), 1, {HEX_DIGITS}))::BIGINT"
+        for w in range(walks):
+            sql = f"SELECT *, y // b AS u, y % b AS v FROM ({sql})"
+            for i in range(ROUNDS):
+                change = f"(u + {f(i, 'v')}) % a AS u" if i % 2 == 0 else f"(v + {f(i, 'u')}) % b AS v"
+                sql = f"SELECT * REPLACE ({change}) FROM ({sql})"
+            sql = f"SELECT id, {'u * b + v' if w == 0 else 'CASE WHEN y < n THEN y ELSE u * b + v END'} AS y, n, a, b FROM ({sql})"
+        return sql
+
     whole = ["l_orderkey", "l_partkey", "l_suppkey"]
     tenths = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
     columns = ([f"{x(c)} % 1000000 AS {c}" for c in whole] + [f"CAST({x('l_linenumber')} % 1000 AS INTEGER) AS l_linenumber"]
@@ -167,6 +220,10 @@ def _synth_sql() -> dict[str, str]:
                    {x('c_custkey')} % 1000000 AS c_custkey,
                    {x('s_suppkey')} % 1000000 AS s_suppkey
             FROM {ids('customer')}""",
+        "synth_keys_shuffled": f"""
+            SELECT concat_ws('_', 'party', '{SYNTH_STAMP}', CAST(y AS VARCHAR)) AS c_name,
+                   {x('c_custkey')} % 1000000 AS c_custkey
+            FROM ({shuffled('party', 'customer')})""",
         "synth_choice": f"""
             SELECT {x('c_custkey')} % 1000000 AS c_custkey, CAST(NULL AS VARCHAR) AS c_name,
                    {choice('c_nationkey', 'nation', 'n_nationkey')} AS c_nationkey,

@@ -10,13 +10,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import (ByteType, DateType, DecimalType, FloatType, IntegerType, LongType, ShortType, StringType,
+                               StructField, StructType)
 
 from ..functions.expressions import date_stamp, expires, minute_stamp
 from ..functions.joins import bounded_broadcast
 from ..functions.ordering import Desc
+from ..operators.castloss import align_with_quarantine, cast_loss
 from ..operators.numbering import with_row_number, zip_by_position
 from ..operators.schema import align_to, drift_report
+from ..operators.skewjoin import skew_join
+from ..operators.stored import with_stored_number, zip_stored
 from ..operators.survey import run_selection_job
 from ..operators.survey import survey_id, survey_selection as _survey_selection
 from ..operators.synth import synth_table as _synth_table
@@ -94,6 +98,44 @@ def join_chain(spark: SparkSession, sf: str) -> DataFrame:
             .select("o_orderkey", "c_name", "n_name"))
 
 
+def row_number_stored(spark: SparkSession, sf: str) -> DataFrame:
+    """Row number of orders in stored order."""
+    return with_stored_number(load(spark, sf, "orders"), "nr")
+
+
+def positional_zip_stored(spark: SparkSession, sf: str) -> DataFrame:
+    """Suppliers and customers paired by their stored positions."""
+    return zip_stored(load(spark, sf, "supplier"), load(spark, sf, "customer"))
+
+
+def join_skewed(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders left-joined to customers on a key that nearly half of all rows share and some lack."""
+    key = F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), F.lit(1)).when(F.col("o_orderstatus") != "P", F.col("o_custkey"))
+    orders = load(spark, sf, "orders").select("o_orderkey", key.cast("long").alias("o_fk"))
+    return skew_join(orders, load(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment"), "o_fk", "c_custkey", "left")
+
+
+#: Types that lose values of lineitem in every way.
+NARROW = StructType([StructField("l_orderkey", ShortType()), StructField("l_quantity", IntegerType()),
+                     StructField("l_extendedprice", DecimalType(12, 1)), StructField("l_discount", IntegerType()),
+                     StructField("l_tax", FloatType()), StructField("l_returnflag", IntegerType()),
+                     StructField("l_shipdate", DateType()), StructField("l_linenumber", LongType())])
+
+
+def cast_loss_query(spark: SparkSession, sf: str) -> DataFrame:
+    """How many values of each column of lineitem the casts to narrower types would lose."""
+    return cast_loss(load(spark, sf, "lineitem"), NARROW)
+
+
+def align_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders aligned to a narrower target, and those that would lose something with the reasons."""
+    target = StructType([StructField("o_orderkey", LongType()), StructField("o_custkey", ByteType()), StructField("o_orderdate", DateType())])
+    fine, lost = align_with_quarantine(load(spark, sf, "orders"), target)
+    none = F.lit(None).cast("string")
+    return fine.select("o_orderkey", F.col("o_custkey").cast("long").alias("o_custkey"), none.alias("key_reason"), none.alias("date_reason")).union(
+        lost.select("o_orderkey", "o_custkey", F.col("cast_reasons")["o_custkey"], F.col("cast_reasons")["o_orderdate"]))
+
+
 def survey_selection(spark: SparkSession, sf: str) -> DataFrame:
     """The end-to-end selection: survey filter, inner + left join, ids, year_month."""
     return _survey_selection(
@@ -149,6 +191,15 @@ def _base_name(name):
     return F.regexp_replace(name, "_[0-9a-f]{10}$", "")
 
 
+def run_repeated(spark: SparkSession, sf: str) -> DataFrame:
+    """The run of `run_summary` twice, and another survey's in between: the target holds each run's rows once."""
+    target = scratch_table(spark, "sl_survey_runs")
+    picked = survey_selection(spark, sf)
+    for survey, rows in ((SURVEY_NR, picked), (SURVEY_NR + 101, picked.where("n_name IS NULL")), (SURVEY_NR, picked)):
+        run_selection_job(rows, target, survey=f"RUN_{survey}", run_date=RUN_DATE, path=scratch_path(spark, "table"))
+    return read_table(spark, target)
+
+
 def write_dry_run(spark: SparkSession, sf: str) -> DataFrame:
     """A dry run reports the selection and leaves the target as it was."""
     target = scratch_table(spark, "sl_dry_run")
@@ -225,6 +276,22 @@ def write_overwrite(spark: SparkSession, sf: str) -> DataFrame:
     return read_table(spark, name)
 
 
+def write_only_changed(spark: SparkSession, sf: str) -> DataFrame:
+    """Of the partitions in the new frame only those whose rows differ are replaced; `rewritten` tells which."""
+    orders = load(spark, sf, "orders")
+    name = _orders_table(spark, sf, orders)
+
+    def files(end: str) -> DataFrame:
+        found = spark.table(name).select(F.col("o_orderpriority").alias("p"), F.col("_metadata.file_name").alias("f"))
+        return found.groupBy("p").agg(F.array_sort(F.collect_set("f")).alias(end))
+    before = files("old")
+    before = spark.createDataFrame(before.collect(), before.schema)  # one row for each partition
+    new = orders.withColumn("o_totalprice", F.when(F.col("o_orderpriority") == "2-HIGH", -F.col("o_totalprice")).otherwise(F.col("o_totalprice")))
+    write_table(new.where("o_orderpriority <> '5-LOW'"), name, ["o_orderpriority"], "overwrite_partitions", only_changed=True)
+    moved = before.join(files("new"), "p").select("p", (F.col("old") != F.col("new")).alias("rewritten"))
+    return read_table(spark, name).join(F.broadcast(moved), F.col("o_orderpriority") == F.col("p")).drop("p")
+
+
 def write_dynamic_overwrite(spark: SparkSession, sf: str) -> DataFrame:
     """Only the partitions present in the new frame are replaced."""
     orders = load(spark, sf, "orders")
@@ -341,6 +408,13 @@ def synth_keys(spark: SparkSession, sf: str) -> DataFrame:
     return left.join(right, left.c_name == right.s_name, "inner").select("c_name", "c_custkey", "s_suppkey")
 
 
+def synth_keys_shuffled(spark: SparkSession, sf: str) -> DataFrame:
+    """As many generated customers as customer has, their keys shuffled without a pattern."""
+    customer = load(spark, sf, "customer")
+    return _synth_table(spark, customer.select("c_custkey", "c_name").schema, customer.count(), keys={"c_name": "party"},
+                        seed=SYNTH_SEED, stamp=SYNTH_STAMP, base_ts=SYNTH_BASE_TS, shuffle="feistel")
+
+
 def synth_choice(spark: SparkSession, sf: str) -> DataFrame:
     """customer's schema with columns drawn from given tables' distinct values, and a NULL column."""
     customer = load(spark, sf, "customer")
@@ -358,9 +432,15 @@ QUERIES: dict[str, QueryFn] = {
     "date_expressions": date_expressions,
     "survey_id": survey_id_query,
     "positional_zip": positional_zip,
+    "row_number_stored": row_number_stored,
+    "positional_zip_stored": positional_zip_stored,
+    "join_skewed": join_skewed,
+    "cast_loss": cast_loss_query,
+    "align_quarantine": align_quarantine,
     "join_chain": join_chain,
     "survey_selection": survey_selection,
     "run_summary": run_summary,
+    "run_repeated": run_repeated,
     "align_schema": align_schema,
     "schema_drift": schema_drift,
     "view_like_filter": view_like_filter,
@@ -372,6 +452,7 @@ QUERIES: dict[str, QueryFn] = {
     "write_overwrite": write_overwrite,
     "write_dry_run": write_dry_run,
     "write_dynamic_overwrite": write_dynamic_overwrite,
+    "write_only_changed": write_only_changed,
     "load_csv": load_csv,
     "load_csv_text": load_csv_text,
     "load_csv_inferred": load_csv_inferred,
@@ -382,5 +463,6 @@ QUERIES: dict[str, QueryFn] = {
     "synth_table": synth_table,
     "synth_lineitem": synth_lineitem,
     "synth_keys": synth_keys,
+    "synth_keys_shuffled": synth_keys_shuffled,
     "synth_choice": synth_choice,
 }

@@ -12,6 +12,7 @@ import os
 import tempfile
 import time
 import uuid
+import zipfile
 from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
@@ -135,6 +136,23 @@ def expire_scratch(spark: SparkSession, older_than_hours: float) -> list[str]:
     return gone
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers (once for each application)."""
+    sc = spark.sparkContext
+    if getattr(sc, "_sluice_shipped", False):
+        return
+    top = os.path.dirname(os.path.abspath(__file__))
+    to = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="sluice-py-")), "sluice_pkg.zip")
+    with zipfile.ZipFile(to, "w") as z:
+        for folder, _, names in os.walk(top):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(top)))
+    sc.addPyFile(to)
+    sc._sluice_shipped = True
+
+
 def unique_name(prefix: str) -> str:
     return f"{prefix}_{uuid.uuid4().hex[:10]}"
 

@@ -12,11 +12,16 @@ from `tz` to UTC, so every source lands in UTC.
 
 from __future__ import annotations
 
+import csv
+import io
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType, TimestampNTZType
+from pyspark.sql.types import StringType, StructField, StructType, TimestampNTZType
 
 from ..functions.expressions import blank_to_null
+from .ranges import JsonObjects, QuotedLines, Ranges
 
 # A NULL marker that cannot occur in text data (U+0000).
 NULL_SENTINEL = "\u0000"
@@ -41,21 +46,71 @@ def _empty_to_null(df: DataFrame) -> DataFrame:
                        for f in df.schema.fields])
 
 
+def _as_struct(spark: SparkSession, schema: StructType | str) -> StructType:
+    return schema if isinstance(schema, StructType) else spark.createDataFrame([], schema).schema
+
+
+def _inferred(spark: SparkSession, fmt: str, values: DataFrame, options: dict[str, str]) -> StructType:
+    """The schema that Spark's reader infers from records (one pass over them)."""
+    texts = getattr(values._jdf, "as")(spark._jvm.org.apache.spark.sql.Encoders.STRING())
+    reader = spark._jsparkSession.read().options(options)
+    return StructType.fromJson(json.loads(getattr(reader, fmt)(texts).schema().json()))
+
+
+def _header_names(text: str, sep: str) -> list[str]:
+    return next(csv.reader(io.StringIO(text, newline=""), delimiter=sep))
+
+
+def _safe_names(names: list[str]) -> list[str]:
+    """Column names of a header: blank ones numbered, repeated ones with their number."""
+    lower = [n.lower() for n in names]
+    return [f"_c{i}" if not n else f"{n}{i}" if lower.count(n.lower()) > 1 else n for i, n in enumerate(names)]
+
+
+def _read_csv_ranges(spark: SparkSession, path: str | list[str], schema: StructType | None, header: bool, sep: str,
+                     options: dict[str, str]) -> DataFrame:
+    ranges = Ranges(spark, path, QuotedLines(sep))
+    expected = schema.fieldNames() if schema is not None else None
+    if header and schema is None:
+        first = ranges.first_record()
+        expected = _header_names(first, sep) if first else []
+
+    def is_record(text: str) -> bool:
+        got = _header_names(text, sep)
+        if [n.lower() for n in got] != [n.lower() for n in expected]:
+            raise ValueError(f"CSV header {got} is not {expected}")
+        return False
+    rows = ranges.records(is_record if header else None)
+    if schema is None:
+        found = _inferred(spark, "csv", rows, options | {"inferSchema": "true"}).fields
+        names = _safe_names(expected) if header else [f.name for f in found]
+        schema = StructType([StructField(n, found[i].dataType if i < len(found) else StringType()) for i, n in enumerate(names)])
+    if not schema.fields:
+        return spark.createDataFrame([], schema)
+    ddl = ", ".join(f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(schema.fields))
+    parsed = rows.select(F.from_csv("value", ddl, options).alias("r"))
+    return parsed.select(*[F.col(f"r.c{i}").alias(f.name) for i, f in enumerate(schema.fields)])
+
+
 def read_csv(spark: SparkSession, path: str | list[str], schema: StructType | str | None = None, *,
              header: bool = True, empty_as_null: bool = False, tz: str | None = None,
              multiline: bool = True, sep: str = ",") -> DataFrame:
-    """CSV with a header. Without `schema` the types are inferred (an extra pass over the
-    data; give a schema for large inputs); with one, a header whose names or order differ from it
-    fails the load. Line breaks inside quoted values are read by default, which makes each file
-    one task; `multiline=False` splits files and is for files known to hold none."""
-    r = (spark.read.option("header", header).option("sep", sep).option("escape", '"')
-         .option("nullValue", NULL_SENTINEL).option("multiLine", multiline).option("lineSep", "\n")
-         .option("enforceSchema", not header)
-         .option("mode", "FAILFAST"))
+    """CSV with a header; lines end in \\n, \\r\\n or \\r. Without `schema` the types are inferred (an extra
+    pass over the data; give a schema for large inputs); with one, a header whose names or order
+    differ from it fails the load. Line breaks inside quoted values are read by default, by many
+    tasks from one file (`sources/ranges.py`); `multiline=False` leaves lines to Spark's reader and is
+    for files known to hold none. Where a file's first line does not end in \\r, a \\r at the end of
+    an unquoted last value belongs to it."""
+    options = {"sep": sep, "escape": '"', "nullValue": NULL_SENTINEL, "mode": "FAILFAST"}
     if tz:
-        r = r.option("timeZone", tz)
-    r = r.schema(schema) if schema is not None else r.option("inferSchema", True)
-    df = r.csv(path)
+        options["timeZone"] = tz
+    fixed = _as_struct(spark, schema) if schema is not None else None
+    if multiline:
+        df = _read_csv_ranges(spark, path, fixed, header, sep, options | {"multiLine": "true"})
+    else:
+        r = spark.read.options(**options).option("header", header).option("enforceSchema", not header)
+        r = r.schema(fixed) if fixed is not None else r.option("inferSchema", True)
+        df = r.csv(path)
     if empty_as_null:
         df = _empty_to_null(df)
     return normalize_zone(df, tz)
@@ -63,15 +118,15 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: StructType | st
 
 def read_json_array(spark: SparkSession, path: str | list[str], schema: StructType | str | None = None, *,
                     tz: str | None = None) -> DataFrame:
-    """Files that each hold one JSON array of flat objects.
+    """Files that each hold one JSON array of objects (or objects side by side), read by many tasks from
+    one file (`sources/ranges.py`).
 
-    Give `schema`: a file holding `[]` infers an empty schema and an all-NULL field infers
-    as string. A whole file is one record here, so parallelism is per file; convert large
-    inputs to parquet once on ingest.
-    """
-    r = spark.read.option("multiLine", True).option("mode", "FAILFAST")
-    if tz:
-        r = r.option("timeZone", tz)
-    if schema is not None:
-        r = r.schema(schema)
-    return normalize_zone(r.json(path), tz)
+    Give `schema`: a file holding `[]` infers an empty schema and an all-NULL field infers as
+    string. Text that is no object of the array fails the load."""
+    options = {"mode": "FAILFAST"} | ({"timeZone": tz} if tz else {})
+    rows = Ranges(spark, path, JsonObjects()).records()
+    fixed = _as_struct(spark, schema) if schema is not None else _inferred(spark, "json", rows, options)
+    if not fixed.fields:
+        return spark.createDataFrame([], fixed)
+    parsed = rows.select(F.from_json("value", fixed, options).alias("r"))
+    return normalize_zone(parsed.select(*[F.col("r").getField(n).alias(n) for n in fixed.fieldNames()]), tz)
