@@ -4,7 +4,8 @@ Single-pass in-memory indexing:
 
 1. A task adds the texts it reads to block postings in memory: document frequencies of each language's
    terms, and occurrences for each source. At `BLOCK_TERMS` entries the block is spilled as a
-   term-sorted run, one row for each (language, term, source), into Spark's shuffle.
+   term-sorted run, one row for each (language, term, source), into Spark's shuffle. The row of a
+   term's first source holds its document frequency.
 2. Runs are dealt out by the hash of (language, term). Spark's sorter merges the runs of a shard by a
    heap, spilling where they exceed memory; the task folds equal neighbours into frequencies and
    leaves out the terms that too few documents hold. A term has one row of each run and source,
@@ -37,7 +38,7 @@ from pyspark.sql import functions as F
 from .common import done, pick, stage, worker_state
 
 #: Postings that a task holds before it spills them as a run.
-BLOCK_TERMS = 400_000
+BLOCK_TERMS = 1_000_000
 #: Pairs of sources whose sums a task holds before it hands them on, and pairs added at a time.
 TASK_PAIRS, CHUNK_PAIRS = 1_000_000, 2_000_000
 #: Bytes of one text that are split at a time; cuts are made between terms.
@@ -46,7 +47,7 @@ SLICE_BYTES = 1 << 22
 UNIT = 1_000_000_000
 # A-Z lowered; a-z and all bytes of characters beyond ASCII kept; the others separate.
 _TERM_BYTES = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 0x80 else 32 for c in range(256))
-_RUN = "lang string, term string, source string, count long"
+_RUN = "lang string, term string, source string, count long, df long"
 
 
 def _terms(text: bytes):
@@ -60,22 +61,25 @@ def _terms(text: bytes):
 
 
 def _index(batches):
-    """Term-sorted runs; rows without a source hold document frequencies."""
+    """Term-sorted runs."""
     worker_state("divergence")
     block: dict[str, dict[str | None, Counter]] = {}
     held = 0
 
     def spill():
-        cols = [[], [], [], []]
+        cols = [[], [], [], [], []]
         for lang, sources in block.items():
+            df = sources.pop(None)
             for source, counts in sources.items():
-                for c, v in zip(cols, ([lang] * len(counts), list(counts), [source] * len(counts), counts.values())):
+                # a term's document frequency goes with the first source that holds it
+                for c, v in zip(cols, ([lang] * len(counts), list(counts), [source] * len(counts), counts.values(),
+                                       [df.pop(t, 0) for t in counts])):
                     c += v
         block.clear()
         t = pa.Table.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.binary()).cast(pa.string()),
-                                  pa.array(cols[2], pa.string()), pa.array(cols[3], pa.int64())],
-                                 names=["lang", "term", "source", "count"])
-        return t.sort_by([("lang", "ascending"), ("term", "ascending")]).to_batches(max_chunksize=16384)
+                                  pa.array(cols[2], pa.string()), pa.array(cols[3], pa.int64()), pa.array(cols[4], pa.int64())],
+                                 names=["lang", "term", "source", "count", "df"])
+        return t.sort_by([("term", "ascending"), ("lang", "ascending")]).to_batches(max_chunksize=16384)
     for batch in batches:
         texts = batch.column("text").cast(pa.binary())
         for i in range(batch.num_rows):
@@ -113,9 +117,10 @@ def _merge(min_docs: int):
 
     def fold(t: pa.Table) -> pa.Table:
         """Equal neighbours as one row."""
-        at = np.flatnonzero(edges(t, ("lang", "term", "source")))
-        counts = np.add.reduceat(t.column("count").to_numpy(), at)
-        return t.take(pa.array(at)).set_column(3, "count", pa.array(counts))
+        at = np.flatnonzero(edges(t, ("term", "lang", "source")))
+        sums = [pa.array(np.add.reduceat(t.column(c).to_numpy(), at)) for c in ("count", "df")]
+        rows = t.select(["lang", "term", "source"]).take(pa.array(at))
+        return rows.append_column("count", sums[0]).append_column("df", sums[1])
 
     def run(batches):
         worker_state("divergence")
@@ -125,7 +130,7 @@ def _merge(min_docs: int):
             t = fold(pa.concat_tables([rest, t]).combine_chunks() if rest is not None else t) if t.num_rows else rest
             if t is None:
                 continue
-            last = int(np.flatnonzero(edges(t, ("lang", "term")))[-1])  # this term may go on
+            last = int(np.flatnonzero(edges(t, ("term", "lang")))[-1])  # this term may go on
             if last:
                 yield from kept(t.slice(0, last).combine_chunks())
             rest = t.slice(last).combine_chunks()
@@ -133,18 +138,14 @@ def _merge(min_docs: int):
             yield from kept(rest)
 
     def kept(t: pa.Table):
-        start = np.flatnonzero(edges(t, ("lang", "term")))
+        start = np.flatnonzero(edges(t, ("term", "lang")))
         of = np.repeat(np.arange(len(start)), np.diff(np.append(start, t.num_rows)))
-        count, is_df = t.column("count").to_numpy(), t.column("source").is_null().to_numpy()
-        df = np.zeros(len(start), np.int64)
-        np.add.at(df, of[is_df], count[is_df])
-        total = np.zeros(len(start), np.int64)
-        np.add.at(total, of[~is_df], count[~is_df])
-        take = np.flatnonzero((df[of] >= min_docs) & ~is_df)
+        total = np.add.reduceat(t.column("count").to_numpy(), start)
+        take = np.flatnonzero(np.add.reduceat(t.column("df").to_numpy(), start)[of] >= min_docs)
         first = np.ones(len(take), np.int64)
         first[1:] = of[take[1:]] != of[take[:-1]]
-        out = t.take(pa.array(take)).append_column("total", pa.array(total[of[take]])).append_column("first", pa.array(first))
-        yield from out.to_batches()
+        out = t.drop_columns(["df"]).take(pa.array(take))
+        yield from out.append_column("total", pa.array(total[of[take]])).append_column("first", pa.array(first)).to_batches()
     return run
 
 
@@ -155,7 +156,7 @@ def frequencies(docs: DataFrame, *, min_docs: int = 10, text_col: str = "text",
     texts = pick(docs, text=text_col, lang=lang_col, source=source_col)
     texts = texts.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in texts.columns])
     runs = texts.mapInArrow(_index, _RUN)
-    shards = runs.repartition("lang", "term").sortWithinPartitions("lang", "term", "source")
+    shards = runs.repartition("lang", "term").sortWithinPartitions("term", "lang", "source")
     return shards.mapInArrow(_merge(min_docs), _FREQUENCY)
 
 
