@@ -5,8 +5,9 @@ the shared scratch folder and reads again for the next stage. All but the last r
 of the documents they are given.
 
 - toxicity: documents with a score of 0.5 or more go (learned on `labels`).
-- near_dedup: of each group of near copies (5-word shingles, similarity 0.8 or more) the document
-  with the smallest id stays. Documents without an id stay.
+- near_dedup: of each group of near copies (5-word shingles, similarity 0.8 or more) one row stays, that
+  of the smallest id (rows without an id come last). Rows are compared as such: rows that share an
+  id but not their text are different documents, repeated rows are copies, with an id or without.
 - substring_dedup: bytes covered by a 200-byte string that also starts elsewhere are cut out, and
   what is left of a character that a cut divides goes with it; n_chars is counted anew. A document
   of which nothing is left stays with an empty text.
@@ -39,12 +40,12 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = near_duplicates(docs).where("kept and doc_id is not null").select(F.col("doc_id").alias("__sl_id"))
-    ids = stage(groups.groupBy("__sl_id").agg(F.count(F.lit(1)).alias("__sl_rows")), "kept")
-    named = docs.join(ids.hint("merge"), docs["doc_id"] == ids["__sl_id"], "left_semi")
-    if not ids.where("__sl_rows > 1").isEmpty():  # rows that share an id: one stays
-        named = named.dropDuplicates(["doc_id"])
-    return named.union(docs.where("doc_id is null"))
+    rows = stage(docs.withColumn("__sl_row", F.monotonically_increasing_id()), "rows")
+    groups = near_duplicates(rows, id_col="__sl_row").select(F.col("doc_id").alias("__sl_row"), "component_id")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "__sl_row")).alias("first")
+    kept = (groups.join(rows.select("__sl_row", "doc_id"), "__sl_row").groupBy("component_id").agg(first)
+            .select(F.col("first.__sl_row").alias("__sl_row")))
+    return rows.join(kept.hint("merge"), "__sl_row", "left_semi").select(*[q(c) for c in docs.columns])
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,18 +6,20 @@ document are compared with the items of that length:
 
 1. A window that shares too few 5-word shingles with the whole benchmark cannot reach the
    threshold; this count is exact and spares the fingerprint of nearly all windows.
-2. SimHash: 64 bits, each the sign of a weighted sum over the window's shingles (weight: how
+2. SimHash: 256 bits, each the sign of a weighted sum over the window's shingles (weight: how
    often the shingle occurs in it).
-3. Multi-index Hamming search: a fingerprint has 16 blocks of 4 bits. If two fingerprints differ
-   in at most `radius` < 32 bits, some block differs in at most one (pigeonhole), so looking up
-   every block with up to one flipped bit finds all items within the radius, and a popcount
-   refuses the others. At the threshold the expected distance is 10 with deviation 3.
+3. Multi-index Hamming search: a fingerprint has 16 blocks of 16 bits. If two fingerprints differ
+   in at most `radius` < 64 bits, some block differs in at most three (pigeonhole), so looking up
+   every block with up to three flipped bits finds all items within the radius, and a popcount
+   refuses the others. A lookup returns about 16 % of unrelated items. At the threshold the
+   expected distance is 39 with deviation 6, so 63 overlooks a pair at it with chance 2e-5.
 4. The candidates' weighted Jaccard similarity (sum of smaller over sum of larger weights) is
    computed on full shingles; 0.8 or more is a hit.
 
 Items shorter than a shingle match where their whole word sequence occurs. Documents shorter
 than an item are one window. The benchmark is broadcast in blocks of at most `block` items,
-each block a pass over the documents, so a task's memory does not grow with it.
+each block a pass over the documents, so a task's memory does not grow with it. Of a long document
+only the stretches around possible windows are fingerprinted, `STRETCH` shingles at a time.
 
 Defined cases: null or wordless texts and items match nothing; a null document or item id is
 returned as null; repeated documents are searched each; repeated items hit each (one row for
@@ -29,50 +31,70 @@ from __future__ import annotations
 import math
 import zlib
 from collections import Counter
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, blocks, mix, pick, salts, ship, table_bytes, utf8, word_table, worker_state
+from .common import Words, blocks, mix, pick, salts, ship, stage, table_bytes, utf8, word_table, worker_state
 
 K = 5
 _U = np.uint64
 _TABLE = word_table(punctuation=True)
 _HITS = "doc_id long, item_id long, similarity double, first_word int, n_words int"
-_NEAR = [[b for b in range(16) if (a ^ b).bit_count() <= 1] for a in range(16)]
+#: Bits of a fingerprint, of a block, and flips of a block that are looked up.
+BITS, BLOCK_BITS, FLIPS = 256, 16, 3
+BLOCKS = BITS // BLOCK_BITS
+#: Items up to which blocks are compared one by one instead of by buckets.
+DIRECT_ITEMS = 4096
+#: Shingles of a document that are fingerprinted at a time.
+STRETCH = 1 << 16
+_MASKS = np.array([sum(1 << b for b in c) for f in range(FLIPS + 1) for c in combinations(range(BLOCK_BITS), f)], np.int64)
 
 
 def simhash(bits_sum: np.ndarray) -> np.ndarray:
-    """(rows, 64) sums of +1/-1 -> 64-bit fingerprints."""
-    return np.packbits(bits_sum > 0, axis=1).view(">u8").ravel().astype(_U)
+    """(rows, BITS) sums of +1/-1 -> (rows, BLOCKS) blocks of the fingerprints."""
+    return np.packbits(bits_sum > 0, axis=1).view(">u2").astype(np.uint16)
 
 
 def spread(h: np.ndarray) -> np.ndarray:
-    """Each shingle as 64 values of +1 or -1."""
+    """Each shingle as BITS values of +1 or -1."""
     with np.errstate(over="ignore"):
-        h = mix(h * _U(0xA0761D6478BD642F))
-    return np.unpackbits(h.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).astype(np.int32) * 2 - 1
+        words = mix(h[:, None] * salts(BITS // 64, 61)[None, :])
+    return np.unpackbits(words.astype(">u8").view(np.uint8).reshape(len(h), -1), axis=1).astype(np.int32) * 2 - 1
 
 
 class MultiIndex:
-    """All stored fingerprints within a radius (below 32) of a query."""
+    """All stored fingerprints within a radius (below 64) of a query."""
 
     def __init__(self, prints: np.ndarray, radius: int):
-        if not 0 <= radius < 32:
-            raise ValueError("radius must be below 32")
-        self.prints, self.radius = prints, radius
-        self.table = []
-        for block in range(16):
-            value = ((prints >> _U(4 * block)) & _U(15)).astype(int)
-            self.table.append([np.flatnonzero(np.isin(value, _NEAR[v])) for v in range(16)])
+        if not 0 <= radius < BLOCKS * (FLIPS + 1):
+            raise ValueError(f"radius must be below {BLOCKS * (FLIPS + 1)}")
+        self.prints, self.radius, self.table = prints, radius, None
+        if len(prints) > DIRECT_ITEMS:  # for each block its items by value, and where each value begins
+            self.table = []
+            for block in range(BLOCKS):
+                order = np.argsort(prints[:, block], kind="stable").astype(np.int32)
+                first = np.searchsorted(prints[order, block], np.arange((1 << BLOCK_BITS) + 1))
+                self.table.append((order, first.astype(np.int32)))
 
-    def search(self, one: int) -> np.ndarray:
-        found = np.unique(np.concatenate([self.table[b][one >> 4 * b & 15] for b in range(16)]))
-        if not len(found):
-            return found
-        return found[np.bitwise_count(self.prints[found] ^ _U(one)) <= self.radius]
+    def candidates(self, one: np.ndarray) -> np.ndarray:
+        """Items with a block of at most FLIPS flips."""
+        if self.table is None:
+            return np.flatnonzero((np.bitwise_count(self.prints ^ one) <= FLIPS).any(axis=1))
+        found = []
+        for (order, first), value in zip(self.table, one.tolist()):
+            keys = value ^ _MASKS
+            a, n = first[keys], first[keys + 1] - first[keys]
+            a, n = a[n > 0], n[n > 0]
+            found.append(order[np.repeat(a - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())] if len(n) else order[:0])
+        return np.unique(np.concatenate(found))
+
+    def search(self, one: np.ndarray) -> np.ndarray:
+        found = self.candidates(one)
+        return found[np.bitwise_count(self.prints[found] ^ one).sum(axis=1) <= self.radius] if len(found) else found
 
 
 class Index:
@@ -141,17 +163,11 @@ class Index:
 
     def _windows(self, doc: int, h: np.ndarray, hit: np.ndarray, out) -> None:
         count = np.concatenate([[0], np.cumsum(hit)])
-        sums = None
         for m in self.sizes:
             size = min(m, len(h))
             need = self.need[m] if size == m else math.ceil(m * self.percent / 100 - 1e-9)
             start = np.flatnonzero(count[size:] - count[:len(h) - size + 1] >= need)
-            if not len(start):
-                continue
-            if sums is None:
-                sums = np.concatenate([np.zeros((1, 64), np.int32), np.cumsum(spread(h), axis=0, dtype=np.int32)])
-            prints = simhash(sums[start + size] - sums[start])
-            for s, one in zip(start.tolist(), prints.tolist()):
+            for s, one in self._prints(h, start, size):
                 found = self.search[m].search(one)
                 if not len(found):
                     continue
@@ -163,6 +179,19 @@ class Index:
                     if 100 * both >= self.percent * (size + m - both) and sim > out.get((doc, item), (0.0,))[0]:
                         out[doc, item] = (sim, s, size + K - 1)
 
+    @staticmethod
+    def _prints(h: np.ndarray, start: np.ndarray, size: int):
+        """(start, fingerprint) of the windows of a size, a stretch of the document at a time."""
+        a = 0
+        while a < len(start):
+            lo = int(start[a])
+            b = max(a + 1, int(np.searchsorted(start, lo + max(STRETCH, 2 * size) - size)))
+            at = start[a:b] - lo
+            sums = np.zeros((int(at[-1]) + size + 1, BITS), np.int32)
+            np.cumsum(spread(h[lo:lo + len(sums) - 1]), axis=0, out=sums[1:])
+            yield from zip(start[a:b].tolist(), simhash(sums[at + size] - sums[at]))
+            a = b
+
 
 def _index(raw: bytes, percent: int, radius: int) -> tuple[Index, list]:
     key = (len(raw), zlib.crc32(raw), percent, radius)
@@ -173,7 +202,7 @@ def _index(raw: bytes, percent: int, radius: int) -> tuple[Index, list]:
     return kept["index"], kept["ids"]
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, *, percent: int = 80, radius: int = 24, block: int = 20_000,
+def contamination(docs: DataFrame, benchmark: DataFrame, *, percent: int = 80, radius: int = 63, block: int = 20_000,
                   id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
                   item_text_col: str = "text") -> DataFrame:
     """One row for each document and item with a window of similarity >= percent / 100: doc_id, item_id,
@@ -200,25 +229,36 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, percent: int = 80, r
     return found
 
 
-def decontaminated(docs: DataFrame, benchmark: DataFrame, *, percent: int = 80, radius: int = 24, block: int = 20_000,
+def decontaminated(docs: DataFrame, benchmark: DataFrame, *, percent: int = 80, radius: int = 63, block: int = 20_000,
                    text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """The rows of docs, all columns, without those that `contamination` finds (no shuffle)."""
+    """The rows of docs, all columns, without those that `contamination` finds. A benchmark of one block takes
+    one pass and no shuffle; of more, the rows are written with a number, each block is searched by a
+    job of its own (a worker holds one block's index), and the rows found are joined away."""
     ship(docs.sparkSession)
     names = docs.columns
     at = names.index(text_col)
     docs = docs.toDF(*[f"c{i}" for i in range(len(names))])  # any names pass through
-    for shared in _blocks(benchmark, block, item_col, item_text_col):
-        def run(batches, shared=shared):
+    parts = list(_blocks(benchmark, block, item_col, item_text_col))
+
+    def search(shared, clean_rows):
+        def run(batches):
             index, _ = _index(shared.value, percent, radius)
             for batch in batches:
-                data, off = utf8(batch.column(at))
+                data, off = utf8(batch.column(at if clean_rows else 0))
                 clean = np.ones(batch.num_rows, bool)
                 for a, b in blocks(off):
                     for d, *_ in index.hits(data[off[a]:off[b]], off[a:b + 1] - off[a]):
                         clean[a + d] = False
-                yield batch.filter(pa.array(clean))
-        docs = docs.mapInArrow(run, docs.schema)
-    return docs.toDF(*names)
+                yield batch.filter(pa.array(clean)) if clean_rows else batch.select(["row"]).filter(pa.array(~clean))
+        return run
+    if len(parts) == 1:
+        return docs.mapInArrow(search(parts[0], True), docs.schema).toDF(*names)
+    rows = stage(docs.withColumn("row", F.monotonically_increasing_id()), "decontam-rows")
+    texts = rows.select(f"c{at}", "row")
+    hit = stage(texts.mapInArrow(search(parts[0], False), "row long"), "decontam-hits")
+    for shared in parts[1:]:
+        hit = hit.union(stage(texts.mapInArrow(search(shared, False), "row long"), "decontam-hits"))
+    return rows.join(hit.distinct().hint("merge"), "row", "left_anti").drop("row").toDF(*names)
 
 
 def _blocks(benchmark: DataFrame, block: int, item_col: str, text_col: str):

@@ -8,14 +8,20 @@ numpy) and decoded by Viterbi.
 
 Labelled pages are (a) pages composed from the labelled snippets below, and (b) at most
 `max_pages` pages of the table that mark their main text themselves (article, main or
-role=main): inside that element, but outside any menu, header, footer, aside, form or marked
-advert, comment or notice in it, a block is main text. So that the model does not lean on the
-marks alone, every page is used a second time with the features of its ancestors hidden.
+role=main): inside that element, but outside any menu, footer, aside, form or marked advert,
+comment or notice in it, a block is main text (the element's own header holds its title and is
+main text too). So that the model does not lean on the marks alone, every page is used a second
+time with the features of its ancestors hidden.
+
+The pages of (b) are those of the smallest hashes of id and html among pages of at most
+`max_page_bytes`, up to `max_blocks` blocks together, so every run draws the same. Chains are
+trained in windows of `WINDOW` blocks, so neither time nor memory follows the longest page.
 
 Defined cases: null or empty html, and pages without main text, give ''. Whole pages are read;
 nothing is dropped or capped within the main text. Unclosed and misnested tags are repaired
 like browsers do in the common cases (paragraphs, list items, table cells; stray end tags are
-ignored). Repeated rows are read each; extra columns are ignored.
+ignored). An element that is left out but not ended before its parent or the page is read as if
+its tag were not there. Repeated rows are read each; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -34,15 +40,19 @@ from pyspark.sql import functions as F
 from .common import pick, table_bytes, worker_state
 
 BITS = 14
-# A comment, a tag with closed quotes, a tag whose quotes do not close, a declaration.
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
-                    r"|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|<[!?][^>]*+>", re.S)
+#: Blocks of a chain that are trained together.
+WINDOW = 128
+# A comment, a tag with closed quotes, a tag whose quotes do not close, a declaration or a stray end tag.
+_TOKEN = re.compile(r"<!--(?:-?>|.*?(?:--!?>|\Z))|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
+                    r"|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|<[!?][^>]*+>|</(?![a-zA-Z])[^>]*+>", re.S)
 _ATTR = re.compile(r"""(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _WORD = re.compile(r"[a-z]+")
 _RAW = {"script", "style", "noscript", "template", "iframe", "svg", "object", "canvas", "textarea", "title", "head", "select",
         "annotation", "annotation-xml"}
 #: Elements whose content is raw text up to their end tag: nothing inside is a tag.
 _TEXT = {"script", "style", "iframe", "textarea", "title"}
+#: Of these, the ones whose content is no text for readers even if they do not end.
+_CODE = {"script", "style"}
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 _INLINE = {"a", "abbr", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd",
            "label", "mark", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var",
@@ -71,7 +81,9 @@ def leaf_blocks(page: str | None) -> list[Block]:
     stack: list[tuple[str, tuple[str, ...]]] = []
     pieces: list[str] = []
     links = at = linked = 0
-    skip, hidden = None, 0
+    # the element that is left out: its name, how often it is open, what is open in it, where its content begins
+    skip, hidden, within, begin = None, 0, {}, 0
+    read_on: dict[str, int] = {}  # up to where the tags of an element that did not end are ignored
 
     def flush():
         nonlocal linked
@@ -90,7 +102,14 @@ def leaf_blocks(page: str | None) -> list[Block]:
             if links:
                 linked += len(text)
 
-    while m := _TOKEN.search(page, at):
+    while True:
+        m = _TOKEN.search(page, at)
+        if m is None:
+            if skip is None:
+                break
+            read_on[skip], skip, at = len(page), None, begin
+            flush()
+            continue
         if skip is None:
             take(page[at:m.start()])
         at = m.end()
@@ -104,7 +123,7 @@ def leaf_blocks(page: str | None) -> list[Block]:
         if not closing and name in _TEXT and not (skip == "svg" and closed):
             # the scan goes on behind its end tag, also inside an element that is left out
             end = re.compile(rf"</{name}(?=[\s/>])[^>]*+>", re.I).search(page, at)
-            at = end.end() if end else len(page)
+            at = end.end() if end else len(page) if name in _CODE else at
             if name == "iframe" and skip is None:
                 flush()
             continue
@@ -113,10 +132,20 @@ def leaf_blocks(page: str | None) -> list[Block]:
                 hidden += -1 if closing else 1
                 if not hidden:
                     skip = None
+            elif not closing:
+                if not closed and name not in _VOID:
+                    within[name] = within.get(name, 0) + 1
+            elif within.get(name):
+                within[name] -= 1
+            elif any(t == name for t, _ in stack):  # its parent ends
+                read_on[skip], skip, at = m.start(), None, begin
+                flush()
             continue
         if not closing and name in _RAW:
-            if not closed:
-                skip, hidden = name, 1
+            if m.start() < read_on.get(name, 0):
+                flush()
+            elif not closed:
+                skip, hidden, within, begin = name, 1, {}, at
             continue
         if name == "br":
             pieces.append(" ")
@@ -153,8 +182,7 @@ def leaf_blocks(page: str | None) -> list[Block]:
             marks = tuple(w for a in _ATTR.finditer(attributes) for w in _WORD.findall((a[2] or a[3] or a[4] or "").lower()))
         stack.append((name, marks))
         links = sum(t == "a" for t, _ in stack)
-    if skip is None:
-        take(page[at:])
+    take(page[at:])
     flush()
     return out
 
@@ -227,42 +255,36 @@ class Chain:
         return label[::-1]
 
 
-def train_chain(pages: list[tuple[list[list[int]], list[int]]], steps: int = 120, rate: float = 0.15, l2: float = 1e-3) -> Chain:
-    """Maximum likelihood by gradient steps; all pages advance together, one position at a time."""
-    pages = [p for p in pages if p[1]]
-    n, size = len(pages), max((len(y) for _, y in pages), default=0)
-    emit, move, first = np.zeros((1 << BITS, 2)), np.zeros((2, 2)), np.zeros(2)
-    if not n:
-        return Chain(emit, move, first)
-    lens = np.array([len(y) for _, y in pages])
-    y = np.zeros((n, size), int)
-    owner, slot = [], []
-    for i, (fs, ys) in enumerate(pages):
-        y[i, :len(ys)] = ys
-        for t, f in enumerate(fs):
-            owner += [i * size + t] * len(f)
-            slot += f
-    owner, slot = np.array(owner), np.array(slot)
-    live = np.arange(size)[None, :] < lens[:, None]
-    total = live.sum()
-    gold = np.zeros((n, size, 2))
-    gold[np.arange(n)[:, None], np.arange(size)[None, :], y] = 1
-    gold *= live[..., None]
-    pair = np.zeros((2, 2))
-    both = live[:, 1:]
-    np.add.at(pair, (y[:, :-1][both], y[:, 1:][both]), 1)
-    theta = [emit, move, first]
-    m = [np.zeros_like(x) for x in theta]
-    v = [np.zeros_like(x) for x in theta]
-
-    def lse(x, axis):
-        top = x.max(axis=axis, keepdims=True)
-        return (top + np.log(np.exp(x - top).sum(axis=axis, keepdims=True))).squeeze(axis)
-
-    for step in range(1, steps + 1):
+class Likelihood:
+    """Mean negative log-likelihood of labelled chains, with a quadratic penalty, and its gradient. Chains
+    are cut into windows, which advance together, one position at a time."""
+
+    def __init__(self, pages: list[tuple[list[list[int]], list[int]]], l2: float):
+        cut = [(fs[a:a + WINDOW], ys[a:a + WINDOW]) for fs, ys in pages for a in range(0, len(ys), WINDOW)]
+        self.l2, self.n, self.size = l2, len(cut), max((len(y) for _, y in cut), default=0)
+        n, size = self.n, self.size
+        lens = np.array([len(y) for _, y in cut], np.int64)
+        y = np.zeros((n, size), int)
+        for i, (_, ys) in enumerate(cut):
+            y[i, :len(ys)] = ys
+        flat = [(i * size + t, f) for i, (fs, _) in enumerate(cut) for t, f in enumerate(fs)]
+        self.owner = np.repeat(np.array([p for p, _ in flat], np.int64), [len(f) for _, f in flat])
+        self.slot = np.fromiter((x for _, f in flat for x in f), np.int64, len(self.owner))
+        self.live = np.arange(size)[None, :] < lens[:, None]
+        self.total = int(self.live.sum())
+        self.gold = np.eye(2)[y] * self.live[..., None]
+        self.both = self.live[:, 1:]
+        self.pair = np.zeros((2, 2))
+        np.add.at(self.pair, (y[:, :-1][self.both], y[:, 1:][self.both]), 1)
+
+    def __call__(self, emit: np.ndarray, move: np.ndarray, first: np.ndarray) -> tuple[float, list[np.ndarray]]:
+        n, size, live, owner, slot = self.n, self.size, self.live, self.owner, self.slot
+
+        def lse(x, axis):
+            top = x.max(axis=axis, keepdims=True)
+            return (top + np.log(np.exp(x - top).sum(axis=axis, keepdims=True))).squeeze(axis)
         s = np.stack([np.bincount(owner, emit[slot, k], n * size) for k in (0, 1)], axis=1).reshape(n, size, 2)
-        a = np.zeros((n, size, 2))
-        b = np.zeros((n, size, 2))
+        a, b = np.zeros((n, size, 2)), np.zeros((n, size, 2))
         a[:, 0] = s[:, 0] + first
         for t in range(1, size):
             a[:, t] = np.where(live[:, t, None], s[:, t] + lse(a[:, t - 1, :, None] + move[None], 1), a[:, t - 1])
@@ -272,15 +294,31 @@ def train_chain(pages: list[tuple[list[list[int]], list[int]]], steps: int = 120
         z = lse(a[:, -1], 1)
         one = np.exp(a + b - z[:, None, None]) * live[..., None]
         two = np.exp(a[:, :-1, :, None] + move + (s[:, 1:] + b[:, 1:])[:, :, None, :] - z[:, None, None, None])
-        two = (two * both[..., None, None]).sum(axis=(0, 1))
-        d = (one - gold).reshape(-1, 2)
-        g = [np.stack([np.bincount(slot, d[owner, k], 1 << BITS) for k in (0, 1)], axis=1) / total + l2 * emit,
-             (two - pair) / total + l2 * move, (one[:, 0] - gold[:, 0]).sum(axis=0) / total + l2 * first]
+        two = (two * self.both[..., None, None]).sum(axis=(0, 1))
+        d = (one - self.gold).reshape(-1, 2)
+        total, l2 = self.total, self.l2
+        value = (z.sum() - (s * self.gold).sum() - (self.pair * move).sum() - (self.gold[:, 0] * first).sum()) / total
+        value += l2 / 2 * sum(float((x * x).sum()) for x in (emit, move, first))
+        return float(value), [
+            np.stack([np.bincount(slot, d[owner, k], len(emit)) for k in (0, 1)], axis=1) / total + l2 * emit,
+            (two - self.pair) / total + l2 * move, (one[:, 0] - self.gold[:, 0]).sum(axis=0) / total + l2 * first]
+
+
+def train_chain(pages: list[tuple[list[list[int]], list[int]]], steps: int = 120, rate: float = 0.15, l2: float = 1e-3) -> Chain:
+    """Maximum likelihood by gradient steps."""
+    theta = [np.zeros((1 << BITS, 2)), np.zeros((2, 2)), np.zeros(2)]
+    fit = Likelihood(pages, l2)
+    if not fit.n:
+        return Chain(*theta)
+    m = [np.zeros_like(x) for x in theta]
+    v = [np.zeros_like(x) for x in theta]
+    for step in range(1, steps + 1):
+        _, g = fit(*theta)
         for i, x in enumerate(theta):
             m[i] = 0.9 * m[i] + 0.1 * g[i]
             v[i] = 0.999 * v[i] + 0.001 * g[i] ** 2
             x -= rate * (m[i] / (1 - 0.9 ** step)) / (np.sqrt(v[i] / (1 - 0.999 ** step)) + 1e-8)
-    return Chain(emit, move, first)
+    return Chain(*theta)
 
 
 # --- labelled pages -------------------------------------------------------------------
@@ -354,17 +392,21 @@ def _own_labels(blocks: list[Block]) -> list[int] | None:
     return out if any(out) else None
 
 
-def train(pages: DataFrame, *, max_pages: int = 300, id_col: str = "page_id", html_col: str = "html") -> Chain:
-    """Fit on the composed pages and on at most max_pages pages of the table, drawn evenly by a hash."""
-    rows = pick(pages, id=id_col, html=html_col).where("html is not null")
-    n = rows.count()
-    labelled = composed_pages()
-    if n:
-        drawn = rows.where(F.pmod(F.xxhash64("id", "html"), F.lit(1 << 30)) / float(1 << 30) < max_pages / n).limit(max_pages)
-        for r in drawn.select("html").toArrow().column("html"):
-            blocks = leaf_blocks(r.as_py())
+def train(pages: DataFrame, *, max_pages: int = 300, max_page_bytes: int = 1 << 18, max_blocks: int = 12_000,
+          id_col: str = "page_id", html_col: str = "html") -> Chain:
+    """Fit on the composed pages and on the sample of the table that the module describes: at most
+    max_pages pages of at most max_page_bytes, of max_blocks blocks together (a page beyond is left out)."""
+    rows = (pick(pages, id=id_col, html=html_col).where(F.octet_length("html") <= max_page_bytes)
+            .withColumn("h", F.xxhash64("id", "html")))
+    last = rows.select("h").orderBy("h").limit(max_pages).agg(F.max("h")).first()[0]
+    labelled, room = composed_pages(), max_blocks
+    if last is not None:
+        drawn = rows.where(F.col("h") <= last).select("h", "html").dropDuplicates(["h"]).toArrow().sort_by("h")
+        for page in drawn.column("html").to_pylist():
+            blocks = leaf_blocks(page)
             labels = _own_labels(blocks)
-            if labels:
+            if labels and len(blocks) <= room:
+                room -= len(blocks)
                 labelled.append((blocks, labels))
     return train_chain([(features(b, hide), y) for b, y in labelled for hide in (False, True)])
 

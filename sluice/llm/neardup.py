@@ -22,17 +22,21 @@ similarity of the sets reaches a threshold, and linked documents form a componen
    stay linear in the bucket rows (times the blocks of a bucket). No cap, no link lost after
    the banding.
 
-Banding: a pair of similarity s shares one of b bands of r rows with chance 1-(1-s^r)^b. For
-the defaults (24 bands of 5 rows) a pair at 0.85 is missed with chance 8e-7, at 0.8 with 7e-5.
+Banding: a pair of similarity s shares one of b bands of r rows with chance 1-(1-s^r)^b. Bands and
+rows follow from the threshold and the chance `miss` to overlook a pair just at it (`banding`): at
+0.8 and 0.85 there are 24 bands of 5 rows, which miss with chance 7e-5 and 8e-7.
 
 Defined cases: a null or wordless text has no set: size 0, its own component, kept. Fewer
 words than `k`: the whole sequence is the one shingle. A row with a null id cannot name a
 component: it is linked with nothing, its component is null and it is kept. Repeated rows are
-copies of each other; rows that share an id are one node. Extra columns are ignored.
+copies of each other; rows that share an id are one node, linked with all that any of their texts
+is linked with. Extra columns are ignored.
 """
 
 from __future__ import annotations
 
+from math import ceil, log, log1p
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -46,6 +50,18 @@ _TABLE = word_table()
 _SIG = "id long, c1 long, c2 long, n_shingles long, bands array<long>"
 
 
+def banding(percent: float, miss: float = 1e-4) -> tuple[int, int]:
+    """(bands, rows) that overlook a pair at the threshold with chance `miss` at most: as many rows as 64
+    bands allow (5 at most), and at least 24 bands."""
+    if not (0 < percent <= 100 and 0 < miss < 1):
+        raise ValueError("percent is in (0, 100], miss in (0, 1)")
+    for rows in (5, 4, 3, 2, 1):
+        chance = (percent / 100) ** rows
+        bands = 1 if chance >= 1 else ceil(log(miss) / log1p(-chance))
+        if bands <= 64 or rows == 1:
+            return max(bands, 24), rows
+
+
 def one_permutation(h: np.ndarray, doc: np.ndarray, n_docs: int, bins: int) -> np.ndarray:
     """Densified one-permutation MinHash: (n_docs, bins); rows without shingles stay at the maximum."""
     empty = np.iinfo(_U).max
@@ -192,13 +208,15 @@ def _links_inside(percent: int):
     return run
 
 
-def near_duplicates(docs: DataFrame, *, k: int = 5, percent: int = 80, bands: int = 24, rows: int = 5,
+def near_duplicates(docs: DataFrame, *, k: int = 5, percent: int = 80, miss: float = 1e-4,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row; see the module's description.
 
     percent: documents are linked when 100 * |intersection| >= percent * |union|.
+    miss: the chance at most to overlook a pair just at the threshold.
     """
     spark = docs.sparkSession
+    bands, rows = banding(percent, miss)
     texts = pick(docs, id=id_col, text=text_col).select(F.col("id").cast("long").alias("id"), "text")
     sig = stage(texts.mapInArrow(_signatures(k, bands, rows), _SIG), "sig")
 
@@ -220,7 +238,11 @@ def near_duplicates(docs: DataFrame, *, k: int = 5, percent: int = 80, bands: in
            .where(100 * F.least("n", "centre.n") >= percent * F.greatest("n", "centre.n"))
            .groupBy(F.col("id").alias("v"), F.col("centre.id").alias("u")).agg(F.count(F.lit(1)).alias("times")))
     pairs = met.groupBy("v").agg(F.min(F.struct(-F.col("times"), "u")).alias("best")).select(F.col("best.u").alias("u"), "v")
-    links = stage(_links(pairs, sets, percent), "links")
+    owner = stage(usable.join(classes.select("c1", "c2", "rep"), ["c1", "c2"]).select("id", "rep"), "owner")
+    # rows of several classes may share an id: their classes are one node
+    shared = owner.groupBy("id").agg(F.min("rep").alias("u"), F.max("rep").alias("v")).where("u != v")
+    same = owner.join(shared.select("id", "u"), "id").where("rep != u").select("u", F.col("rep").alias("v"))
+    links = stage(_links(pairs, sets, percent).union(same), "links")
     comp = components(links)
 
     seen = stage(member.join(comp.withColumnRenamed("node", "id"), "id", "left").withColumn(
@@ -245,7 +267,6 @@ def near_duplicates(docs: DataFrame, *, k: int = 5, percent: int = 80, bands: in
         comp = components(links.union(more))
 
     # class of each document, then the component of the class
-    owner = usable.join(classes.select("c1", "c2", "rep"), ["c1", "c2"]).select("id", "rep")
     node = owner.join(comp.withColumnRenamed("node", "rep"), "rep", "left").select(
         "id", F.coalesce("component", "rep").alias("component"))
     best = node.groupBy("id").agg(F.min("component").alias("component_id"))

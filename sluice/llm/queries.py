@@ -199,7 +199,8 @@ p AS (SELECT m.*, CASE WHEN q.rid IS NULL THEN m.text ELSE coalesce(own.own, '')
       FROM m LEFT JOIN (SELECT DISTINCT rid FROM raw) q USING (rid) LEFT JOIN own USING (rid)
       LEFT JOIN (SELECT rid, count(*) AS n FROM pass GROUP BY rid) n USING (rid)),
 want AS (SELECT rid, nth, level, 0 AS part, text FROM pass
-         UNION ALL SELECT rid, nth, level, 1, unnest(string_split(text, chr(10))) FROM pass),
+         UNION ALL SELECT rid, nth, level, 1, unnest(regexp_split_to_array(text, '\n[ \t]*\n')) FROM pass
+         UNION ALL SELECT rid, nth, level, 2, unnest(string_split(text, chr(10))) FROM pass),
 w AS (SELECT DISTINCT m.conv_id, m.turn, nth, level, part, trim(regexp_replace(lower(want.text), '\s+', ' ', 'g')) AS k
       FROM want JOIN m USING (rid)),
 parts AS (SELECT conv_id, turn, mine AS text FROM p
@@ -208,17 +209,21 @@ parts AS (SELECT conv_id, turn, mine AS text FROM p
 src AS (SELECT DISTINCT conv_id, turn, trim(regexp_replace(lower(text), '\s+', ' ', 'g')) AS k FROM parts),
 hit AS (SELECT w.conv_id, w.turn, nth, level, part, max(src.turn) AS source FROM w JOIN src ON w.conv_id = src.conv_id AND w.k = src.k
         WHERE src.turn < w.turn AND w.k <> '' GROUP BY w.conv_id, w.turn, nth, level, part),
+src_of AS (SELECT conv_id, turn, nth, source FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, turn, nth
+           ORDER BY level, part, source DESC) AS best FROM hit) WHERE best = 1),
+ss AS (SELECT conv_id, turn, rid, string_agg(coalesce(CAST(s.source AS VARCHAR), '-'), ',' ORDER BY pass.nth) AS sources
+       FROM pass JOIN m USING (rid) LEFT JOIN src_of s USING (conv_id, turn, nth) GROUP BY conv_id, turn, rid),
 link AS (SELECT conv_id, turn, source AS parent FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, turn
          ORDER BY level, nth, part, source DESC) AS best FROM hit) WHERE best = 1),
 up AS (SELECT conv_id, turn, parent AS root, 1 AS depth FROM link
        UNION ALL SELECT up.conv_id, up.turn, link.parent, up.depth + 1 FROM up JOIN link ON link.conv_id = up.conv_id AND link.turn = up.root),
 top AS (SELECT conv_id, turn, arg_max(root, depth) AS root, max(depth) AS depth FROM up GROUP BY conv_id, turn),
 o AS (SELECT p.conv_id, p.turn, p.role, link.parent AS parent_turn, coalesce(top.root, p.turn) AS root_turn,
-        CAST(coalesce(top.depth, 0) AS INTEGER) AS depth, CAST(p.n_quotes AS INTEGER) AS n_quotes, p.mine AS text
-      FROM p LEFT JOIN link ON link.conv_id = p.conv_id AND link.turn = p.turn
+        CAST(coalesce(top.depth, 0) AS INTEGER) AS depth, CAST(p.n_quotes AS INTEGER) AS n_quotes, coalesce(ss.sources, '') AS sources, p.mine AS text
+      FROM p LEFT JOIN ss ON ss.rid = p.rid LEFT JOIN link ON link.conv_id = p.conv_id AND link.turn = p.turn
       LEFT JOIN top ON top.conv_id = p.conv_id AND top.turn = p.turn)
 SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY root_turn NULLS FIRST, turn NULLS FIRST, role NULLS FIRST,
-  parent_turn NULLS FIRST, depth, n_quotes, text) AS position FROM o"""
+  parent_turn NULLS FIRST, depth, n_quotes, sources, text) AS position FROM o"""
 
 _DIVERGENCE_SQL = r"""
 WITH d AS (SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,

@@ -6,9 +6,9 @@
 3. Each document's pre-token frequencies are joined to that table and the products summed.
 
 Frequencies follow a steep law, so the join is split by frequency: the `hot` most frequent
-pre-tokens (a fixed number, so the broadcast is bounded) are looked up where the document is
-read, and only the rare rest of each document goes through the shuffled join. No key of that
-join is frequent, and nothing is left out.
+pre-tokens of at most `HOT_BYTES` bytes (so the broadcast is bounded in rows and bytes) are looked
+up where the document is read, and only the rest of each document goes through the shuffled join,
+which the adaptive planner splits should a long pre-token be frequent. Nothing is left out.
 
 Pre-tokens are split as the tokenizers library's byte-level pre-tokenizer does; texts with
 characters outside the ranges where the standard `re` classes are known to agree are split by
@@ -34,8 +34,10 @@ from pyspark.sql import functions as F
 from .bpe import _FAST, _ODD
 from .common import done, pick, stage, table_bytes, utf8, worker_state
 
-#: Distinct pre-tokens that a task holds before it hands them on.
-TASK_PIECES = 400_000
+#: Distinct pre-tokens that a task holds before it hands them on, and their characters.
+TASK_PIECES, TASK_CHARS = 400_000, 64 << 20
+#: Longest pre-token that is broadcast.
+HOT_BYTES = 64
 
 
 class PreTokens:
@@ -81,7 +83,7 @@ def _pre_tokens(tokenizer: bytes) -> PreTokens:
 
 def _vocabulary(shared):
     def run(batches):
-        split, seen = _pre_tokens(shared.value), Counter()
+        split, seen, chars = _pre_tokens(shared.value), Counter(), 0
 
         def out():
             got = pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())],
@@ -90,8 +92,13 @@ def _vocabulary(shared):
             return got
         for batch in batches:
             for t in batch.column("text"):
-                seen.update(split.split(t.as_py() or "")[0])
-                if len(seen) > TASK_PIECES:
+                text = t.as_py() or ""
+                seen.update(split.split(text)[0])
+                chars += len(text)
+                full = False
+                if chars > TASK_CHARS:
+                    full, chars = sum(map(len, seen)) > TASK_CHARS, 0
+                if full or len(seen) > TASK_PIECES:
                     yield out()
         if seen:
             yield out()
@@ -150,7 +157,7 @@ def token_counts(docs: DataFrame, tokenizer: bytes, *, limit: int = 1024, hot: i
     """doc_id, n_bytes, n_tokens, over_limit (n_tokens > limit) of every row.
 
     tokenizer: content of a tokenizers .json file (byte-level BPE), read on the driver.
-    hot: how many of the most frequent pre-tokens are broadcast.
+    hot: how many of the most frequent pre-tokens (of HOT_BYTES at most) are broadcast.
     """
     spark = docs.sparkSession
     texts = pick(docs, id=id_col, text=text_col).select(F.col("id").cast("long").alias("id"), "text")
@@ -159,7 +166,7 @@ def token_counts(docs: DataFrame, tokenizer: bytes, *, limit: int = 1024, hot: i
                   .groupBy("piece").agg(F.sum("freq").alias("freq"))
                   .mapInArrow(_counted(shared), "piece string, freq long, n int"), "pieces")
     done(spark)
-    top = words.orderBy(F.col("freq").desc(), "piece").limit(hot).select("piece", "n").toArrow()
+    top = words.where(F.octet_length("piece") <= HOT_BYTES).orderBy(F.col("freq").desc(), "piece").limit(hot).select("piece", "n").toArrow()
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, top.schema) as w:
         w.write_table(top)

@@ -71,6 +71,42 @@ def _contrast(n_pos: np.ndarray, n_unl: np.ndarray, pos: int, unl: int) -> np.nd
     return (a - b) / np.sqrt(np.maximum(m * (1 - m), 1e-9) * (1 / max(pos, 1) + 1 / max(unl, 1)))
 
 
+class PuRisk:
+    """The non-negative risk of a linear classifier (its bias comes last) on rows of distinct features."""
+
+    def __init__(self, pos: list[np.ndarray], unl: list[np.ndarray], prior: float, size: int, l2: float):
+        def sparse(rows):
+            return np.repeat(np.arange(len(rows)), [len(r) for r in rows]), np.concatenate([*rows, np.zeros(0, int)]).astype(int), len(rows)
+        self.pos, self.unl, self.prior, self.size, self.l2 = sparse(pos), sparse(unl), prior, size, l2
+
+    @staticmethod
+    def scores(rows, theta: np.ndarray) -> np.ndarray:
+        return np.bincount(rows[0], theta[rows[1]], rows[2]) + theta[-1]
+
+    def _back(self, rows, g: np.ndarray) -> np.ndarray:
+        return np.append(np.bincount(rows[1], g[rows[0]], self.size), g.sum()) / rows[2]
+
+    def __call__(self, theta: np.ndarray) -> tuple[float, float, np.ndarray]:
+        """(risk, its estimated part on negatives, direction of descent times -1): the gradient of the risk, or
+        of minus the negative part where that is below zero."""
+        def sig(x):
+            return 1 / (1 + np.exp(-np.clip(x, -60, 60)))
+        p, u, prior = self.pos, self.unl, self.prior
+        zp, zu = self.scores(p, theta), self.scores(u, theta)
+        # logistic loss: of calling z positive -log s(z), negative -log s(-z)
+        negative = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
+        g_neg = self._back(u, sig(zu)) - prior * self._back(p, sig(zp))
+        value = prior * np.logaddexp(0, -zp).mean() + max(0.0, negative) + self.l2 / 2 * (theta[:-1] ** 2).sum()
+        if negative < 0:
+            g = -g_neg
+            if self.l2:
+                g[:-1] += self.l2 * theta[:-1]
+            return float(value), float(negative), g
+        g = prior * self._back(p, sig(zp) - 1) + g_neg
+        g[:-1] += self.l2 * theta[:-1]
+        return float(value), float(negative), g
+
+
 def fit(pos: list[np.ndarray], unl: list[np.ndarray], prior: float, *, steps: int = 400, rate: float = 0.1,
         l2: float = 1e-4, z_least: float = 5.0, max_features: int = 4096,
         precision: float = 0.75) -> Model:
@@ -96,37 +132,14 @@ def fit(pos: list[np.ndarray], unl: list[np.ndarray], prior: float, *, steps: in
     place = np.full(size, -1)
     place[used] = np.arange(len(used))
 
-    def sparse(rows):
-        lens = np.array([len(r) for r in rows])
-        doc = np.repeat(np.arange(len(rows)), lens)
-        f = place[np.concatenate(rows)] if lens.sum() else np.zeros(0, int)
-        return doc[f >= 0], f[f >= 0], len(rows)
-    p, u = sparse(pos), sparse(unl)
+    risk = PuRisk([place[r][place[r] >= 0] for r in pos], [place[r][place[r] >= 0] for r in unl], prior, len(used), l2)
     theta, m, v = np.zeros(len(used) + 1), np.zeros(len(used) + 1), np.zeros(len(used) + 1)
-
-    def forward(x):
-        return np.bincount(x[0], theta[x[1]], x[2]) + theta[-1]
-
-    def back(x, g):
-        out = np.zeros(len(theta))
-        out[:-1] = np.bincount(x[1], g[x[0]], len(used))
-        out[-1] = g.sum()
-        return out / x[2]
-
-    def sig(x):
-        return 1 / (1 + np.exp(-np.clip(x, -60, 60)))
-
     theta[-1] = np.log(prior / (1 - prior))
     for t in range(1, steps + 1):
-        zp, zu = forward(p), forward(u)
-        # logistic loss: of calling z positive -log s(z), negative -log s(-z)
-        negative = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
-        g_neg = back(u, sig(zu)) - prior * back(p, sig(zp))
-        g = prior * back(p, sig(zp) - 1) + g_neg if negative >= 0 else -g_neg
-        g[:-1] += l2 * theta[:-1]
+        _, _, g = risk(theta)
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         theta -= rate * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
-    zu = np.sort(forward(u))[::-1]
+    zu = np.sort(risk.scores(risk.unl, theta))[::-1]
     a, b = int(0.5 * prior * len(zu)), int(1.5 * prior * len(zu)) + 1
     gap = zu[a:b] - zu[a + 1:b + 1][:len(zu[a:b])] if b < len(zu) else np.zeros(0)
     if len(gap) and gap.max() >= 0.5:

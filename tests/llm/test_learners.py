@@ -1,0 +1,152 @@
+"""The learners against their definitions: risk and gradients by finite differences, log-probabilities with dictionaries."""
+
+import math
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from sluice.llm import langid, toxicity
+from sluice.llm.common import mix, salts
+from sluice.llm.langid import BITS, identify
+from sluice.llm.langid import train as train_lang
+from sluice.llm.toxicity import PuRisk
+
+SCHEMA = "doc_id long, text string, lang string, source string"
+
+
+# --- toxicity -----------------------------------------------------------------------------
+
+def rows(rng, n, size):
+    return [np.unique(rng.integers(0, size, rng.integers(0, 6))) for _ in range(n)]
+
+
+def plain_risk(theta, pos, unl, prior, l2):
+    """(the estimator, its negative part) from the definition, one row at a time."""
+    def loss(row, y):
+        z = sum(theta[i] for i in row) + theta[-1]
+        return math.log1p(math.exp(-abs(z))) + max(-y * z, 0)
+    on_pos = sum(loss(r, 1) for r in pos) / len(pos)
+    negative = sum(loss(r, -1) for r in unl) / len(unl) - prior * sum(loss(r, -1) for r in pos) / len(pos)
+    return prior * on_pos + max(0.0, negative) + l2 / 2 * sum(t * t for t in theta[:-1]), negative
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_risk_and_gradient(seed):
+    rng = np.random.default_rng(seed)
+    size, prior, l2 = 7, [0.05, 0.2, 0.45][seed % 3], 0.01
+    pos, unl = rows(rng, 9, size), rows(rng, 14, size)
+    risk = PuRisk(pos, unl, prior, size, l2)
+    for _ in range(6):
+        theta = rng.normal(size=size + 1)
+        value, negative, grad = risk(theta)
+        want = plain_risk(theta, pos, unl, prior, l2)
+        assert (value, negative) == pytest.approx(want)
+        if negative < 0:
+            continue
+        for i in range(size + 1):
+            step = np.zeros(size + 1)
+            step[i] = 1e-6
+            slope = (plain_risk(theta + step, pos, unl, prior, l2)[0] - plain_risk(theta - step, pos, unl, prior, l2)[0]) / 2e-6
+            assert grad[i] == pytest.approx(slope, abs=1e-6)
+
+
+def test_negative_part_is_reversed():
+    """Where the negative part is below zero, the step goes up its slope and no other."""
+    rng = np.random.default_rng(3)
+    pos, unl = rows(rng, 9, 5), [np.zeros(0, int)] * 10
+    risk, seen = PuRisk(pos, unl, 0.9, 5, 0.0), 0
+    for _ in range(200):
+        theta = rng.normal(size=6) * 3
+        theta[-1] = -abs(theta[-1])
+        _, negative, grad = risk(theta)
+        if negative >= 0:
+            continue
+        seen += 1
+        for i in range(6):
+            step = np.zeros(6)
+            step[i] = 1e-6
+            slope = (plain_risk(theta + step, pos, unl, 0.9, 0.0)[1] - plain_risk(theta - step, pos, unl, 0.9, 0.0)[1]) / 2e-6
+            assert grad[i] == pytest.approx(-slope, abs=1e-5)
+    assert seen > 10
+
+
+def test_scores_are_the_model(spark):
+    """A text's score is the logistic function of the weights of its distinct words and word beginnings."""
+    rng = np.random.default_rng(1)
+    model = toxicity.Model(rng.normal(size=1 << toxicity.BITS), -0.3)
+    texts = ["", "Hello hello, world!", "a ab abc abcd abcde abcdef", "é日本 x" * 40, None, "repeat " * 500]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r.score for r in toxicity.add_scores(df, model).collect()}
+    for i, t in enumerate(texts):
+        raw = (t or "").encode()
+        data, off = np.frombuffer(raw, np.uint8), np.array([0, len(raw)])
+        _, f = toxicity._features(data, off)
+        z = -0.3 + sum(float(model.weights[x]) for x in set(f.tolist()))
+        assert got[i] == pytest.approx(1 / (1 + math.exp(-z)), rel=1e-5)
+
+
+# --- language ID --------------------------------------------------------------------------
+
+def plain_bins(text):
+    """Bins of a text's 1- to 3-grams, one at a time."""
+    low = [ord(c.lower()) if len(c.lower()) == 1 and c.isalpha() else ord(c) for c in text]
+    c = salts(3, 61)
+    out = []
+    with np.errstate(over="ignore"):
+        for n in range(3):
+            for i in range(len(low) - n):
+                acc = np.uint64(0)
+                for j in range(n + 1):
+                    acc += np.uint64(low[i + j]) * c[j]
+                out.append(int(mix(np.array([acc + np.uint64(n)]))[0] >> np.uint64(64 - BITS)))
+    return out
+
+
+def corpus():
+    rng = random.Random(5)
+    docs = []
+    for i in range(160):
+        lang = ["en", "de", "日"][i % 3]
+        letters = {"en": "aeioutshr", "de": "äößeinrsch", "日": "日本語テキ"}[lang]
+        docs.append((i, " ".join("".join(rng.choices(letters, k=rng.randint(1, 6))) for _ in range(rng.randint(1, 25))).capitalize(), lang, "s"))
+    return docs + [(900, None, "en", "s"), (901, "", "de", "s"), (902, "no lang", None, "s"), (None, "null id", "en", "s"), (903, "123 !!", "en", "s")]
+
+
+def held(i):
+    import zlib
+    return zlib.crc32(b"" if i is None else str(i).encode()) % 5 == 0
+
+
+@pytest.mark.parametrize("most", [400, 2])
+def test_naive_bayes_against_dictionaries(spark, most):
+    docs, smoothing = corpus(), 0.5
+    count = {}
+    for i, text, lang, _ in docs:
+        if not held(i) and lang is not None and text is not None:
+            count.setdefault(lang, Counter()).update(plain_bins(text))
+    logp = {g: (Counter(c), math.log(sum(c.values()) + smoothing * (1 << BITS))) for g, c in count.items()}
+    df = spark.createDataFrame(docs, SCHEMA)
+    got = {}
+    for r in identify(df, train_lang(df, max_languages=most)).collect():
+        got.setdefault(r.doc_id, []).append((r.lang_pred, r.score))
+    for i, text, _, _ in docs:
+        if not any(x.isalpha() for x in text or ""):
+            assert got[i] == [("und", 0.0)]
+            continue
+        bins = plain_bins(text)
+        scale = min(1.0, 50 / len(bins))
+        ll = {g: scale * sum(math.log(c[b] + smoothing) - total for b in bins) for g, (c, total) in logp.items()}
+        best = max(sorted(ll), key=lambda g: ll[g])
+        posterior = 1 / sum(math.exp(x - ll[best]) for x in ll.values())
+        assert got[i][0][0] == best
+        assert got[i][0][1] == pytest.approx(posterior, rel=2e-3)
+
+
+def test_bins_of_a_batch_are_those_of_each_text():
+    texts = [t for _, t, _, _ in corpus() if t]
+    bins, docs, has = langid._grams(texts)
+    for i, t in enumerate(texts):
+        assert sorted(plain_bins(t)) == sorted(int(b) for bs, ds in zip(bins, docs) for b in bs[ds == i])
+        assert has[i] == any(x.isalpha() for x in t)

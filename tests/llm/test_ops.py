@@ -15,6 +15,7 @@ from sluice.llm.htmlcrf import extract, leaf_blocks
 from sluice.llm.htmlcrf import train as train_crf
 from sluice.llm.langid import identify
 from sluice.llm.langid import train as train_lang
+from sluice.llm.neardup import banding
 from sluice.llm.neardup import near_duplicates as near
 from sluice.llm.quality import quality_rules
 from sluice.llm.tokencount import PreTokens, token_counts
@@ -102,6 +103,34 @@ def test_near_duplicates_null_ids_and_repeats(spark):
         (-1, -1, True), (-1, -1, True), (3, 3, True), (5, 3, False), (5, 3, False), (9, 9, True)]
 
 
+def test_near_duplicates_rows_that_share_an_id(spark):
+    """Rows of one id are one node: what any of its texts is linked with is reachable."""
+    a, b = "a b c d e f g h", "q r s t u v w x"
+    got = near(frame(spark, [(3, a), (5, a), (4, b), (5, b), (6, "y z")]), k=3, percent=85).collect()
+    assert sorted((r.doc_id, r.component_id) for r in got) == [(3, 3), (4, 3), (5, 3), (5, 3), (6, 6)]
+
+
+def test_banding():
+    assert banding(85) == banding(80) == (24, 5)
+    for percent in (1, 5, 10, 30, 50, 60, 70, 90, 100):
+        bands, rows = banding(percent)
+        assert (1 - (percent / 100) ** rows) ** bands <= 1e-4
+    with pytest.raises(ValueError):
+        banding(0)
+
+
+def test_near_duplicates_low_threshold(spark):
+    rng = random.Random(2)
+    rows = []
+    for i in range(60):
+        w = [f"t{i}_{j}" for j in range(60)]
+        v = w[:33 + i % 12] + [f"u{i}_{j}" for j in range(27 - i % 12)]
+        rng.shuffle(v)
+        rows += [(2 * i, " ".join(w)), (2 * i + 1, " ".join(v))]
+    got = {r.doc_id: r.component_id for r in near(frame(spark, rows), k=1, percent=40).collect()}
+    assert got == {i: c for i, (_, c) in near_duplicates(rows, 1, 40).items()}
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(30)] + [(100, 50), (100, 60), (7, 7), (60, 50)]
     got = dict(components(spark.createDataFrame(edges, "u long, v long")).collect())
@@ -173,17 +202,60 @@ def test_contamination(spark):
     assert contamination(df, bench.limit(0)).count() == 0 and decontaminated(df, bench.limit(0)).count() == len(docs)
 
 
-def test_multi_index_finds_all_within_radius():
+@pytest.mark.parametrize("direct", [True, False])
+def test_multi_index_finds_all_within_radius(monkeypatch, direct):
     import numpy as np
+
+    from sluice.llm import decontam
+    if not direct:
+        monkeypatch.setattr(decontam, "DIRECT_ITEMS", 0)
     rng = np.random.default_rng(1)
-    prints = rng.integers(0, 2**63, 500, dtype=np.uint64)
-    index = MultiIndex(prints, 24)
-    for p in prints[:40].tolist():
-        one = p
-        for b in rng.choice(64, 24, replace=False).tolist():
-            one ^= 1 << b
-        want = [i for i, x in enumerate(prints.tolist()) if (x ^ one).bit_count() <= 24]
-        assert index.search(one).tolist() == want
+    prints = rng.integers(0, 1 << 16, (500, decontam.BLOCKS), dtype=np.uint16)
+    index = MultiIndex(prints, 63)
+    for p in prints[:40]:
+        for flips in (63, 62, 30):
+            one = p.copy()
+            for b in rng.choice(256, flips, replace=False).tolist():
+                one[b // 16] ^= np.uint16(1 << b % 16)
+            far = np.bitwise_count(prints ^ one).sum(axis=1)
+            assert index.search(one).tolist() == np.flatnonzero(far <= 63).tolist()
+    with pytest.raises(ValueError):
+        MultiIndex(prints, 64)
+
+
+def test_index_selects_and_misses_next_to_nothing():
+    """20,000 items: the share of them that a lookup returns, and recall of windows at the threshold."""
+    import numpy as np
+
+    from sluice.llm.common import mix
+    from sluice.llm.decontam import simhash, spread
+    rng = np.random.default_rng(7)
+    m, n = 46, 20_000
+    words = mix(rng.integers(0, 2 ** 63, (n, m), dtype=np.uint64))
+    prints = np.concatenate([simhash(spread(w.ravel()).reshape(len(w), m, -1).sum(axis=1)) for w in np.array_split(words, 40)])
+    index = MultiIndex(prints, 63)
+    found, share = 0, []
+    for i in range(400):
+        window = words[i].copy()
+        window[:5] = mix(rng.integers(0, 2 ** 63, 5, dtype=np.uint64))  # similarity 41 / 51 = 0.804
+        one = simhash(spread(window).sum(axis=0)[None, :])[0]
+        share.append(len(index.candidates(one)) / n)
+        found += i in index.search(one)
+    print(f"share of items looked at {np.mean(share):.3f}, recall {found / 400:.4f}")
+    assert np.mean(share) < 0.2 and found >= 0.99 * 400
+
+
+def test_decontaminated_in_blocks(spark):
+    """A benchmark of several blocks: one job each, any columns pass through, repeated rows each."""
+    rng = random.Random(6)
+    items = [(i, " ".join(f"i{i}w{j}" for j in range(12))) for i in range(20)]
+    docs = [(i % 30, " ".join(f"d{rng.randrange(999)}" for _ in range(20)) + (" " + items[i % 20][1] if i % 3 == 0 else "")) for i in range(60)]
+    docs += [(None, None), (None, items[0][1]), (7, ""), (7, "")]
+    df, bench = frame(spark, docs), spark.createDataFrame(items, "item_id long, text string")
+    one, many = decontaminated(df, bench), decontaminated(df, bench, block=6)
+    assert many.columns == df.columns
+    assert sorted(map(repr, many.collect())) == sorted(map(repr, one.collect()))
+    assert one.count() == 60 - 20 + 3
 
 
 # --- byte-level BPE -----------------------------------------------------------------------
@@ -423,32 +495,109 @@ def test_quotation_of_some_paragraphs(spark):
     assert got == {0: (None, 0, 1, rows[0][3]), 2: (0, 0, 2, "Yes."), 1: (None, 1, 3, "Other.")}
 
 
-def test_quotations_sql(spark, tmp_path):
-    """The registered SQL gives the same threads on random nested quotations."""
-    import duckdb
-    from compare import assert_same
-
-    from sluice.llm.queries import ORACLE_SQL
-    rng = random.Random(9)
-    rows = []
-    for conv in range(12):
+def quotations(seed=9):
+    """Random conversations of nested, shortened and re-wrapped quotations."""
+    rng, rows = random.Random(seed), []
+    for conv in range(14):
         texts = []
-        for turn in range(8):
+        for turn in range(9):
             out = []
             for _ in range(rng.randint(1, 4)):
                 if texts and rng.random() < 0.6:
-                    quoted = rng.choice(texts).split("\n")[:rng.randint(1, 3)]
-                    out += [rng.choice(["> ", ">", ">> ", "> > "]) + x.upper() for x in quoted]
-                out.append(rng.choice(["yes", "no\n\nmaybe", f"line {rng.randint(0, 5)}  here", ""]))
+                    quoted = rng.choice(texts)
+                    how = rng.random()
+                    if how < 0.4:  # some of its paragraphs, words wrapped anew
+                        some = [p.split() for p in quoted.split("\n\n")][:rng.randint(1, 3)]
+                        mark = rng.choice(["> ", ">> "])
+                        for i, words in enumerate(some):
+                            out += ([mark.strip()] if i else []) + [mark + " ".join(words[j:j + 2]) for j in range(0, len(words), 2)]
+                    else:
+                        out += [rng.choice(["> ", ">", ">> ", "> > "]) + x.upper() for x in quoted.split("\n")[:rng.randint(1, 5)]]
+                out.append(rng.choice(["yes", "no\n\nmaybe", f"line {rng.randint(0, 5)}  here", "", f"one two {conv}\nthree\n\nfour five {turn}"]))
             texts.append("\n".join(out))
             rows.append((conv, turn, rng.choice(["user", None]), texts[-1] if rng.random() < 0.95 else None))
-    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    return rows
+
+
+def test_quotations_sql(spark, tmp_path):
+    """The registered SQL gives the same threads and sources."""
+    import duckdb
+    from compare import assert_same
+
+    from sluice.llm.queries import ORACLE_SQL
+    df = spark.createDataFrame(quotations(), "conv_id long, turn long, role string, text string")
     df.coalesce(1).write.parquet(str(tmp_path / "c"))
     con = duckdb.connect()
     con.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{tmp_path}/c/*.parquet')")
     assert_same(link_quotations(df), con, ORACLE_SQL["op4_chat_formatting"])
 
 
+def test_quotations_brute_force(spark):
+    """Own texts, the source of every passage and the threads, read line by line."""
+    import re
+
+    def norm(t):
+        return re.sub(r"\s+", " ", t.lower()).strip(" ")
+
+    def parts(t):
+        return [[t], re.split(r"\n[ \t]*\n", t), t.split("\n")]
+    rows, want = quotations(4), {}
+    own, passages = {}, {}
+    for conv, turn, _, text in rows:
+        mine, runs = [], []
+        for line in (text or "").split("\n"):
+            marks = re.match(r"[ \t]*(?:>[ \t]*)+", line)
+            level, body = (marks.group().count(">"), line[marks.end():]) if marks else (0, line)
+            if runs and runs[-1][0] == level:
+                runs[-1][1].append(body)
+            else:
+                runs.append((level, [body]))
+        mine = "\n".join("\n".join(b) for n, b in runs if n == 0)
+        quoting = any(n for n, _ in runs)
+        own[conv, turn] = mine.strip() if quoting else text or ""
+        passages[conv, turn] = [(n, "\n".join(b)) for n, b in runs if n]
+    parent = {}
+    for (conv, turn), found in passages.items():
+        sources = []
+        for at, (level, text) in enumerate(found):
+            best = None
+            for rank, some in enumerate(parts(text)):
+                keys = {norm(x) for x in some} - {""}
+                hits = [t for (c, t), o in own.items() if c == conv and t < turn
+                        and keys & {norm(x) for group in parts(o) for x in group}]
+                if hits:
+                    best = (level, at, rank, -max(hits))
+                    break
+            sources.append(best)
+        known = [b for b in sources if b]
+        parent[conv, turn] = -min(known)[3] if known else None
+        want[conv, turn] = ",".join("-" if b is None else str(-b[3]) for b in sources)
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {(r.conv_id, r.turn): r for r in link_quotations(df).collect()}
+    assert any("," in w and "-" not in w for w in want.values())
+    for key, r in got.items():
+        assert (r.sources, r.parent_turn, r.text, r.n_quotes) == (want[key], parent[key], own[key], len(passages[key])), key
+        root, depth = key[1], 0
+        while parent[key[0], root] is not None:
+            root, depth = parent[key[0], root], depth + 1
+        assert (r.root_turn, r.depth) == (root, depth)
+
+
+def test_runs_of_many_lines_take_linear_time(spark):
+    import time
+    took = []
+    for n in (4000, 16000):
+        text = "\n".join("> q" if i % 2 else "own" for i in range(n))
+        df = spark.createDataFrame([(1, 1, "u", text)], "conv_id long, turn long, role string, text string")
+        link_quotations(df.limit(0)).collect()
+        t0 = time.perf_counter()
+        from sluice.llm.chat import parse
+        rows = parse(df.withColumnsRenamed({"conv_id": "conv"}))
+        assert rows.select(F.size("passages")).first()[0] == n // 2
+        took.append(time.perf_counter() - t0)
+    assert took[1] < 8 * took[0] + 2
+
+
 # --- empty tables -------------------------------------------------------------------------------
 
 def test_empty_tables(spark):

@@ -119,7 +119,7 @@ def test_pipeline(spark):
 
 
 def test_pipeline_unusual_rows(spark):
-    """Nulls, empty and repeated rows pass every stage; of rows that share an id one stays."""
+    """Nulls, empty and repeated rows pass every stage; of copies one stays, with an id or without."""
     rows = [(1, None, None, None, None), (2, "", "en", "a", 0), (3, "same words here", "en", "a", 3), (3, "same words here", "en", "a", 3),
             (None, "no id", "en", None, 5), (None, "no id", "en", None, 5), (4, "é" * 9000, None, "b", 1)]
     for table in (rows, []):
@@ -127,4 +127,15 @@ def test_pipeline_unusual_rows(spark):
         for _, step in corpus_pipeline.STAGES:
             docs = corpus_pipeline.stage(step(spark, docs, SF_SMALL), "test-unusual")
         got = sorted((r.doc_id or 0) for r in docs.collect())
-        assert got == ([0, 0, 1, 2, 3, 4] if table else [])
+        assert got == ([0, 1, 2, 3, 4] if table else [])
+
+
+def test_rows_that_share_an_id_are_different_documents(spark):
+    """A text goes only if a near copy of it stays; of a group the smallest id stays, rows without one last."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(1, a), (1, b), (2, c), (7, a + " more"), (None, c), (None, c + " d"), (None, "alone " * 9), (1, b), (5, "e"), (5, "f")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.near_dedup(spark, docs.repartition(3), SF_SMALL)
+    assert got.columns == docs.columns
+    assert sorted((r.doc_id or 0, r.text) for r in got.collect()) == sorted(
+        [(1, a), (1, b), (2, c), (0, "alone " * 9), (5, "e"), (5, "f")])
