@@ -136,6 +136,21 @@ ORACLE_SQL.update({
                     ELSE o_totalprice END AS o_totalprice,
                o_orderdate, o_orderpriority
         FROM orders""",
+    "csv_types": """
+        WITH n AS (SELECT count(*) AS n, max(length(CAST(CAST(floor(abs(o_totalprice)) AS BIGINT) AS VARCHAR))) AS d,
+                          count(*) FILTER (o_orderkey % 3 <> 0) AS rest, count(*) FILTER (o_orderkey % 1000 = 7) AS odd FROM orders)
+        SELECT * FROM (
+            SELECT 'o_orderkey' AS "column", 0 AS position, 'bigint' AS type, n AS "values", 0::BIGINT AS "nulls", CAST(NULL AS VARCHAR) AS breaks FROM n
+            UNION ALL SELECT 'price', 1, 'decimal(' || (d + 2) || ',2)', n, 0,
+                      (SELECT min(CAST(CAST(o_totalprice AS DECIMAL(18, 2)) AS VARCHAR)) FROM orders) FROM n
+            UNION ALL SELECT 'o_orderpriority', 2, 'string', n, 0, NULL FROM n
+            UNION ALL SELECT 'day', 3, 'date', n, 0, NULL FROM n
+            UNION ALL SELECT 'o_orderdate', 4, 'timestamp_ntz', n, 0,
+                      (SELECT min(strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%f')) FROM orders) FROM n
+            UNION ALL SELECT 'even', 5, 'boolean', n, 0, NULL FROM n
+            UNION ALL SELECT 'nothing', 6, 'null', 0, n, NULL FROM n
+            UNION ALL SELECT 'mixed', 7, CASE WHEN odd > 0 THEN 'double' ELSE 'bigint' END, n, 0, CASE WHEN odd > 0 THEN '7e1' END FROM n
+            UNION ALL SELECT 'some', 8, 'bigint', n - rest, rest, NULL FROM n)""",
     "load_csv": "SELECT * FROM events",
     "load_csv_text": "SELECT * FROM documents",
     "load_csv_inferred": "SELECT * FROM lineitem",
@@ -145,6 +160,7 @@ ORACLE_SQL.update({
         FROM customer""",
     "load_json": "SELECT * FROM events",
     "load_sql_dump": "SELECT * FROM documents",
+    "load_sql_dump_long_lines": "SELECT * FROM documents",
     "stream_dump_ingest": "SELECT * FROM documents",
 })
 

@@ -29,7 +29,7 @@ from ..sinks.files import write_csv, write_json_array, write_sql_dump
 from ..sinks.tables import write_table
 from ..sinks.views import create_view, register_parquet_table
 from ..sources.catalog import read_table
-from ..sources.files import read_csv, read_json_array
+from ..sources.files import csv_types, read_csv, read_json_array
 from ..sources.sqldump import read_sql_dump
 from ..sources.testdata import load, table_path
 from ..streaming.dump_ingest import start_dump_ingest
@@ -329,6 +329,18 @@ def load_csv_inferred(spark: SparkSession, sf: str) -> DataFrame:
     return read_csv(spark, path, multiline=False)
 
 
+def csv_types_query(spark: SparkSession, sf: str) -> DataFrame:
+    """The types of orders written as CSV, with a column of every kind, found by one aggregate."""
+    path = scratch_path(spark, "csv")
+    orders = load(spark, sf, "orders")
+    write_csv(orders.select(
+        "o_orderkey", F.col("o_totalprice").cast("decimal(18,2)").alias("price"), "o_orderpriority", F.col("o_orderdate").cast("date").alias("day"),
+        "o_orderdate", (F.col("o_custkey") % 2 == 0).alias("even"), F.lit(None).cast("string").alias("nothing"),
+        F.when(F.col("o_orderkey") % 1000 == 7, "7e1").otherwise(F.col("o_orderkey").cast("string")).alias("mixed"),
+        F.when(F.col("o_orderkey") % 3 == 0, F.col("o_custkey")).alias("some")), path)
+    return csv_types(spark, path)
+
+
 def load_csv_blank_null(spark: SparkSession, sf: str) -> DataFrame:
     """Empty strings loaded as NULL on request (customer names of one segment emptied)."""
     path = scratch_path(spark, "csv")
@@ -355,6 +367,14 @@ def load_sql_dump(spark: SparkSession, sf: str) -> DataFrame:
     return read_sql_dump(spark, path, docs.schema, table="documents")
 
 
+def load_sql_dump_long_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """documents written as a dump of few long INSERT lines, each read by many tasks."""
+    docs = load(spark, sf, "documents")
+    path = scratch_path(spark, "dump")
+    write_sql_dump(docs, path, "documents", rows_per_statement=1_000_000)
+    return read_sql_dump(spark, path, docs.schema, table="documents", long_lines=True)
+
+
 def stream_dump_ingest(spark: SparkSession, sf: str) -> DataFrame:
     """documents dump files ingested by a streaming query (available-now trigger)."""
     docs = load(spark, sf, "documents")
@@ -457,8 +477,10 @@ QUERIES: dict[str, QueryFn] = {
     "load_csv_text": load_csv_text,
     "load_csv_inferred": load_csv_inferred,
     "load_csv_blank_null": load_csv_blank_null,
+    "csv_types": csv_types_query,
     "load_json": load_json,
     "load_sql_dump": load_sql_dump,
+    "load_sql_dump_long_lines": load_sql_dump_long_lines,
     "stream_dump_ingest": stream_dump_ingest,
     "synth_table": synth_table,
     "synth_lineitem": synth_lineitem,

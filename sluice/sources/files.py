@@ -16,7 +16,7 @@ import csv
 import io
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType, TimestampNTZType
 
@@ -130,3 +130,83 @@ def read_json_array(spark: SparkSession, path: str | list[str], schema: StructTy
         return spark.createDataFrame([], fixed)
     parsed = rows.select(F.from_json("value", fixed, options).alias("r"))
     return normalize_zone(parsed.select(*[F.col("r").getField(n).alias(n) for n in fixed.fieldNames()]), tz)
+
+
+#: Types of a CSV column, from the narrowest; a column has the narrowest that holds all its values.
+CSV_TYPES = ("null", "boolean", "bigint", "decimal", "double", "date", "timestamp_ntz", "timestamp", "string")
+_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)$"
+
+
+def csv_types(spark: SparkSession, path: str | list[str], *, header: bool = True, sep: str = ",") -> DataFrame:
+    """column, position, type, values, nulls, breaks: the type of every column of CSV files, in one pass.
+
+    A column's state is a row of counts, maxima and minima (values that each type holds, digits before
+    and behind the point, for each type the smallest value that it does not hold), so states of
+    parts of the files merge to that of all, however they are split. Types widen along
+    null < boolean < string; null < bigint < decimal(p, s) < double < string; null < date <
+    timestamp_ntz < string; null < timestamp < string (timestamps with a zone). breaks: the smallest
+    value (in code-point order) that kept the column from the next narrower type of its kind; NULL
+    where there is none. Blank is NULL, `""` is a string."""
+    ranges = Ranges(spark, path, QuotedLines(sep))
+    first = ranges.first_record()
+    if first is None:
+        return spark.createDataFrame([], "column string, position int, type string, values long, nulls long, breaks string")
+    names = _header_names(first, sep)
+    width = len(names)
+
+    def is_record(text: str) -> bool:
+        if [n.lower() for n in _header_names(text, sep)] != [n.lower() for n in names]:
+            raise ValueError(f"CSV header is not {names}")
+        return False
+    rows = ranges.records(is_record if header else None)
+    options = {"sep": sep, "escape": '"', "nullValue": NULL_SENTINEL, "mode": "FAILFAST", "multiLine": "true"}
+    parsed = rows.select(F.from_csv("value", ", ".join(f"c{i} string" for i in range(width)), options).alias("r"))
+    state = parsed.agg(*[x.alias(f"{k}{i}") for i in range(width) for k, x in _column_state(F.col(f"r.c{i}")).items()])
+    labels = _safe_names(names) if header else [f"_c{i}" for i in range(width)]
+    kinds = list(_column_state(F.lit("")))
+    long = state.select(F.inline(F.array(*[
+        F.struct(F.lit(n).alias("column"), F.lit(i).alias("position"), *[F.col(f"{k}{i}").alias(k) for k in kinds])
+        for i, n in enumerate(labels)])))
+    return long.select("column", "position", *_decided())
+
+
+def _column_state(v: Column) -> dict[str, Column]:
+    number = v.rlike(_NUMBER)
+    digits = F.regexp_replace(v, r"^[+-]?0*", "")
+    before = F.char_length(F.regexp_extract(digits, r"^(\d*)", 1))
+    behind = F.char_length(F.regexp_extract(v, r"\.(\d*)$", 1))
+    zone = v.rlike(r"[ T]\d{1,2}:\d{2}.*(Z|[+-]\d{2}:?\d{2})$")
+    day = v.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$") & v.try_cast("date").isNotNull()
+    fits = {"boolean": F.lower(v).isin("true", "false"), "bigint": v.rlike(r"^[+-]?\d+$") & v.try_cast("bigint").isNotNull(),
+            "decimal": number, "double": v.try_cast("double").isNotNull() & v.rlike(r"[0-9]|(?i)^[+-]?(nan|inf(inity)?)$") & ~v.rlike("[dDfF]$"),
+            "date": day, "timestamp_ntz": (day | v.rlike(r"^\d{4}-\d{1,2}-\d{1,2}[ T]")) & v.try_cast("timestamp_ntz").isNotNull() & ~zone,
+            "timestamp": zone & v.try_cast("timestamp").isNotNull()}
+    out = {"values": F.count(v), "nulls": F.count_if(v.isNull()),
+           "before": F.max(F.when(number, before)), "behind": F.max(F.when(number, behind))}
+    for kind, ok in fits.items():
+        out[f"n_{kind}"] = F.count_if(ok)
+        out[f"not_{kind}"] = F.min(F.when(~ok, v))
+    return out
+
+
+def _decided() -> list[Column]:
+    values, scale = F.col("values"), F.coalesce("behind", F.lit(0))
+    precision = F.greatest(F.coalesce("before", F.lit(0)) + scale, F.lit(1))
+    # each type with its condition and the value that the next narrower type of its kind does not hold
+    order = [("null", values == 0, None), ("boolean", F.col("n_boolean") == values, None), ("bigint", F.col("n_bigint") == values, None),
+             ("decimal", (F.col("n_decimal") == values) & (precision <= 38), "bigint"), ("double", F.col("n_double") == values, "decimal"),
+             ("date", F.col("n_date") == values, None), ("timestamp_ntz", F.col("n_timestamp_ntz") == values, "date"),
+             ("timestamp", F.col("n_timestamp") == values, None)]
+    kind, breaks = None, None
+    for name, holds, below in order:
+        label = F.concat(F.lit("decimal("), precision.cast("string"), F.lit(","), scale.cast("string"), F.lit(")")) if name == "decimal" else F.lit(name)
+        found = F.col(f"not_{below}") if below else F.lit(None).cast("string")
+        kind = F.when(holds, label) if kind is None else kind.when(holds, label)
+        breaks = F.when(holds, found) if breaks is None else breaks.when(holds, found)
+    # text: what kept it from the type that most of its values have (the first of equals)
+    most = F.greatest(*[F.col(f"n_{k}") for k in ("boolean", "double", "timestamp_ntz", "timestamp")])
+    text = None
+    for k in ("double", "timestamp_ntz", "boolean", "timestamp"):
+        holds = (F.col(f"n_{k}") == most) & (most > 0)
+        text = F.when(holds, F.col(f"not_{k}")) if text is None else text.when(holds, F.col(f"not_{k}"))
+    return [kind.otherwise("string").alias("type"), values, F.col("nulls"), breaks.otherwise(text).alias("breaks")]

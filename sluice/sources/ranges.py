@@ -367,17 +367,19 @@ class Ranges:
         """Broadcast while it is small."""
         return F.broadcast(df) if self.few else df.hint("merge")
 
+    def placed(self, more: DataFrame | None = None) -> DataFrame:
+        """The pieces with the start of their range (and more columns of it), in the order of each range."""
+        starts = self.starts if more is None else self.starts.join(more, ["file", "block"])
+        if self.few:
+            return self.pieces.join(F.broadcast(starts), ["file", "block"])
+        return (self.pieces.withColumn("at", F.monotonically_increasing_id()).join(starts.hint("merge"), ["file", "block"])
+                .repartition("file", "block").sortWithinPartitions("file", "block", "at"))
+
     def _cut(self, header: Callable[[str], bool] | None, firsts: bool = False) -> DataFrame:
         cut = _cut(self.grammar, self.starts is None, header, firsts)
-        if self.starts is None:
-            placed = self.pieces
-        elif self.few:
-            placed = self.pieces.join(F.broadcast(self.starts), ["file", "block"])
-        else:
-            placed = (self.pieces.withColumn("at", F.monotonically_increasing_id()).join(self.starts.hint("merge"), ["file", "block"])
-                      .repartition("file", "block").sortWithinPartitions("file", "block", "at"))
         cols = [*self.pieces.columns] if self.starts is None else ["file", "block", "state", "depth", "flag", "last", "value"]
-        return placed.select(*cols).mapInArrow(cut, "file long, block long, kind int, value string")
+        rows = self.pieces if self.starts is None else self.placed()
+        return rows.select(*cols).mapInArrow(cut, "file long, block long, kind int, value string")
 
     def first_record(self) -> str | None:
         """The first record of one of the files."""

@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (BinaryType, BooleanType, DateType, StringType, StructType, TimestampNTZType,
                                TimestampType)
 
+from .dumprows import statement_records
 from .files import normalize_zone
 
 # Fixed patterns (Java regex).
@@ -178,7 +179,7 @@ def parse_statements(lines: DataFrame, schema: StructType, table: str | None = N
 
 def read_sql_dump(spark: SparkSession, path: str | list[str], schema: StructType | str, *,
                   table: str | None = None, tz: str | None = "UTC", empty_as_null: bool = False,
-                  statements_span_lines: bool = False) -> DataFrame:
+                  statements_span_lines: bool = False, long_lines: bool = False) -> DataFrame:
     """Load the rows of one table from MySQL dump files.
 
     `statements_span_lines=True` reads statement by statement (they end at a semicolon and a line
@@ -188,7 +189,9 @@ def read_sql_dump(spark: SparkSession, path: str | list[str], schema: StructType
     """
     if isinstance(schema, str):
         schema = spark.createDataFrame([], schema).schema
-    if statements_span_lines:
+    if long_lines:
+        lines = statement_records(spark, path)
+    elif statements_span_lines:
         ends = F.split("value", ";[ \\t]*\\r?\\n")
         lines = (spark.read.option("lineSep", ";\n").text(path).select(F.explode(ends).alias("value"))
                  .select(F.regexp_replace("value", r"[\s;]+$", "").alias("value"))

@@ -1,0 +1,113 @@
+"""Extended INSERT lines in byte ranges: equal to the reader by lines at every cut."""
+
+import os
+import random
+import tempfile
+
+import pytest
+from pyspark.sql import functions as F
+
+from sluice.sinks.files import write_sql_dump
+from sluice.sources import ranges
+from sluice.sources.dumprows import DumpRows, lex, open_head
+from sluice.sources.sqldump import read_sql_dump
+from test_ranges import folder, small_ranges
+
+SCHEMA = "id int, s string"
+
+
+def escaped(v):
+    if v is None:
+        return "NULL"
+    for a, b in (("\\", "\\\\"), ("'", "\\'"), ("\n", "\\n"), ("\r", "\\r")):
+        v = v.replace(a, b)
+    return f"'{v}'"
+
+
+def rows(seed, n):
+    rng = random.Random(seed)
+    pool = ["", "a", "),(", "'),('", "); INSERT INTO t VALUES (9,'x');", "\\", "\\'", '"', "`", "-- no", "/* no", "# no", "é日😀", "l1\nl2",
+            "x" * 60, "(1,'b'),(2,'c')", ";", "NULL", "*/", "\r\n"]
+    return [(i, rng.choice([None, rng.choice(pool) + rng.choice(pool)])) for i in range(n)]
+
+
+def insert(data, head="INSERT INTO `t` VALUES "):
+    return head + ",".join(f"({i},{escaped(s)})" for i, s in data) + ";"
+
+
+def dump(seed, end="\n"):
+    one, two, three = rows(seed, 16), rows(seed + 1, 9), rows(seed + 2, 4)
+    lines = ["-- MySQL dump of o'brien's", "/*!40101 SET NAMES utf8 */;", "DROP TABLE IF EXISTS `t`;",
+             "CREATE TABLE `t` (`id` int(11) NOT NULL, `s` text COMMENT 'it\\'s; (a),(b)', PRIMARY KEY (`id`)) ENGINE=InnoDB;",
+             "LOCK TABLES `t` WRITE;", insert(one), insert(two, "INSERT INTO `t` (`s`,`id`) VALUES ").replace("x" * 60, "y"),
+             insert([(7, "other"), (8, "),(")], "INSERT INTO `u` VALUES "), "UNLOCK TABLES;", insert(three, "replace into d.t values"),
+             "-- Dump completed on 2022-11-25 (ok),(really)"]
+    swapped = [(i, s) for i, s in two]
+    lines[6] = "INSERT INTO `t` (`s`,`id`) VALUES " + ",".join(f"({escaped(s)},{i})" for i, s in swapped) + ";"
+    return end.join(lines) + end, one + two + three
+
+
+@pytest.mark.parametrize("end,size", [("\n", 150), ("\r\n", 700), ("\r\n", 1 << 20)])
+def test_rows_at_every_cut(spark, end, size):
+    (a, x), (b, y) = dump(size, end), dump(size + 7, end)
+    d = folder(a=a, b=b)
+    with small_ranges(spark, size):
+        df = read_sql_dump(spark, d, SCHEMA, table="t", long_lines=True)
+        got = sorted(map(tuple, df.collect()), key=repr)
+    assert got == sorted(x + y, key=repr)
+    if end == "\n":
+        assert got == sorted(map(tuple, read_sql_dump(spark, d, SCHEMA, table="t").collect()), key=repr)
+
+
+def test_without_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(ranges, "BROADCAST_RANGES", 0)
+    text, want = dump(5)
+    with small_ranges(spark, 400):
+        got = read_sql_dump(spark, folder(a=text), SCHEMA, table="t", long_lines=True).collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
+
+
+def test_one_line_is_read_by_many_tasks(spark):
+    docs = spark.range(30_000).select(F.col("id"), F.concat(F.lit("it's (1),(2) \\ \n"), F.col("id").cast("string")).alias("s"))
+    out = tempfile.mkdtemp() + "/d"
+    write_sql_dump(docs.coalesce(1), out, "t", rows_per_statement=1_000_000)
+    assert sum(f.startswith("part") for f in os.listdir(out)) == 1
+    with small_ranges(spark, 128 << 10):
+        df = read_sql_dump(spark, out, docs.schema, table="t", long_lines=True)
+        assert df.count() == 30_000 and df.exceptAll(docs).count() == 0
+        sizes = [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) >= 8 and max(sizes) < 30_000 / 4
+
+
+@pytest.mark.parametrize("text", [
+    "INSERT INTO t VALUES (1,'a'),(2,'b') ON DUPLICATE KEY UPDATE s=VALUES(s);\n", "INSERT INTO t VALUES (1,'a'),(2,'b')\n",
+    "INSERT INTO t VALUES (1,'a'),(NOW(),'b');\n", "UPDATE t SET s='x';INSERT INTO t VALUES (1,'a'),(2,'b');\n",
+    "INSERT INTO t VALUES (1,'a'),(2,'b);\n", "INSERT INTO t (nope) VALUES (1),(2);\n", "SELECT (1),(2);\n",
+    "INSERT INTO t VALUES (1,'a'),(2,'b');CREATE TRIGGER g BEFORE INSERT ON t FOR EACH ROW BEGIN SET @a=1; INSERT INTO t VALUES (3,'c'),(4,'d'); END;\n"])
+@pytest.mark.parametrize("size", [40, 1 << 20])
+def test_what_is_not_read_fails(spark, text, size):
+    with small_ranges(spark, size), pytest.raises(Exception):
+        read_sql_dump(spark, folder(a=text), SCHEMA, table="t", long_lines=True).collect()
+
+
+@pytest.mark.parametrize("text,want", [
+    ("", []), ("-- nothing\n", []), ("INSERT INTO t VALUES (1,'a');", [1]), ("INSERT INTO t VALUES\n(1,'a'),\n(2,'b'),(3,'c\nd');", [1, 2, 3]),
+    ("INSERT INTO u VALUES (1,'a'),(2,'b');INSERT INTO t VALUES (3,'c'),(4,'d');INSERT INTO u VALUES (5,'e');", [3, 4])])
+def test_small_dumps(spark, text, want):
+    for size in (30, 1 << 20):
+        with small_ranges(spark, size):
+            got = read_sql_dump(spark, folder(a=text), SCHEMA, table="t", long_lines=True).collect()
+        assert sorted(r.id for r in got) == want
+
+
+def test_states_of_pieces():
+    import pyarrow as pa
+    # a backslash stands in quotes only
+    texts = ["", "a", "'", "''", "\"'\"", "`'`", "-- '\n", "--x'", "# '", "/* ' */'", "'-- x", "*/", "\n", "\\", "'a\\", "/*", "a\"b"]
+    at, end, _ = DumpRows().steps(pa.array(texts, pa.large_string()))
+    got = {texts[i]: e for i, e in zip(at.tolist(), end.tolist())}
+    for t in texts:
+        assert got.get(t, list(range(6))) == [lex(t, s) for s in range(6)], t
+    assert lex("'a', 'b", 0) == 1 and lex("b' -- x", 1) == 4 and lex("x\n'", 4) == 1 and lex("it\\'s", 1) == 1
+    assert open_head("5,'z');\n-- c\nINSERT INTO `t` (a,b) VALUES (1", "h") == "INSERT INTO `t` (a,b) VALUES "
+    assert open_head("5,';INSERT INTO t VALUES (1'", "h") == "h" and open_head("5);\nUNLOCK TABLES;\n", "h") == ""

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from sluice.sinks.files import write_csv, write_json_array
 from sluice.sources import ranges
-from sluice.sources.files import read_csv, read_json_array
+from sluice.sources.files import csv_types, read_csv, read_json_array
 from sluice.sources.ranges import JsonObjects, QuotedLines, Ranges
 
 SCHEMA = "id int, a string, b string"
@@ -56,7 +56,7 @@ def as_csv(rows, end="\n", header=True):
     return out.getvalue()
 
 
-@pytest.mark.parametrize("end,size", [("\n", 23), ("\r\n", 31), ("\n", 200), ("\r\n", 1 << 20), ("\r", 1 << 20), ("\r", 100)])
+@pytest.mark.parametrize("end,size", [("\n", 60), ("\r\n", 90), ("\n", 400), ("\r\n", 1 << 20), ("\r", 1 << 20), ("\r", 300)])
 def test_csv_at_every_cut(spark, end, size):
     one, two = values(size, 35), values(size + 1, 15)
     if end == "\r":  # a bare carriage return is only found in files without line feeds
@@ -65,7 +65,7 @@ def test_csv_at_every_cut(spark, end, size):
     with small_ranges(spark, size):
         df = read_csv(spark, d, SCHEMA)
         got = sorted(map(tuple, df.collect()), key=repr)
-        if size < 100 and end != "\r":
+        if size < 130:
             assert df.rdd.getNumPartitions() >= 8
         assert got == sorted(one + two, key=repr)
         headless = folder(a=as_csv(one, end, header=False))
@@ -75,7 +75,7 @@ def test_csv_at_every_cut(spark, end, size):
 def test_csv_without_broadcast(spark, monkeypatch):
     monkeypatch.setattr(ranges, "BROADCAST_RANGES", 0)
     rows = values(5, 60)
-    with small_ranges(spark, 80):
+    with small_ranges(spark, 200):
         got = read_csv(spark, folder(a=as_csv(rows)), SCHEMA).collect()
     assert sorted(map(tuple, got), key=repr) == sorted(rows, key=repr)
 
@@ -128,12 +128,44 @@ def test_csv_headers(spark):
 def test_csv_inference_in_ranges(spark):
     rows = [(i, f"t\n{i}", i / 4) for i in range(300)]
     text = "id,a,x\n" + "".join(f'{i},"{a}",{x}\n' for i, a, x in rows)
-    with small_ranges(spark, 100):
+    with small_ranges(spark, 400):
         df = read_csv(spark, folder(f=text))
         assert df.dtypes == [("id", "int"), ("a", "string"), ("x", "double")]
         assert sorted(map(tuple, df.collect())) == rows
 
 
+TYPED = {  # values of a column -> its type and what breaks the narrower one
+    ("1", "-22", "+3", None): ("bigint", None), ("1", "2.50", "-.5"): ("decimal(3,2)", "-.5"), ("1", "1e5", "2.5"): ("double", "1e5"),
+    ("9223372036854775808", "1"): ("decimal(19,0)", "9223372036854775808"), ("0.00", "00012"): ("decimal(4,2)", "0.00"),
+    ("9" * 39, "1"): ("double", None), ("NaN", "1", "-Infinity"): ("double", "-Infinity"), ("true", "FALSE"): ("boolean", None),
+    ("2020-01-02", "2020-1-3"): ("date", None), ("2020-01-02", "2020-01-03 04:05:06"): ("timestamp_ntz", "2020-01-03 04:05:06"),
+    ("2020-01-02T03:04:05Z", "2020-01-02 03:04:05+01:00"): ("timestamp", None), ("2020-13-45", "2020-01-01"): ("string", "2020-13-45"),
+    ("1", "2", "x"): ("string", "x"), ("true", "1"): ("string", "true"), (None, None): ("null", None), ("", "1"): ("string", ""),
+    ("1d", "2"): ("string", "1d"), ("line\nbreak", "b"): ("string", None), ("2020-01-01", "7"): ("string", "2020-01-01"),
+}
+
+
+@pytest.mark.parametrize("size", [400, 1 << 20])
+def test_csv_types_however_the_files_are_split(spark, size):
+    n = max(map(len, TYPED))
+    names = [f"c{i}" for i in range(len(TYPED))]
+    rows = [[(list(v) + [v[0]] * n)[i] for v in TYPED] for i in range(n)]
+
+    def cell(v):
+        return "" if v is None else '"' + v.replace('"', '""') + '"'
+    lines = [",".join(map(cell, r)) + "\n" for r in rows]
+    head = ",".join(names) + "\n"
+    with small_ranges(spark, size):
+        one = csv_types(spark, folder(a=head + "".join(lines))).collect()
+        many = csv_types(spark, folder(**{f"f{i}": head + x for i, x in enumerate(reversed(lines))})).collect()
+    assert sorted(one) == sorted(many)
+    assert [(r.type, r.breaks) for r in sorted(one, key=lambda r: r.position)] == [
+        (t, b) for t, b in TYPED.values()]
+    assert all(r["values"] + r.nulls == n for r in one)
+    assert csv_types(spark, folder(a="")).collect() == []
+    assert [(r.column, r.type, r["values"]) for r in csv_types(spark, folder(a="x,y\n")).collect()] == [("x", "null", 0), ("y", "null", 0)]
+
+
 def objects(seed, n=50):
     rng = random.Random(seed)
     pool = ["", "}", "{", '"', "},{", '\\"', "\\", "]", "[", "é日😀", "a\nb", "\\\\", '"}', "x" * 40, "null"]
@@ -144,7 +176,7 @@ def objects(seed, n=50):
 NESTED = "id int, a string, b struct<c: array<struct<d: string>>, e: struct<f: int>>"
 
 
-@pytest.mark.parametrize("size", [40, 400, 1 << 20])
+@pytest.mark.parametrize("size", [120, 1000, 1 << 20])
 def test_json_at_every_cut(spark, size):
     one, two = objects(size, 30), objects(size + 1, 12)
     d = folder(a=json.dumps(one), b=json.dumps(two, indent=2, ensure_ascii=False), c="[]", d=" [ ]\n", e="﻿" + json.dumps(one[:1]),
@@ -152,7 +184,7 @@ def test_json_at_every_cut(spark, size):
     with small_ranges(spark, size):
         df = read_json_array(spark, d, NESTED)
         got = [r.asDict(recursive=True) for r in df.collect()]
-        if size < 100:
+        if size < 130:
             assert df.rdd.getNumPartitions() >= 8
     want = one + two + one[:1] + two[:1] + two[:3]
 
@@ -169,7 +201,7 @@ def test_damaged_json_fails(spark, text, size):
 
 
 def test_json_inference(spark):
-    with small_ranges(spark, 60):
+    with small_ranges(spark, 300):
         df = read_json_array(spark, folder(a=json.dumps(objects(3, 30))))
         assert dict(df.dtypes)["id"] == "bigint" and df.count() == 30
 
