@@ -11,7 +11,8 @@ Labelled pages are (a) pages composed from the labelled snippets below, and (b)
 role=main): inside that element, but outside any menu, footer, aside, form or marked advert,
 comment or notice in it, a block is main text (the element's own header holds its title and is
 main text too). So that the model does not lean on the marks alone, every page is used a second
-time with the features of its ancestors hidden.
+time with the features of its ancestors hidden; a page that has none of the sectioning tags and
+none of the marks of the snippets is read by these features.
 
 The pages of (b) are those of the smallest hashes of id and html among pages of at most
 `max_page_bytes`, up to `max_blocks` blocks together, so every run draws the same. Chains are
@@ -353,6 +354,15 @@ _NOT_MAIN = {"nav", "footer", "aside", "form"}
 _NOT_MARKS = {"ad", "ads", "advert", "comment", "comments", "notice", "cookie", "sidebar", "menu", "related", "share", "promo", "sponsored"}
 
 
+_SECTIONS = {"article", "main", "nav", "aside", "header", "footer", "form", "section"}
+_KNOWN_MARKS = _NOT_MARKS | {w for x in (*OTHER, *AFTER, *MAIN) for a in _ATTR.finditer(x) for w in _WORD.findall((a[2] or "").lower())}
+
+
+def unmarked(blocks: list[Block]) -> bool:
+    """Whether nothing names the parts of a page."""
+    return not any(_SECTIONS.intersection(b.path) or _KNOWN_MARKS.intersection(b.marks) for b in blocks)
+
+
 def _fill(rng: random.Random, snippet: str) -> str:
     def word():
         return "".join(rng.choice("abcdefghilmnoprstuvw") for _ in range(rng.randint(2, 8)))
@@ -426,7 +436,7 @@ def extract(pages: DataFrame, chain: Chain, *, id_col: str = "page_id", url_col:
                 texts, counts = [], []
                 for page in batch.column("html").slice(a, 256):
                     blocks = leaf_blocks(page.as_py())
-                    kept = [b.text for b, y in zip(blocks, own.decode(features(blocks))) if y]
+                    kept = [b.text for b, y in zip(blocks, own.decode(features(blocks, unmarked(blocks)))) if y]
                     texts.append("\n".join(kept))
                     counts.append(len(blocks))
                 yield pa.RecordBatch.from_arrays(

@@ -120,7 +120,7 @@ def test_windows_add_up(monkeypatch):
 
 def test_one_long_page_does_not_rule_training(spark):
     rows = [(i, f"<body><nav>menu {i}</nav><article><p>Text {i} is here.</p><p>And here.</p></article></body>") for i in range(60)]
-    cells = "".join(f"<td>{i}</td>" for i in range(20_000))
+    cells = "".join(f"<td>{i}</td>" for i in range(30_000))
     small = spark.createDataFrame(rows, "page_id long, html string")
     long_ = spark.createDataFrame(rows + [(99, f"<article><table><tr>{cells}</tr></table></article>")], "page_id long, html string")
     train(small)
@@ -129,9 +129,9 @@ def test_one_long_page_does_not_rule_training(spark):
     t1 = time.perf_counter()
     a, b = (train(long_, max_page_bytes=1 << 20).emit for _ in range(2))
     t2 = time.perf_counter()
-    assert (t2 - t1) / 2 < (t1 - t0) + 10
+    assert (t2 - t1) / 2 < (t1 - t0) + 5
     assert (a == b).all()
-    assert len(leaf_blocks(long_.where("page_id = 99").first().html)) == 20_000
+    assert len(leaf_blocks(long_.where("page_id = 99").first().html)) == 30_000
 
 
 def test_the_sample_is_the_same_on_every_run(spark):
@@ -160,7 +160,7 @@ def test_accuracy_without_marks(spark):
     extra = sum(len(set(got[i].split("\n")) - set(t)) for i, t in truth.items())
     n = sum(len(set(t)) for t in truth.values())
     print(f"without marks: {kept} of {n} main blocks kept, {extra} others")
-    assert kept >= 0.9 * n and extra <= 0.1 * n
+    assert kept >= 0.98 * n and extra <= 0.02 * n
 
 
 def test_features_hidden_ancestors_differ():
