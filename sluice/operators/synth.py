@@ -65,8 +65,8 @@ def key_column(prefix: str, stamp: str, idx: Column, n: int, seed: int | str, sh
         return F.concat_ws("_", F.lit(prefix), F.lit(stamp), permuted(idx, n, f"{seed}|{prefix}").cast("string"))
     a, b = perm_multiplier(n), perm_offset(prefix, seed)
     # decimal arithmetic: a*i overflows 64 bits for tables beyond ~4e9 rows
-    permuted = ((idx.cast("decimal(38,0)") * F.lit(a) + F.lit(b)) % F.lit(n)).cast("long")
-    return F.concat_ws("_", F.lit(prefix), F.lit(stamp), permuted.cast("string"))
+    moved = ((idx.cast("decimal(38,0)") * F.lit(a) + F.lit(b)) % F.lit(n)).cast("long")
+    return F.concat_ws("_", F.lit(prefix), F.lit(stamp), moved.cast("string"))
 
 
 def value_column(name: str, dtype: DataType, idx: Column, seed: int | str, base_ts: str) -> Column:
