@@ -140,8 +140,8 @@ TYPED = {  # values of a column -> its type and what breaks the narrower one
     ("9" * 39, "1"): ("double", None), ("NaN", "1", "-Infinity"): ("double", "-Infinity"), ("true", "FALSE"): ("boolean", None),
     ("2020-01-02", "2020-1-3"): ("date", None), ("2020-01-02", "2020-01-03 04:05:06"): ("timestamp_ntz", "2020-01-03 04:05:06"),
     ("2020-01-02T03:04:05Z", "2020-01-02 03:04:05+01:00"): ("timestamp", None), ("2020-13-45", "2020-01-01"): ("string", "2020-13-45"),
-    ("1", "2", "x"): ("string", "x"), ("true", "1"): ("string", "true"), (None, None): ("null", None), ("", "1"): ("string", ""),
-    ("1d", "2"): ("string", "1d"), ("line\nbreak", "b"): ("string", None), ("2020-01-01", "7"): ("string", "2020-01-01"),
+    ("1", "2", "x"): ("string", "x"), ("true", "1"): ("string", "1"), (None, None): ("null", None), ("", "1"): ("string", ""),
+    ("1d", "2"): ("string", "1d"), ("line\nbreak", "b"): ("string", None), ("2020-01-01", "7"): ("string", "7"),
 }
 
 
