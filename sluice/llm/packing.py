@@ -18,9 +18,9 @@ Plan: an item's demand follows from its length, so the driver sees the histogram
 `each` to a sequence, to consecutive sequences at an offset. A class is made only by a step that
 opens sequences or ends a length, and a sequence of n tokens holds under sqrt(2 n) different
 lengths, so there are at most 3 * (capacity + 1) * sqrt(2 * capacity) segments of 48 bytes (53 MB
-for 4096; 10 MB with the rest of the plan measured for 278,000 pieces), which are broadcast. The rank of an item among those of its length is its
-rank inside the task that wrote it plus the counts of the tasks before; no length is collected into
-one task.
+for 4096; 10 MB with the rest of the plan measured for 278,000 pieces), which are broadcast. The
+rank of an item among those of its length is its rank inside the task that wrote it plus the
+counts of the tasks before; no length is collected into one task.
 
 Defined cases: null text is empty, so its piece is the end id alone. A null length counts as 0, and
 such an item takes a document's place only. An item beyond a capacity by itself fails the job.
