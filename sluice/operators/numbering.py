@@ -17,8 +17,11 @@ over the cluster:
    files instead of re-running the sort. `sluice.session.release` (or a `scratch_scope`)
    deletes it when the result has been used.
 3. Count rows per partition (reads one column). If one partition holds many times its share, a
-   value of the key is a heavy hitter: steps 1 and 2 are done again with the whole total order
-   as key and, behind it, the index of the input partition, so a row repeated in a third of all
+   value of the key is a heavy hitter: steps 1 and 2 are done again with a longer key. The
+   longest value of each string column is read off the written table; strings that were never
+   cut order what is behind them, so the key goes on to the first column that would be cut. If
+   a partition is heavy still (or nothing was cut), the key is the whole total order and,
+   behind it, the index of the input partition, so a row repeated in a third of all
    rows is split into pieces of at most one input partition each. (Identical rows are
    interchangeable; the index is stable under recomputation.) The sample of this wide key is
    bounded by the measured row width, too.
@@ -67,8 +70,9 @@ def _wide(t: DataType) -> bool:
     return isinstance(t, (StringType, BinaryType, ArrayType, StructType))
 
 
-def _narrow_key(df: DataFrame, order: Sequence[OrderItem]) -> tuple[list[Column], bool]:
-    """(range key, whether it may hold wide values): a leading part of the total order."""
+def _narrow_key(df: DataFrame, order: Sequence[OrderItem], short: Sequence[str] = ()) -> tuple[list[Column], bool]:
+    """(range key, whether it may hold wide values): a leading part of the total order. short: string
+    columns without a value that would be cut."""
     types = {f.name.lower(): f.dataType for f in df.schema.fields}
     keys, unknown = [], False
     for i, item in enumerate(total_items(df, order)):
@@ -76,7 +80,7 @@ def _narrow_key(df: DataFrame, order: Sequence[OrderItem]) -> tuple[list[Column]
         if t is None:  # an expression or a nested field: as it is
             keys += as_sort_columns([item])
             unknown = True
-        elif not _wide(t):
+        elif not _wide(t) or n.lower() in short:
             keys.append(directed(item, _q(n)))
         elif isinstance(t, StringType):
             return [*keys, directed(item, F.substring(_q(n), 1, KEY_CHARS))], unknown
@@ -87,6 +91,15 @@ def _narrow_key(df: DataFrame, order: Sequence[OrderItem]) -> tuple[list[Column]
     return keys, unknown
 
 
+def _short_strings(df: DataFrame) -> list[str]:
+    """The string columns (lower-cased names) whose values all have KEY_CHARS characters at most (one aggregate)."""
+    names = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
+    if not names:
+        return []
+    longest = df.agg(*[F.max(F.char_length(_q(n))) for n in names]).first()
+    return [n.lower() for n, most in zip(names, longest) if (most or 0) <= KEY_CHARS]
+
+
 def _row_bytes(df: DataFrame) -> float:
     """Mean bytes of a row's wide columns (one aggregate)."""
     wide = [F.coalesce(F.octet_length(c if isinstance(t, (StringType, BinaryType)) else F.to_json(c)), F.lit(0))
@@ -130,6 +143,12 @@ def _write_stamped(df: DataFrame, cols: list[str], range_keys, sort_cols, num_pa
     return spark.read.schema(stamped.schema).parquet(path), path
 
 
+def _heavy(table: DataFrame, parts: int) -> bool:
+    """Whether one range partition holds many times its share of the rows."""
+    most, total = table.groupBy(_P).count().agg(F.max("count"), F.sum("count")).first()
+    return bool(total) and most > max(HEAVY_ROWS, HEAVY * total / parts)
+
+
 def _materialise(df: DataFrame, order: Sequence[OrderItem], num_partitions: int | None, unique_order: bool) -> DataFrame:
     spark, cols, sort_cols = df.sparkSession, df.columns, total_order(df, order)
     parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -138,12 +157,17 @@ def _materialise(df: DataFrame, order: Sequence[OrderItem], num_partitions: int
     key_bytes = width or KEY_CHARS + 8.0 * len(keys)
     with _sample_bound(spark, key_bytes, parts):
         table, path = _write_stamped(df, cols, keys, sort_cols, num_partitions)
-    if unique_order:
-        return table
-    most, total, n = table.groupBy(_P).count().agg(F.max("count"), F.sum("count"), F.count(F.lit(1))).first()
-    if not total or most <= max(HEAVY_ROWS, HEAVY * total / parts):
+    if unique_order or not _heavy(table, parts):
         return table
+    short = _short_strings(table.select(*[_q(c) for c in cols]))
     release(spark, path)
+    longer, wide_too = _narrow_key(df, order, short)
+    if len(longer) > len(keys) and not wide_too:
+        with _sample_bound(spark, (KEY_CHARS + 8.0) * len(longer), parts):
+            table, path = _write_stamped(df, cols, longer, sort_cols, num_partitions)
+        if not _heavy(table, parts):
+            return table
+        release(spark, path)
     tagged = df.select(*[_q(c) for c in cols], F.spark_partition_id().alias(_K))
     full = sort_cols + [F.col(_K).asc()]
     with _sample_bound(spark, width or _row_bytes(df), parts):

@@ -52,6 +52,29 @@ def test_heavy_partition_is_split(spark, monkeypatch):
     assert _numbers(with_row_number(df, ["k"], num_partitions=12)) == _numbers(with_row_number(df, ["k"], method="window"))
 
 
+def test_heavy_key_goes_on_without_whole_texts(spark, monkeypatch):
+    """Behind a heavy value of a short string the key is longer, but never holds a whole text while that spreads the rows."""
+    import sluice.operators.numbering as m
+    monkeypatch.setattr(m, "HEAVY_ROWS", 100)
+    monkeypatch.setattr(m, "HEAVY", 2)
+    keys, write = [], m._write_stamped
+    monkeypatch.setattr(m, "_write_stamped", lambda df, cols, k, *a: keys.append([str(x) for x in k]) or write(df, cols, k, *a))
+    i = F.col("id")
+    df = spark.range(0, 4000, 1, 6).select(
+        F.when(i % 97 != 0, F.lit("en")).alias("lang"), F.when(i % 50 != 0, i % 3990).alias("doc_id"),
+        F.when(i % 31 != 0, F.concat(F.repeat(F.lit("é"), 70), F.md5((i % 400).cast("string")))).alias("text"))
+    df = df.union(df.limit(40))
+    table = m._materialise(df, ["lang"], 12, False)
+    assert len(keys) == 2 and len(keys[1]) == 3 and "substring(text" in keys[1][2]
+    assert table.groupBy(m._P).count().agg(F.max("count")).first()[0] < 1000
+    assert _numbers(with_row_number(df, ["lang"], num_partitions=12)) == _numbers(with_row_number(df, ["lang"], method="window"))
+    # rows that such a key does not spread: the whole order and the input partition
+    keys.clear()
+    same = df.select("lang", F.lit(1).alias("doc_id"), "text")
+    assert _numbers(with_row_number(same, ["lang"], num_partitions=12)) == _numbers(with_row_number(same, ["lang"], method="window"))
+    assert len(keys) == 3 and m._K in keys[2][-1]
+
+
 def test_expression_orders_name_no_column(spark):
     """What an expression orders by is not guessed: ties of it are broken by every column."""
     df = spark.range(40).select(F.col("id").alias("a"), (F.col("id") % 3).alias("my col")).repartition(5)
