@@ -13,7 +13,7 @@ that follows, up to the first row of the next INSERT.
 3. Every range is read again; runs of its groups, with their head in front, are records of whole
    statements, which the dump reader parses, classifies and checks like any others.
 
-A task holds one group and one Arrow batch. Text without `),(` is one group however long, so dumps
+A task holds one group, one Arrow batch (of bounded bytes) and a step of it several times over. Text without `),(` is one group however long, so dumps
 of one row for each INSERT are for the reader by lines.
 """
 
@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .ranges import Grammar, Ranges, _runs, _strings, _walk
+from .ranges import BATCH_BYTES, Grammar, Ranges, _runs, _strings, _walk
 
 #: Characters of rows that are joined to one record.
 RECORD_CHARS = 1 << 16
@@ -247,7 +247,7 @@ def _records(whole: bool):
                     rows.append(rest)
                     flush("")
                 flush()
-            if len(out) > 100:
+            if sum(map(len, out)) > BATCH_BYTES:
                 yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], names=["value"])
                 out = []
         if out:

@@ -33,6 +33,10 @@ from ..session import scratch_path, ship_package
 
 #: Ranges whose start states are broadcast (24 bytes each).
 BROADCAST_RANGES = 500_000
+#: Bytes of pieces that a task lexes and cuts at a time, and bytes of its Arrow batches, in and out (unless one
+#: piece or record is longer).
+STEP_BYTES, BATCH_BYTES = 1 << 20, 4 << 20
+_BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
 _START = "file long, block long, state int, depth long, flag int, last boolean"
 _COMPLETE, _HEAD, _MIDDLE, _TAIL = range(4)
 
@@ -137,13 +141,20 @@ class JsonObjects(Grammar):
 # --- ranges -------------------------------------------------------------------------------
 
 def _runs(batch: pa.RecordBatch) -> Iterator[tuple[tuple[int, int], int, int]]:
-    """((file, block), from, to) of the rows of one range."""
+    """((file, block), from, to) of the rows of one range, at most STEP_BYTES of text (or one row) at a time: what is
+    lexed and cut is held several times over."""
     if not batch.num_rows:
         return
     file, block = batch.column("file").to_numpy(), batch.column("block").to_numpy()
     edge = np.flatnonzero((file[1:] != file[:-1]) | (block[1:] != block[:-1])) + 1
+    upto = np.cumsum(pc.fill_null(pc.binary_length(batch.column("value")), 0).to_numpy(), dtype=np.int64)
     for a, b in zip([0, *edge.tolist()], [*edge.tolist(), batch.num_rows]):
-        yield (int(file[a]), int(block[a])), a, b
+        key = (int(file[a]), int(block[a]))
+        while a < b:
+            before = int(upto[a - 1]) if a else 0
+            to = min(b, max(a + 1, int(np.searchsorted(upto, before + STEP_BYTES, "right"))))
+            yield key, a, to
+            a = to
 
 
 def _strings(batch: pa.RecordBatch, a: int, b: int) -> pa.Array:
@@ -303,7 +314,7 @@ def _cut(grammar: Grammar, whole: bool, header: Callable[[str], bool] | None, fi
                         put(_COMPLETE, grammar.record(text, flag))
                     complete = True
                 parts += values[from_:]
-                if len(texts) > 2000:
+                if len(texts) > 2000 or sum(map(len, texts)) > BATCH_BYTES:
                     yield out()
         close()
         if texts:
@@ -350,6 +361,8 @@ class Ranges:
 
     def __init__(self, spark: SparkSession, path: str | list[str], grammar: Grammar):
         ship_package(spark)
+        if spark.conf.get(_BATCH_CONF, None) is None:
+            spark.conf.set(_BATCH_CONF, str(BATCH_BYTES))
         self.grammar = grammar
         text = spark.read.option("lineSep", grammar.separator).text(path)
         self.pieces = text.select(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value")

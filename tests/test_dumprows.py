@@ -111,3 +111,48 @@ def test_states_of_pieces():
     assert lex("'a', 'b", 0) == 1 and lex("b' -- x", 1) == 4 and lex("x\n'", 4) == 1 and lex("it\\'s", 1) == 1
     assert open_head("5,'z');\n-- c\nINSERT INTO `t` (a,b) VALUES (1", "h") == "INSERT INTO `t` (a,b) VALUES "
     assert open_head("5,';INSERT INTO t VALUES (1'", "h") == "h" and open_head("5);\nUNLOCK TABLES;\n", "h") == ""
+
+
+def test_steps_of_bounded_bytes(monkeypatch):
+    """What is lexed and cut at a time is bounded in bytes, however many rows an Arrow batch has, and so are the batches
+    of records; the records hold the same rows."""
+    import pyarrow as pa
+    from sluice.sources import dumprows
+    text = insert([(i, "x" * 90 + ");'é" * (i % 3)) for i in range(3000)])
+    pieces = text.split("),(")
+    batch = pa.RecordBatch.from_arrays([pa.array([1] * len(pieces)), pa.array([0] * len(pieces)), pa.array(pieces)], names=["file", "block", "value"])
+
+    def rows():
+        batches = list(dumprows._records(True)(iter([batch, batch.slice(0, 0)])))
+        head = "INSERT INTO `t` VALUES ("
+        records = [r for b in batches for r in b.column("value").to_pylist()]
+        assert all(r.startswith(head) and r.endswith(");") for r in records)
+        return "),(".join(r[len(head):-2] for r in records), max(b.nbytes for b in batches)
+    whole, _ = rows()
+    assert whole == text[len("INSERT INTO `t` VALUES ("):-2]
+    monkeypatch.setattr(ranges, "STEP_BYTES", 4000)
+    monkeypatch.setattr(dumprows, "BATCH_BYTES", 50_000)
+    monkeypatch.setattr(dumprows, "RECORD_CHARS", 2000)
+    parts = list(ranges._runs(batch))
+    assert [a for _, a, _ in parts] == [0] + [b for _, _, b in parts][:-1] and parts[-1][2] == len(pieces)
+    assert max(sum(len(p.encode()) for p in pieces[a:b]) for _, a, b in parts) <= 4000
+    again, largest = rows()
+    assert again == whole and largest < 70_000
+
+
+def test_arrow_batches_of_bounded_bytes(spark):
+    conf = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.unset(conf)
+    try:
+        docs = spark.range(0, 3000, 1, 1).select("id", F.repeat(F.md5(F.col("id").cast("string")), 100).alias("s"))
+        out = tempfile.mkdtemp() + "/d"
+        write_sql_dump(docs, out, "t", rows_per_statement=1_000_000)
+
+        def seen(batches):
+            import pyarrow as pa
+            for b in batches:
+                yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], names=["n"])
+        pieces = ranges.Ranges(spark, out, DumpRows()).pieces
+        assert max(r.n for r in pieces.mapInArrow(seen, "n long").collect()) < 1.3 * ranges.BATCH_BYTES
+    finally:
+        spark.conf.unset(conf)
