@@ -15,6 +15,8 @@ Fitting uses at most `max_positive` confirmed toxic rows and `max_unlabelled` ot
 drawn evenly by a hash of the row from all training rows (bounds of the sample are these two
 parameters); negative verdicts are not used for the fit, only the share of toxic rows among
 all labelled training rows as class prior. Scoring covers every row and the whole text.
+The sample's words are counted by Spark; the driver gets the counts of words in a hundredth of the
+positive rows or more, chooses, and gets of each sample row the chosen words.
 
 Defined cases: null text scores as the empty text. Several labels of one document: the
 largest counts; null labels are none. Without confirmed toxic training rows every score is 0.
@@ -28,9 +30,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, blocks, held_out, mix, pick, q, ship, table_bytes, utf8, word_table, worker_state
+from .common import Words, blocks, done, held_out, mix, pick, q, ship, stage, table_bytes, utf8, word_table, worker_state
 
 BITS = 20
+_SAMPLE = "positive boolean, words array<int>"
 _TABLE = word_table(punctuation=True)
 
 
@@ -107,12 +110,33 @@ class PuRisk:
         return float(value), float(negative), g
 
 
-def fit(pos: list[np.ndarray], unl: list[np.ndarray], prior: float, *, steps: int = 400, rate: float = 0.1,
-        l2: float = 1e-4, z_least: float = 5.0, max_features: int = 4096,
-        precision: float = 0.75) -> Model:
-    """Train on lists of distinct hashed words. Words that do not tell positives from unlabelled rows
+def choose(words: np.ndarray, count: tuple[np.ndarray, np.ndarray], n_pos: int, n_unl: int, prior: float, *,
+           z_least: float = 5.0, max_features: int = 4096, precision: float = 0.75) -> np.ndarray:
+    """The hashed words to train on, ascending, from the positive and the unlabelled rows that hold each word; words in
+    fewer than `least_rows` positives may be missing. Words that do not tell positives from unlabelled rows
     (|z| < z_least), occur in few positives (copies of one text would do) or whose unlabelled rows are,
-    by the class prior, not `precision` positive have weight 0.
+    by the class prior, not `precision` positive are left out."""
+    z = np.abs(_contrast(count[0], count[1], n_pos, n_unl))
+    z[count[0] < least_rows(n_pos)] = 0
+    # rows with the word that are positive by the prior, against all rows with it (less one deviation)
+    z[prior * count[0] / n_pos < precision * (count[1] - np.sqrt(count[1])) / n_unl] = 0
+    rank = np.lexsort((words, -z))[:max_features]
+    used = np.sort(words[rank[z[rank] >= z_least]])
+    if not len(used):
+        every = np.zeros(1 << BITS)
+        every[words] = z
+        used = np.sort(np.argsort(-every, kind="stable")[:max_features][:64])
+    return used
+
+
+def least_rows(n_pos: int) -> float:
+    """Positive rows that a word must occur in."""
+    return max(3, 0.01 * n_pos)
+
+
+def fit(pos: list[np.ndarray], unl: list[np.ndarray], prior: float, used: np.ndarray, *, steps: int = 400,
+        rate: float = 0.1, l2: float = 1e-4) -> Model:
+    """Train on lists of distinct hashed words, all of them among `used` (ascending); other words have weight 0.
 
     Last, the decision is put into the widest gap of the unlabelled scores whose rank is within
     half of the class prior, if there is a gap to speak of: estimates of a risk that is a difference
@@ -120,19 +144,7 @@ def fit(pos: list[np.ndarray], unl: list[np.ndarray], prior: float, *, steps: in
     size = 1 << BITS
     if not pos or not unl:
         return Model(np.zeros(size), -60.0)
-    count = [np.bincount(np.concatenate(x), minlength=size) if sum(map(len, x)) else np.zeros(size) for x in (pos, unl)]
-    z = np.abs(_contrast(count[0], count[1], len(pos), len(unl)))
-    z[count[0] < max(3, 0.01 * len(pos))] = 0
-    # rows with the word that are positive by the prior, against all rows with it (less one deviation)
-    z[prior * count[0] / len(pos) < precision * (count[1] - np.sqrt(count[1])) / len(unl)] = 0
-    rank = np.argsort(-z, kind="stable")[:max_features]
-    used = np.sort(rank[z[rank] >= z_least])
-    if not len(used):
-        used = np.sort(rank[:64])
-    place = np.full(size, -1)
-    place[used] = np.arange(len(used))
-
-    risk = PuRisk([place[r][place[r] >= 0] for r in pos], [place[r][place[r] >= 0] for r in unl], prior, len(used), l2)
+    risk = PuRisk([np.searchsorted(used, r) for r in pos], [np.searchsorted(used, r) for r in unl], prior, len(used), l2)
     theta, m, v = np.zeros(len(used) + 1), np.zeros(len(used) + 1), np.zeros(len(used) + 1)
     theta[-1] = np.log(prior / (1 - prior))
     for t in range(1, steps + 1):
@@ -163,6 +175,24 @@ def _distinct_words(batches):
                 names=["positive", "words"])
 
 
+def _only(used: np.ndarray):
+    """Of each row's words those among `used`."""
+    def run(batches):
+        worker_state("toxicity")
+        known = np.zeros(1 << BITS, bool)
+        known[used] = True
+        for batch in batches:
+            words = batch.column("words")
+            flat = words.flatten().to_numpy()
+            keep = known[flat]
+            kept = np.concatenate([[0], np.cumsum(keep)])
+            ends = np.concatenate([[0], np.cumsum(words.value_lengths().to_numpy())]).astype(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("positive"), pa.ListArray.from_arrays(pa.array(kept[ends], pa.int32()), pa.array(flat[keep], pa.int32()))],
+                names=["positive", "words"])
+    return run
+
+
 def train(docs: DataFrame, labels: DataFrame, *, max_positive: int = 2500, max_unlabelled: int = 10000,
           id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
     """Fit from the training rows (those that `held_out` does not set aside)."""
@@ -172,7 +202,7 @@ def train(docs: DataFrame, labels: DataFrame, *, max_positive: int = 2500, max_u
     n, n_pos = known.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.col("y")), F.lit(0))).first()
     n_docs = texts.count()
     if not n_pos or not n_docs:
-        return fit([], [], 0.5)
+        return fit([], [], 0.5, np.zeros(0, np.int64))
     prior = min(max(n_pos / n, 1e-4), 1 - 1e-4)
     even = F.pmod(F.xxhash64("id", F.lit("fit")), F.lit(1 << 30)) / float(1 << 30)
     # ids of the positives: at most about max_positive rows, so a broadcast of known size
@@ -180,16 +210,28 @@ def train(docs: DataFrame, labels: DataFrame, *, max_positive: int = 2500, max_u
     rows = texts.join(F.broadcast(chosen), "id", "left").withColumn("positive", F.coalesce("positive", F.lit(False)))
     other = F.pmod(F.xxhash64("id", F.lit("unlabelled")), F.lit(1 << 30)) / float(1 << 30) < max_unlabelled / n_docs
     # a positive may also be drawn as an unlabelled row, as the method wants
-    sample = (rows.where(F.col("positive") | other)
-              .withColumn("positive", F.explode(F.filter(F.array(F.when(F.col("positive"), True), F.when(other, False)),
-                                                         lambda x: x.isNotNull())))
-              .select("positive", "text").mapInArrow(_distinct_words, "positive boolean, words array<int>")
-              .limit(2 * (max_positive + max_unlabelled)).toArrow())
-    flag = sample.column("positive").to_numpy()
-    words = sample.column("words").combine_chunks()
+    sample = stage(rows.where(F.col("positive") | other)
+                   .withColumn("positive", F.explode(F.filter(F.array(F.when(F.col("positive"), True), F.when(other, False)),
+                                                              lambda x: x.isNotNull())))
+                   .select("positive", "text").mapInArrow(_distinct_words, _SAMPLE)
+                   .limit(2 * (max_positive + max_unlabelled)), "sample")
+    # the words are counted where they are: the driver gets those frequent in positives, then the rows' chosen ones
+    one = F.col("positive").cast("long")
+    pos, unl = sample.agg(F.coalesce(F.sum(one), F.lit(0)), F.coalesce(F.sum(1 - one), F.lit(0))).first()
+    used = np.zeros(0, np.int64)
+    if pos and unl:
+        counts = (sample.select(one.alias("one"), F.explode("words").alias("word")).groupBy("word")
+                  .agg(F.sum("one").alias("pos"), F.sum(1 - F.col("one")).alias("unl"))
+                  .where(F.col("pos") >= least_rows(pos)).toArrow())
+        word, *count = (counts.column(c).to_numpy() for c in ("word", "pos", "unl"))
+        used = choose(word.astype(np.int64), count, pos, unl, prior)
+    got = sample.mapInArrow(_only(used), _SAMPLE).toArrow()
+    done(docs.sparkSession, sample)
+    flag = got.column("positive").to_numpy()
+    words = got.column("words").combine_chunks()
     off, flat = words.offsets.to_numpy(), words.values.to_numpy()
     lists = [flat[off[i]:off[i + 1]] for i in range(len(words))]
-    return fit([x for x, y in zip(lists, flag) if y], [x for x, y in zip(lists, flag) if not y], prior)
+    return fit([x for x, y in zip(lists, flag) if y], [x for x, y in zip(lists, flag) if not y], prior, used)
 
 
 def add_scores(df: DataFrame, model: Model, text_col: str = "text", score: str = "score") -> DataFrame:

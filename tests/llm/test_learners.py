@@ -150,3 +150,41 @@ def test_bins_of_a_batch_are_those_of_each_text():
     for i, t in enumerate(texts):
         assert sorted(plain_bins(t)) == sorted(int(b) for bs, ds in zip(bins, docs) for b in bs[ds == i])
         assert has[i] == any(x.isalpha() for x in t)
+
+
+def test_toxicity_sends_the_driver_chosen_words_only(spark, monkeypatch):
+    """The driver gets word counts and the sample's chosen words, not the words of whole texts."""
+    from pyspark.sql import functions as F
+    from pyspark.sql.classic.dataframe import DataFrame
+    from sluice.llm import toxicity as m
+    sizes, to_arrow, i = [], DataFrame.toArrow, F.col("doc_id")
+    monkeypatch.setattr(DataFrame, "toArrow", lambda df: sizes.append((t := to_arrow(df)).nbytes) or t)
+    words = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(400)), lambda x: F.md5(F.concat_ws(":", i, x))), " ")
+    docs = spark.range(600).select(F.col("id").alias("doc_id")).select(
+        "doc_id", F.concat(words, F.when(i % 6 == 0, F.lit(" dreadfulword")).otherwise(F.lit(" calmword"))).alias("text"))
+    labels = docs.where(i % 2 == 0).select("doc_id", (i % 6 == 0).cast("int").alias("toxic"))
+    model = m.train(docs, labels)
+    assert sum(sizes) < 200_000  # about 2 MB of words
+    got = m.add_scores(docs, model).select("doc_id", "score").collect()
+    toxic, other = ([r.score for r in got if (r.doc_id % 6 == 0) == bad] for bad in (True, False))
+    assert np.median(toxic) > np.median(other)
+
+
+def test_toxicity_choice_equals_that_over_all_words():
+    """Choosing from the words frequent in positives gives what the whole table of counts gives, ties and fall-back included."""
+    from sluice.llm import toxicity as m
+    rng = np.random.default_rng(3)
+    for n_pos, n_unl, top in ((400, 3000, 200), (40, 100, 6), (4, 50, 3)):
+        size = 1 << m.BITS
+        a, b = np.zeros(size, np.int64), np.zeros(size, np.int64)
+        at = rng.choice(size, 3000, replace=False)
+        a[at], b[at] = rng.integers(0, top, 3000), rng.integers(0, 40, 3000)
+        z = np.abs(m._contrast(a, b, n_pos, n_unl))
+        z[a < max(3, 0.01 * n_pos)] = 0
+        z[0.1 * a / n_pos < 0.75 * (b - np.sqrt(b)) / n_unl] = 0
+        rank = np.argsort(-z, kind="stable")[:100]
+        want = np.sort(rank[z[rank] >= 5.0])
+        want = want if len(want) else np.sort(rank[:64])
+        few = np.flatnonzero(a >= m.least_rows(n_pos))
+        few = rng.permutation(few)
+        assert m.choose(few, (a[few], b[few]), n_pos, n_unl, 0.1, max_features=100).tolist() == want.tolist()
