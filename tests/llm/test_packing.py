@@ -1,6 +1,7 @@
 """Packing: ids against the tokenizers library, placement against item-by-item best-fit, capacities, defined cases."""
 
 import random
+import sys
 import zlib
 from array import array
 from collections import defaultdict
@@ -47,6 +48,21 @@ def test_ids_of_sliced_texts_and_full_caches(library, monkeypatch):
         assert array("I", small(text)).tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_plain_and_odd_texts_share_one_cache_limit(library, monkeypatch):
+    assert packing.CACHE_BYTES <= 96 << 20  # for each worker, beside its executor's heap
+    monkeypatch.setattr(packing, "CACHE_BYTES", 400_000)
+    rng, most = random.Random(6), 0
+    small = TokenIds(tokenizer_file("word_bpe_49k.json"))
+    for k in range(400):
+        text = " ".join("".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(20))
+        text = text if k % 2 else f"語 {text}"  # the character that sends a text past the fast splitter
+        assert array("I", small(text)).tolist() == library.encode(text, add_special_tokens=False).ids
+        held = [d for c in (small.words, small.pieces) for d in (c, c.old)]
+        most = max(most, sum(sys.getsizeof(x) + sys.getsizeof(y) for d in held for x, y in d.items()))
+    assert small.words and small.pieces.old
+    assert 100_000 < most <= 400_000
+
+
 def test_another_tokenizer_is_read_by_the_library_alone():
     from tokenizers import Tokenizer
     data = tokenizer_file("byte_bpe_50k.json")
@@ -143,6 +159,16 @@ def test_defined_cases(spark, library):
         pack(spark.createDataFrame([(70,)], "length int"), capacity=Capacity(64))
 
 
+def test_only_the_items_are_written(spark, monkeypatch):
+    kinds = []
+    monkeypatch.setattr(packing, "stage", lambda df, kind, make=packing.stage: kinds.append(kind) or make(df, kind))
+    items = spark.range(300).selectExpr("id", "id % 7 AS length").repartition(4)
+    rows = pack(items, capacity=Capacity(12)).collect()
+    assert kinds == ["pack-items"]
+    assert sorted(r.id for r in rows) == list(range(300))
+    assert len({(r.sequence_id, r.offset) for r in rows if r.length}) == sum(1 for r in rows if r.length)
+
+
 def test_query(spark, library):
     sf = "/root/testdata/sf0.001"
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
