@@ -23,6 +23,14 @@ of its length is its rank inside the task that wrote it plus the counts of the t
 length is collected into one task. The counts have up to (capacity + 1) rows a task and grow with
 the input, so they are joined by shuffle unless Spark has measured that they are small.
 
+Tokens: the known vocabulary's splitting pattern looks at no more than a run without white space, and some
+places in such a run are boundaries whatever stands around them. Whole texts are cut there as byte
+arrays, a block of texts at a time. The different parts of a block that are words of Latin-1 letters,
+digits or ASCII marks are merged together (`Merges`), the other ones go through the library each, and
+the ids of all parts are gathered by numpy, so the cost of a word does not hang on a cache that holds
+it. Texts with special tokens go through the library's order of steps one by one, as do all texts
+under another tokenizer.
+
 Defined cases: null text is empty, so its piece is the end id alone. A null length counts as 0, and
 such an item takes a document's place only. An item beyond a capacity by itself fails the job.
 Repeated rows are packed each; extra columns of items go through whatever their names; those of
@@ -36,6 +44,7 @@ import re
 import sys
 import zlib
 from array import array
+from collections.abc import Iterator
 from dataclasses import astuple, dataclass
 
 import numpy as np
@@ -44,14 +53,19 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import done, pick, q, stage, table_bytes, worker_state
+from .common import blocks, done, pick, q, stage, table_bytes, utf8, worker_state
 
 #: Bytes of pre-tokens and their ids that a worker keeps, in all its caches (two generations of half of
-#: it each). An executor has a worker for each core, beside its heap. Over 60 million characters the
-#: tokenizer was asked 517,000 times with 160 MB, 538,000 with 96 MB, 723,000 with 48, 1,695,000 with 12.
+#: it each). An executor has a worker for each core, beside its heap. Over 60 million characters, text by
+#: text, the tokenizer was asked 517,000 times with 160 MB, 538,000 with 96 MB, 723,000 with 48, 1,695,000 with 12.
 CACHE_BYTES = 96 << 20
 #: Code points of a text that are split at a time; cuts are made at white space.
 SLICE_CHARS = 1 << 20
+#: Bytes of whole texts that are cut into parts together; a longer text is taken by slices.
+#: Over 173 MB of texts in blocks of 1 MB 7.8 million parts are looked up, 5.1 million in blocks of 4 MB.
+TEXT_BYTES = 4 << 20
+#: Bytes of the longest words whose ids are made together, and how many words at a time.
+WORD_BYTES, WORD_ROWS = 64, 16384
 #: Bytes of ids in an output batch, unless one document has more.
 BATCH_BYTES = 4 << 20
 
@@ -61,6 +75,8 @@ WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _FAST = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ƿ]+|[0-9²³¹¼-¾]|[^\\s0-9a-zªµºß-öø-ƿ²³¹¼-¾]+")
 _ODD = re.compile("[^\x00-\x1b\x20-\xffĀ-įĲ-ſ–—‘’“”…€]")
 _SPACE = re.compile(r"[ \t\n]")
+# where a slice of bytes may end: at white space, or at some of the boundaries of `_boundaries`
+_SLICE_END = re.compile(rb"[ \t\n]|[0-9](?=[!-~])|[A-Za-z](?=[!-@\[-`{-~])")
 
 
 def _byte_letters() -> list[str]:
@@ -71,14 +87,131 @@ def _byte_letters() -> list[str]:
     return [chr(b if b in seen else next(rest)) for b in range(256)]
 
 
+_OTHER, _SPACES, _LETTER, _DIGIT, _MARK, _QUOTE = range(6)
+
+
+def _boundaries() -> tuple[np.ndarray, np.ndarray]:
+    """Kind of each byte, and whether a part begins between two kinds (8 * the first + the second).
+
+    White space is left out. Elsewhere a part begins only where the pattern ends a match whatever stands
+    around: an apostrophe may go on into the letters behind it, and beside bytes that are neither visible
+    ASCII characters nor Latin-1 letters (see `_kinds`) nothing is certain."""
+    kind = np.full(256, _OTHER, np.uint8)
+    for c in range(128):
+        if chr(c) in " \t\n\v\f\r":
+            kind[c] = _SPACES
+        elif 32 < c < 127:
+            kind[c] = _LETTER if chr(c).isalpha() else _DIGIT if chr(c).isdigit() else _QUOTE if c == 39 else _MARK
+    begins = np.zeros(64, bool)
+    begins[[8 * _SPACES + b for b in (_OTHER, _LETTER, _DIGIT, _MARK, _QUOTE)]] = True
+    for a, after in ((_LETTER, (_DIGIT, _MARK, _QUOTE)), (_DIGIT, (_LETTER, _DIGIT, _MARK, _QUOTE)),
+                     (_MARK, (_LETTER, _DIGIT)), (_QUOTE, (_DIGIT,))):
+        begins[[8 * a + b for b in after]] = True
+    return kind, begins
+
+
+_KIND, _BEGINS = _boundaries()
+_LOWER = np.array([c + 32 if 65 <= c <= 90 else c for c in range(256)], np.uint8)
+
+
+def _kinds(text: np.ndarray) -> np.ndarray:
+    """Kind of each byte of whole UTF-8 texts. C3 leads U+00C0 to U+00FF: letters but for U+00D7 and U+00F7."""
+    kind = _KIND[text]
+    lead = np.flatnonzero(text == 0xC3)
+    second = text[lead + 1]
+    lead = lead[(second != 0x97) & (second != 0xB7)]
+    kind[lead] = kind[lead + 1] = _LETTER
+    return kind
+
+
+class Merges:
+    """Byte-level BPE of many words at once: in each round every unfinished word merges its pair of lowest
+    rank (ties: the leftmost), as the library does with one word. Raises KeyError if a byte has no token."""
+
+    NONE = np.int32(2**31 - 1)
+
+    def __init__(self, model: dict, letters: list[str]):
+        vocab, end = model["vocab"], model["end_of_word_suffix"]
+        self.inner = np.array([vocab[c] for c in letters], np.int32)
+        self.last = np.array([vocab[c + end] for c in letters], np.int32)
+        pairs = [p.split(" ") if isinstance(p, str) else p for p in model["merges"]]
+        self.made = np.array([vocab[a + b] for a, b in pairs], np.int32)
+        ranks = {vocab[a] << 32 | vocab[b]: i for i, (a, b) in enumerate(pairs)}
+        # open addressing: a pair is at its slot or behind it, before the first empty one
+        bits = max(4, (4 * len(ranks)).bit_length())
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys, self.ranks = np.full(1 << bits, -1, np.int64), np.full(1 << bits, self.NONE, np.int32)
+        key, rank = np.array([*ranks], np.int64), np.array([*ranks.values()], np.int32)
+        slot = self._slot(key)
+        while len(key):
+            free = self.keys[slot] == -1
+            self.keys[slot[free]] = key[free]
+            here = self.keys[slot] == key
+            self.ranks[slot[here]] = rank[here]
+            key, rank, slot = key[~here], rank[~here], (slot[~here] + 1) & self.mask
+
+    def _slot(self, key: np.ndarray) -> np.ndarray:
+        return ((key.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Rank of each pair of ids; NONE if it is not merged (-1 stands for no id)."""
+        key = a.astype(np.int64) << 32 | b
+        slot = self._slot(key)
+        found, out = self.keys[slot], self.ranks[slot]
+        wrong = np.flatnonzero(found != key)
+        out[wrong] = self.NONE
+        wrong = wrong[found[wrong] != -1]
+        while len(wrong):
+            slot[wrong] = (slot[wrong] + 1) & self.mask
+            found = self.keys[slot[wrong]]
+            here = found == key[wrong]
+            out[wrong[here]] = self.ranks[slot[wrong[here]]]
+            wrong = wrong[~here & (found != -1)]
+        return out
+
+    def __call__(self, words: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """Ids of the words in the rows of a byte matrix (two columns at least), -1 behind them."""
+        n, width = words.shape
+        col, row = np.arange(width, dtype=np.int8), np.arange(n)
+        ids = self.inner[words]
+        ids[row, length - 1] = self.last[words[row, length - 1]]
+        ids[col >= length[:, None]] = -1
+        rank = self.rank(ids[:, :-1].ravel(), ids[:, 1:].ravel()).reshape(n, width - 1)
+        out = ids.copy()
+        while True:
+            at = rank.argmin(1)
+            best = rank[np.arange(len(at)), at]
+            go = best < self.NONE
+            if not go.all():
+                out[row[~go]] = ids[~go]
+                row, ids, rank, at, best = row[go], ids[go], rank[go], at[go], best[go]
+            if not len(row):
+                return out
+            i = np.arange(len(row))
+            ids[i, at] = self.made[best]
+            behind = col[:-1] > at.astype(np.int8)[:, None]
+            ids[:, :-1] = np.where(behind, ids[:, 1:], ids[:, :-1])
+            ids[:, -1] = -1
+            rank[:, :-1] = np.where(behind[:, :-1], rank[:, 1:], rank[:, :-1])
+            rank[:, -1] = self.NONE
+            rank[i, at] = self.rank(ids[i, at], ids[i, at + 1])
+            i = np.flatnonzero(at)
+            rank[i, at[i] - 1] = self.rank(ids[i, at[i] - 1], ids[i, at[i]])
+
+
+class _Group(list):
+    """Caches that share one limit, and the bytes charged to them in this generation."""
+    size = 0
+
+
 class _Cache(dict):
     """Piece -> ids as little-endian bytes; what was not met for a generation is forgotten.
 
     The caches of a group share one limit and begin a generation together."""
 
-    def __init__(self, make, group: list):
+    def __init__(self, make, group: _Group):
         super().__init__()
-        self.make, self.old, self.size, self.group = make, {}, 0, group
+        self.make, self.old, self.group = make, {}, group
         group.append(self)
 
     def __missing__(self, piece: str) -> bytes:
@@ -87,13 +220,14 @@ class _Cache(dict):
             ids = self.make(piece)
             if len(piece) > 64:
                 return ids
-        if sum(c.size for c in self.group) > CACHE_BYTES // 2:
-            for c in self.group:
+        group = self.group
+        if group.size > CACHE_BYTES // 2:
+            for c in group:
                 c.old = {}
                 c.old = dict(c)
                 c.clear()
-                c.size = 0
-        self.size += 70 + sys.getsizeof(piece) + sys.getsizeof(ids)
+            group.size = 0
+        group.size += 70 + sys.getsizeof(piece) + sys.getsizeof(ids)
         self[piece] = ids
         return ids
 
@@ -115,14 +249,20 @@ class TokenIds:
         self.model, self.normalizer, self.splitter = library.model, library.normalizer, library.pre_tokenizer
         self.special = {t["content"]: self._bytes([t["id"]]) for t in added}
         self.find = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True)))) if added else None
+        self.find_bytes = re.compile(self.find.pattern.encode()) if added else None
         self.letters = _byte_letters()
-        caches: list[_Cache] = []
+        caches = _Group()
         self.pieces, self.words = _Cache(self._piece, caches), _Cache(self._word, caches)
+        self.parts = _Cache(self._part, caches)
         steps = (spec.get("pre_tokenizer") or {}).get("pretokenizers", ())
         forms = [n.get("type") for n in (spec.get("normalizer") or {}).get("normalizers", ())]
         self.fast = (forms == ["NFC", "Replace", "Lowercase"] and [s.get("type") for s in steps] == ["Split", "ByteLevel"]
                      and steps[0]["pattern"] == {"Regex": WORD_PATTERN} and steps[0]["invert"]
                      and not steps[1]["add_prefix_space"] and not steps[1]["use_regex"])
+        model, self.merges = spec["model"], None
+        plain = not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "byte_fallback", "ignore_merges"))
+        if self.fast and model["type"] == "BPE" and plain and model.get("end_of_word_suffix"):
+            self.merges = Merges(model, self.letters)
 
     @staticmethod
     def _bytes(ids) -> bytes:
@@ -132,7 +272,7 @@ class TokenIds:
         return out.tobytes()
 
     def _piece(self, piece: str) -> bytes:
-        return self._bytes(t.id for t in self.model.tokenize(piece))
+        return self._bytes([t.id for t in self.model.tokenize(piece)])
 
     def _word(self, word: str) -> bytes:
         if not word.isascii() or not word.isprintable():
@@ -148,6 +288,92 @@ class TokenIds:
             return self._piece(text) if text else b""
         return b"".join([self.pieces[p] for p, _ in self.splitter.pre_tokenize_str(text)])
 
+    def _part(self, part: str) -> bytes:
+        if _ODD.search(part):
+            return self._plain(part)
+        low = part.lower()
+        if low != part:
+            return self.parts[low]
+        return self._word(part) if part.isalpha() else b"".join(map(self.words.__getitem__, _FAST.findall(part)))
+
+    def texts(self, column: pa.Array) -> Iterator[bytes]:
+        """Ids of each text of a string column (null: empty), as a call for each gives them."""
+        if self.merges is None:
+            for text in column:
+                yield self(text.as_py() or "")
+            return
+        data, offsets = utf8(column)
+        for a, b in blocks(offsets, TEXT_BYTES):
+            text, at, alone = data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], {}
+            if self.find_bytes is not None and self.find_bytes.search(text):
+                alone = {i: text[x:y].tobytes().decode() for i, (x, y) in enumerate(zip(at.tolist(), at[1:].tolist()))
+                         if self.find_bytes.search(text, x, y)}
+                text = text.copy()
+                for i in alone:
+                    text[at[i]:at[i + 1]] = 32
+            if b == a + 1 and not alone:
+                yield b"".join([x for piece in self._byte_slices(text) for x in self._block(piece, np.array([0, len(piece)]))])
+                continue
+            for i, ids in enumerate(self._block(text, at)):
+                yield self(alone[i]) if i in alone else ids
+
+    @staticmethod
+    def _byte_slices(text: np.ndarray) -> Iterator[np.ndarray]:
+        a = 0
+        while a < len(text):
+            cut = _SLICE_END.search(text, a + TEXT_BYTES)
+            b = cut.end() if cut else len(text)
+            yield text[a:b]
+            a = b
+
+    def _block(self, text: np.ndarray, at: np.ndarray) -> Iterator[bytes]:
+        """Ids of the texts between the byte positions `at`."""
+        kind = _kinds(text)
+        pair = kind.copy()
+        pair[1:] |= kind[:-1] << 3
+        first = at[:-1][at[:-1] < at[1:]]
+        pair[first] = kind[first] | _SPACES << 3
+        begins, keep = _BEGINS[pair], kind != _SPACES
+        kept = text[keep]
+        bounds = np.append(np.flatnonzero(begins[keep]), len(kept)).astype(np.int32)
+        parts = pa.StringArray.from_buffers(len(bounds) - 1, pa.py_buffer(bounds), pa.py_buffer(kept)).dictionary_encode()
+        ids, start, size = self._part_ids(parts.dictionary)
+        which = parts.indices.to_numpy()
+        n = size[which]
+        end = np.append(0, np.cumsum(n))
+        every = ids[np.repeat(start[which] - end[:-1], n) + np.arange(end[-1])]
+        cuts = end[np.searchsorted(np.flatnonzero(begins), at)].tolist()
+        for lo, hi in zip(cuts, cuts[1:]):
+            yield every[lo:hi].tobytes()
+
+    def _part_ids(self, parts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of different parts, and where those of each begin and how many they are."""
+        data, offsets = utf8(parts)
+        length = np.diff(offsets)
+        start, size = np.zeros(len(parts), np.int64), np.zeros(len(parts), np.int64)
+        # words in the pattern's sense, whose bytes lower-case one by one: letters, a digit, or other visible characters
+        kinds = np.bitwise_or.reduceat(np.uint8(1) << _kinds(data), offsets[:-1]) if len(parts) else np.zeros(0, np.uint8)
+        word = (kinds == 1 << _LETTER) | (kinds == 1 << _DIGIT) | (kinds & ~np.uint8(1 << _MARK | 1 << _QUOTE) == 0)
+        low = _LOWER[data]
+        accent = np.flatnonzero(data == 0xC3) + 1
+        low[accent[data[accent] < 0x9F]] += 32
+        low = np.append(low, np.zeros(WORD_BYTES, np.uint8))
+        found, at, least = [], 0, 1
+        for width in (4, 6, 8, 10, 12, 16, 24, 32, WORD_BYTES):
+            fit = np.flatnonzero(word & (length >= least) & (length <= width))
+            for k in range(0, len(fit), WORD_ROWS):
+                these = fit[k:k + WORD_ROWS]
+                ids = self.merges(low[offsets[these][:, None] + np.arange(width)], length[these])
+                size[these], start[these] = (ids >= 0).sum(1), at + np.arange(len(these)) * width
+                found.append(ids.ravel())
+                at += ids.size
+            least = width + 1
+        rest = np.flatnonzero(~word | (length > WORD_BYTES))
+        own = [self.parts[p] for p in parts.take(pa.array(rest)).to_pylist()]
+        size[rest] = [len(x) // 4 for x in own]
+        start[rest] = at + np.cumsum(size[rest]) - size[rest]
+        return np.concatenate([*found, np.frombuffer(b"".join(own), "<u4").astype(np.int32)]).astype("<u4"), start, size
+
     def __call__(self, text: str) -> bytes:
         """Ids of a text as little-endian unsigned 32-bit integers."""
         if self.find is None or not self.find.search(text):
@@ -200,9 +426,8 @@ def token_pieces(docs: DataFrame, tokenizer: bytes, *, capacity: int = 4096, end
                 c.clear()
             return got
         for batch in batches:
-            for i in range(batch.num_rows):
-                all_ids = ids(batch.column("text")[i].as_py() or "") + end
-                doc = batch.column("id")[i].as_py()
+            for doc, own in zip(batch.column("id").to_pylist(), ids.texts(batch.column("text"))):
+                all_ids = own + end
                 for n, a in enumerate(range(0, max(len(all_ids), 1), step)):
                     part = all_ids[a:a + step]
                     size += len(part) + 40

@@ -7,6 +7,7 @@ from array import array
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -63,6 +64,70 @@ def test_plain_and_odd_texts_share_one_cache_limit(library, monkeypatch):
     assert 100_000 < most <= 400_000
 
 
+def in_column(ids, texts):
+    return [array("I", x).tolist() for x in ids.texts(pa.array(texts, pa.string()))]
+
+
+@pytest.mark.parametrize("size", [64, 4 << 20])
+def test_ids_of_a_column_equal_the_library(library, ids, monkeypatch, size):
+    monkeypatch.setattr(packing, "TEXT_BYTES", size)
+    monkeypatch.setattr(packing, "WORD_ROWS", 50)
+    rng = random.Random(8)
+    pools = [[chr(c) for c in range(0x180)] + list("’“”–—…€'s't \n\t日é😀\u0301\u0338\u0331") + ["<|endoftext|>"],
+             list("aehinostuÀÉßéñ÷×'' ,.1"), list("The cat's ÉTÉ, l'eau HÌ!'s (a1b2)\u0331"), list("ABab <>|=") + ["<|startoftext|>", "<|endof", "text|>"]]
+    texts = [None, *ODD, "<|endof", "text|> <|endoftext|>", "", "b" * 70 + " " + "é" * 40, "x" * 64, "É" * 32, "word " * 100, "<|endoftext|> " * 30]
+    texts += ["".join(rng.choice(p) for _ in range(rng.randint(0, 60))) for p in pools for _ in range(700)]
+    want = [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert in_column(ids, texts) == want
+    assert in_column(ids, []) == [] and in_column(ids, [None, ""]) == [[], []]
+    assert [array("I", x).tolist() for x in ids.texts(pa.array(["no", *texts[:40]]).slice(1))] == want[:40]
+    monkeypatch.setattr(ids, "merges", None)  # as under another tokenizer
+    assert in_column(ids, texts[:60]) == want[:60]
+
+
+def test_new_words_do_not_ask_the_tokenizer_each(library):
+    rng, own = random.Random(11), TokenIds(tokenizer_file("word_bpe_49k.json"))
+
+    class Asked:
+        times, model = 0, own.model
+
+        def tokenize(self, word):
+            Asked.times += 1
+            return Asked.model.tokenize(word)
+    own.model = Asked()
+    texts = [" ".join("".join(rng.choice(["th", "Er", "ción", "É", "an", "ss", "ß", "q"]) for _ in range(rng.randint(1, 12)))
+                      + rng.choice(["", ",", ".", "!?", " 1984"]) for _ in range(50)) for _ in range(200)]
+    assert in_column(own, texts) == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert Asked.times == 0  # text by text it is asked 7,909 times
+
+
+def test_a_long_run_without_white_space_is_sliced(library, ids, monkeypatch):
+    monkeypatch.setattr(packing, "TEXT_BYTES", 100)
+    sizes, block = [], ids._block
+    monkeypatch.setattr(ids, "_block", lambda text, at: sizes.append(len(text)) or block(text, at))
+    rng = random.Random(5)
+    for pool in ("0123456789abcdef", "ab''s.,", "1É's-é9"):
+        text = "".join(rng.choice(pool) for _ in range(3000))
+        assert in_column(ids, [text]) == [library.encode(text, add_special_tokens=False).ids]
+    assert max(sizes) < 300
+
+
+def test_pairs_of_one_slot():
+    letters = [chr(c) for c in range(256)]
+    vocab = {c: i for i, c in enumerate(letters)} | {f"{c}$": 256 + i for i, c in enumerate(letters)}
+    pairs = [(a, b) for a in "abcd" for b in "abcd"] + [(a, f"{b}$") for a in "abcd" for b in "abcd"]
+    vocab |= {a + b: 512 + i for i, (a, b) in enumerate(pairs)}
+    merges = packing.Merges({"vocab": vocab, "merges": [f"{a} {b}" for a, b in pairs], "end_of_word_suffix": "$"}, letters)
+    a, b = (np.repeat(np.arange(-1, 512), 513).astype(np.int32), np.tile(np.arange(-1, 512), 513).astype(np.int32))
+    want = {(vocab[x], vocab[y]): i for i, (x, y) in enumerate(pairs)}
+    merges._slot = lambda key: np.full(len(key), merges.mask - 1)  # every pair begins at one slot
+    merges.keys[:], merges.ranks[:] = -1, merges.NONE
+    for k, (x, i) in enumerate(want.items()):
+        at = (merges.mask - 1 + k) & merges.mask
+        merges.keys[at], merges.ranks[at] = x[0] << 32 | x[1], i
+    assert {(x, y): r for x, y, r in zip(a.tolist(), b.tolist(), merges.rank(a, b).tolist()) if r != merges.NONE} == want
+
+
 def test_another_tokenizer_is_read_by_the_library_alone():
     from tokenizers import Tokenizer
     data = tokenizer_file("byte_bpe_50k.json")
